@@ -80,31 +80,33 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
     # one row per partner and table
     standing = [] if history is None else current_watermarks(history).collect()
     marks = {(r.partner, r.table_name): r.watermark for r in standing}
+    written: dict[tuple[str, str], Written] = {}
 
-    def one_partner(partner: str) -> dict[tuple[str, str], Written]:
-        done = {}
+    def one_partner(partner: str) -> None:
         for table, df in sources[partner].items():
             spec, name = run.tables[table], partner.lower()
             if spec.watermark:
                 since = marks.get((name, table), EPOCH)
                 df = changed_since(df, spec.watermark, since, run.look_back)
-            result = write_increment(
+            written[name, table] = write_increment(
                 df, run.path("bronze"), name, table, run.run_ts, spec.watermark
             )
-            done[name, table] = result
-            if result.newest is not None and result.newest > marks.get((name, table), datetime.min):
-                row = [(name, table, result.newest, run.run_ts)]
-                append_rows(spark.createDataFrame(row, WATERMARK_SCHEMA), run.path("watermarks"))
-        return done
 
-    written, errors = {}, {}
     with ThreadPoolExecutor(run.parallel) as pool:
         jobs = {p: pool.submit(one_partner, p) for p in sources}
-    for partner, job in jobs.items():
-        if job.exception() is None:
-            written.update(job.result())
-        else:
-            errors[partner.lower()] = str(job.exception()).splitlines()[0]
+    errors = {
+        p.lower(): str(job.exception()).splitlines()[0]
+        for p, job in jobs.items()
+        if job.exception() is not None
+    }
+    risen = [
+        (*at, result.newest, run.run_ts)
+        for at, result in written.items()
+        if result.newest is not None and result.newest > marks.get(at, datetime.min)
+    ]
+    if risen:
+        rows = spark.createDataFrame(risen, WATERMARK_SCHEMA)
+        append_rows(rows.coalesce(1), run.path("watermarks"))
     return written, errors
 
 
