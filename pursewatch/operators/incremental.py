@@ -36,7 +36,7 @@ def changed_since_marks(
     df: DataFrame, column: str, table: str, marks: DataFrame, partner: str = "source_partner"
 ) -> DataFrame:
     """Rows of several partners, each newer than its own mark; no mark means from the start."""
-    own = marks.where(F.col("table_name") == table).select(
+    own = current_watermarks(marks.where(F.col("table_name") == table)).select(
         F.col("partner").alias("_partner"), F.col("watermark").alias("_mark")
     )
     joined = df.join(own, partner_id(F.col(partner)) == F.col("_partner"), "left")

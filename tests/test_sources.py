@@ -1,0 +1,187 @@
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from helpers import plan, rows, ts
+from pursewatch.model import LEDGER_SCHEMA, PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
+from pursewatch.operators.incremental import (
+    advance_watermarks, changed_since, changed_since_marks, current_watermarks, high_watermark, newer_than,
+)
+from pursewatch.scratch import scratch_path
+from pursewatch.sources import bronze, jdbc, managed
+from pursewatch.sources.partners import partner_frames, source_name, union_partners
+
+RUN = datetime(2024, 1, 31, 10, 0, 0)
+SRC = "id bigint, v string, updated_at timestamp_ntz"
+
+
+def source(spark, *items):
+    return spark.createDataFrame([(i, v, ts(t)) for i, v, t in items], SRC)
+
+
+def test_partner_tables_and_union(spark):
+    tables = {"users": spark.sql("SELECT 1 AS id, 'x' AS extra"), "users_partner_b": spark.sql("SELECT 2 AS id")}
+    assert source_name("users", "PARTNER_B") == "users_partner_b"
+    both = union_partners(partner_frames(tables.__getitem__, "users"))
+    assert rows(both.select("id", "extra", "source_partner")) == [(1, "x", "partner_a"), (2, None, "partner_b")]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_bronze_round_trip(spark, root, plain):
+    a = source(spark, (1, "x", "2024-01-01 00:00:00.5"), (2, None, "2024-01-02 00:00:00"))
+    w = bronze.write_increment(a, root, "PARTNER_A", "t", RUN, "updated_at", plain)
+    assert (w.rows, w.newest) == (2, ts("2024-01-02 00:00:00"))
+    b = source(spark, (3, "z", "2024-01-03 00:00:00")).withColumn("extra", F.lit(True))
+    bronze.write_increment(b, root, "partner_b", "t", RUN + timedelta(days=1), "updated_at", plain)
+    leaf = "2024/01/31" if plain else "ingest_date=2024-01-31"
+    assert (Path(root) / "partner=partner_a/table=t" / leaf).is_dir()
+    merged = bronze.read_bronze(spark, root, "t", plain=plain)
+    got = merged.select("id", "extra", "updated_at", "source_partner", "batch_table", "ingest_ts", "partner", "table")
+    assert rows(got) == [
+        ("1", None, "2024-01-01 00:00:00.5", "partner_a", "t", "2024-01-31 10:00:00", "partner_a", "t"),
+        ("2", None, "2024-01-02 00:00:00", "partner_a", "t", "2024-01-31 10:00:00", "partner_a", "t"),
+        ("3", "true", "2024-01-03 00:00:00", "partner_b", "t", "2024-02-01 10:00:00", "partner_b", "t")]
+    known = bronze.read_bronze(spark, root, "t", ["id", "extra", "absent"], plain=plain)
+    assert rows(known.select("id", "extra", "absent")) == [("1", None, None), ("2", None, None), ("3", "true", None)]
+    day = bronze.read_day(spark, root, "t", date(2024, 2, 1), plain)
+    assert rows(day.select("id")) == [("3",)]
+    assert bronze.read_day(spark, root, "t", date(2020, 1, 1), plain) is None
+    assert bronze.read_day(spark, root, "nothing", date(2024, 2, 1), plain) is None
+
+
+def test_repeated_runs_of_a_day_add_files(spark, root):
+    for i in (1, 2):
+        bronze.write_increment(source(spark, (i, "x", "2024-01-01")), root, "a", "t", RUN, "updated_at")
+    assert bronze.read_bronze(spark, root, "t").count() == 2
+
+
+def test_empty_increment_writes_nothing(spark, root):
+    w = bronze.write_increment(source(spark), root, "a", "t", RUN, "updated_at")
+    assert (w.rows, w.newest) == (0, None) and not list(Path(root).iterdir())
+
+
+def test_bronze_filters_become_partition_filters(spark, root):
+    bronze.write_increment(source(spark, (1, "x", "2024-01-01")), root, "a", "t", RUN, "updated_at")
+    df = bronze.read_bronze(spark, root, "t", ["id"], day=RUN.date()).where("partner = 'a'").select("id")
+    text = plan(df, "simple")
+    filters = text[text.index("PartitionFilters") : text.index("PushedFilters")]
+    assert "ingest_date" in filters and "partner" in filters
+
+
+def test_tables_of_one_partner_written_side_by_side(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    df = spark.range(1000).selectExpr("id", "'x' v", "timestamp_ntz'2024-01-01 00:00:00' updated_at")
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda p: bronze.write_increment(df, root, p, "t", RUN, "updated_at"), "abcd"))
+    assert [w.rows for w in done] == [1000] * 4
+    assert bronze.read_bronze(spark, root, "t").count() == 4000
+
+
+def test_watermark_filter_reaches_the_scan(spark, root):
+    source(spark, (1, "x", "2024-01-01"), (2, "y", "2024-01-03")).write.parquet(f"{root}/s")
+    new = changed_since(spark.read.parquet(f"{root}/s"), "updated_at", "2024-01-02 00:00:00")
+    assert rows(new.select("id")) == [(2,)]
+    assert "GreaterThan(updated_at" in plan(new, "simple")
+
+
+def test_look_back_picks_up_late_rows(spark):
+    df = source(spark, (1, "at the mark", "2024-01-02"), (2, "new", "2024-01-03"))
+    assert changed_since(df, "updated_at", "2024-01-02 00:00:00").count() == 1
+    assert changed_since(df, "updated_at", "2024-01-02 00:00:00", timedelta(minutes=1)).count() == 2
+
+
+def test_marks_rise_and_never_fall(spark):
+    marks = spark.createDataFrame(
+        [("a", "t", ts("2024-01-05")), ("a", "t", ts("2024-01-01")), ("b", "t", ts("2024-01-01")), ("b", "u", ts("2024-01-09"))],
+        "partner string, table_name string, watermark timestamp_ntz")
+    batch = spark.createDataFrame(
+        [("A", ts("2024-01-02")), ("b", ts("2024-01-03")), ("c", ts("2024-01-04")), ("d", None)],
+        "source_partner string, updated_at timestamp_ntz")
+    after = advance_watermarks(marks, batch, "updated_at", "t")
+    assert rows(after) == [("a", "t", ts("2024-01-05")), ("b", "t", ts("2024-01-03")),
+                           ("b", "u", ts("2024-01-09")), ("c", "t", ts("2024-01-04"))]
+    assert rows(advance_watermarks(after, batch.limit(0), "updated_at", "t")) == rows(current_watermarks(after))
+    fresh = changed_since_marks(batch, "updated_at", "t", marks)
+    assert rows(fresh) == [("b", ts("2024-01-03")), ("c", ts("2024-01-04"))]
+
+
+def test_high_watermark_of_a_table(spark):
+    df = source(spark, (1, "x", "2024-01-01"), (2, "y", "2024-01-03"))
+    assert high_watermark(df, "ingest_ts", "updated_at").first()[0] == ts("2024-01-03")
+    with pytest.raises(ValueError):
+        high_watermark(df, "ingest_ts")
+    assert newer_than(df, F.col("updated_at"), None).count() == 2
+    assert newer_than(df, F.col("updated_at"), ts("2024-01-01")).count() == 1
+
+
+def test_time_slices_cover_the_increment():
+    parts = jdbc.time_slices("updated_at", ts("2024-01-01"), ts("2024-01-03"), 2)
+    assert parts == ["updated_at > '2024-01-01 00:00:00' AND updated_at <= '2024-01-02 00:00:00'",
+                     "updated_at > '2024-01-02 00:00:00' AND updated_at <= '2024-01-03 00:00:00'"]
+    with pytest.raises(ValueError):
+        jdbc.time_slices("updated_at", ts("2024-01-01"), ts("2024-01-01"), 2)
+
+
+def test_tables_and_namespaces(spark, root):
+    managed.create_namespace(spark, "lake", f"{root}/lake")
+    managed.create_namespace(spark, "lake", f"{root}/lake")
+    for name, schema in (("wallet", UNIFIED_WALLET_SCHEMA), ("ledger", LEDGER_SCHEMA), ("profile", PROFILE_SCHEMA)):
+        managed.create_table(spark, f"lake.{name}", schema, f"{root}/{name}")
+        managed.create_table(spark, f"lake.{name}", schema, f"{root}/{name}")
+        stored = managed.read_table(spark, f"lake.{name}").schema
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in schema]
+    row = spark.sql("SELECT 1L AS user_id, true AS high_risk, timestamp_ntz'2024-01-31 00:00:00' AS profile_updated_at")
+    managed.append_rows(managed.conform(row, PROFILE_SCHEMA), f"{root}/profile")
+    spark.catalog.refreshTable("lake.profile")
+    assert rows(managed.read_table(spark, "lake.profile")) == [(1, None, None, True, ts("2024-01-31"))]
+    managed.name_view(managed.read_table(spark, "lake.profile"), "named")
+    assert spark.sql("SELECT count(*) FROM named").first()[0] == 1
+    spark.sql("DROP DATABASE lake CASCADE")
+
+
+def test_publish_replaces_a_table_from_its_own_rows(spark, root):
+    first = managed.publish(spark.sql("SELECT 1 AS id, 'a' AS v"), f"{root}/t", "published", temporary=True)
+    second = managed.publish(
+        first.unionByName(spark.sql("SELECT 2 AS id, 'b' AS v")).withColumn("w", F.lit(9)), f"{root}/t", "published", temporary=True)
+    assert rows(second) == [(1, "a", 9), (2, "b", 9)] == rows(spark.table("published"))
+    managed.create_namespace(spark, "gold_ns", f"{root}/ns")
+    kept = managed.publish(second, f"{root}/u", "gold_ns.kept", ["id"])
+    assert rows(kept.select("id", "v")) == [(1, "a"), (2, "b")]
+    assert [r.id for r in spark.table("gold_ns.kept").where("id = 2").collect()] == [2]
+    spark.sql("DROP DATABASE gold_ns CASCADE")
+
+
+DAY = "k bigint, t timestamp_ntz, day date, v string"
+
+
+def test_upsert_rewrites_only_touched_folders(spark, root):
+    path = f"{root}/t"
+    one = spark.createDataFrame([(1, ts("2024-01-01"), date(2024, 1, 1), "a"), (2, ts("2024-01-02"), date(2024, 1, 2), "b"),
+                                 (5, ts("2024-01-02"), None, "n")], DAY)
+    managed.upsert_partitions(spark, path, one, ["k"], "day")
+    untouched = sorted(p.name for p in Path(path, "day=2024-01-01").glob("*.parquet"))
+    two = spark.createDataFrame([(2, ts("2024-01-03"), date(2024, 1, 2), "B"), (3, ts("2024-01-03"), date(2024, 1, 3), "c"),
+                                 (5, ts("2024-01-03"), None, "N")], DAY)
+    managed.upsert_partitions(spark, path, two, ["k"], "day", "t")
+    late = spark.createDataFrame([(2, ts("2024-01-01"), date(2024, 1, 2), "late")], DAY)
+    managed.upsert_partitions(spark, path, late, ["k"], "day", "t")
+    got = spark.read.parquet(path).select("k", "v")
+    assert rows(got) == [(1, "a"), (2, "B"), (3, "c"), (5, "N")]
+    assert sorted(p.name for p in Path(path, "day=2024-01-01").glob("*.parquet")) == untouched
+
+
+def test_upsert_refuses_a_moved_key(spark, root):
+    one = spark.createDataFrame([(1, ts("2024-01-01"), date(2024, 1, 1), "a")], DAY)
+    managed.upsert_partitions(spark, f"{root}/t", one, ["k"], "day")
+    moved = one.withColumn("day", F.lit(date(2024, 1, 9)))
+    with pytest.raises(managed.PartitionMoved):
+        managed.upsert_partitions(spark, f"{root}/t", moved, ["k"], "day")
+    assert rows(spark.read.parquet(f"{root}/t").select("k", "day")) == [(1, date(2024, 1, 1))]
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
