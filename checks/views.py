@@ -5,7 +5,7 @@ Every view keeps all rows of its table; faults are injected by changing values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -14,32 +14,23 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _later(ts: str, hours: Column | int = 0, minutes: Column | int = 0, seconds: Column | int = 0) -> Column:
-    parts = [x if isinstance(x, Column) else F.lit(x) for x in (hours, minutes, seconds)]
-    return F.col(ts) + F.make_dt_interval(F.lit(0), *parts)
-
-
 def tx(spark: SparkSession, sf: str) -> DataFrame:
-    e, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    return _table(spark, sf, "events").select(
-        e.cast("string").alias("transaction_id"),
+    return _table(spark, sf, "events").selectExpr(
+        "cast(event_id as string) as transaction_id",
         "user_id",
-        (user % 100).alias("card_id"),
-        F.col("value").cast("decimal(18,2)").alias("amount"),
-        F.when(kind == "purchase", "SUCCESS")
-        .when(kind == "error", "FAILED")
-        .when(kind == "click", "APPROVED")
-        .otherwise("PENDING")
-        .alias("status"),
-        F.col("ts").alias("transaction_time"),
-        _later("ts", seconds=e % 8).alias("updated_at"),
-        F.when(e % 3 == 0, "Swipe").when(e % 3 == 1, "Chip").otherwise("Online").alias("use_chip"),
-        (e % 50).alias("merchant_id"),
-        F.concat(F.lit("Merchant_"), (e % 50).cast("string")).alias("merchant_name"),
-        (F.lit(1000) + e % 9000).alias("mcc"),
-        (F.col("value") / 500).alias("risk_score"),
-        F.when(e % 2 == 0, "partner_a").otherwise("partner_b").alias("source_partner"),
-        _later("ts", minutes=e % 300).alias("ingest_ts"),
+        "user_id % 100 as card_id",
+        "cast(value as decimal(18,2)) as amount",
+        """case event_type when 'purchase' then 'SUCCESS' when 'error' then 'FAILED'
+             when 'click' then 'APPROVED' else 'PENDING' end as status""",
+        "ts as transaction_time",
+        "ts + make_dt_interval(0, 0, 0, event_id % 8) as updated_at",
+        "case event_id % 3 when 0 then 'Swipe' when 1 then 'Chip' else 'Online' end as use_chip",
+        "event_id % 50 as merchant_id",
+        "'Merchant_' || cast(event_id % 50 as string) as merchant_name",
+        "1000 + event_id % 9000 as mcc",
+        "value / 500 as risk_score",
+        "case when event_id % 2 = 0 then 'partner_a' else 'partner_b' end as source_partner",
+        "ts + make_dt_interval(0, 0, event_id % 300, 0) as ingest_ts",
     )
 
 
@@ -67,32 +58,23 @@ STATE_TIES = [
 
 
 def tx_states(spark: SparkSession, sf: str) -> DataFrame:
-    lines, orders = _table(spark, sf, "lineitem"), _table(spark, sf, "orders")
-    flag, line = F.col("l_returnflag"), F.col("l_linestatus")
-    joined = lines.join(
-        orders.select("o_orderkey", "o_custkey", "o_orderdate"),
-        F.col("l_orderkey") == F.col("o_orderkey"),
-    )
-    return joined.select(
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_suppkey").alias("card_id"),
-        F.col("l_partkey").alias("merchant_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
-        F.when(flag == "N", "PENDING")
-        .when(flag == "R", "APPROVED")
-        .when(line == "F", "SUCCESS")
-        .otherwise("FAILED")
-        .alias("status"),
-        F.col("o_orderdate").alias("transaction_time"),
-        F.col("l_shipdate").alias("updated_at"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
-        F.when(F.col("l_orderkey") % 2 == 0, "partner_a")
-        .otherwise("partner_b")
-        .alias("source_partner"),
+    lines = _table(spark, sf, "lineitem")
+    orders = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "l_orderkey as transaction_id",
+        "o_custkey as user_id",
+        "l_suppkey as card_id",
+        "l_partkey as merchant_id",
+        "cast(l_extendedprice as decimal(18,2)) as amount",
+        """case when l_returnflag = 'N' then 'PENDING' when l_returnflag = 'R' then 'APPROVED'
+             when l_linestatus = 'F' then 'SUCCESS' else 'FAILED' end as status""",
+        "o_orderdate as transaction_time",
+        "l_shipdate as updated_at",
+        "l_linenumber as line_number",
+        "l_quantity as quantity",
+        "l_discount as discount",
+        "l_tax as tax",
+        "case when l_orderkey % 2 = 0 then 'partner_a' else 'partner_b' end as source_partner",
     )
 
 
@@ -114,13 +96,12 @@ LATEST = """latest AS (
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return _table(spark, sf, "customer").select(
-        k.alias("user_id"),
-        (F.lit(18) + k % 53).cast("int").alias("current_age"),
-        F.col("c_acctbal").alias("yearly_income"),
-        (F.lit(300) + k % 551).cast("int").alias("credit_score"),
-        F.when(k % 2 == 0, "partner_a").otherwise("partner_b").alias("source_partner"),
+    return _table(spark, sf, "customer").selectExpr(
+        "c_custkey as user_id",
+        "cast(18 + c_custkey % 53 as int) as current_age",
+        "c_acctbal as yearly_income",
+        "cast(300 + c_custkey % 551 as int) as credit_score",
+        "case when c_custkey % 2 = 0 then 'partner_a' else 'partner_b' end as source_partner",
     )
 
 
@@ -132,13 +113,13 @@ USERS = """users AS (
 
 
 def cards(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    return _table(spark, sf, "supplier").select(
-        k.alias("card_id"),
-        F.when(k % 3 == 0, "Visa").when(k % 3 == 1, "Mastercard").otherwise("Amex").alias("card_brand"),
-        F.col("s_acctbal").alias("credit_limit"),
-        (F.col("s_acctbal") < 0).alias("card_on_dark_web"),
-        F.when(k % 2 == 0, "partner_a").otherwise("partner_b").alias("source_partner"),
+    return _table(spark, sf, "supplier").selectExpr(
+        "s_suppkey as card_id",
+        """case s_suppkey % 3 when 0 then 'Visa' when 1 then 'Mastercard' else 'Amex' end
+             as card_brand""",
+        "s_acctbal as credit_limit",
+        "s_acctbal < 0 as card_on_dark_web",
+        "case when s_suppkey % 2 = 0 then 'partner_a' else 'partner_b' end as source_partner",
     )
 
 

@@ -6,14 +6,14 @@ layer is scanned once and a task sends on one row per group.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from pursewatch.functions.predicates import missing_key
+from pursewatch.functions.predicates import has_keys, missing_key
 from pursewatch.model import LEDGER_SCHEMA, STAGE_BRONZE, STAGE_SILVER
 
 METRICS = [f.name for f in LEDGER_SCHEMA if f.name.endswith("_count")]
@@ -21,39 +21,28 @@ METRICS = [f.name for f in LEDGER_SCHEMA if f.name.endswith("_count")]
 
 @dataclass(frozen=True)
 class Layer:
-    """One table's rows at one layer. ``df`` is None where the layer could not be opened."""
+    """One table's rows at one layer. ``df`` is None where the layer could not be opened.
+
+    ``keys`` are counted where NULL. With ``distinct`` the distinct non-null values of those
+    columns are counted as well, in the same scan.
+    """
 
     table: str
     layer: str
     df: DataFrame | None
     keys: tuple[str, ...]
     error: str | None = None
+    distinct: tuple[str, ...] = ()
 
 
-def _tagged(layers: Sequence[Layer]) -> list[DataFrame]:
-    return [
-        x.df.select(
-            F.lit(x.table).alias("table_name"),
-            F.lit(x.layer).alias("layer"),
-            F.when(missing_key(*x.keys), F.lit(1)).otherwise(F.lit(0)).alias("null_pk"),
-        )
-        for x in layers
-        if x.df is not None
-    ]
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def _named(layers: Sequence[Layer]) -> DataFrame:
+def _asked(layers: Sequence[Layer]) -> DataFrame:
     """A row per table and layer asked for, so that an empty layer counts as 0."""
     entries = [
         F.struct(
             F.lit(x.table).alias("table_name"),
             F.lit(x.layer).alias("layer"),
-            F.lit(None if x.df is None else 0).cast("int").alias("one"),
-            F.lit(0).alias("null_pk"),
+            F.lit(None if x.df is None else 0).cast("bigint").alias("rows"),
+            F.lit(0).cast("bigint").alias("null_pk"),
             F.lit(x.error).cast("string").alias("error"),
         )
         for x in layers
@@ -61,13 +50,38 @@ def _named(layers: Sequence[Layer]) -> DataFrame:
     return SparkSession.active().range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
+def _scanned(x: Layer, composite: bool) -> DataFrame:
+    columns = [
+        F.lit(x.table).alias("table_name"),
+        F.lit(x.layer).alias("layer"),
+        F.lit(1).cast("bigint").alias("rows"),
+        F.when(missing_key(*x.keys), 1).otherwise(0).cast("bigint").alias("null_pk"),
+    ]
+    if not x.distinct:
+        return x.df.select(*columns)
+    parts = [F.col(k).cast("string") for k in x.distinct]
+    key = F.when(has_keys(*x.distinct), F.array(*parts) if composite else parts[0])
+    by_key = x.df.select(*columns, key.alias("key")).groupBy("table_name", "layer", "key")
+    return by_key.agg(F.sum("rows").alias("rows"), F.sum("null_pk").alias("null_pk"))
+
+
 def layer_counts(layers: Sequence[Layer]) -> DataFrame:
-    """table_name, layer, rows, null_pk_count, error; rows is NULL for an unreadable layer."""
-    rows = [f.withColumn("one", F.lit(1)) for f in _tagged(layers)]
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_named(layers), *rows])
-    return both.groupBy("table_name", "layer").agg(
-        F.sum("one").alias("rows"),
+    """table_name, layer, rows, null_pk_count, distinct_keys, error.
+
+    ``rows`` is NULL for an unreadable layer. Only a layer with ``distinct`` shuffles more than
+    a row per task: its distinct keys, each with its number of rows.
+    """
+    composite = any(len(x.distinct) > 1 for x in layers)
+    frames = [_scanned(x, composite) for x in layers if x.df is not None]
+    together = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [_asked(layers), *frames]
+    )
+    if "key" not in together.columns:
+        together = together.withColumn("key", F.lit(None).cast("string"))
+    return together.groupBy("table_name", "layer").agg(
+        F.sum("rows").alias("rows"),
         F.sum("null_pk").alias("null_pk_count"),
+        F.count("key").alias("distinct_keys"),
         F.max("error").alias("error"),
     )
 
@@ -92,21 +106,27 @@ def source_to_bronze(layers: Sequence[Layer], run_ts: datetime | str) -> DataFra
 
 
 def bronze_to_silver(layers: Sequence[Layer], run_ts: datetime | str) -> DataFrame:
-    """Ledger rows with bronze_raw_count, silver_deduped_count and null_pk_count."""
-    rows = (
-        layer_counts(layers)
-        .groupBy("table_name")
-        .agg(
-            _at("bronze", "rows").alias("bronze_raw_count"),
-            _at("silver", "rows").alias("silver_deduped_count"),
-            _at("bronze", "null_pk_count").alias("null_pk_count"),
-            F.max("error").alias("error"),
-        )
-    )
-    return _ledger_rows(rows, STAGE_SILVER, run_ts)
+    """Ledger rows with bronze_raw_count, silver_deduped_count and null_pk_count.
+
+    Where the bronze layers ask for distinct keys, ``expected_silver`` holds their number.
+    """
+    columns = [
+        _at("bronze", "rows").alias("bronze_raw_count"),
+        _at("silver", "rows").alias("silver_deduped_count"),
+        _at("bronze", "null_pk_count").alias("null_pk_count"),
+        F.max("error").alias("error"),
+    ]
+    extra = []
+    if any(x.distinct for x in layers):
+        extra = ["expected_silver"]
+        columns.append(_at("bronze", "distinct_keys").alias(*extra))
+    rows = layer_counts(layers).groupBy("table_name").agg(*columns)
+    return _ledger_rows(rows, STAGE_SILVER, run_ts, *extra)
 
 
-def _ledger_rows(rows: DataFrame, stage: str, run_ts: datetime | str) -> DataFrame:
+def _ledger_rows(
+    rows: DataFrame, stage: str, run_ts: datetime | str, *extra: str
+) -> DataFrame:
     given = {
         "execution_time": F.lit(str(run_ts)).cast("timestamp"),
         "pipeline_stage": F.lit(stage),
@@ -115,32 +135,7 @@ def _ledger_rows(rows: DataFrame, stage: str, run_ts: datetime | str) -> DataFra
     for f in LEDGER_SCHEMA:
         value = given.get(f.name, F.col(f.name) if f.name in rows.columns else F.lit(None))
         columns.append(value.cast(f.dataType).alias(f.name))
-    return rows.select(*columns, "error")
-
-
-def distinct_keys(layers: Sequence[Layer]) -> DataFrame:
-    """table_name, layer, distinct_keys: distinct non-null keys; exact, one shuffle of keys."""
-    frames = [
-        x.df.where(~missing_key(*x.keys)).select(
-            F.lit(x.table).alias("table_name"),
-            F.lit(x.layer).alias("layer"),
-            F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(x.keys)]).alias(
-                "key"
-            )
-            if len(x.keys) > 1
-            else F.col(x.keys[0]).cast("string").alias("key"),
-        )
-        for x in layers
-        if x.df is not None
-    ]
-    by_arity: dict[str, list[DataFrame]] = {}
-    for f in frames:
-        by_arity.setdefault(f.schema["key"].dataType.simpleString(), []).append(f)
-    counts = [
-        _union(fs).distinct().groupBy("table_name", "layer").agg(F.count("key").alias("distinct_keys"))
-        for fs in by_arity.values()
-    ]
-    return _union(counts)
+    return rows.select(*columns, "error", *extra)
 
 
 def breaches(audit: DataFrame) -> DataFrame:
@@ -184,28 +179,26 @@ def enforce(audit: DataFrame) -> None:
         raise CircuitOpen(f"stopped by audit rules: {found}")
 
 
-def reconcile(layers: Mapping[str, Sequence[Layer]] | Sequence[Layer]) -> DataFrame:
+def reconcile(layers: Sequence[Layer]) -> DataFrame:
     """One row per table with the counts of all four layers and whether neighbours agree.
 
     Silver is expected to hold one row per distinct non-null bronze key, gold one per silver
     key; a table without a gold product has NULL there.
     """
-    flat = [x for xs in layers.values() for x in xs] if isinstance(layers, Mapping) else list(layers)
-    counts = layer_counts(flat)
-    keys = distinct_keys([x for x in flat if x.layer == "bronze"]).select(
-        "table_name", F.lit("bronze_keys").alias("layer"), F.col("distinct_keys").alias("rows")
-    )
-    both = counts.select("table_name", "layer", "rows").unionByName(keys)
-    wide = both.groupBy("table_name").agg(
-        *[
-            _at(layer, "rows").alias(f"{layer}_count")
-            for layer in ("source", "bronze", "bronze_keys", "silver", "gold")
-        ]
+    keyed = [replace(x, distinct=x.distinct or x.keys) if x.layer == "bronze" else x for x in layers]
+    wide = (
+        layer_counts(keyed)
+        .groupBy("table_name")
+        .agg(
+            *[_at(x, "rows").alias(f"{x}_count") for x in ("source", "bronze")],
+            _at("bronze", "distinct_keys").alias("bronze_keys_count"),
+            *[_at(x, "rows").alias(f"{x}_count") for x in ("silver", "gold")],
+        )
     )
     return wide.withColumns(
         {
             "bronze_parity": F.col("source_count") == F.col("bronze_count"),
-            "silver_parity": F.coalesce(F.col("bronze_keys_count"), F.lit(0)) == F.col("silver_count"),
+            "silver_parity": F.col("bronze_keys_count") == F.col("silver_count"),
             "gold_parity": F.col("silver_count") == F.col("gold_count"),
         }
     )

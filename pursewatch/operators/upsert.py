@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pursewatch.operators.dedup import latest_per_key
 
@@ -22,24 +24,42 @@ def upsert(
 ) -> DataFrame:
     """Rows of ``updates`` replace those of the same key, others are added, none is deleted.
 
-    ``updates`` holds one row per key. With ``newer_by`` an update that is older than the
-    stored row loses, so batches may arrive in any order. The target is only ever the large
-    side of semi and anti joins against the updates: while those are small enough for the
-    planner to broadcast, the target is not shuffled.
+    Both sides hold one row per key. The target is the large side of an anti join against the
+    keys of the updates: while those are small enough for the planner to broadcast, the
+    target is not shuffled. With ``newer_by`` an update that is older than the stored row
+    loses, so batches may arrive in any order.
     """
-    keys = list(keys)
     if newer_by is not None:
-        # structs compare field by field with NULL lowest, as the newest-first order has it
-        version = F.struct(*([newer_by] if isinstance(newer_by, str) else newer_by))
-        stored = target.join(updates.select(*keys), keys, "left_semi").select(
-            *keys, version.alias("_stored")
-        )
-        fresh = F.col("_stored").isNull() | (version >= F.col("_stored"))
-        updates = updates.join(stored, keys, "left").where(fresh).drop("_stored")
-    kept = target.join(updates.select(*keys), keys, "left_anti")
+        return _upsert_newer(target, updates, keys, newer_by)
+    kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return union_evolved(kept, updates)
 
 
+def _upsert_newer(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], newer_by: str | Sequence[str]
+) -> DataFrame:
+    # one full join, so that each side is read and shuffled once whatever its size
+    order = [newer_by] if isinstance(newer_by, str) else list(newer_by)
+    old, new = (df.withColumn("_here", F.lit(True)) for df in (target, updates))
+    same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+    both = old.alias("old").join(new.alias("new"), reduce(and_, same), "full")
+
+    # structs compare field by field with NULL lowest, as the newest-first order has it
+    def version(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}") for c in order])
+
+    take_new = F.col("new._here").isNotNull() & (
+        F.col("old._here").isNull() | (version("new") >= version("old"))
+    )
+
+    def pick(c: str) -> Column:
+        of = [F.col(f"{s}.{c}") if c in df.columns else F.lit(None)
+              for s, df in (("new", updates), ("old", target))]
+        return F.when(take_new, of[0]).otherwise(of[1]).alias(c)
+
+    return both.select(*[pick(c) for c in dict.fromkeys([*target.columns, *updates.columns])])
+
+
 def insert_if_absent(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:

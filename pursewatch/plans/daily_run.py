@@ -13,13 +13,7 @@ from pyspark.sql.utils import AnalysisException
 from pursewatch.functions.casts import to_timestamp
 from pursewatch.functions.timing import ingest_stamp, moment
 from pursewatch.model import EPOCH, LEDGER_SCHEMA, WATERMARK_SCHEMA
-from pursewatch.operators.audit import (
-    Layer,
-    bronze_to_silver,
-    distinct_keys,
-    enforce,
-    source_to_bronze,
-)
+from pursewatch.operators.audit import Layer, bronze_to_silver, enforce, source_to_bronze
 from pursewatch.operators.dedup import latest_per_key
 from pursewatch.operators.incremental import (
     changed_since,
@@ -214,21 +208,22 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def audit_silver(spark: SparkSession, run: Run) -> None:
     """Log the counts, then stop unless silver has one row per distinct typed bronze key."""
-    raw, typed = [], []
+    layers = []
     for table, spec in run.tables.items():
-        bronze = _bronze(spark, run, spec)
-        raw.append(Layer(table, "bronze", bronze, _raw_keys(spec)))
-        raw.append(Layer(table, "silver", spark.table(f"{run.silver}{table}"), spec.keys))
-        typed.append(Layer(table, "bronze", typed_rows(bronze, spec, run.run_ts), spec.keys))
-    audit = bronze_to_silver(raw, run.run_ts)
-    _log(audit, run)
-    expected = distinct_keys(typed).select(
-        "table_name", F.col("distinct_keys").alias("expected_silver")
-    )
-    checked = audit.join(expected, "table_name", "left").na.fill(0, ["expected_silver"])
-    if run.rejects:
-        checked = checked.withColumn("null_pk_count", F.lit(0))
-    enforce(checked)
+        raw = _raw_keys(spec)
+        typed = {r.name: r.build(moment(run.run_ts)) for r in spec.rules}
+        both = _bronze(spark, run, spec).select(
+            *raw, *[typed.get(k, F.col(k)).alias(f"typed_{k}") for k in spec.keys]
+        )
+        distinct = tuple(f"typed_{k}" for k in spec.keys)
+        layers.append(Layer(table, "bronze", both, raw, distinct=distinct))
+        layers.append(Layer(table, "silver", spark.table(f"{run.silver}{table}"), spec.keys))
+    audit = bronze_to_silver(layers, run.run_ts).persist()
+    try:
+        _log(audit, run)
+        enforce(audit.withColumn("null_pk_count", F.lit(0)) if run.rejects else audit)
+    finally:
+        audit.unpersist()
 
 
 def run_day(

@@ -7,7 +7,7 @@ from helpers import TX_DDL, rows, ts, tx_row
 from pursewatch.model import LEDGER_SCHEMA
 from pursewatch.operators import quality
 from pursewatch.operators.audit import (
-    CircuitOpen, Layer, breaches, bronze_to_silver, distinct_keys, enforce, layer_counts, ledger_trend,
+    CircuitOpen, Layer, breaches, bronze_to_silver, enforce, layer_counts, ledger_trend,
     reconcile, source_to_bronze,
 )
 from pursewatch.sources.managed import conform
@@ -49,7 +49,10 @@ def test_several_tables_and_composite_keys(spark):
     pair = spark.createDataFrame([("a", 1), ("a", None), ("a", 1)], "p string, id int")
     layers = [layer(spark, "bronze", "x"), Layer("u", "bronze", pair, ("p", "id"))]
     assert rows(layer_counts(layers).select("table_name", "rows", "null_pk_count")) == [("t", 1, 0), ("u", 3, 1)]
-    assert rows(distinct_keys(layers)) == [("t", "bronze", 1), ("u", "bronze", 1)]
+    keyed = [Layer("t", "bronze", ids(spark, "x", "x", None), ("id",), distinct=("id",)),
+             Layer("u", "bronze", pair, ("p", "id"), distinct=("p", "id")), layer(spark, "silver", "x", "y")]
+    got = layer_counts(keyed).select("table_name", "layer", "rows", "null_pk_count", "distinct_keys")
+    assert rows(got) == [("t", "bronze", 3, 1, 1), ("t", "silver", 2, 0, 0), ("u", "bronze", 3, 1, 1)]
 
 
 def test_breaker_rules(spark):
