@@ -181,8 +181,10 @@ def partner_latency(spark, sf):
 
 @check(V.with_views(V.TX_STATES, V.LATEST) + "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM latest")
 def latest_state_per_key(spark, sf):
-    changes = V.tx_states(spark, sf)
-    return plain(dedup.latest_per_key(changes, ["transaction_id"], ["updated_at"], V.STATE_TIES))
+    latest = dedup.latest_per_key(
+        V.tx_states(spark, sf), ["transaction_id"], ["updated_at"], V.STATE_TIES
+    )
+    return plain(V.with_orders(latest, spark, sf))
 
 
 @check(V.with_views(V.TX_STATES) + "SELECT DISTINCT transaction_id FROM tx_states")
@@ -396,14 +398,15 @@ def _halves(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
 @check(ORACLES["latest_state_per_key"])
 def upsert_by_key(spark, sf):
     first, second = _halves(V.tx_states(spark, sf))
-    return plain(ups.upsert(first, second, ["transaction_id"]))
+    return plain(V.with_orders(ups.upsert(first, second, ["transaction_id"]), spark, sf))
 
 
 @check(ORACLES["latest_state_per_key"])
 def upsert_out_of_order(spark, sf):
     first, second = _halves(V.tx_states(spark, sf))
     newer_by = ["updated_at", *V.STATE_TIES]
-    return plain(ups.upsert(second, first, ["transaction_id"], newer_by))
+    merged = ups.upsert(second, first, ["transaction_id"], newer_by)
+    return plain(V.with_orders(merged, spark, sf))
 
 
 @check(
@@ -725,7 +728,7 @@ def bronze_day_slice(spark, sf):
 def stream_latest_state(spark, sf):
     """The change feed in two increments, merged into month folders by two streaming runs."""
     root = scratch_path(spark, "stream")
-    states = V.tx_states(spark, sf).drop("source_partner", "user_id")
+    states = V.with_orders(V.tx_states(spark, sf), spark, sf).drop("source_partner", "user_id")
     early = F.col("updated_at") < moment(SHIP_SPLIT)
     for half in (states.where(~early), states.where(early)):
         half.write.mode("append").parquet(f"{root}/feed")

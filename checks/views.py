@@ -58,17 +58,14 @@ STATE_TIES = [
 
 
 def tx_states(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _table(spark, sf, "lineitem")
-    orders = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+    """The change rows alone; ``with_orders`` adds what the order knows of a transaction."""
+    return _table(spark, sf, "lineitem").selectExpr(
         "l_orderkey as transaction_id",
-        "o_custkey as user_id",
         "l_suppkey as card_id",
         "l_partkey as merchant_id",
         "cast(l_extendedprice as decimal(18,2)) as amount",
         """case when l_returnflag = 'N' then 'PENDING' when l_returnflag = 'R' then 'APPROVED'
              when l_linestatus = 'F' then 'SUCCESS' else 'FAILED' end as status""",
-        "o_orderdate as transaction_time",
         "l_shipdate as updated_at",
         "l_linenumber as line_number",
         "l_quantity as quantity",
@@ -78,6 +75,15 @@ def tx_states(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def with_orders(states: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """User and start time of each transaction; joined after the changes are folded, when a
+    transaction is one row, wherever that is possible."""
+    orders = _table(spark, sf, "orders").selectExpr(
+        "o_orderkey as transaction_id", "o_custkey as user_id", "o_orderdate as transaction_time"
+    )
+    return states.join(orders, "transaction_id")
+
+
 TX_STATES = """tx_states AS (
   SELECT l_orderkey AS transaction_id, o_custkey AS user_id, l_suppkey AS card_id,
     l_partkey AS merchant_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,

@@ -63,6 +63,10 @@ def _upsert_newer(
 def insert_if_absent(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add rows whose key is new; on conflict the stored row stays."""
-    new = rows.join(target.select(*keys), list(keys), "left_anti")
-    return union_evolved(target, latest_per_key(new, keys, order_by))
+    """Add rows whose key is new; on conflict the stored row stays.
+
+    Repeated keys among the new rows are folded first, so each key is looked up once.
+    """
+    one_per_key = latest_per_key(rows, keys, order_by)
+    new = one_per_key.join(target.select(*keys), list(keys), "left_anti")
+    return union_evolved(target, new)

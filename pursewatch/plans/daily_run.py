@@ -113,31 +113,47 @@ def _log(audit: DataFrame, run: Run) -> None:
 
 
 def audit_bronze(
-    spark: SparkSession, sources: Sources, written: Mapping, errors: Mapping, run: Run
+    spark: SparkSession,
+    sources: Sources,
+    written: Mapping,
+    errors: Mapping,
+    run: Run,
+    incremental: bool = False,
 ) -> None:
-    """Log the counts so far, then stop if this run's rows did not all arrive with a key."""
-    totals, this_run = [], []
+    """Log the counts, then stop if this run's rows did not all arrive with a key.
+
+    Logged are the totals of source and bronze, or of this run's rows alone when incremental;
+    the rules look at this run's rows in either case.
+    """
+    this_run = [
+        Layer(table, "bronze", _arrived(_bronze(spark, run, spec), run), _raw_keys(spec))
+        for table, spec in run.tables.items()
+    ]
+    extracted = F.lit(None).cast("bigint")
+    for table in run.tables:
+        rows = sum(w.rows for (_, name), w in written.items() if name == table)
+        extracted = F.when(F.col("table_name") == table, F.lit(rows)).otherwise(extracted)
+    checked = source_to_bronze(this_run, run.run_ts).withColumn("source_count", extracted)
+    failed = "; ".join(f"{p}: {e}" for p, e in sorted(errors.items())) or None
+    if incremental:
+        _log(checked.withColumn("error", F.lit(failed)), run)
+    else:
+        totals = []
+        for table, spec in run.tables.items():
+            keys = _raw_keys(spec)
+            frames = [t[table] for t in sources.values() if table in t]
+            totals += [Layer(table, "source", f, keys, failed) for f in frames]
+            totals.append(Layer(table, "bronze", _bronze(spark, run, spec), keys))
+        _log(source_to_bronze(totals, run.run_ts), run)
+    enforce(checked.withColumn("null_pk_count", F.lit(0)) if run.rejects else checked)
+
+
+def _arrived(bronze: DataFrame, run: Run) -> DataFrame:
+    """The rows this run brought; the day folder is pruned to."""
     stamp = ingest_stamp(moment(run.run_ts))
-    for table, spec in run.tables.items():
-        frames = [t[table] for t in sources.values() if table in t]
-        raw_keys = _raw_keys(spec)
-        bronze = _bronze(spark, run, spec)
-        failed = "; ".join(f"{p}: {e}" for p, e in sorted(errors.items())) or None
-        totals += [Layer(table, "source", f, raw_keys, failed) for f in frames]
-        totals.append(Layer(table, "bronze", bronze, raw_keys))
-        new = bronze.where(
-            (F.col("ingest_date") == F.lit(run.run_ts.date())) & (F.col("ingest_ts") == stamp)
-        )
-        this_run.append(Layer(table, "bronze", new, raw_keys))
-    _log(source_to_bronze(totals, run.run_ts), run)
-    extracted = {t: sum(w.rows for (_, name), w in written.items() if name == t) for t in run.tables}
-    count = F.lit(None).cast("bigint")
-    for table, rows in extracted.items():
-        count = F.when(F.col("table_name") == table, F.lit(rows)).otherwise(count)
-    checked = source_to_bronze(this_run, run.run_ts).withColumn("source_count", count)
-    if run.rejects:
-        checked = checked.withColumn("null_pk_count", F.lit(0))
-    enforce(checked)
+    return bronze.where(
+        (F.col("ingest_date") == F.lit(run.run_ts.date())) & (F.col("ingest_ts") == stamp)
+    )
 
 
 def _raw_keys(spec: TableSpec) -> tuple[str, ...]:
@@ -206,18 +222,25 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def audit_silver(spark: SparkSession, run: Run) -> None:
-    """Log the counts, then stop unless silver has one row per distinct typed bronze key."""
+def audit_silver(spark: SparkSession, run: Run, incremental: bool = False) -> None:
+    """Log the counts, then stop unless silver has one row per distinct typed bronze key.
+
+    When incremental, this is asked of the keys that this run brought, not of all history.
+    """
     layers = []
     for table, spec in run.tables.items():
         raw = _raw_keys(spec)
-        typed = {r.name: r.build(moment(run.run_ts)) for r in spec.rules}
-        both = _bronze(spark, run, spec).select(
-            *raw, *[typed.get(k, F.col(k)).alias(f"typed_{k}") for k in spec.keys]
-        )
+        rules = {r.name: r.build(moment(run.run_ts)) for r in spec.rules}
+        typed = [rules.get(k, F.col(k)).alias(f"typed_{k}") for k in spec.keys]
+        bronze = _bronze(spark, run, spec)
+        silver = spark.table(f"{run.silver}{table}").select(*spec.keys)
+        if incremental:
+            bronze = _arrived(bronze, run)
+            came = bronze.select(*[t.alias(k) for t, k in zip(typed, spec.keys)])
+            silver = silver.join(came, list(spec.keys), "left_semi")
         distinct = tuple(f"typed_{k}" for k in spec.keys)
-        layers.append(Layer(table, "bronze", both, raw, distinct=distinct))
-        layers.append(Layer(table, "silver", spark.table(f"{run.silver}{table}"), spec.keys))
+        layers.append(Layer(table, "bronze", bronze.select(*raw, *typed), raw, distinct=distinct))
+        layers.append(Layer(table, "silver", silver, spec.keys))
     audit = bronze_to_silver(layers, run.run_ts).persist()
     try:
         _log(audit, run)
@@ -229,12 +252,15 @@ def audit_silver(spark: SparkSession, run: Run) -> None:
 def run_day(
     spark: SparkSession, sources: Sources, run: Run, incremental: bool = False
 ) -> DataFrame:
-    """All layers in order; returns the gold profile. ``sources`` is partner → table → rows."""
+    """All layers in order; returns the gold profile. ``sources`` is partner → table → rows.
+
+    Incremental runs read only what arrived since the last one up to the silver layer.
+    """
     written, errors = ingest(spark, sources, run)
-    audit_bronze(spark, sources, written, errors, run)
+    audit_bronze(spark, sources, written, errors, run, incremental)
     step = advance_silver if incremental else refresh_silver
     silver = {t: step(spark, spec, run) for t, spec in run.tables.items()}
-    audit_silver(spark, run)
+    audit_silver(spark, run, incremental)
     profile = user_risk_profile(
         silver["users"], silver["cards"], silver["transactions"], run.run_ts
     )

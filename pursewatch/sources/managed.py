@@ -85,12 +85,13 @@ def publish(
 
 
 def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
-    """Write even files: AQE merges small partitions and splits a day that holds too much."""
-    if partition_by:
-        rows = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    else:
-        df.hint("rebalance").write.mode(mode).parquet(path)
+    """Write files of even size.
+
+    Without folders AQE has already sized the tasks. With folders the rows are gathered per
+    folder, so that not every task adds a file to each; a folder with too many rows is split.
+    """
+    writer = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
+    writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 class PartitionMoved(ValueError):
