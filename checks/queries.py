@@ -168,12 +168,13 @@ def lifecycle_timeline(spark, sf):
 @check(
     V.with_views(V.TX)
     + """SELECT source_partner, COUNT(*) AS measured, AVG(s) AS avg_latency,
-  MIN(s) AS min_latency, MAX(s) AS max_latency, quantile_disc(s, 0.95) AS p95_latency
+  MIN(s) AS min_latency, MAX(s) AS max_latency, quantile_cont(s, 0.5) AS p50_latency,
+  quantile_cont(s, 0.95) AS p95_latency, quantile_cont(s, 0.99) AS p99_latency
 FROM (SELECT source_partner, date_sub('second', transaction_time, updated_at) AS s FROM tx)
 GROUP BY source_partner"""
 )
 def partner_latency(spark, sf):
-    return lifecycle.latency_by_partner(V.tx(spark, sf), "source_partner", (0.95,))
+    return lifecycle.latency_by_partner(V.tx(spark, sf), "source_partner")
 
 
 # ---- silver ---------------------------------------------------------------

@@ -50,16 +50,27 @@ def timeline(changes: DataFrame) -> DataFrame:
 def latency_by_partner(
     tx: DataFrame, partner: str = "partner", percentiles: tuple[float, ...] = (0.5, 0.95, 0.99)
 ) -> DataFrame:
-    """Seconds from start to last update per partner; percentiles from a mergeable sketch."""
+    """Seconds from start to last update per partner, with exact percentiles.
+
+    Rows are first counted per whole second, so what leaves a task, and what the percentiles
+    work on, grows with the range of latencies and not with the number of transactions.
+    """
     latency = elapsed_seconds(F.col("transaction_time"), F.col("updated_at"))
+    counted = (
+        tx.select(partner, latency.alias("latency"))
+        .groupBy(partner, "latency")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    measured = F.when(F.col("latency").isNotNull(), F.col("n"))
+    total = F.coalesce(F.sum(measured), F.lit(0))
     aggregates = [
-        F.count("latency").alias("measured"),
-        F.avg("latency").alias("avg_latency"),
+        total.alias("measured"),
+        F.try_divide(F.sum(F.col("latency") * F.col("n")), total).alias("avg_latency"),
         F.min("latency").alias("min_latency"),
         F.max("latency").alias("max_latency"),
     ]
     aggregates += [
-        F.percentile_approx("latency", p, 10000).alias(f"p{round(p * 100)}_latency")
+        F.percentile("latency", F.lit(p), F.col("n")).alias(f"p{round(p * 100)}_latency")
         for p in percentiles
     ]
-    return tx.select(partner, latency.alias("latency")).groupBy(partner).agg(*aggregates)
+    return counted.groupBy(partner).agg(*aggregates)

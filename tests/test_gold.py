@@ -171,5 +171,7 @@ def test_lifecycle(spark):
 def test_latency_by_partner(spark):
     data = [("a", ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:0%d" % i)) for i in range(8)]
     df = spark.createDataFrame(data, "partner string, transaction_time timestamp_ntz, updated_at timestamp_ntz")
-    r = latency_by_partner(df).first()
-    assert (r.measured, r.avg_latency, r.min_latency, r.max_latency, r.p99_latency) == (8, 3.5, 0, 7, 7)
+    df = df.unionByName(spark.createDataFrame([("a", None, data[0][2]), ("b", None, data[0][2])], df.schema))
+    a, b = latency_by_partner(df, percentiles=(0.5, 1.0)).orderBy("partner").collect()
+    assert tuple(a) == ("a", 8, 3.5, 0, 7, 3.5, 7.0)
+    assert tuple(b) == ("b", 0, None, None, None, None, None)
