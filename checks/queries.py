@@ -764,6 +764,61 @@ def stream_daily_summary(spark, sf):
     return _summary(daily_summary.read_daily_summary(spark, f"{root}/parts"))
 
 
+@check(
+    V.with_views(V.TX)
+    + MERCHANT_SQL.replace(
+        "GROUP BY 1, 2",
+        """GROUP BY 1, 2 HAVING CAST(date_trunc('day', MIN(transaction_time)) AS TIMESTAMP) + INTERVAL 3 DAYS
+  <= (SELECT MAX(transaction_time) FROM tx)""",
+    )
+)
+def stream_closed_days(spark, sf):
+    """Days that ended two days or more before the newest transaction, each emitted once."""
+    root = scratch_path(spark, "stream")
+    tx = _in_myr(V.tx(spark, sf)).select("merchant_id", "transaction_time", "amount_myr", "risk_score")
+    tx.write.parquet(f"{root}/feed")
+    feed = spark.readStream.schema(tx.schema).parquet(f"{root}/feed")
+    days = daily_summary.closed_days(feed, "2 days")
+    sink = days.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+    sink.trigger(availableNow=True).format("parquet").start(f"{root}/days").awaitTermination()
+    return _summary(spark.read.schema(days.schema).parquet(f"{root}/days"))
+
+
+@check(
+    V.with_views(V.TX)
+    + """SELECT transaction_id, source_partner, CAST(amount AS DOUBLE) AS amount, transaction_time,
+  CAST(date_trunc('day', transaction_time) AS TIMESTAMP) AS event_day FROM tx"""
+)
+def published_by_event_day(spark, sf):
+    """A table replaced by rows read from itself, kept in folders by event day."""
+    root = scratch_path(spark, "published")
+    tx = V.tx(spark, sf).select("transaction_id", "source_partner", "amount", "transaction_time")
+    tx = tx.withColumn("event_date", F.to_date("transaction_time"))
+    name = "published_tx"
+    first = tx.where(F.col("source_partner") == "partner_a")
+    stored = managed.publish(first, root, name, ["event_date"], temporary=True)
+    rest = tx.where(F.col("source_partner") != "partner_a")
+    both = managed.publish(ups.union_evolved(stored, rest), root, name, ["event_date"], temporary=True)
+    day = F.col("event_date").cast("timestamp_ntz").alias("event_day")
+    return plain(both.select("transaction_id", "source_partner", "amount", "transaction_time", day))
+
+
+@check(
+    V.with_views(V.TX_STATES, V.LATEST)
+    + """SELECT transaction_id, updated_at, status, source_partner FROM latest"""
+)
+def upsert_by_folder(spark, sf):
+    """Two batches of changes, the later one first, merged into folders that are rewritten only
+    where a batch touches them."""
+    root = scratch_path(spark, "folders")
+    first, second = _halves(V.tx_states(spark, sf))
+    newer_by = ["updated_at", *V.STATE_TIES]
+    for batch in (second, first):
+        managed.upsert_partitions(spark, root, batch, ["transaction_id"], "source_partner", newer_by)
+    columns = ["transaction_id", "updated_at", "status", "source_partner"]
+    return spark.read.schema(first.schema).parquet(root).select(*columns)
+
+
 def _sources(spark: SparkSession, sf: str, before: str | None = None) -> dict:
     tx = V.tx(spark, sf).drop("ingest_ts")
     if before is not None:
