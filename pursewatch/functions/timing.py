@@ -20,8 +20,8 @@ def window_start(as_of: datetime | str, days: int = SPEND_WINDOW_DAYS) -> Column
 
 
 def day_of(ts: Column) -> Column:
-    """Midnight of the day; ``date_trunc`` alone would attach a zone."""
-    return F.date_trunc("day", ts).cast("timestamp_ntz")
+    """Midnight of the day, without a zone; ``date_trunc`` would go through the session's."""
+    return ts.cast("date").cast("timestamp_ntz")
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
@@ -39,3 +39,12 @@ def watermark_text(ts: Column) -> Column:
 
 def or_epoch(watermark: Column) -> Column:
     return F.coalesce(watermark, moment(EPOCH))
+
+
+def as_utc_instant(ts: Column) -> Column:
+    """The zoned timestamp that reads the same in UTC, whatever the session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", moment(EPOCH), ts))
+
+
+def from_utc_instant(ts: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), moment(EPOCH))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -31,6 +31,7 @@ from pursewatch.sources.managed import (
     conform,
     path_or_none,
     publish,
+    stored_rows,
     upsert_partitions,
 )
 from pursewatch.sources.tables import TableSpec, load_tables
@@ -108,6 +109,14 @@ def _bronze(spark: SparkSession, run: Run, spec: TableSpec) -> DataFrame:
     return read_bronze(spark, run.path("bronze"), spec.table, spec.bronze_columns())
 
 
+def _layer(table: str, name: str, keys: tuple[str, ...], read: Callable[[], DataFrame]) -> Layer:
+    """A layer to count; one that cannot be opened is counted as unknown, with the reason."""
+    try:
+        return Layer(table, name, read(), keys)
+    except AnalysisException as e:
+        return Layer(table, name, None, keys, str(e).splitlines()[0])
+
+
 def _log(audit: DataFrame, run: Run) -> None:
     append_rows(conform(audit, LEDGER_WITH_ERROR), run.path("ledger"))
 
@@ -126,7 +135,7 @@ def audit_bronze(
     the rules look at this run's rows in either case.
     """
     this_run = [
-        Layer(table, "bronze", _arrived(_bronze(spark, run, spec), run), _raw_keys(spec))
+        _layer(table, "bronze", _raw_keys(spec), lambda s=spec: _arrived(_bronze(spark, run, s), run))
         for table, spec in run.tables.items()
     ]
     extracted = F.lit(None).cast("bigint")
@@ -143,7 +152,7 @@ def audit_bronze(
             keys = _raw_keys(spec)
             frames = [t[table] for t in sources.values() if table in t]
             totals += [Layer(table, "source", f, keys, failed) for f in frames]
-            totals.append(Layer(table, "bronze", _bronze(spark, run, spec), keys))
+            totals.append(_layer(table, "bronze", keys, lambda s=spec: _bronze(spark, run, s)))
         _log(source_to_bronze(totals, run.run_ts), run)
     enforce(checked.withColumn("null_pk_count", F.lit(0)) if run.rejects else checked)
 
@@ -194,7 +203,7 @@ def advance_silver(spark: SparkSession, spec: TableSpec, run: Run) -> DataFrame:
     if spec.event_time is None:
         stored = spark.table(name) if spark.catalog.tableExists(name) else None
     else:
-        stored = _read_or_none(spark, live)
+        stored = stored_rows(spark, live, T.StructField("event_date", T.DateType()))
     bronze = _bronze(spark, run, spec)
     if stored is not None:
         mark = high_watermark(stored, "ingest_ts").first()[0]
@@ -213,15 +222,6 @@ def advance_silver(spark: SparkSession, spec: TableSpec, run: Run) -> DataFrame:
     return spark.table(name)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def audit_silver(spark: SparkSession, run: Run, incremental: bool = False) -> None:
     """Log the counts, then stop unless silver has one row per distinct typed bronze key.
 
@@ -259,7 +259,9 @@ def run_day(
     written, errors = ingest(spark, sources, run)
     audit_bronze(spark, sources, written, errors, run, incremental)
     step = advance_silver if incremental else refresh_silver
-    silver = {t: step(spark, spec, run) for t, spec in run.tables.items()}
+    with ThreadPoolExecutor(run.parallel) as pool:
+        jobs = {t: pool.submit(step, spark, spec, run) for t, spec in run.tables.items()}
+    silver = {t: job.result() for t, job in jobs.items()}
     audit_silver(spark, run, incremental)
     profile = user_risk_profile(
         silver["users"], silver["cards"], silver["transactions"], run.run_ts

@@ -79,6 +79,18 @@ def read_bronze(
     return reader.parquet(f"{base}/*/*/*" if day is None else f"{base}/{day:%Y/%m/%d}")
 
 
+def stream_bronze(
+    spark: SparkSession, root: str, table: str, columns: Sequence[str], **options: str
+) -> DataFrame:
+    """New files of a table as a stream; ``options`` may limit what a micro-batch takes in."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return (
+        spark.readStream.schema(schema)
+        .options(basePath=root, **options)
+        .parquet(f"{root.rstrip('/')}/partner=*/table={table}")
+    )
+
+
 def read_day(
     spark: SparkSession, root: str, table: str, day: date, plain: bool = False
 ) -> DataFrame | None:

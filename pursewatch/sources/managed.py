@@ -64,6 +64,25 @@ def path_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         raise
 
 
+def stored_rows(
+    spark: SparkSession, path: str, partition: T.StructField | None = None
+) -> DataFrame | None:
+    """Rows under a path with the columns of all its files; None where nothing is there yet.
+
+    ``partition`` fixes the type of the folder column, which Spark would guess otherwise.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if partition is None:
+        return found
+    fields = [f for f in found.schema if f.name != partition.name]
+    return spark.read.schema(T.StructType([*fields, partition])).parquet(path)
+
+
 def publish(
     df: DataFrame,
     base: str,
@@ -115,8 +134,9 @@ def upsert_partitions(
     unless the value is known never to change; where it does change, use ``publish``.
     The list of folder values is no longer than what the driver lists anyway to plan a read.
     """
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in updates.schema])
-    target = path_or_none(spark, path, schema)
+    target = stored_rows(
+        spark, path, T.StructField(partition, updates.schema[partition].dataType)
+    )
     if target is None:
         write_balanced(updates, path, [partition], "append")
         return
@@ -161,6 +181,7 @@ __all__ = [
     "path_or_none",
     "publish",
     "read_table",
+    "stored_rows",
     "union_evolved",
     "upsert_partitions",
     "write_balanced",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pursewatch.functions.timing import day_of
+from pursewatch.functions.timing import as_utc_instant, day_of, from_utc_instant
 
 
 def stream_daily_parts(tx: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -43,11 +43,11 @@ def closed_days(tx: DataFrame, lateness: str) -> DataFrame:
     """Streaming aggregate that emits a merchant day once, after ``lateness`` has passed.
 
     For consumers that want each day once. Rows later than ``lateness`` are not in it, as
-    with any event-time watermark; the parts above do include them. The watermark and the
-    window need a zoned timestamp, which the session zone (UTC) gives without a shift.
+    with any event-time watermark; the parts above do include them. Event time must carry a
+    zone, so it passes through UTC and days begin at midnight in any session zone.
     """
     return (
-        tx.withColumn("event_time", F.col("transaction_time").cast("timestamp"))
+        tx.withColumn("event_time", as_utc_instant(F.col("transaction_time")))
         .withWatermark("event_time", lateness)
         .groupBy("merchant_id", F.window("event_time", "1 day").alias("day"))
         .agg(
@@ -56,7 +56,7 @@ def closed_days(tx: DataFrame, lateness: str) -> DataFrame:
         )
         .select(
             "merchant_id",
-            F.col("day.start").cast("timestamp_ntz").alias("date"),
+            from_utc_instant(F.col("day.start")).alias("date"),
             "total_volume",
             "avg_risk_score",
         )

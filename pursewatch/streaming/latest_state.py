@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pursewatch.operators.dedup import latest_per_key
+from pursewatch.plans.silver import VERSION, typed_rows
+from pursewatch.sources.bronze import stream_bronze
 from pursewatch.sources.managed import upsert_partitions
+from pursewatch.sources.tables import TableSpec
 
 
 def stream_latest_state(
@@ -46,3 +50,26 @@ def stream_latest_state(
 
     writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def stream_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    run_ts: datetime | str,
+    **options: str,
+) -> StreamingQuery:
+    """Bronze files that are new since the last run, typed and merged into day folders.
+
+    Rows without a key are left out here; the audit of the layers counts them. The version
+    column stays in the table, as later runs compare against it.
+    """
+    bronze = stream_bronze(spark, bronze_root, spec.table, spec.bronze_columns(), **options)
+    rows = typed_rows(bronze, spec, run_ts).dropna(subset=list(spec.keys))
+    rows = rows.withColumn("event_date", F.to_date(spec.event_time))
+    ties = [c for c in rows.columns if c not in (*spec.keys, VERSION, "event_date", "ingest_ts")]
+    return stream_latest_state(
+        rows, path, checkpoint, spec.keys, [VERSION], ties, "event_date"
+    )

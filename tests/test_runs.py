@@ -11,7 +11,10 @@ from pursewatch.operators.dedup import latest_per_key
 from pursewatch.plans.daily_run import Run, ingest, run_day
 from pursewatch.plans.gold import merchant_daily_summary
 from pursewatch.streaming.daily_summary import closed_days, read_daily_summary, stream_daily_parts
-from pursewatch.streaming.latest_state import stream_latest_state
+from pursewatch.sources.bronze import read_bronze, write_increment
+from pursewatch.sources.tables import load_tables
+from pursewatch.plans.silver import build_silver
+from pursewatch.streaming.latest_state import stream_latest_state, stream_silver
 
 T0 = datetime(2024, 1, 30, 8, 0, 0)
 SOURCE_TX = (
@@ -133,7 +136,16 @@ def test_streamed_days_equal_batch_days(spark, root):
     assert [(a, b, float(c), d) for a, b, c, d in rows(got)] == [(a, b, float(c), d) for a, b, c, d in rows(merchant_daily_summary(df))]
 
 
-def test_closed_days_are_emitted_once(spark, root):
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kuala_Lumpur"])
+def test_closed_days_are_emitted_once(spark, root, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _closed_days(spark, root)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _closed_days(spark, root):
     df = spark.createDataFrame(feed_rows(), TX_FEED)
     df.coalesce(1).write.parquet(f"{root}/feed")
     feed = spark.readStream.schema(TX_FEED).parquet(f"{root}/feed")
@@ -144,3 +156,26 @@ def test_closed_days_are_emitted_once(spark, root):
     whole = rows(merchant_daily_summary(df).select("merchant_id", "date"))
     last = max(d for _, d in whole)
     assert out == [r for r in whole if r[1] < last - timedelta(days=1)]
+
+
+def test_streamed_silver_equals_rebuilt_silver(spark, root):
+    spec = load_tables()["transactions"]
+    feed = [FIRST, [change("t2", 1, 10, "SUCCESS", 9), change(None, 1, 10, "SUCCESS", 1)], SECOND]
+    for i, changes in enumerate(feed):
+        df = spark.createDataFrame(changes, SOURCE_TX)
+        write_increment(df, f"{root}/bronze", "ab"[i % 2], "transactions", T0 + timedelta(days=i), "updated_at")
+        stream_silver(spark, f"{root}/bronze", spec, f"{root}/silver", f"{root}/cp", T0).awaitTermination()
+    columns = ["transaction_id", "status", "updated_at", "amount_myr", "partner"]
+    got = rows(spark.read.parquet(f"{root}/silver").select(*columns))
+    bronze = read_bronze(spark, f"{root}/bronze", "transactions", spec.bronze_columns())
+    assert got == rows(build_silver(bronze.where("transaction_id IS NOT NULL"), spec, T0).select(*columns))
+    assert [r[:2] for r in got] == [("t1", "SUCCESS"), ("t2", "SUCCESS")]
+
+
+def test_missing_bronze_is_reported_not_counted_as_zero(spark, root):
+    partial = {"a": {k: v for k, v in partner(spark, FIRST).items() if k != "cards"}}
+    with pytest.raises(CircuitOpen, match="cards: unreadable"):
+        run_day(spark, partial, Run(root, T0, silver="q_", gold="q_"))
+    ledger = {r.table_name: r for r in spark.read.parquet(f"{root}/ledger").collect()}
+    assert ledger["cards"].target_count is None and "PATH_NOT_FOUND" in ledger["cards"].error
+    assert ledger["users"].target_count == 1

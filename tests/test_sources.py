@@ -173,6 +173,16 @@ def test_upsert_rewrites_only_touched_folders(spark, root):
     assert sorted(p.name for p in Path(path, "day=2024-01-01").glob("*.parquet")) == untouched
 
 
+def test_upsert_keeps_columns_that_the_batch_lacks(spark, root):
+    path = f"{root}/t"
+    old = spark.sql("SELECT 1L AS k, 'x' AS extra, '01' AS part UNION ALL SELECT 2L, 'y', '02'")
+    managed.upsert_partitions(spark, path, old, ["k"], "part")
+    managed.upsert_partitions(spark, path, spark.sql("SELECT 3L AS k, 9 AS added, '01' AS part"), ["k"], "part")
+    stored = managed.stored_rows(spark, path, T.StructField("part", T.StringType()))
+    assert rows(stored.select("k", "extra", "added", "part")) == [
+        (1, "x", None, "01"), (2, "y", None, "02"), (3, None, 9, "01")]
+
+
 def test_upsert_refuses_a_moved_key(spark, root):
     one = spark.createDataFrame([(1, ts("2024-01-01"), date(2024, 1, 1), "a")], DAY)
     managed.upsert_partitions(spark, f"{root}/t", one, ["k"], "day")
