@@ -794,7 +794,7 @@ def published_by_event_day(spark, sf):
     root = scratch_path(spark, "published")
     tx = V.tx(spark, sf).select("transaction_id", "source_partner", "amount", "transaction_time")
     tx = tx.withColumn("event_date", F.to_date("transaction_time"))
-    name = "published_tx"
+    name = "tx_" + root.rsplit("-", 1)[-1]
     first = tx.where(F.col("source_partner") == "partner_a")
     stored = managed.publish(first, root, name, ["event_date"], temporary=True)
     rest = tx.where(F.col("source_partner") != "partner_a")
@@ -828,11 +828,17 @@ def _sources(spark: SparkSession, sf: str, before: str | None = None) -> dict:
     return {p: {t: split[t][p.lower()] for t in tables} for p in ("PARTNER_A", "PARTNER_B")}
 
 
+def _view_names(root: str) -> dict[str, str]:
+    """Temporary views of this call alone, as a session may run a query more than once."""
+    call = root.rsplit("-", 1)[-1]
+    return {"silver": f"silver_{call}_", "gold": f"gold_{call}_"}
+
+
 @check(ORACLES["user_risk_profile"])
 def layers_full_refresh(spark, sf):
     """Two runs over all layers with full silver refreshes; the profile after the second."""
     root = scratch_path(spark, "layers")
-    names = {"silver": "full_silver_", "gold": "full_gold_"}
+    names = _view_names(root)
     run_day(spark, _sources(spark, sf, MID), Run(root, RUN_TS - timedelta(hours=2), **names))
     return run_day(spark, _sources(spark, sf), Run(root, RUN_TS, **names))
 
@@ -841,7 +847,7 @@ def layers_full_refresh(spark, sf):
 def layers_incremental(spark, sf):
     """The same two runs, with the second merging only what is new into silver."""
     root = scratch_path(spark, "layers")
-    names = {"silver": "inc_silver_", "gold": "inc_gold_"}
+    names = _view_names(root)
     first = Run(root, RUN_TS - timedelta(hours=2), **names)
     run_day(spark, _sources(spark, sf, MID), first, incremental=True)
     return run_day(spark, _sources(spark, sf), Run(root, RUN_TS, **names), incremental=True)

@@ -29,6 +29,7 @@ from pursewatch.sources.bronze import Written, read_bronze, write_increment
 from pursewatch.sources.managed import (
     append_rows,
     conform,
+    name_view,
     path_or_none,
     publish,
     stored_rows,
@@ -217,9 +218,12 @@ def advance_silver(spark: SparkSession, spec: TableSpec, run: Run) -> DataFrame:
         merged = updates if stored is None else upsert(stored, updates, spec.keys, newer_by)
         return publish(merged, run.path("silver", spec.table), name, temporary=run.temporary)
     upsert_partitions(spark, live, updates, spec.keys, folders[0], newer_by)
-    kind = "TEMPORARY VIEW" if run.temporary else "VIEW"
-    spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT * FROM parquet.`{live}`")
-    return spark.table(name)
+    merged = stored_rows(spark, live, T.StructField(folders[0], T.DateType()))
+    if run.temporary:
+        name_view(merged, name)
+    else:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{live}`")
+    return merged
 
 
 def audit_silver(spark: SparkSession, run: Run, incremental: bool = False) -> None:

@@ -164,12 +164,17 @@ def test_streamed_silver_equals_rebuilt_silver(spark, root):
     for i, changes in enumerate(feed):
         df = spark.createDataFrame(changes, SOURCE_TX)
         write_increment(df, f"{root}/bronze", "ab"[i % 2], "transactions", T0 + timedelta(days=i), "updated_at")
-        stream_silver(spark, f"{root}/bronze", spec, f"{root}/silver", f"{root}/cp", T0).awaitTermination()
+        target = (f"{root}/bronze", spec, f"{root}/silver", f"{root}/cp", T0, f"{root}/rejects")
+        stream_silver(spark, *target).awaitTermination()
     columns = ["transaction_id", "status", "updated_at", "amount_myr", "partner"]
     got = rows(spark.read.parquet(f"{root}/silver").select(*columns))
     bronze = read_bronze(spark, f"{root}/bronze", "transactions", spec.bronze_columns())
     assert got == rows(build_silver(bronze.where("transaction_id IS NOT NULL"), spec, T0).select(*columns))
     assert [r[:2] for r in got] == [("t1", "SUCCESS"), ("t2", "SUCCESS")]
+    assert [r.reject_reason for r in spark.read.parquet(f"{root}/rejects").collect()] == ["null key: transaction_id"]
+    strict = stream_silver(spark, f"{root}/bronze", spec, f"{root}/strict", f"{root}/cp2", T0)
+    with pytest.raises(Exception, match="null key in column transaction_id"):
+        strict.awaitTermination()
 
 
 def test_missing_bronze_is_reported_not_counted_as_zero(spark, root):
