@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from pursewatch.functions.timing import elapsed_seconds
+from pursewatch.functions.timing import elapsed_seconds, moment
 from pursewatch.model import BASELINE_DAYS, FRESHNESS_LIMIT_SECONDS, SPIKE_RATIO
 
 
@@ -123,29 +123,36 @@ def volume_anomalies(
     event_time: str = "transaction_time",
     partner: str = "partner",
     spike_ratio: float = SPIKE_RATIO,
+    partners: Sequence[str] = (),
 ) -> DataFrame:
     """Per partner and day of the period: rows, mean of the days before, and the anomaly.
 
     A day without rows is ``no_data``; one with at least ``spike_ratio`` times the mean of the
     up to seven days before is a ``spike``. Only partner-day counts leave the scan; the days
-    without rows are generated per partner from those.
+    without rows are generated per partner from those. ``partners`` names those to report even
+    if they sent nothing in the whole period.
     """
     first_day = last_day - timedelta(days=days - 1)
-    day = F.to_date(event_time)
-    in_period = (F.col(event_time) >= F.lit(datetime(*first_day.timetuple()[:3])).cast("timestamp_ntz")) & (
-        F.col(event_time) < F.lit(datetime(*(last_day + timedelta(days=1)).timetuple()[:3])).cast("timestamp_ntz")
+    start, end = (moment(f"{d} 00:00:00") for d in (first_day, last_day + timedelta(days=1)))
+    in_period = (F.col(event_time) >= start) & (F.col(event_time) < end)
+    seen = df.where(in_period).select(
+        F.col(partner), F.col(event_time).cast("date").alias("day"), F.lit(1).alias("n")
     )
-    counts = (
-        df.where(in_period).groupBy(F.col(partner), day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_partner = counts.groupBy(partner).agg(F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("by_day"))
+    if partners:
+        known = F.explode(F.array(*map(F.lit, partners))).alias(partner)
+        listed = df.sparkSession.range(0, 1, 1, 1).select(known)
+        seen = seen.unionByName(listed.select(partner, F.lit(first_day).alias("day"), F.lit(0).alias("n")))
+    counts = seen.groupBy(partner, "day").agg(F.sum("n").alias("n"))
+    # at most one entry per day of the period
+    by_day = F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("by_day")
     calendar = F.explode(F.sequence(F.lit(first_day), F.lit(last_day))).alias("day")
-    grid = by_partner.select(partner, "by_day", calendar).select(
+    grid = counts.groupBy(partner).agg(by_day).select(partner, "by_day", calendar)
+    filled = grid.select(
         partner, "day", F.coalesce(F.try_element_at("by_day", "day"), F.lit(0)).alias("row_count")
     )
     before = Window.partitionBy(partner).orderBy("day").rowsBetween(-BASELINE_DAYS, -1)
     spike = F.col("row_count") >= F.lit(spike_ratio) * F.col("baseline")
-    return grid.withColumn("baseline", F.avg("row_count").over(before)).withColumn(
+    return filled.withColumn("baseline", F.avg("row_count").over(before)).withColumn(
         "anomaly",
         F.when(F.col("row_count") == 0, F.lit("no_data"))
         .when((F.col("baseline") > 0) & spike, F.lit("spike"))

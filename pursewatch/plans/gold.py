@@ -15,7 +15,7 @@ from pursewatch.functions.predicates import (
     recent_success,
 )
 from pursewatch.functions.timing import day_of, elapsed_seconds, moment
-from pursewatch.model import UNIFIED_WALLET_SCHEMA
+from pursewatch.model import PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
 from pursewatch.operators.projection import require_keys
 from pursewatch.sources.managed import conform
 
@@ -94,8 +94,8 @@ def user_risk_profile(
 
 
 def keyed_profile(profile: DataFrame) -> DataFrame:
-    """The profile as it is stored: no row without a user."""
-    return require_keys(profile, ["user_id"])
+    """The profile as it is stored: its declared columns, and no row without a user."""
+    return require_keys(conform(profile, PROFILE_SCHEMA), ["user_id"])
 
 
 def merchant_daily_summary(tx: DataFrame) -> DataFrame:

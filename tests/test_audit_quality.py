@@ -1,4 +1,4 @@
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -115,6 +115,9 @@ def test_volume_gaps_and_spikes(spark):
     got = quality.volume_anomalies(df, date(2024, 1, 10), days=10)
     assert got.count() == 20
     found = {(r.partner, r.day.day): r.anomaly for r in got.where("anomaly <> 'none'").collect()}
+    listed = quality.volume_anomalies(df, date(2024, 1, 10), days=10, partners=["a", "silent"])
+    assert listed.count() == 30 and listed.where("partner = 'silent' AND anomaly = 'no_data'").count() == 10
+    assert rows(listed.where("partner <> 'silent'")) == rows(got)
     assert found == {("a", 9): "spike", ("a", 10): "no_data", **{("b", d): "no_data" for d in range(2, 11)}}
 
 
