@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import mixing, sharding
+from pursewatch.llm import mixing, near_dedup, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,24 @@ SELECT doc_id, slot, shard FROM (SELECT doc_id,
 )
 def op10_shard_placement(spark, sf):
     return sharding.place(table(spark, sf, "documents").select("doc_id"), SHARDS)
+
+
+@query(
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+p AS (SELECT doc_id, unnest(s) AS sh FROM s),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM p a JOIN p b ON a.sh = b.sh AND a.doc_id != b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE n.doc_id = a.doc_id)
+    + (SELECT n FROM n WHERE n.doc_id = b.doc_id) - count(*))),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.doc_id),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY 1)
+SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept FROM n JOIN m USING (doc_id)"""
+)
+def op8_near_dedup(spark, sf):
+    return near_dedup.near_dedup(table(spark, sf, "documents"), size=4)
