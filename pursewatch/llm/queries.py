@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import mixing, near_dedup, sharding
+from pursewatch.llm import mixing, near_dedup, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,19 @@ SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept FROM n JOI
 )
 def op8_near_dedup(spark, sf):
     return near_dedup.near_dedup(table(spark, sf, "documents"), size=4)
+
+
+@query(
+    r"""WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w WHERE len(w) >= 13),
+s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS h FROM g),
+f AS (SELECT h, min(doc_id) AS first FROM s GROUP BY 1),
+d AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (
+    SELECT doc_id, unnest(range(i, i + 13)) AS p FROM s JOIN f USING (h) WHERE first < doc_id) GROUP BY 1),
+k AS (SELECT doc_id, len(w) AS n, coalesce(len(gone), 0) AS r, CASE WHEN gone IS NULL THEN w
+    ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])),
+      lambda x: x[1]) END AS kept FROM w LEFT JOIN d USING (doc_id))
+SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k"""
+)
+def op6_substring_dedup(spark, sf):
+    return substring_dedup.substring_dedup(table(spark, sf, "documents"))
