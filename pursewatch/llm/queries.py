@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import mixing, near_dedup, sharding, substring_dedup
+from pursewatch.llm import decontamination, mixing, near_dedup, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,15 @@ SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(kept, ' '))
 )
 def op6_substring_dedup(spark, sf):
     return substring_dedup.substring_dedup(table(spark, sf, "documents"))
+
+
+@query()
+def op5_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontamination.find_leaks(docs, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.array_distinct("leaks.item_id").alias("item_ids"),
+        F.coalesce(F.array_max("leaks.similarity"), F.lit(0.0)).alias("similarity"),
+        (F.size("leaks") > 0).alias("contaminated"),
+    )
