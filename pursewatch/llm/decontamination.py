@@ -225,10 +225,9 @@ def find_leaks(
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_blocks = max(1, -(-total // item_bytes))
     rows = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAKS))
-    schema = rows.schema
-    schema["leaks"].dataType.containsNull = True
-    for field in schema:
-        field.nullable = True
+    schema = T.StructType(
+        [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "leaks"]
+    ).add("leaks", LEAKS)
     for k in range(n_blocks):
         own = F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == k
         found = sorted((r.item_id is None, r.item_id or 0, r.text) for r in items.where(own).collect())
@@ -236,7 +235,7 @@ def find_leaks(
             continue
         index = ItemIndex([None if no else i for no, i, _ in found], [t for *_, t in found], shingle, radius)
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        rows = rows.mapInArrow(_searcher(sent, text_col, least), T.StructType(list(schema)))
+        rows = rows.mapInArrow(_searcher(sent, text_col, least), schema)
     return rows
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import decontamination, mixing, near_dedup, sharding, substring_dedup
+from pursewatch.llm import decontamination, line_quality, mixing, near_dedup, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,3 +146,20 @@ def op5_decontamination(spark, sf):
         F.coalesce(F.array_max("leaks.similarity"), F.lit(0.0)).alias("similarity"),
         (F.size("leaks") > 0).alias("contaminated"),
     )
+
+
+def remainder(modulus: int) -> Column:
+    """What the CRC-32 of a document's id as text leaves; ids of equal remainder make a fold."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query()
+def op7_line_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = line_quality.fit_on(docs, table(spark, sf, "labels"), remainder(3) != 1)
+    return line_quality.score_quality(docs, model).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
