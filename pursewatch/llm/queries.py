@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import decontamination, line_quality, mixing, near_dedup, sharding, substring_dedup
+from pursewatch.llm import decontamination, language, line_quality, mixing, near_dedup, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,3 +163,16 @@ def op7_line_quality(spark, sf):
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op3_language(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    identifier = language.fit_on(docs, remainder(4) != 2)
+    return language.identify(docs.select("doc_id", "text"), identifier).select(
+        "doc_id",
+        (remainder(4) == 2).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_accepted").alias("accepted"),
+    )
