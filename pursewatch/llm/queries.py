@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import decontamination, language, line_quality, mixing, near_dedup, sharding, substring_dedup
+from pursewatch.llm import decontamination, language, licenses, line_quality, mixing, near_dedup, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,3 +176,43 @@ def op3_language(spark, sf):
         F.col("lang_score").alias("score"),
         F.col("lang_accepted").alias("accepted"),
     )
+
+
+def _templates_sql() -> str:
+    rows = [(k, n, t.replace("'", "''")) for k, (n, t) in enumerate(licenses.TEMPLATES)]
+    return ", ".join(f"({k}, '{n}', '{t}')" for k, n, t in rows)
+
+
+@query(
+    rf"""WITH tpl(k, license, body) AS (VALUES {_templates_sql()}),
+u AS (SELECT doc_id, 'text' AS unit, 0 AS nth, text AS body FROM documents
+  UNION ALL SELECT doc_id, 'paragraph', i, p[i] FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS p FROM documents) WHERE len(p) > 1)
+  UNION ALL SELECT doc_id, 'line', i, p[i] FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents) WHERE len(p) > 1)),
+sides AS (SELECT 0 AS side, CAST(k AS VARCHAR) AS id, body FROM tpl
+  UNION ALL SELECT 1, doc_id || ' ' || unit || ' ' || nth, body FROM u),
+w AS (SELECT side, id, list_filter(list_transform(regexp_extract_all(lower(body), '[^\x20\x09-\x0D]+'),
+    lambda x: regexp_replace(x, '[^\pL\pN]', '', 'g')), lambda x: x != '') AS w FROM sides),
+b AS (SELECT side, id, CASE WHEN len(w) = 1 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS b
+  FROM w WHERE len(w) > 0),
+t AS (SELECT CAST(id AS INT) AS k, len(b) AS n, unnest(b) AS g FROM b WHERE side = 0),
+d AS (SELECT id, len(b) AS n, unnest(b) AS g FROM b WHERE side = 1),
+m AS (SELECT d.id, t.k, 2.0::DOUBLE * count(*) / (any_value(d.n) + any_value(t.n)) AS dice, any_value(t.n) AS n
+  FROM d JOIN t USING (g) GROUP BY 1, 2),
+c AS (SELECT id, license, dice FROM m JOIN tpl USING (k) WHERE dice >= {licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY dice DESC, n, k) = 1),
+r AS (SELECT CAST(split_part(id, ' ', 1) AS BIGINT) AS doc_id, license, dice FROM c)
+SELECT doc_id, count(license) AS n_matches, coalesce(max(dice), 0.0) AS dice,
+  coalesce(array_to_string(list_sort(list_distinct(list(license) FILTER (license IS NOT NULL))), ','), '') AS licenses
+FROM documents LEFT JOIN r USING (doc_id) GROUP BY 1"""
+)
+def op1_license_scan(spark, sf):
+    found = licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_matches"),
+        F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("dice"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+    )
