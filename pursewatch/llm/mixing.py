@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pursewatch.llm.common import key60, n_words, stored
 
 #: Rows that one task sorts at a time; a source with more is dealt over several ranges of keys.
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_000
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:

@@ -24,8 +24,8 @@ SETS = "doc_id long, shingles array<long>"
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """Of each text the sorted set of its shingles; all its words make one where they are fewer."""
-    found, starts = words.split(texts, lower=True)
-    word = words.hashes(found)
+    found, starts = words.split(texts)
+    word = words.hashes(found, lower=True)
     run = words.runs(word, size)
     sets = []
     for a, b in zip(starts, starts[1:], strict=False):

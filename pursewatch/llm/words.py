@@ -24,15 +24,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def slices(batch: pa.RecordBatch | pa.Table, text: str, most: int = SLICE_BYTES) -> Iterator:
-    """The rows in runs of about ``most`` bytes of text; a longer text is a run of its own."""
+    """The rows in runs of about ``most`` bytes of text; a longer text is a run of its own.
+
+    Runs are copies that start at offset 0: some Arrow functions, lower-casing among them, misread
+    the strings of a slice.
+    """
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     run = np.cumsum(size.astype(np.int64)) // most
     starts = np.flatnonzero(np.diff(run, prepend=-1))
     for a, b in zip(starts, [*starts[1:], len(size)], strict=True):
-        yield batch.slice(a, b - a)
+        yield batch.take(pa.array(np.arange(a, b)))
 
 
-def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words, one after another, and where each text's words start (one more at the end).
 
     Words are what ASCII white space separates; a null text has none.
@@ -40,8 +44,6 @@ def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
     at = lists.offsets.to_numpy().astype(np.int64)
     words = lists.values[at[0] : at[-1]] if len(lists) else lists.values
@@ -50,12 +52,11 @@ def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(full)), kept[at - at[0]]
 
 
-def hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
+def hashes(words: pa.Array, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word, or of the word with A-Z in lower case."""
     coded = words.dictionary_encode()
-    known = np.fromiter(
-        (xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary)
-    )
+    each = pc.ascii_lower(coded.dictionary) if lower else coded.dictionary
+    known = np.fromiter((xxhash.xxh64_intdigest(w) for w in each.to_pylist()), np.uint64, len(each))
     return known[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
 
 
