@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from pursewatch.llm.common import stored
 
@@ -11,6 +11,13 @@ def _smallest(pairs: DataFrame, node: str, other: str) -> DataFrame:
     return pairs.groupBy(node).agg(F.min(other).alias("low"))
 
 
+def _kept(edges: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    """The edges stored, with a mark of them that the write itself takes."""
+    mark = Observation()
+    seen = edges.observe(mark, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("bits"))
+    return stored(seen, name), mark.get
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every node of the edges ``a``, ``b``.
 
@@ -20,21 +27,18 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder. Loops and repeated edges change nothing.
     """
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    now = stored(edges.where("a != b").select(a, b).distinct(), "edges")
+    now, mark = _kept(edges.where("a != b").select(a, b).distinct(), "edges")
     seen = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if mark == seen:
-            break
+    while mark != seen:
         seen = mark
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = _smallest(both, "a", "b").select("a", F.least("a", "low").alias("low"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = stored(large.where("a != b").distinct(), "large-star")
+        large = large.where("a != b").distinct()
         low = _smallest(large, "a", "b")
         small = large.join(low, "a").where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.unionByName(low.select("a", F.col("low").alias("b")))
-        now = stored(small.distinct(), "small-star")
+        now, mark = _kept(small.distinct(), "stars")
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
