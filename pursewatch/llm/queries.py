@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import decontamination, language, licenses, line_quality, mixing, near_dedup, sharding, substring_dedup
+from pursewatch.llm import decontamination, language, licenses, line_quality, mixing, near_dedup
+from pursewatch.llm import sharding, substring_dedup, tool_calls
+from pursewatch.llm.common import n_words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -216,3 +218,51 @@ def op1_license_scan(spark, sf):
         F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("dice"),
         F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
     )
+
+
+#: What the tools of the derived calls accept.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "required": ["query", "limit"],
+        "properties": {"query": {"type": "string", "minLength": 3}, "limit": {"type": "integer", "minimum": 1, "maximum": 40}},
+        "additionalProperties": False,
+    },
+    "count": {"type": "object", "required": ["words"], "properties": {"words": {"type": "integer"}}},
+}
+
+
+def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results as the conversations imply them: a reply asks for a tool, the next turn answers.
+
+    The call of a reply has the reply's text in its arguments and follows the call of the reply
+    before, two turns earlier. Replies whose words are a multiple of 7 name a tool nobody knows,
+    those of a multiple of 11 write arguments that are no JSON.
+    """
+    n = n_words(F.col("text"))
+    call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
+    first = F.regexp_extract(F.coalesce("text", F.lit("")), r"^(\S*)", 1)
+    arguments = F.when(F.col("turn") % 3 == 0, F.to_json(F.struct(n.alias("words")))).otherwise(
+        F.to_json(F.struct(n.alias("limit"), first.alias("query")))
+    )
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id",
+        call_id.alias("call_id"),
+        "turn",
+        F.when(n % 7 == 0, "recall").when(F.col("turn") % 3 == 0, "count").otherwise("search").alias("name"),
+        F.when(n % 11 == 0, F.concat(arguments, F.lit("}"))).otherwise(arguments).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string"))).alias("after"),
+    )
+    results = turns.where("role = 'user' and turn > 0").select(
+        "conv_id",
+        F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return calls, results
+
+
+@query()
+def op4_tool_calls(spark, sf):
+    calls, results = derived_calls(table(spark, sf, "conversations"))
+    return tool_calls.link_calls(calls, results, TOOLS)
