@@ -24,7 +24,15 @@ ITEM_BYTES = 4 << 20
 #: Words of a document whose bit sums are held at a time.
 SEGMENT = 1 << 16
 
-LEAKS = "array<struct<item_id: bigint, similarity: double, start: bigint>>"
+LEAKS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("item_id", T.LongType()),
+            T.StructField("similarity", T.DoubleType()),
+            T.StructField("start", T.LongType()),
+        ]
+    )
+)
 
 _NOT_IN_WORDS = re.compile(r"[\W_]+")
 
