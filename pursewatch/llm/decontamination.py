@@ -211,8 +211,9 @@ def find_leaks(
     least: float = 0.8,
     radius: int = RADIUS,
     item_bytes: int = ITEM_BYTES,
+    out: str = "leaks",
 ) -> DataFrame:
-    """The rows with a column ``leaks``: the benchmark items each text holds.
+    """The rows with a column ``out``: the benchmark items each text holds.
 
     An item is held if a window as long as the item has weighted similarity ``least`` or more to
     it: Jaccard over shingles of ``shingle`` words, weighted by their letters. Words are lower
@@ -224,7 +225,7 @@ def find_leaks(
     The benchmark is a stated set of queries. It is indexed in blocks of about ``item_bytes`` of
     text; each block is one pass over the rows, without a shuffle, and only one block's index is
     sent to the tasks at a time. Items without words match nothing, repeated items are found
-    each, null texts hold nothing, null item ids are carried as null. A column named leaks is
+    each, null texts hold nothing, null item ids are carried as null. A column named as ``out`` is
     replaced; other columns are kept as they are.
     """
     items = benchmark.select(
@@ -232,10 +233,10 @@ def find_leaks(
     ).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_blocks = max(1, -(-total // item_bytes))
-    rows = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAKS))
+    rows = docs.drop(out).withColumn(out, F.array().cast(LEAKS))
     schema = T.StructType(
-        [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "leaks"]
-    ).add("leaks", LEAKS)
+        [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != out]
+    ).add(out, LEAKS)
     for k in range(n_blocks):
         own = F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == k
         found = sorted((r.item_id is None, r.item_id or 0, r.text) for r in items.where(own).collect())
@@ -243,20 +244,20 @@ def find_leaks(
             continue
         index = ItemIndex([None if no else i for no, i, _ in found], [t for *_, t in found], shingle, radius)
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        rows = rows.mapInArrow(_searcher(sent, text_col, least), schema)
+        rows = rows.mapInArrow(_searcher(sent, text_col, least, out), schema)
     return rows
 
 
-def _searcher(sent, text_col: str, least: float):
+def _searcher(sent, text_col: str, least: float, out: str):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.schema.get_field_index("leaks")
+            place = batch.schema.get_field_index(out)
             for part in words.slices(batch, text_col):
                 found = sent.value.leaks(part.column(text_col), least)
-                old = part.column("leaks").to_pylist()
+                old = part.column(out).to_pylist()
                 both = pa.array(
-                    [o + n for o, n in zip(old, found, strict=True)], batch.schema.field("leaks").type
+                    [o + n for o, n in zip(old, found, strict=True)], batch.schema.field(out).type
                 )
-                yield part.set_column(place, batch.schema.field("leaks"), both)
+                yield part.set_column(place, batch.schema.field(out), both)
 
     return search

@@ -298,16 +298,18 @@ def fit_on(docs: DataFrame, labels: DataFrame, learnt: Column, most: int = SAMPL
     return fit(table, sizes.values.to_numpy(), at, found.column("label").to_pylist())
 
 
-def score_quality(docs: DataFrame, model: LineModel, text_col: str = "text") -> DataFrame:
-    """The rows with a column ``quality_score``, 0 to 1, over their whole texts.
+def score_quality(
+    docs: DataFrame, model: LineModel, text_col: str = "text", out: str = "quality_score"
+) -> DataFrame:
+    """The rows with a column ``out``, 0 to 1, over their whole texts.
 
     Every line is good or bad with the marginal probability that forward and backward passes over
     the document's lines give it; these are averaged by the lines' lengths and calibrated. Nothing
     is shuffled. A null or empty text is one empty line. A column of that name is replaced.
     """
-    rows = docs.drop("quality_score")
+    rows = docs.drop(out)
     schema = T.StructType(
-        [*(T.StructField(f.name, f.dataType) for f in rows.schema), T.StructField("quality_score", T.DoubleType())]
+        [*(T.StructField(f.name, f.dataType) for f in rows.schema), T.StructField(out, T.DoubleType())]
     )
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -315,6 +317,6 @@ def score_quality(docs: DataFrame, model: LineModel, text_col: str = "text") ->
         for batch in batches:
             for part in words.slices(batch, text_col):
                 found = pa.array(sent.value.score(part.column(text_col)))
-                yield part.append_column("quality_score", found)
+                yield part.append_column(out, found)
 
     return rows.mapInArrow(run, schema)
