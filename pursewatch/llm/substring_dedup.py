@@ -74,14 +74,14 @@ def _entries(block: int, anchor: np.ndarray, content: np.ndarray, doc: np.ndarra
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(a)) - 1
+    end = np.append(begin[1:], len(a))[: len(begin)] - 1
     return pa.table(
         {
             "block": pa.array(np.full(len(begin), block, np.int64)),
             "anchor": a[begin].view(np.int64),
             "content": c[begin].view(np.int64),
             "first": d[begin],
-            "last": d[end] if len(end) else d,
+            "last": d[end],
         }
     )
 
