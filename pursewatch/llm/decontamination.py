@@ -19,6 +19,8 @@ from pursewatch.llm import words
 #: finds every fingerprint within the radius.
 RADIUS = 7
 BLOCKS = 4
+#: Item-sized windows that start so many words before or behind a candidate are compared too.
+SHIFT = 2
 #: Bytes of benchmark text that are indexed and sent to the tasks at a time.
 ITEM_BYTES = 4 << 20
 #: Words of a document whose bit sums are held at a time.
@@ -180,15 +182,17 @@ class ItemIndex:
                 window, entry = self._candidates(c, _fingerprints(sums, at - a, c.size))
                 for p, e in zip(at[window].tolist(), entry.tolist(), strict=True):
                     d, k = int(doc[p]), int(c.item[e])
-                    begin = max(p - int(c.offset[e]), int(starts[d]))
-                    if (begin, k) in seen:
-                        continue
-                    seen.add((begin, k))
-                    end = min(begin + int(self.sizes[k]), int(starts[d + 1]))
-                    held = _shingles(word[begin:end], length[begin:end], self.shingle)
-                    s = similarity(self.shingles[k], held)
-                    if s >= least and (-s, begin) < best[d].get(k, (1.0, 0)):
-                        best[d][k] = (-s, begin)
+                    place = p - int(c.offset[e])
+                    for begin in range(place - SHIFT, place + SHIFT + 1):
+                        begin = min(max(begin, int(starts[d])), int(starts[d + 1]) - 1)
+                        if (begin, k) in seen:
+                            continue
+                        seen.add((begin, k))
+                        end = min(begin + int(self.sizes[k]), int(starts[d + 1]))
+                        held = _shingles(word[begin:end], length[begin:end], self.shingle)
+                        s = similarity(self.shingles[k], held)
+                        if s >= least and (-s, begin) < best[d].get(k, (1.0, 0)):
+                            best[d][k] = (-s, begin)
         return [
             sorted(
                 (
@@ -218,8 +222,8 @@ def find_leaks(
     An item is held if a window as long as the item has weighted similarity ``least`` or more to
     it: Jaccard over shingles of ``shingle`` words, weighted by their letters. Words are lower
     case, letters and digits only. Windows are found by SimHash: all windows on the grid within
-    ``radius`` bits of an item's window are candidates (multi-index), and each candidate's whole
-    item-sized window is compared. A verbatim copy always has a window at distance 0; a copy with
+    ``radius`` bits of an item's window are candidates (multi-index); each candidate's whole
+    item-sized window is compared, and those a word or two beside it, and the best is told. A verbatim copy always has a window at distance 0; a copy with
     changes is found if one of its windows has few of them.
 
     The benchmark is a stated set of queries. It is indexed in blocks of about ``item_bytes`` of
