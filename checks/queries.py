@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -67,41 +69,67 @@ def parts(df: DataFrame) -> dict[str, DataFrame]:
 
 # ---- gold -----------------------------------------------------------------
 
-PROFILE_SQL = f"""tx_agg AS (
-  SELECT user_id,
-    CAST(SUM(CASE WHEN status = 'SUCCESS' AND transaction_time >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAYS
-      THEN amount ELSE 0 END) AS DOUBLE) AS total_spend_7d,
-    CAST(SUM(CASE WHEN status = 'SUCCESS' AND transaction_time >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAYS
-      THEN amount END) AS DOUBLE)
-      / COUNT(CASE WHEN status = 'SUCCESS' AND transaction_time >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAYS
-      THEN 1 END) AS avg_spend_7d,
-    COUNT(CASE WHEN status = 'FAILED' AND transaction_time >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAYS
-      THEN 1 END) AS failed_tx_7d,
-    MAX(risk_score) AS max_risk_score
-  FROM tx WHERE user_id IS NOT NULL GROUP BY user_id),
-hit AS (SELECT DISTINCT t.user_id FROM tx t JOIN cards c ON t.card_id = c.card_id
-  WHERE c.card_on_dark_web = true)"""
-
-
-@check(
-    V.with_views(V.TX, V.USERS, V.CARDS, PROFILE_SQL)
-    + f"""SELECT u.user_id, COALESCE(t.total_spend_7d, 0.0) AS total_spend_7d,
-  t.avg_spend_7d AS avg_spend_7d,
-  CASE WHEN h.user_id IS NOT NULL THEN true WHEN t.failed_tx_7d > 3 THEN true
-    WHEN t.max_risk_score > 0.8 THEN true ELSE false END AS high_risk,
+# fixed values: the output names and the thresholds 7 days, 3 failures, risk 0.8
+WEEK = f"TIMESTAMP '{AS_OF}' - INTERVAL 7 DAYS"
+
+
+def velocity_sql(key: str = "user_id") -> str:
+    return f"""velocity AS (
+  SELECT {key}, CAST(sum(amount) FILTER (status = 'SUCCESS' AND recent) AS DOUBLE) AS spend,
+    count(amount) FILTER (status = 'SUCCESS' AND recent) AS paid,
+    count(*) FILTER (status = 'FAILED' AND recent) AS failed_tx_7d, max(risk_score) AS max_risk_score
+  FROM (SELECT *, transaction_time >= {WEEK} AS recent FROM tx) WHERE user_id IS NOT NULL GROUP BY {key})"""
+
+
+def profile_sql(columns: str, same_user: str, same_card: str) -> str:
+    """Each rule by itself: failures, risk, or a compromised card anywhere in the history."""
+    return f"""SELECT {columns}, coalesce(spend, 0.0) AS total_spend_7d,
+  CASE WHEN paid > 0 THEN spend / paid END AS avg_spend_7d,
+  coalesce(failed_tx_7d > 3, false) OR coalesce(max_risk_score > 0.8, false)
+    OR EXISTS (SELECT 1 FROM tx JOIN cards c ON {same_card} WHERE c.card_on_dark_web AND {same_user}) AS high_risk,
   TIMESTAMP '{AS_OF}' AS profile_updated_at
-FROM users u LEFT JOIN tx_agg t ON u.user_id = t.user_id LEFT JOIN hit h ON u.user_id = h.user_id"""
+FROM users u LEFT JOIN velocity v ON {same_user.replace("tx.", "v.")}"""
+
+
+@check(
+    V.with_views(V.TX, V.USERS, V.CARDS, velocity_sql())
+    + profile_sql("u.user_id", "tx.user_id = u.user_id", "c.card_id = tx.card_id")
 )
 def user_risk_profile(spark, sf):
     return gold.user_risk_profile(V.users(spark, sf), V.silver_cards(spark, sf), V.tx(spark, sf), AS_OF)
 
 
-@check(V.with_views(V.TX, V.CARDS, PROFILE_SQL) + "SELECT user_id FROM hit")
+BY_PARTNER = "tx.user_id = u.user_id AND tx.source_partner = u.source_partner"
+
+
+@check(
+    V.with_views(V.TX, V.USERS, V.CARDS, velocity_sql("source_partner, user_id"))
+    + profile_sql(
+        "u.source_partner, u.user_id", BY_PARTNER,
+        "c.card_id = tx.card_id AND c.source_partner = tx.source_partner",
+    )
+)
+def user_risk_profile_by_partner(spark, sf):
+    """Keys of partner and id: equal ids of two partners are two users, two cards."""
+    cards = V.silver_cards(spark, sf)
+    within = ["source_partner"]
+    return gold.user_risk_profile(V.users(spark, sf), cards, V.tx(spark, sf), AS_OF, within)
+
+
+@check(
+    V.with_views(V.TX, V.CARDS)
+    + """SELECT DISTINCT user_id FROM tx WHERE user_id IS NOT NULL
+  AND card_id IN (SELECT card_id FROM cards WHERE card_on_dark_web)"""
+)
 def compromised_users(spark, sf):
     return gold.compromised_users(V.tx(spark, sf), V.silver_cards(spark, sf))
 
 
-@check(V.with_views(V.TX, V.CARDS, PROFILE_SQL) + "SELECT * FROM tx_agg")
+@check(
+    V.with_views(V.TX, velocity_sql())
+    + """SELECT user_id, coalesce(spend, 0.0) AS total_spend_7d,
+  CASE WHEN paid > 0 THEN spend / paid END AS avg_spend_7d, failed_tx_7d, max_risk_score FROM velocity"""
+)
 def spend_velocity_7d(spark, sf):
     return gold.spend_velocity(V.tx(spark, sf), AS_OF)
 
@@ -188,9 +216,14 @@ def latest_state_per_key(spark, sf):
     return plain(V.with_orders(latest, spark, sf))
 
 
-@check(V.with_views(V.TX_STATES) + "SELECT DISTINCT transaction_id FROM tx_states")
+@check(V.with_views(V.TX_STATES) + "SELECT DISTINCT transaction_id, true AS is_a_stored_row FROM tx_states")
 def dedup_any_row(spark, sf):
-    return dedup.any_per_key(V.tx_states(spark, sf).select("transaction_id"), ["transaction_id"])
+    """Which row is chosen is open; it must be one row per key, and whole as it is stored."""
+    states = V.tx_states(spark, sf)
+    chosen = dedup.any_per_key(states, ["transaction_id"]).alias("c")
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in states.columns]
+    whole = chosen.join(states.alias("s"), reduce(and_, same), "left_semi")
+    return whole.select("transaction_id", F.lit(True).alias("is_a_stored_row"))
 
 
 def _silver(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
@@ -243,7 +276,9 @@ def silver_projection_transactions(spark, sf):
   CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS as_money,
   CAST(CAST(ROUND(TRY_CAST(amount AS DECIMAL(18,2)) * 4.70, 2) AS DECIMAL(18,2)) AS DOUBLE) AS as_myr,
   TRY_CAST(CASE WHEN amount = 'abc' THEN amount ELSE CAST(status = 'SUCCESS' AS VARCHAR) END AS BOOLEAN) AS as_boolean,
-  TRY_CAST(updated_at AS TIMESTAMP) AS as_timestamp, TRY_CAST(amount AS TIMESTAMP) AS amount_as_timestamp
+  TRY_CAST(updated_at AS TIMESTAMP) AS as_timestamp, TRY_CAST(amount AS TIMESTAMP) AS amount_as_timestamp,
+  TRY_CAST(transaction_id || '.49999999999' AS BIGINT) AS just_below_half,
+  TRY_CAST('-' || transaction_id || '.50000000000000' AS INTEGER) AS just_half
 FROM tx_text"""
 )
 def try_cast_matrix(spark, sf):
@@ -260,6 +295,8 @@ def try_cast_matrix(spark, sf):
             casts.to_boolean(flag).alias("as_boolean"),
             casts.to_timestamp(F.col("updated_at")).alias("as_timestamp"),
             casts.to_timestamp(amount).alias("amount_as_timestamp"),
+            casts.to_bigint(F.concat("transaction_id", F.lit(".49999999999"))).alias("just_below_half"),
+            casts.to_int(F.concat(F.lit("-"), "transaction_id", F.lit(".50000000000000"))).alias("just_half"),
         )
     )
 
@@ -369,6 +406,22 @@ def incremental_extract(spark, sf):
     return new.select("transaction_id", "source_partner", "updated_at")
 
 
+@check(
+    V.with_views(V.TX)
+    + f"SELECT transaction_id, source_partner, transaction_time FROM tx WHERE transaction_time > TIMESTAMP '{MID}'"
+)
+def incremental_extract_pushed(spark, sf):
+    """All partners have marks, so the lowest bounds the scan of the stored column."""
+    tx = V.tx(spark, sf)
+    names = ["partner_a", "partner_b"]
+    marks = spark.sql(
+        "SELECT explode(array('partner_a', 'partner_b')) AS partner, 'transactions' AS table_name, "
+        f"timestamp_ntz'{MID}' AS watermark"
+    )
+    new = incremental.changed_since_marks(tx, "transaction_time", "transactions", marks, partners=names)
+    return new.select("transaction_id", "source_partner", "transaction_time")
+
+
 @check(
     V.with_views(V.TX, MARKS_SQL)
     + f"""SELECT partner, table_name, MAX(watermark) AS watermark FROM (
@@ -422,6 +475,19 @@ def insert_if_absent(spark, sf):
     return ups.insert_if_absent(stored, offered.unionByName(offered), ["user_id"])
 
 
+@check(V.with_views(V.USERS) + "SELECT user_id, current_age, source_partner FROM users")
+def duplicate_source_columns(spark, sf):
+    """A source that names columns twice, written to bronze: the first of each name counts."""
+    root = scratch_path(spark, "bronze")
+    users = V.users(spark, sf)
+    twice = users.select("user_id", "current_age", "source_partner", "user_id", (F.col("current_age") + 1).alias("current_age"))
+    bronze.write_increment(twice, root, "partner_a", "users", RUN_TS)
+    back = bronze.read_bronze(spark, root, "users", ["user_id", "current_age", "source_partner"])
+    asked = users.select("user_id", "source_partner")
+    found = back.select(F.col("user_id").cast("bigint"), F.col("current_age").cast("bigint"))
+    return found.join(asked, "user_id").select("user_id", "current_age", "source_partner")
+
+
 @check(
     V.with_views(V.USERS)
     + """SELECT user_id, current_age, CASE WHEN source_partner = 'partner_b' THEN credit_score END AS credit_score
@@ -503,24 +569,40 @@ SELECT pipeline_stage, table_name, 'null_key' AS rule, null_pk_count > 0 AS brea
   CAST(null_pk_count AS BIGINT) AS detail FROM audit
 UNION ALL SELECT pipeline_stage, table_name, 'row_parity', source_count <> target_count,
   target_count - source_count FROM audit
-UNION ALL SELECT pipeline_stage, table_name, 'unreadable', false, 0 FROM audit"""
+UNION ALL SELECT pipeline_stage, table_name, 'unreadable', false, 0 FROM audit
+UNION ALL SELECT pipeline_stage, table_name, 'partner_failed', table_name = 'users',
+  CASE WHEN table_name = 'users' THEN 1 ELSE 0 END FROM audit
+UNION ALL SELECT pipeline_stage, table_name, 'type_mismatch', table_name = 'transactions' AND n > 0,
+  CASE WHEN table_name = 'transactions' THEN n ELSE 0 END
+  FROM audit, (SELECT count(*) AS n FROM events WHERE event_id % 101 = 0)"""
 )
 def circuit_breaker_report(spark, sf):
-    return audit.breaches(_bronze_audit(spark, sf))
+    failures = quality.cast_failures(V.tx_text(spark, sf), {"amount": casts.to_money(F.col("amount"))})
+    wrong = failures.agg(F.sum("failed").alias("wrong")).withColumn("table_name", F.lit("transactions"))
+    asked = _bronze_audit(spark, sf).join(wrong, "table_name", "left")
+    return audit.breaches(
+        asked.withColumns(
+            {
+                "type_mismatches": F.coalesce("wrong", F.lit(0)),
+                "failed_partners": F.when(F.col("table_name") == "users", 1).otherwise(0),
+            }
+        )
+    )
 
 
 @check(
     V.with_views(V.TX_STATES, V.USERS)
-    + """SELECT 'transactions' AS table_name, (SELECT COUNT(*) FROM tx_states) AS source_count,
+    + """SELECT *, silver_count = gold_count AS gold_parity FROM (
+SELECT 'transactions' AS table_name, (SELECT COUNT(*) FROM tx_states) AS source_count,
   (SELECT COUNT(*) FROM tx_states) AS bronze_count,
   (SELECT COUNT(DISTINCT transaction_id) FROM tx_states) AS bronze_keys_count,
   (SELECT COUNT(DISTINCT transaction_id) FROM tx_states) AS silver_count,
-  true AS bronze_parity, true AS silver_parity
+  CAST(NULL AS BIGINT) AS gold_count, true AS bronze_parity, true AS silver_parity
 UNION ALL SELECT 'users', (SELECT COUNT(*) FROM users),
   (SELECT COUNT(*) FROM users WHERE yearly_income >= 0),
   (SELECT COUNT(*) FROM users WHERE yearly_income >= 0), (SELECT COUNT(*) FROM users),
-  (SELECT COUNT(*) = COUNT(CASE WHEN yearly_income >= 0 THEN 1 END) FROM users),
-  (SELECT COUNT(*) = COUNT(CASE WHEN yearly_income >= 0 THEN 1 END) FROM users)"""
+  (SELECT COUNT(*) FROM users), (SELECT COUNT(*) = COUNT(CASE WHEN yearly_income >= 0 THEN 1 END) FROM users),
+  (SELECT COUNT(*) = COUNT(CASE WHEN yearly_income >= 0 THEN 1 END) FROM users))"""
 )
 def reconcile_layers(spark, sf):
     states, users = V.tx_states(spark, sf), V.users(spark, sf)
@@ -533,9 +615,9 @@ def reconcile_layers(spark, sf):
         audit.Layer("users", "source", users, uid),
         audit.Layer("users", "bronze", users.where(F.col("yearly_income") >= 0), uid),
         audit.Layer("users", "silver", users, uid),
-        audit.Layer("users", "gold", users, uid),
+        audit.Layer("users", "gold", user_risk_profile(spark, sf), uid),
     ]
-    return audit.reconcile(layers).drop("gold_count", "gold_parity")
+    return audit.reconcile(layers)
 
 
 @check(
@@ -597,7 +679,18 @@ SELECT source_partner, day, row_count, ROUND(baseline, 6) AS baseline,
     ELSE 'none' END AS anomaly FROM based"""
 )
 def volume_anomaly(spark, sf):
-    found = quality.volume_anomalies(V.tx_volume(spark, sf), date(2024, 1, 30), partner="source_partner")
+    return _volume(spark, sf, 30)
+
+
+@check(ORACLES["volume_anomaly"] + " WHERE day >= TIMESTAMP '2024-01-20'")
+def volume_anomaly_recent(spark, sf):
+    """A period that starts long after the data does; its first day is a spike."""
+    return _volume(spark, sf, 11)
+
+
+def _volume(spark: SparkSession, sf: str, days: int) -> DataFrame:
+    tx = V.tx_volume(spark, sf)
+    found = quality.volume_anomalies(tx, date(2024, 1, 30), days, partner="source_partner")
     return found.withColumns({"day": F.col("day").cast("timestamp_ntz"), "baseline": F.round("baseline", 6)})
 
 

@@ -14,8 +14,10 @@ def to_text(c: Column) -> Column:
 
 
 def _rounded(c: Column) -> Column:
-    # '1.5' and '1e3' count as whole numbers after rounding half away from zero
-    return F.round(c.try_cast("decimal(38,10)"))
+    # '1.5' and '1e3' count as whole numbers after rounding half away from zero; decimals past the
+    # tenth are cut and not rounded, as they cannot lift a fraction to one half
+    cut = F.regexp_replace(c.cast("string"), r"^(\s*[+-]?\d*\.\d{10})\d+(\s*)$", "$1$2")
+    return F.round(cut.try_cast("decimal(38,10)"))
 
 
 def to_bigint(c: Column) -> Column:

@@ -61,15 +61,15 @@ def _scanned(x: Layer, composite: bool) -> DataFrame:
         return x.df.select(*columns)
     parts = [F.col(k).cast("string") for k in x.distinct]
     key = F.when(has_keys(*x.distinct), F.array(*parts) if composite else parts[0])
-    by_key = x.df.select(*columns, key.alias("key")).groupBy("table_name", "layer", "key")
-    return by_key.agg(F.sum("rows").alias("rows"), F.sum("null_pk").alias("null_pk"))
+    return x.df.select(*columns, key.alias("key"))
 
 
 def layer_counts(layers: Sequence[Layer]) -> DataFrame:
     """table_name, layer, rows, null_pk_count, distinct_keys, error.
 
-    ``rows`` is NULL for an unreadable layer. Only a layer with ``distinct`` shuffles more than
-    a row per task: its distinct keys, each with its number of rows.
+    ``rows`` is NULL for an unreadable layer. A table may have several frames in one layer; a key
+    that is in more than one of them counts once. Only a layer with ``distinct`` shuffles more
+    than a row per task: its distinct keys, each with its number of rows.
     """
     composite = any(len(x.distinct) > 1 for x in layers)
     frames = [_scanned(x, composite) for x in layers if x.df is not None]
@@ -78,7 +78,10 @@ def layer_counts(layers: Sequence[Layer]) -> DataFrame:
     )
     if "key" not in together.columns:
         together = together.withColumn("key", F.lit(None).cast("string"))
-    return together.groupBy("table_name", "layer").agg(
+    by_key = together.groupBy("table_name", "layer", "key").agg(
+        F.sum("rows").alias("rows"), F.sum("null_pk").alias("null_pk"), F.max("error").alias("error")
+    )
+    return by_key.groupBy("table_name", "layer").agg(
         F.sum("rows").alias("rows"),
         F.sum("null_pk").alias("null_pk_count"),
         F.count("key").alias("distinct_keys"),
@@ -142,7 +145,9 @@ def breaches(audit: DataFrame) -> DataFrame:
     """One row per ledger row and rule: rule, breached, detail.
 
     Rules: no null key; every layer readable; the rows extracted were written; silver holds
-    one row per distinct non-null key (where the audit carries ``expected_silver``).
+    one row per distinct non-null key (where the audit carries ``expected_silver``). Where the
+    audit carries them: no partner failed (``failed_partners``), no present value was lost to
+    its cast (``type_mismatches``), no source row lacked its change time (``unversioned_rows``).
     """
     parity = F.col("source_count") != F.col("target_count")
     rules = [
@@ -154,6 +159,14 @@ def breaches(audit: DataFrame) -> DataFrame:
         rules.append(("silver_parity", gap != 0, gap))
     if "error" in audit.columns:
         rules.append(("unreadable", F.col("error").isNotNull(), F.lit(None)))
+    counted = (
+        ("partner_failed", "failed_partners"),
+        ("type_mismatch", "type_mismatches"),
+        ("unversioned", "unversioned_rows"),
+    )
+    for rule, column in counted:
+        if column in audit.columns:
+            rules.append((rule, F.col(column) > 0, F.col(column)))
     entries = [
         F.struct(
             F.lit(name).alias("rule"),
@@ -206,7 +219,8 @@ def reconcile(layers: Sequence[Layer]) -> DataFrame:
 
 def ledger_trend(ledger: DataFrame) -> DataFrame:
     """Every ledger row beside the change of its counts since the run before."""
-    before = Window.partitionBy("pipeline_stage", "table_name").orderBy("execution_time")
+    # rows of one time, such as a run and its repetition, go by their counts
+    before = Window.partitionBy("pipeline_stage", "table_name").orderBy("execution_time", *METRICS)
     deltas = {f"{m}_change": F.col(m) - F.lag(m).over(before) for m in METRICS}
     share = F.col("null_pk_count") / F.coalesce(
         F.col("bronze_raw_count"), F.col("target_count")

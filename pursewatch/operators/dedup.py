@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pursewatch.operators.projection import orderable
+from pursewatch.operators.projection import total_order
 
 
 def latest_per_key(
@@ -21,9 +21,8 @@ def latest_per_key(
     make the order total, so every run and every retried task picks the same row. The rank
     filter is pushed below the shuffle, so each task sends on at most one row per key.
     """
-    if ties is None:
-        ties = [c for c in orderable(df) if c not in keys and c not in order_by]
-    order = [F.col(c).desc_nulls_last() for c in [*order_by, *ties]]
+    by = total_order(df, *keys, *order_by) if ties is None else [F.col(c) for c in ties]
+    order = [c.desc_nulls_last() for c in [*map(F.col, order_by), *by]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pursewatch.functions.predicates import changed_after, partner_id
-from pursewatch.functions.timing import moment, or_epoch
+from pursewatch.functions.timing import moment
+from pursewatch.model import EPOCH
 
 
 def changed_since(
@@ -33,14 +35,26 @@ def current_watermarks(history: DataFrame) -> DataFrame:
 
 
 def changed_since_marks(
-    df: DataFrame, column: str, table: str, marks: DataFrame, partner: str = "source_partner"
+    df: DataFrame,
+    column: str,
+    table: str,
+    marks: DataFrame,
+    partner: str = "source_partner",
+    partners: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of several partners, each newer than its own mark; no mark means from the start."""
-    own = current_watermarks(marks.where(F.col("table_name") == table)).select(
-        F.col("partner").alias("_partner"), F.col("watermark").alias("_mark")
-    )
-    joined = df.join(own, partner_id(F.col(partner)) == F.col("_partner"), "left")
-    return joined.where(changed_after(column, or_epoch(F.col("_mark")))).drop("_partner", "_mark")
+    """Rows of several partners, each newer than its own mark; no mark means from the start.
+
+    The marks, one per partner, are read first, so that the comparison is with literals: the
+    lowest one bounds the scan (the epoch, unless ``partners`` says that all have marks).
+    """
+    standing = current_watermarks(marks.where(F.col("table_name") == table)).collect()
+    own = {r.partner: r.watermark for r in standing}
+    known = partners is not None and {p.lower() for p in partners} <= set(own)
+    mark = moment(EPOCH)
+    for name, value in sorted(own.items()):
+        mark = F.when(partner_id(F.col(partner)) == name, moment(value)).otherwise(mark)
+    lowest = min(own.values()) if known and own else EPOCH
+    return df.where(changed_after(column, moment(lowest)) & changed_after(column, mark))
 
 
 def advance_watermarks(

@@ -69,8 +69,8 @@ def latency_by_partner(
         F.min("latency").alias("min_latency"),
         F.max("latency").alias("max_latency"),
     ]
-    aggregates += [
-        F.percentile("latency", F.lit(p), F.col("n")).alias(f"p{round(p * 100)}_latency")
-        for p in percentiles
-    ]
-    return counted.groupBy(partner).agg(*aggregates)
+    at = F.percentile("latency", F.array(*map(F.lit, percentiles)), F.col("n")).alias("_at")
+    found = counted.groupBy(partner).agg(*aggregates, at)
+    for i, p in enumerate(percentiles):
+        found = found.withColumn(f"p{round(p * 100)}_latency", F.col("_at")[i])
+    return found.drop("_at")

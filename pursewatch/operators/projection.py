@@ -41,6 +41,8 @@ def with_lineage(df: DataFrame, partner: str, table: str, run_ts: datetime | str
 def first_of_duplicates(df: DataFrame) -> DataFrame:
     """Keep the first of columns that share a name."""
     names = df.columns
+    if len(set(names)) == len(names):
+        return df
     firsts = [i for i, n in enumerate(names) if n not in names[:i]]
     by_position = df.toDF(*[f"c{i}" for i in range(len(names))])
     return by_position.select(*[F.col(f"c{i}").alias(names[i]) for i in firsts])
@@ -65,6 +67,15 @@ def split_rejects(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFr
     return df.where(~lacking), df.where(lacking).withColumn("reject_reason", reason)
 
 
-def orderable(df: DataFrame) -> list[str]:
-    no_order = (T.MapType, T.VariantType)
-    return [f.name for f in df.schema if not isinstance(f.dataType, no_order)]
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
+def total_order(df: DataFrame, *leave_out: str) -> list[Column]:
+    """What rows are compared by, column by column; values without an order by their JSON text."""
+    chosen = [f for f in df.schema if f.name not in leave_out]
+    return [F.col(f.name) if _has_order(f.dataType) else F.to_json(F.struct(f.name)) for f in chosen]

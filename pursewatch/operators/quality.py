@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -119,7 +120,7 @@ def freshness(
 def volume_anomalies(
     df: DataFrame,
     last_day: date,
-    days: int = 30,
+    days: int,
     event_time: str = "transaction_time",
     partner: str = "partner",
     spike_ratio: float = SPIKE_RATIO,
@@ -128,12 +129,14 @@ def volume_anomalies(
     """Per partner and day of the period: rows, mean of the days before, and the anomaly.
 
     A day without rows is ``no_data``; one with at least ``spike_ratio`` times the mean of the
-    up to seven days before is a ``spike``. Only partner-day counts leave the scan; the days
+    up to seven days before is a ``spike``; days before the period count in that mean, from the
+    partner's first day with rows among them on. Only partner-day counts leave the scan; the days
     without rows are generated per partner from those. ``partners`` names those to report even
     if they sent nothing in the whole period.
     """
     first_day = last_day - timedelta(days=days - 1)
-    start, end = (moment(f"{d} 00:00:00") for d in (first_day, last_day + timedelta(days=1)))
+    from_day = first_day - timedelta(days=BASELINE_DAYS)
+    start, end = (moment(f"{d} 00:00:00") for d in (from_day, last_day + timedelta(days=1)))
     in_period = (F.col(event_time) >= start) & (F.col(event_time) < end)
     seen = df.where(in_period).select(
         F.col(partner), F.col(event_time).cast("date").alias("day"), F.lit(1).alias("n")
@@ -143,16 +146,18 @@ def volume_anomalies(
         listed = df.sparkSession.range(0, 1, 1, 1).select(known)
         seen = seen.unionByName(listed.select(partner, F.lit(first_day).alias("day"), F.lit(0).alias("n")))
     counts = seen.groupBy(partner, "day").agg(F.sum("n").alias("n"))
-    # at most one entry per day of the period
+    # at most one entry per day of the period and of the baseline before it
     by_day = F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("by_day")
-    calendar = F.explode(F.sequence(F.lit(first_day), F.lit(last_day))).alias("day")
-    grid = counts.groupBy(partner).agg(by_day).select(partner, "by_day", calendar)
+    since = F.least(F.min("day"), F.lit(first_day)).alias("since")
+    calendar = F.explode(F.sequence(F.col("since"), F.lit(last_day))).alias("day")
+    grid = counts.groupBy(partner).agg(by_day, since).select(partner, "by_day", calendar)
     filled = grid.select(
         partner, "day", F.coalesce(F.try_element_at("by_day", "day"), F.lit(0)).alias("row_count")
     )
     before = Window.partitionBy(partner).orderBy("day").rowsBetween(-BASELINE_DAYS, -1)
     spike = F.col("row_count") >= F.lit(spike_ratio) * F.col("baseline")
-    return filled.withColumn("baseline", F.avg("row_count").over(before)).withColumn(
+    based = filled.withColumn("baseline", F.avg("row_count").over(before))
+    return based.where(F.col("day") >= F.lit(first_day)).withColumn(
         "anomaly",
         F.when(F.col("row_count") == 0, F.lit("no_data"))
         .when((F.col("baseline") > 0) & spike, F.lit("spike"))
@@ -246,21 +251,25 @@ def _result(test: TableTest, violations: Column) -> Column:
     )
 
 
-def orphan_transactions(tx: DataFrame, users: DataFrame, cards: DataFrame) -> DataFrame:
+def orphan_transactions(
+    tx: DataFrame, users: DataFrame, cards: DataFrame, within: Sequence[str] = ()
+) -> DataFrame:
     """Transactions whose user or card is unknown or, where cards name their owner, whose card
     belongs to another user.
 
+    ``within`` names the columns that their keys share, such as the partner.
+
     Distinct (user, card) pairs are checked first, so a pair that holds a third of all rows is
     looked up once; the few bad pairs then select their transactions.
     """
-    pair = ["user_id", "card_id"]
-    known_user = users.select("user_id").distinct().withColumn("_user", F.lit(True))
-    known_card = cards.select("card_id").distinct().withColumn("_card", F.lit(True))
+    pair = [*within, "user_id", "card_id"]
+    known_user = users.select(*within, "user_id").distinct().withColumn("_user", F.lit(True))
+    known_card = cards.select(*within, "card_id").distinct().withColumn("_card", F.lit(True))
     checked = (
         tx.select(*pair)
         .distinct()
-        .join(known_user, "user_id", "left")
-        .join(known_card, "card_id", "left")
+        .join(known_user, [*within, "user_id"], "left")
+        .join(known_card, [*within, "card_id"], "left")
     )
     reasons = [
         F.when(F.col("_user").isNull(), F.lit("unknown user")),
@@ -277,4 +286,4 @@ def orphan_transactions(tx: DataFrame, users: DataFrame, cards: DataFrame) -> Da
         .select(*[F.col(c).alias(f"_{c}") for c in pair], "orphan_reason")
     )
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pair]
-    return tx.join(bad, same[0] & same[1]).drop("_user_id", "_card_id")
+    return tx.join(bad, reduce(and_, same)).drop(*[f"_{c}" for c in pair])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pursewatch.functions.casts import to_myr
 from pursewatch.functions.predicates import (
@@ -49,8 +50,8 @@ def spend_velocity(tx: DataFrame, as_of: datetime | str) -> DataFrame:
     return per_user.select("user_id", *_spend_figures(), "failed_tx_7d", "max_risk_score")
 
 
-def compromised_cards(cards: DataFrame) -> DataFrame:
-    return cards.where(compromised()).select("card_id").distinct()
+def compromised_cards(cards: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    return cards.where(compromised()).select(*within, "card_id").distinct()
 
 
 def compromised_users(tx: DataFrame, cards: DataFrame) -> DataFrame:
@@ -60,21 +61,30 @@ def compromised_users(tx: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def user_risk_profile(
-    users: DataFrame, cards: DataFrame, tx: DataFrame, as_of: datetime | str
+    users: DataFrame,
+    cards: DataFrame,
+    tx: DataFrame,
+    as_of: datetime | str,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """One row per user with the seven-day spend and the high-risk flag.
 
+    ``within`` names the columns that users and cards have in their keys besides their ids, such
+    as the partner; all three tables hold them, and a user's rows are those that agree in them.
+
     Transactions are scanned once: aggregated per (user, card) first, which leaves a handful
     of rows per user, then marked by card and folded per user. The join on the card therefore
     never sees raw transactions, however many of them one card has.
     """
     per_card = (
-        tx.where(has_keys("user_id")).groupBy("user_id", "card_id").agg(*_velocity(as_of))
+        tx.where(has_keys("user_id"))
+        .groupBy(*within, "user_id", "card_id")
+        .agg(*_velocity(as_of))
     )
-    marked = compromised_cards(cards).withColumn("hit", F.lit(True))
+    marked = compromised_cards(cards, within).withColumn("hit", F.lit(True))
     per_user = (
-        per_card.join(marked, "card_id", "left")
-        .groupBy("user_id")
+        per_card.join(marked, [*within, "card_id"], "left")
+        .groupBy(*within, "user_id")
         .agg(
             F.sum("spend").alias("spend"),
             F.sum("spend_rows").alias("spend_rows"),
@@ -83,9 +93,10 @@ def user_risk_profile(
             F.max("hit").alias("hit"),
         )
     )
-    return users.select(F.col("user_id").try_cast("bigint").alias("user_id")).join(
-        per_user, "user_id", "left"
+    return users.select(*within, F.col("user_id").try_cast("bigint").alias("user_id")).join(
+        per_user, [*within, "user_id"], "left"
     ).select(
+        *within,
         "user_id",
         *_spend_figures(),
         high_risk(F.col("hit"), F.col("failed_tx_7d"), F.col("max_risk_score")).alias("high_risk"),
@@ -93,9 +104,10 @@ def user_risk_profile(
     )
 
 
-def keyed_profile(profile: DataFrame) -> DataFrame:
+def keyed_profile(profile: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """The profile as it is stored: its declared columns, and no row without a user."""
-    return require_keys(conform(profile, PROFILE_SCHEMA), ["user_id"])
+    extra = [profile.schema[c] for c in within]
+    return require_keys(conform(profile, T.StructType([*extra, *PROFILE_SCHEMA])), [*within, "user_id"])
 
 
 def merchant_daily_summary(tx: DataFrame) -> DataFrame:
@@ -111,15 +123,18 @@ def top_merchant_days(summary: DataFrame, n: int = 10) -> DataFrame:
     return summary.orderBy(F.desc("total_volume"), "merchant_id", "date").limit(n)
 
 
-def unified_wallet(tx: DataFrame, users: DataFrame, cards: DataFrame) -> DataFrame:
+def unified_wallet(
+    tx: DataFrame, users: DataFrame, cards: DataFrame, within: Sequence[str] = ()
+) -> DataFrame:
     """Every transaction with its user, its card, its MYR amount and its latency.
 
-    Users and cards hold one row per key. Small ones are broadcast by the planner; otherwise
+    ``within`` as in the profile. Users and cards hold one row per key. Small ones are broadcast by the planner; otherwise
     both sides shuffle on the key and AQE splits a key that holds too many transactions.
     """
-    user_columns = users.select("user_id", "current_age", "yearly_income", "credit_score")
-    card_columns = cards.select("card_id", "card_brand", "credit_limit", "card_on_dark_web")
-    wide = tx.join(user_columns, "user_id", "left").join(card_columns, "card_id", "left")
+    user_columns = users.select(*within, "user_id", "current_age", "yearly_income", "credit_score")
+    card_columns = cards.select(*within, "card_id", "card_brand", "credit_limit", "card_on_dark_web")
+    wide = tx.join(user_columns, [*within, "user_id"], "left")
+    wide = wide.join(card_columns, [*within, "card_id"], "left")
     enriched = wide.withColumns(
         {
             "amount_myr": to_myr(F.col("amount")),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from pyspark.sql.utils import AnalysisException
 
 from pursewatch.functions.casts import to_timestamp
-from pursewatch.operators.projection import all_strings, with_lineage
+from pursewatch.operators.projection import all_strings, first_of_duplicates, with_lineage
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,7 @@ def write_increment(
     Both figures are observed while the rows are written. The job has a single stage without
     a shuffle, so retried tasks are counted once.
     """
+    df = first_of_duplicates(df)
     if df.isEmpty():
         return Written(0, None)
     seen = Observation()
