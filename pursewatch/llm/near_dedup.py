@@ -18,6 +18,9 @@ from pursewatch.llm.components import components
 COORDINATES = 48
 MATCHES = 22
 
+#: Shingles of so many documents or fewer are compared one by one before two sets are.
+RARE = 64
+
 SIGNED = "doc_id long, n_shingles long, content binary, signature array<long>"
 SETS = "doc_id long, shingles array<long>"
 
@@ -98,6 +101,23 @@ def _setter(size: int):
     return gather
 
 
+def _bounds(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """What a document can share at most with others of ``members``: rep, common, rare.
+
+    ``rare`` are its shingles that 2 to ``RARE`` members have, ``common`` is the number of those
+    that more have. Shingles of its own can be in no intersection. A document without any shared
+    shingle is left out, as it has no link here.
+    """
+    own = sets.withColumnRenamed("doc_id", "rep").join(members, "rep", "left_semi")
+    each = own.select("rep", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    found = each.join(often, "shingle").groupBy("rep").agg(
+        F.count(F.when(F.col("often") > RARE, 1)).alias("common"),
+        F.collect_list(F.when(F.col("often") <= RARE, F.col("shingle"))).alias("rare"),
+    )
+    return stored(found, "bounds")
+
+
 def near_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -123,9 +143,11 @@ def near_dedup(
     3. In each list all are compared with one pivot, the member with the most frequent values.
        Candidates that share enough values are confirmed on the full sets.
     4. Links make components. Lists that still hold several components compare the members outside
-       their largest component with those of other components, so no link between components is
-       lost, and a list that is one component, as a large group of near copies is, never expands
-       into its pairs.
+       their largest component with those of other components, unless what the two sets can share
+       at most (their rare shingles in common, and the smaller number of others) is too little.
+       That bound is exact, so no link between components is lost. A copy with enough words of
+       its own to miss the pivot has too little left for any other copy, so a large group of near
+       copies does not expand into its pairs.
 
     Documents without words or text are linked with nothing. Rows with a null id take no part:
     they keep a null component and are kept. Rows that share an id are one document in the graph.
@@ -194,21 +216,23 @@ def near_dedup(
         F.max(F.struct("members", "component")).alias("top"), F.count(F.lit(1)).alias("parts")
     )
     largest = largest.where("parts > 1").select("value", F.col("top.component").alias("main"))
-    left_over = held.join(largest, "value").join(signs.select("rep", "signature"), "rep")
+    left_over = stored(held.join(largest, "value").drop("weight"), "left-over")
+    bounds = _bounds(near, left_over.select("rep").distinct())
+    able = (F.col("common") + F.size("rare")) * 100 >= F.col("n") * percent
+    left_over = left_over.join(bounds, "rep").where(able)
     outside = left_over.where("component != main").select(
-        "value",
-        F.col("rep").alias("x"),
-        F.col("n").alias("nx"),
-        F.col("component").alias("cx"),
-        F.col("signature").alias("sx"),
+        "value", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component", "common", "rare")]
     )
+    # what two sets share is at most their common rare shingles and the smaller rest
+    shared_most = F.least("common", "x_common") + F.size(F.array_intersect("rare", "x_rare"))
     across = left_over.join(outside, "value").where(
-        (F.col("component") != F.col("cx"))
-        & ((F.col("component") == F.col("main")) | (F.col("rep") < F.col("x")))
-        & similar_size("n", "nx")
-        & (F.size(F.array_intersect("signature", "sx")) >= matches)
+        (F.col("component") != F.col("x_component"))
+        & ((F.col("component") == F.col("main")) | (F.col("rep") < F.col("x_rep")))
+        & similar_size("n", "x_n")
+        & (shared_most * 100 >= (F.col("n") + F.col("x_n") - shared_most) * percent)
     )
-    more = stored(confirmed(across.select(*ordered("rep", "x")).distinct()), "cross-links")
+    across = across.select(*ordered("rep", "x_rep")).distinct()
+    more = stored(confirmed(across), "cross-links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
 
