@@ -71,6 +71,24 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+#: Increments as they were written, and those among them that silver holds.
+BATCH_SCHEMA = T.StructType(
+    [
+        T.StructField("partner", T.StringType(), False),
+        T.StructField("table_name", T.StringType(), False),
+        T.StructField("batch_id", T.StringType(), False),
+        T.StructField("ingest_date", T.DateType(), False),
+        T.StructField("row_count", T.LongType(), False),
+    ]
+)
+
+MERGED_SCHEMA = T.StructType(
+    [
+        T.StructField("table_name", T.StringType(), False),
+        T.StructField("batch_id", T.StringType(), False),
+    ]
+)
+
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("partner", T.StringType(), False),

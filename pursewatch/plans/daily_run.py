@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from dataclasses import dataclass, field, replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
-from pursewatch.functions.casts import to_timestamp
-from pursewatch.functions.timing import ingest_stamp, moment
-from pursewatch.model import EPOCH, LEDGER_SCHEMA, WATERMARK_SCHEMA
+from pursewatch.functions.timing import moment
+from pursewatch.model import BATCH_SCHEMA, EPOCH, LEDGER_SCHEMA, MERGED_SCHEMA, WATERMARK_SCHEMA
 from pursewatch.operators.audit import Layer, bronze_to_silver, enforce, source_to_bronze
 from pursewatch.operators.dedup import latest_per_key
-from pursewatch.operators.incremental import (
-    changed_since,
-    current_watermarks,
-    high_watermark,
-    newer_than,
-)
-from pursewatch.operators.projection import require_keys
+from pursewatch.operators.incremental import changed_since, current_watermarks
+from pursewatch.operators.projection import first_of_duplicates, require_keys, split_rejects
+from pursewatch.operators.quality import cast_failures
 from pursewatch.operators.upsert import upsert
 from pursewatch.plans.gold import keyed_profile, user_risk_profile
 from pursewatch.plans.silver import VERSION, build_silver, build_silver_with_rejects, typed_rows
@@ -29,6 +25,7 @@ from pursewatch.sources.bronze import Written, read_bronze, write_increment
 from pursewatch.sources.managed import (
     append_rows,
     conform,
+    create_namespace,
     name_view,
     path_or_none,
     publish,
@@ -44,9 +41,13 @@ LEDGER_WITH_ERROR = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("error",
 class Run:
     """Where a run keeps its data and how it behaves.
 
-    ``run_ts`` is in whole seconds, like the ingest time it is written as. With ``rejects``
-    rows without a key are set aside instead of stopping the run. View names are
+    ``run_ts`` is in whole seconds, like the ingest time it is written as. View names are
     ``<silver><table>`` and ``<gold>user_risk_profile``, for example with prefix ``silver.``.
+
+    A run stops on a row without a key, a present value that its cast loses, a source row without
+    a change time and a partner that fails; ``rejects`` sets rows without a key aside instead,
+    ``lenient`` lets the others pass, and ``partial`` goes on without the failed partner. All of
+    it is in the ledger either way. ``keep`` is the number of old snapshots that stay.
     """
 
     root: str
@@ -58,19 +59,26 @@ class Run:
     look_back: timedelta = timedelta(0)
     parallel: int = 2
     rejects: bool = False
+    lenient: bool = False
+    partial: bool = False
+    keep: int = 3
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
-Sources = Mapping[str, Mapping[str, DataFrame]]
+#: A source's rows, or how to read those that changed after a mark (None: all of them).
+Source = DataFrame | Callable[[datetime | None], DataFrame]
+Sources = Mapping[str, Mapping[str, Source]]
 
 
 def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[str, str]]:
     """Write each partner's increments; a partner that fails does not hold up the others.
 
-    A mark is stored only after its rows are, so a run that dies in between reads them again.
-    Returns what was written per (partner, table), and the error of each failed partner.
+    Every increment has an id of its own, which its rows carry. The rows are written first, then
+    noted as a batch, then the mark rises: a run that dies in between reads them again, and rows
+    that no batch names are never merged. Returns what was written per (partner, table), and the
+    error of each failed partner.
     """
     history = path_or_none(spark, run.path("watermarks"), WATERMARK_SCHEMA)
     # one row per partner and table
@@ -79,14 +87,19 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
     written: dict[tuple[str, str], Written] = {}
 
     def one_partner(partner: str) -> None:
-        for table, df in sources[partner].items():
+        for table, given in sources[partner].items():
             spec, name = run.tables[table], partner.lower()
+            since = marks.get((name, table)) if spec.watermark else None
+            df = first_of_duplicates(given(since) if callable(given) else given)
+            unversioned = 0
             if spec.watermark:
-                since = marks.get((name, table), EPOCH)
-                df = changed_since(df, spec.watermark, since, run.look_back)
-            written[name, table] = write_increment(
-                df, run.path("bronze"), name, table, run.run_ts, spec.watermark
+                unversioned = df.where(F.col(spec.watermark).isNull()).count()
+                df = changed_since(df, spec.watermark, since or EPOCH, run.look_back)
+            batch = f"{run.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
+            done = write_increment(
+                df, run.path("bronze"), name, table, run.run_ts, spec.watermark, batch_id=batch
             )
+            written[name, table] = replace(done, unversioned=unversioned)
 
     with ThreadPoolExecutor(run.parallel) as pool:
         jobs = {p: pool.submit(one_partner, p) for p in sources}
@@ -95,10 +108,14 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
         for p, job in jobs.items()
         if job.exception() is not None
     }
+    day = run.run_ts.date()
+    batches = [(*at, w.batch_id, day, w.rows) for at, w in written.items() if w.rows]
+    if batches:
+        append_rows(spark.createDataFrame(batches, BATCH_SCHEMA).coalesce(1), run.path("batches"))
     risen = [
-        (*at, result.newest, run.run_ts)
-        for at, result in written.items()
-        if result.newest is not None and result.newest > marks.get(at, datetime.min)
+        (*at, w.newest, run.run_ts)
+        for at, w in written.items()
+        if w.newest is not None and w.newest > marks.get(at, datetime.min)
     ]
     if risen:
         rows = spark.createDataFrame(risen, WATERMARK_SCHEMA)
@@ -106,8 +123,22 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
     return written, errors
 
 
-def _bronze(spark: SparkSession, run: Run, spec: TableSpec) -> DataFrame:
-    return read_bronze(spark, run.path("bronze"), spec.table, spec.bronze_columns())
+def _bronze(spark: SparkSession, run: Run, spec: TableSpec, extracted: bool = False) -> DataFrame:
+    """A table's bronze rows. Where it was extracted but has never had a row, there are none."""
+    columns = spec.bronze_columns()
+    try:
+        return read_bronze(spark, run.path("bronze"), spec.table, columns)
+    except AnalysisException as e:
+        if not extracted or columns is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    fields = [T.StructField(c, T.StringType()) for c in [*columns, "partner", "table"]]
+    return spark.createDataFrame([], T.StructType([*fields, T.StructField("ingest_date", T.DateType())]))
+
+
+def _of_batches(bronze: DataFrame, batches: Sequence[tuple[str, date]]) -> DataFrame:
+    """The rows of some increments; the day folders are pruned to."""
+    ids, days = [b for b, _ in batches], sorted({d for _, d in batches})
+    return bronze.where(F.col("ingest_date").isin(days) & F.col("batch_id").isin(ids))
 
 
 def _layer(table: str, name: str, keys: tuple[str, ...], read: Callable[[], DataFrame]) -> Layer:
@@ -122,6 +153,18 @@ def _log(audit: DataFrame, run: Run) -> None:
     append_rows(conform(audit, LEDGER_WITH_ERROR), run.path("ledger"))
 
 
+def _mismatches(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """table_name, type_mismatches: values present in bronze that their casts lose."""
+    casts = {r.source: r.build(F.lit(None)) for r in spec.rules if r.source and r.kind != "string"}
+    total = F.lit(0).cast("bigint")
+    if not casts:
+        return bronze.sparkSession.range(0, 1, 1, 1).select(
+            F.lit(spec.table).alias("table_name"), total.alias("type_mismatches")
+        )
+    found = cast_failures(bronze, casts).agg(F.sum("failed").alias("type_mismatches"))
+    return found.select(F.lit(spec.table).alias("table_name"), "type_mismatches")
+
+
 def audit_bronze(
     spark: SparkSession,
     sources: Sources,
@@ -133,37 +176,62 @@ def audit_bronze(
     """Log the counts, then stop if this run's rows did not all arrive with a key.
 
     Logged are the totals of source and bronze, or of this run's rows alone when incremental;
-    the rules look at this run's rows in either case.
+    the rules look at this run's increments, by their ids, in either case.
     """
+    here = {name for _, name in written}
+    day = run.run_ts.date()
+
+    def arrived(spec: TableSpec) -> DataFrame:
+        ids = [(w.batch_id, day) for (_, name), w in written.items() if name == spec.table]
+        return _of_batches(_bronze(spark, run, spec, spec.table in here), ids)
+
     this_run = [
-        _layer(table, "bronze", _raw_keys(spec), lambda s=spec: _arrived(_bronze(spark, run, s), run))
+        _layer(table, "bronze", _raw_keys(spec), lambda s=spec: arrived(s))
         for table, spec in run.tables.items()
     ]
-    extracted = F.lit(None).cast("bigint")
+    extracted, unversioned = (F.lit(None).cast("bigint") for _ in range(2))
     for table in run.tables:
-        rows = sum(w.rows for (_, name), w in written.items() if name == table)
-        extracted = F.when(F.col("table_name") == table, F.lit(rows)).otherwise(extracted)
-    checked = source_to_bronze(this_run, run.run_ts).withColumn("source_count", extracted)
+        of_table = [w for (_, name), w in written.items() if name == table]
+        is_table = F.col("table_name") == table
+        extracted = F.when(is_table, F.lit(sum(w.rows for w in of_table))).otherwise(extracted)
+        unversioned = F.when(is_table, F.lit(sum(w.unversioned for w in of_table))).otherwise(unversioned)
     failed = "; ".join(f"{p}: {e}" for p, e in sorted(errors.items())) or None
-    if incremental:
-        _log(checked.withColumn("error", F.lit(failed)), run)
-    else:
-        totals = []
-        for table, spec in run.tables.items():
-            keys = _raw_keys(spec)
-            frames = [t[table] for t in sources.values() if table in t]
-            totals += [Layer(table, "source", f, keys, failed) for f in frames]
-            totals.append(_layer(table, "bronze", keys, lambda s=spec: _bronze(spark, run, s)))
-        _log(source_to_bronze(totals, run.run_ts), run)
-    enforce(checked.withColumn("null_pk_count", F.lit(0)) if run.rejects else checked)
-
-
-def _arrived(bronze: DataFrame, run: Run) -> DataFrame:
-    """The rows this run brought; the day folder is pruned to."""
-    stamp = ingest_stamp(moment(run.run_ts))
-    return bronze.where(
-        (F.col("ingest_date") == F.lit(run.run_ts.date())) & (F.col("ingest_ts") == stamp)
+    checked = source_to_bronze(this_run, run.run_ts).withColumns(
+        {
+            "source_count": extracted,
+            "unversioned_rows": unversioned,
+            "failed_partners": F.lit(0 if run.partial else len(errors)),
+        }
     )
+    if not run.lenient:
+        wrong = [_mismatches(x.df, run.tables[x.table]) for x in this_run if x.df is not None]
+        for frame in wrong[1:]:
+            wrong[0] = wrong[0].unionByName(frame)
+        checked = checked.join(wrong[0], "table_name", "left") if wrong else checked
+    said = F.concat_ws(
+        "; ",
+        "error",
+        F.lit(failed),
+        F.when(F.col("unversioned_rows") > 0, F.concat("unversioned_rows", F.lit(" rows without a change time"))),
+    )
+    checked = checked.persist()
+    try:
+        if incremental:
+            _log(checked.withColumn("error", F.when(said != "", said)), run)
+        else:
+            totals = []
+            for table, spec in run.tables.items():
+                keys = _raw_keys(spec)
+                # a source that is read by a mark is counted by what was extracted alone
+                frames = [t[table] for t in sources.values() if isinstance(t.get(table), DataFrame)]
+                totals += [Layer(table, "source", first_of_duplicates(f), keys, failed) for f in frames]
+                read = lambda s=spec: _bronze(spark, run, s, s.table in here)
+                totals.append(_layer(table, "bronze", keys, read))
+            _log(source_to_bronze(totals, run.run_ts), run)
+        asked = checked.withColumn("null_pk_count", F.lit(0)) if run.rejects else checked
+        enforce(asked.drop("unversioned_rows") if run.lenient else asked)
+    finally:
+        checked.unpersist()
 
 
 def _raw_keys(spec: TableSpec) -> tuple[str, ...]:
@@ -173,18 +241,20 @@ def _raw_keys(spec: TableSpec) -> tuple[str, ...]:
     return tuple(k for k in named if k != "source_partner") or named
 
 
-def refresh_silver(spark: SparkSession, spec: TableSpec, run: Run) -> DataFrame:
+def refresh_silver(
+    spark: SparkSession, spec: TableSpec, run: Run, extracted: bool = False
+) -> DataFrame:
     """Rebuild a silver table from all of bronze and switch its view to the new snapshot."""
-    bronze = _bronze(spark, run, spec)
+    bronze = _bronze(spark, run, spec, extracted)
     name = f"{run.silver}{spec.table}"
     if run.rejects:
         rows, rejected = build_silver_with_rejects(bronze, spec, run.run_ts)
         rejects = run.path("rejects", spec.table)
-        publish(rejected, rejects, f"{name}_rejects", temporary=run.temporary)
+        publish(rejected, rejects, f"{name}_rejects", temporary=run.temporary, keep=run.keep)
     else:
         rows = build_silver(bronze, spec, run.run_ts)
     rows, folders = _by_event_day(rows, spec)
-    return publish(rows, run.path("silver", spec.table), name, folders, run.temporary)
+    return publish(rows, run.path("silver", spec.table), name, folders, run.temporary, run.keep)
 
 
 def _by_event_day(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
@@ -193,53 +263,106 @@ def _by_event_day(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str
     return rows.withColumn("event_date", F.to_date(spec.event_time)), ["event_date"]
 
 
-def advance_silver(spark: SparkSession, spec: TableSpec, run: Run) -> DataFrame:
-    """Merge only the bronze rows that came since the silver table's own high watermark.
+def pending_batches(spark: SparkSession, run: Run, table: str) -> list[tuple[str, date]]:
+    """Increments that the silver table does not hold yet: a few per run that has not been merged."""
+    batches = path_or_none(spark, run.path("batches"), BATCH_SCHEMA)
+    if batches is None:
+        return []
+    merged = path_or_none(spark, run.path("merged", table), MERGED_SCHEMA)
+    asked = batches.where(F.col("table_name") == table)
+    if merged is not None:
+        asked = asked.join(merged, ["table_name", "batch_id"], "left_anti")
+    return [(r.batch_id, r.ingest_date) for r in asked.collect()]
+
+
+def advance_silver(
+    spark: SparkSession, spec: TableSpec, run: Run, extracted: bool = False
+) -> DataFrame:
+    """Merge the increments that the silver table does not hold yet, whenever they were written.
 
     A table with an event time keeps one set of day folders, of which only the days with
-    changes are rewritten; a dimension is written anew.
+    changes are rewritten; a dimension is written anew. Increments are noted as merged after
+    their rows are in, and to merge one twice changes nothing. Versions are compared as a full
+    refresh compares them: by the declared order, then by all other columns.
     """
     name = f"{run.silver}{spec.table}"
     live = run.path("silver", spec.table, "live")
-    if spec.event_time is None:
-        stored = spark.table(name) if spark.catalog.tableExists(name) else None
-    else:
-        stored = stored_rows(spark, live, T.StructField("event_date", T.DateType()))
-    bronze = _bronze(spark, run, spec)
-    if stored is not None:
-        mark = high_watermark(stored, "ingest_ts").first()[0]
-        bronze = newer_than(bronze, to_timestamp(F.col("ingest_ts")), mark)
-        if mark is not None:
-            bronze = bronze.where(F.col("ingest_date") >= F.lit(mark.date()))
-    latest = latest_per_key(typed_rows(bronze, spec, run.run_ts), spec.keys, [VERSION])
-    updates, folders = _by_event_day(require_keys(latest.drop(VERSION), spec.keys), spec)
-    newer_by = spec.order_by if spec.order_by in updates.columns else None
-    if not folders:
-        merged = updates if stored is None else upsert(stored, updates, spec.keys, newer_by)
-        return publish(merged, run.path("silver", spec.table), name, temporary=run.temporary)
-    upsert_partitions(spark, live, updates, spec.keys, folders[0], newer_by)
-    merged = stored_rows(spark, live, T.StructField(folders[0], T.DateType()))
-    if run.temporary:
-        name_view(merged, name)
-    else:
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{live}`")
-    return merged
+    batches = pending_batches(spark, run, spec.table)
+    bronze = _of_batches(_bronze(spark, run, spec, extracted), batches)
+    typed = typed_rows(bronze, spec, run.run_ts)
+    if run.rejects:
+        typed, rejected = split_rejects(typed, spec.keys)
+    # the version stays in the table: later increments compare with it
+    latest = require_keys(latest_per_key(typed, spec.keys, [VERSION]), spec.keys)
+    updates, folders = _by_event_day(latest, spec)
+    ties = [f.name for f in latest.schema if f.name not in (*spec.keys, VERSION, "ingest_ts")]
+    newer_by = [VERSION, *ties]
+    declared = updates.schema if spec.rules else None
+    updates = updates.persist()
+    try:
+        if folders:
+            partition = updates.schema[folders[0]]
+            if batches:
+                upsert_partitions(spark, live, updates, spec.keys, folders[0], newer_by, declared)
+            merged = stored_rows(spark, live, partition, declared)
+            merged = merged if merged is not None else updates.limit(0)
+            if run.temporary:
+                name_view(merged.drop(VERSION), name)
+            else:
+                columns = ", ".join(f"`{c}`" for c in merged.columns if c != VERSION)
+                spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{live}`")
+            result = merged.drop(VERSION)
+        else:
+            snapshots = run.path("silver", spec.table)
+            held = path_or_none(spark, run.path("silver", spec.table, "current"), _POINTER)
+            at = held.agg(F.max_by("path", "nth")).first()[0] if held is not None else None
+            stored = stored_rows(spark, at, schema=declared) if at else None
+            if batches or stored is None:
+                merged = updates if stored is None else upsert(stored, updates, spec.keys, newer_by)
+                where = f"{snapshots}/versions-{uuid.uuid4().hex}"
+                merged.write.parquet(where)
+                nth = 0 if held is None else held.count()
+                pointer = spark.createDataFrame([(nth, where)], _POINTER)
+                append_rows(pointer.coalesce(1), run.path("silver", spec.table, "current"))
+                stored = stored_rows(spark, where, schema=updates.schema)
+            result = publish(stored.drop(VERSION), snapshots, name, (), run.temporary, run.keep)
+        if run.rejects and batches:
+            append_rows(rejected.drop(VERSION), run.path("rejects", spec.table, "live"))
+        if run.rejects:
+            aside = path_or_none(spark, run.path("rejects", spec.table, "live"), rejected.drop(VERSION).schema)
+            name_view(aside if aside is not None else rejected.drop(VERSION).limit(0), f"{name}_rejects")
+    finally:
+        updates.unpersist()
+    if batches:
+        rows = spark.createDataFrame([(spec.table, b) for b, _ in batches], MERGED_SCHEMA)
+        # a folder per table, as tables are merged side by side
+        append_rows(rows.coalesce(1), run.path("merged", spec.table))
+    return result
 
 
-def audit_silver(spark: SparkSession, run: Run, incremental: bool = False) -> None:
+#: Which folder holds a dimension's rows with their versions; the highest number is current.
+_POINTER = T.StructType([T.StructField("nth", T.LongType()), T.StructField("path", T.StringType())])
+
+
+def audit_silver(
+    spark: SparkSession, run: Run, incremental: bool = False, written: Mapping | None = None
+) -> None:
     """Log the counts, then stop unless silver has one row per distinct typed bronze key.
 
     When incremental, this is asked of the keys that this run brought, not of all history.
     """
     layers = []
+    here = {name for _, name in written or {}}
     for table, spec in run.tables.items():
         raw = _raw_keys(spec)
         rules = {r.name: r.build(moment(run.run_ts)) for r in spec.rules}
         typed = [rules.get(k, F.col(k)).alias(f"typed_{k}") for k in spec.keys]
-        bronze = _bronze(spark, run, spec)
+        bronze = _bronze(spark, run, spec, table in here)
         silver = spark.table(f"{run.silver}{table}").select(*spec.keys)
         if incremental:
-            bronze = _arrived(bronze, run)
+            day = run.run_ts.date()
+            ids = [(w.batch_id, day) for (_, name), w in (written or {}).items() if name == table]
+            bronze = _of_batches(bronze, ids)
             came = bronze.select(*[t.alias(k) for t, k in zip(typed, spec.keys)])
             silver = silver.join(came, list(spec.keys), "left_semi")
         distinct = tuple(f"typed_{k}" for k in spec.keys)
@@ -258,21 +381,32 @@ def run_day(
 ) -> DataFrame:
     """All layers in order; returns the gold profile. ``sources`` is partner → table → rows.
 
-    Incremental runs read only what arrived since the last one up to the silver layer.
+    Incremental runs read only what silver does not hold yet. A run may be repeated, with the
+    same time or an older one: what it had written is merged, and nothing is merged twice.
+    Gold is replaced only if no rule stops the run. Where users and cards have the partner in
+    their keys, so has the profile.
     """
+    if not run.temporary:
+        for prefix in {p.rsplit(".", 1)[0] for p in (run.silver, run.gold) if "." in p}:
+            create_namespace(spark, prefix)
     written, errors = ingest(spark, sources, run)
     audit_bronze(spark, sources, written, errors, run, incremental)
     step = advance_silver if incremental else refresh_silver
+    here = {name for _, name in written}
     with ThreadPoolExecutor(run.parallel) as pool:
-        jobs = {t: pool.submit(step, spark, spec, run) for t, spec in run.tables.items()}
+        jobs = {
+            t: pool.submit(step, spark, spec, run, t in here) for t, spec in run.tables.items()
+        }
     silver = {t: job.result() for t, job in jobs.items()}
-    audit_silver(spark, run, incremental)
+    audit_silver(spark, run, incremental, written)
+    within = [k for k in run.tables["users"].keys if k != "user_id"]
     profile = user_risk_profile(
-        silver["users"], silver["cards"], silver["transactions"], run.run_ts
+        silver["users"], silver["cards"], silver["transactions"], run.run_ts, within
     )
     return publish(
-        keyed_profile(profile),
+        keyed_profile(profile, within),
         run.path("gold", "user_risk_profile"),
         f"{run.gold}user_risk_profile",
         temporary=run.temporary,
+        keep=run.keep,
     )

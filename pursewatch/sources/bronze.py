@@ -21,6 +21,8 @@ from pursewatch.operators.projection import all_strings, first_of_duplicates, wi
 class Written:
     rows: int
     newest: datetime | None
+    batch_id: str | None = None
+    unversioned: int = 0
 
 
 def day_folder(root: str, partner: str, table: str, day: date, plain: bool = False) -> str:
@@ -36,22 +38,28 @@ def write_increment(
     run_ts: datetime,
     watermark: str | None = None,
     plain: bool = False,
+    batch_id: str | None = None,
 ) -> Written:
     """Append one increment and report its row count and newest watermark value.
 
+    ``batch_id`` is stored with each row, so that the increment can be told from others of the
+    same run time. Of columns that share a name the first is written.
+
     Both figures are observed while the rows are written. The job has a single stage without
     a shuffle, so retried tasks are counted once.
     """
     df = first_of_duplicates(df)
     if df.isEmpty():
-        return Written(0, None)
+        return Written(0, None, batch_id)
     seen = Observation()
     newest = F.max(to_timestamp(F.col(watermark))) if watermark in df.columns else F.lit(None)
     rows = with_lineage(all_strings(df), partner, table, run_ts)
+    if batch_id is not None:
+        rows = rows.withColumn("batch_id", F.lit(batch_id))
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
     folder = day_folder(root, partner, table, run_ts.date(), plain)
     rows.write.mode("append").parquet(folder)
-    return Written(seen.get["rows"], seen.get["newest"])
+    return Written(seen.get["rows"], seen.get["newest"], batch_id)
 
 
 def read_bronze(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
@@ -65,12 +67,19 @@ def path_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def stored_rows(
-    spark: SparkSession, path: str, partition: T.StructField | None = None
+    spark: SparkSession,
+    path: str,
+    partition: T.StructField | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame | None:
-    """Rows under a path with the columns of all its files; None where nothing is there yet.
+    """Rows under a path; None where nothing is there yet.
 
-    ``partition`` fixes the type of the folder column, which Spark would guess otherwise.
+    With ``schema`` no file footer is opened: its columns are read, NULL where a file lacks them.
+    Otherwise the files' schemas are merged. ``partition`` fixes the type of the folder column,
+    which Spark would guess otherwise.
     """
+    if schema is not None:
+        return path_or_none(spark, path, schema)
     try:
         found = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as e:
@@ -83,23 +92,52 @@ def stored_rows(
     return spark.read.schema(T.StructType([*fields, partition])).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is; nothing happens where there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def retire_snapshots(spark: SparkSession, base: str, keep: int) -> None:
+    """Delete all but the ``keep`` newest snapshot folders that ``publish`` left under a base."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.listStatus(where)] if files.exists(where) else []
+    # names begin with the time of writing, so they sort by age
+    snapshots = sorted(f.getName() for f in found if f.getName().startswith("snapshot-"))
+    for name in snapshots[:-keep] if keep > 0 else []:
+        remove_folder(spark, f"{base.rstrip('/')}/{name}")
+
+
 def publish(
     df: DataFrame,
     base: str,
     name: str,
     partition_by: Sequence[str] = (),
     temporary: bool = False,
+    keep: int = 0,
 ) -> DataFrame:
     """Full refresh: write a new snapshot folder, then point the view ``name`` at it.
 
+    With ``keep`` only so many of the newest snapshots stay; without, none is deleted.
+
     Readers see the old snapshot or the new one, never a half-written table, and the rows may
     come from the old snapshot itself. Columns may be added from one snapshot to the next.
     """
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/snapshot-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     write_balanced(df, path, partition_by, "errorifexists")
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
-    spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT * FROM parquet.`{path}`")
+    try:
+        spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT * FROM parquet.`{path}`")
+    except AnalysisException as e:
+        # folders of no rows leave no file that would tell the columns
+        if not partition_by or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        write_balanced(df.limit(0), path, (), "overwrite")
+        spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT * FROM parquet.`{path}`")
+    if keep:
+        retire_snapshots(spark, base, keep)
     return spark.table(name)
 
 
@@ -113,8 +151,13 @@ def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str], mode:
     writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-class PartitionMoved(ValueError):
-    """A key's partition value differs from the one it is stored under."""
+STAGED_SCHEMA = T.StructType(
+    [
+        T.StructField("staged", T.StringType(), False),
+        T.StructField("done", T.BooleanType(), False),
+        T.StructField("emptied", T.ArrayType(T.StringType())),
+    ]
+)
 
 
 def upsert_partitions(
@@ -124,45 +167,84 @@ def upsert_partitions(
     keys: Sequence[str],
     partition: str,
     newer_by: str | Sequence[str] | None = None,
-    check_moves: bool = True,
+    schema: T.StructType | None = None,
 ) -> None:
     """Upsert into a table kept in folders of one column, such as the event day, rewriting
-    only the folders the updates fall in.
+    only the folders the updates fall in and those their keys were stored in before.
+
+    ``updates`` holds one row per key. A key that changes its folder leaves the old one; the
+    folders are found by a scan of the stored keys. ``schema`` is the table's declared one.
 
-    ``updates`` holds one row per key. A key must keep its folder; ``check_moves`` verifies
-    that with a scan of the stored keys and raises before anything is written. Leave it on
-    unless the value is known never to change; where it does change, use ``publish``.
-    The list of folder values is no longer than what the driver lists anyway to plan a read.
+    The touched folders are first written whole beside the table and noted as staged, then moved
+    in and noted as done. A crash before the first note leaves the table as it was; one after it
+    is made good by ``finish_upserts``, with which each call begins. Only the list of touched
+    folder values reaches the driver, no longer than what it lists anyway to plan a read.
     """
-    target = stored_rows(
-        spark, path, T.StructField(partition, updates.schema[partition].dataType)
-    )
+    finish_upserts(spark, path, partition)
+    kind = updates.schema[partition].dataType
+    target = stored_rows(spark, path, T.StructField(partition, kind), schema)
     if target is None:
         write_balanced(updates, path, [partition], "append")
         return
-    if check_moves:
-        new = updates.select(*keys, F.col(partition).alias("_new"))
-        moved = target.join(new, list(keys)).where(~F.col(partition).eqNullSafe(F.col("_new")))
-        if not moved.isEmpty():
-            raise PartitionMoved(f"{path}: keys changed their {partition}; refresh it in full")
-    values = [r[0] for r in updates.select(partition).distinct().collect()]
+    here = target.select(*keys, F.col(partition).alias("_old"))
+    known = here.join(updates.select(*keys), list(keys), "left_semi").select("_old")
+    asked = known.union(updates.select(partition)).distinct()
+    values = [r[0] for r in asked.collect()]
     if not values:
         return
     touched = F.col(partition).isin([v for v in values if v is not None])
     if None in values:
         touched = touched | F.col(partition).isNull()
-    merged = upsert(target.where(touched), updates, keys, newer_by)
-    rows = merged.hint("rebalance", F.col(partition)).write.mode("overwrite")
-    rows.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-
+    old = target.where(touched)
+    folders = old.select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"), partition)
+    before = {r[1]: unquote(r[0]) for r in folders.distinct().collect()}
+    batch = uuid.uuid4().hex
+    merged = upsert(old, updates, keys, newer_by)
+    write_balanced(merged, f"{path.rstrip('/')}_staged/{batch}", [partition], "errorifexists")
+    staged = stored_rows(spark, f"{path.rstrip('/')}_staged/{batch}", T.StructField(partition, kind))
+    left = {r[0] for r in staged.select(partition).distinct().collect()}
+    _note(spark, path, batch, False, [f for v, f in before.items() if v not in left])
+    finish_upserts(spark, path, partition)
+
+
+def _note(spark: SparkSession, path: str, batch: str, done: bool, emptied: list[str]) -> None:
+    row = spark.createDataFrame([(batch, done, emptied)], STAGED_SCHEMA)
+    append_rows(row.coalesce(1), f"{path.rstrip('/')}_log")
+
+
+def finish_upserts(spark: SparkSession, path: str, partition: str) -> None:
+    """Move in what is staged and not done; to do so again changes nothing."""
+    log = path_or_none(spark, f"{path.rstrip('/')}_log", STAGED_SCHEMA)
+    if log is None:
+        return
+    done = log.where("done").select("staged")
+    # at most one, as each call begins by finishing the one before
+    for r in log.where("not done").join(done, "staged", "left_anti").collect():
+        folder = f"{path.rstrip('/')}_staged/{r.staged}"
+        staged = stored_rows(spark, folder, T.StructField(partition, T.StringType()))
+        if staged is not None:
+            writer = staged.hint("rebalance", F.col(partition)).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        for old in r.emptied:
+            remove_folder(spark, old)
+        _note(spark, path, r.staged, True, [])
+        remove_folder(spark, folder)
+
+
+def merge_into(
+    updates: DataFrame, name: str, keys: Sequence[str], newer_by: Sequence[str] = ()
+) -> None:
+    """Upsert through a catalog whose table format supports MERGE.
 
-def merge_into(updates: DataFrame, name: str, keys: Sequence[str]) -> None:
-    """Upsert through a catalog whose table format supports MERGE."""
+    With ``newer_by`` an update that is older than the stored row loses.
+    """
     match = " AND ".join(f"{name}.{k} = updates.{k}" for k in keys)
+    new, old = (", ".join(f"{side}.{c}" for c in newer_by) for side in ("updates", name))
+    newer = F.expr(f"struct({new}) >= struct({old})") if newer_by else None
     (
         updates.alias("updates")
         .mergeInto(name, F.expr(match))
-        .whenMatched()
+        .whenMatched(newer)
         .updateAll()
         .whenNotMatched()
         .insertAll()

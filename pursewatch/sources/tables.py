@@ -17,7 +17,7 @@ from pyspark.sql import Column, functions as F
 from pursewatch.functions.casts import CASTS
 from pursewatch.model import DEFAULT_KEY
 
-LINEAGE = ("ingest_ts", "source_partner", "batch_table")
+LINEAGE = ("ingest_ts", "source_partner", "batch_table", "batch_id")
 
 
 @dataclass(frozen=True)
@@ -94,7 +94,11 @@ def table_from_payload(payload: Mapping) -> TableSpec:
 
 
 def load_tables(path: str | os.PathLike | None = None) -> dict[str, TableSpec]:
-    """All declarations of a JSON list; the package's own when no path is given."""
+    """All declarations of a JSON list; the package's own when no path is given.
+
+    Table, key and column names of the package's own list are fixed values, and so are the names
+    of the environment variables below.
+    """
     text = Path(path or Path(__file__).with_name("default_tables.json")).read_text()
     specs = [table_from_payload(p) for p in json.loads(text)]
     names = [s.table for s in specs]

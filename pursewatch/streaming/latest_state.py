@@ -24,7 +24,6 @@ def stream_latest_state(
     order_by: Sequence[str],
     ties: Sequence[str],
     partition: str,
-    check_moves: bool = True,
     rejects: str | None = None,
 ) -> StreamingQuery:
     """Keep one row per key under ``path``, newest by ``order_by`` and then ``ties``.
@@ -51,7 +50,7 @@ def stream_latest_state(
                 keys,
                 partition,
                 newer_by=[*order_by, *ties],
-                check_moves=check_moves,
+                schema=latest.schema,
             )
         finally:
             latest.unpersist()

@@ -95,6 +95,110 @@ def test_null_keys_stop_the_run_or_are_set_aside(spark, root):
     assert [r.reject_reason for r in spark.table("m_transactions_rejects").collect()] == ["null key: transaction_id"]
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_null_keys_are_set_aside_in_either_mode(spark, root, incremental):
+    bad = partner(spark, [*FIRST, change(None, 1, 10, "SUCCESS", 1)])
+    names = {"silver": f"na{incremental}_", "gold": f"na{incremental}_"}
+    run_day(spark, {"a": bad}, Run(root, T0, rejects=True, **names), incremental)
+    name = f"na{incremental}_transactions"
+    assert spark.table(name).count() == 1
+    assert [r.reject_reason for r in spark.table(f"{name}_rejects").collect()] == ["null key: transaction_id"]
+
+
+def broken(spark, changes):
+    source = partner(spark, changes)
+    source["transactions"] = source["transactions"].withColumn("amount", F.raise_error(F.lit("source is down")).cast("string"))
+    return source
+
+
+def test_a_failed_partner_stops_the_run_and_its_rows_come_later(spark, root):
+    a, b = partner(spark, FIRST), partner(spark, [change("t9", 2, 20, "SUCCESS", 7)], users=(2,), cards=((20, False),))
+    names = {"silver": "fp_", "gold": "fp_"}
+    later = T0 + timedelta(hours=2)
+    with pytest.raises(CircuitOpen, match="partner_failed"):
+        run_day(spark, {"a": a, "b": broken(spark, FIRST)}, Run(root, T0, **names), incremental=True)
+    assert not spark.catalog.tableExists("fp_user_risk_profile")
+    run_day(spark, {"a": a, "b": broken(spark, FIRST)}, Run(root, T0, partial=True, **names), incremental=True)
+    assert rows(spark.table("fp_transactions").select("transaction_id")) == [("t1",)]
+    # the same run time again, now with the partner; then a later run, then an older one
+    run_day(spark, {"a": a, "b": b}, Run(root, T0, **names), incremental=True)
+    assert rows(spark.table("fp_transactions").select("transaction_id")) == [("t1",), ("t9",)]
+    gold = rows(run_day(spark, {"a": a, "b": b}, Run(root, later, **names), incremental=True))
+    c = partner(spark, [change("t5", 1, 10, "SUCCESS", 8)])
+    run_day(spark, {"a": a, "b": b, "c": c}, Run(root, T0 - timedelta(hours=2), **names), incremental=True)
+    assert rows(spark.table("fp_transactions").select("transaction_id")) == [("t1",), ("t5",), ("t9",)]
+    assert len(gold) == 2
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_the_same_run_twice_changes_nothing(spark, root, incremental):
+    names = {"silver": f"tw{incremental}_", "gold": f"tw{incremental}_"}
+    sources, run = {"a": partner(spark, FIRST + SECOND)}, Run(root, T0, **names)
+    once = rows(run_day(spark, sources, run, incremental))
+    assert rows(run_day(spark, sources, run, incremental)) == once
+
+
+def test_increments_that_silver_lost_track_of_are_merged_again(spark, root):
+    """A crash after bronze was written and before silver: the next run takes both increments."""
+    names = {"silver": "cr_", "gold": "cr_"}
+    ingest(spark, {"a": partner(spark, FIRST)}, Run(root, T0, **names))
+    run_day(spark, {"a": partner(spark, FIRST + SECOND)}, Run(root, T0, **names), incremental=True)
+    assert rows(spark.table("cr_transactions").select("transaction_id", "status")) == [("t1", "SUCCESS"), ("t2", "PENDING")]
+
+
+def test_types_and_change_times_stop_the_run(spark, root):
+    wrong = partner(spark, [change("t1", 1, 10, "SUCCESS", 0, amount="abc")])
+    with pytest.raises(CircuitOpen, match="transactions: type_mismatch"):
+        run_day(spark, {"a": wrong}, Run(f"{root}/x", T0, silver="ty_", gold="ty_"))
+    run_day(spark, {"a": wrong}, Run(f"{root}/y", T0, silver="tz_", gold="tz_", lenient=True))
+    untimed = partner(spark, FIRST)
+    untimed["transactions"] = untimed["transactions"].withColumn("updated_at", F.when(F.col("status") == "APPROVED", F.col("updated_at")))
+    with pytest.raises(CircuitOpen, match=r"transactions: unversioned \(1\)"):
+        run_day(spark, {"a": untimed}, Run(f"{root}/z", T0, silver="tu_", gold="tu_"), incremental=True)
+    ledger = {r.table_name: r for r in spark.read.parquet(f"{root}/z/ledger").collect()}
+    assert ledger["transactions"].error == "1 rows without a change time"
+
+
+def test_upsert_and_full_refresh_break_ties_alike(spark, root):
+    one, two = ([change("t1", 1, 10, s, 5, amount=a)] for s, a in (("SUCCESS", "9.00"), ("SUCCESS", "10.00")))
+    found = []
+    for incremental in (True, False):
+        for order in ((one, two), (two, one)):
+            n = f"tie{len(found)}_"
+            for i, changes in enumerate(order):
+                run = Run(f"{root}/{n}", T0 + timedelta(hours=i), silver=n, gold=n, look_back=timedelta(days=1))
+                run_day(spark, {"a": partner(spark, changes)}, run, incremental)
+            found.append(rows(spark.table(f"{n}transactions").select("amount")))
+    assert found == [found[0]] * 4
+
+
+def test_a_table_without_rows_on_the_first_day(spark, root):
+    first = partner(spark, [])
+    names = {"silver": "em_", "gold": "em_"}
+    assert len(rows(run_day(spark, {"a": first}, Run(root, T0, **names), incremental=True))) == 1
+    run_day(spark, {"a": partner(spark, FIRST)}, Run(root, T0 + timedelta(hours=1), **names), incremental=True)
+    assert spark.table("em_transactions").count() == 1
+
+
+def test_a_source_can_be_a_reader(spark, root):
+    asked = []
+    sources = partner(spark, FIRST)
+    table = sources["transactions"]
+    sources["transactions"] = lambda since: asked.append(since) or table
+    run_day(spark, {"a": sources}, Run(root, T0, silver="rd_", gold="rd_"), incremental=True)
+    run_day(spark, {"a": sources}, Run(root, T0, silver="rd_", gold="rd_"), incremental=True)
+    assert asked == [None, ts("2024-01-29 12:00:02")]
+
+
+def test_a_corrected_event_day_moves(spark, root):
+    late = list(change("t1", 1, 10, "SUCCESS", 9))
+    late[5] = late[5] - timedelta(days=3)
+    names = {"silver": "cd_", "gold": "cd_"}
+    run_day(spark, {"a": partner(spark, FIRST)}, Run(root, T0, **names), incremental=True)
+    run_day(spark, {"a": partner(spark, [tuple(late)])}, Run(root, T0 + timedelta(hours=1), **names), incremental=True)
+    assert [(r.status, str(r.event_date)) for r in spark.table("cd_transactions").collect()] == [("SUCCESS", "2024-01-26")]
+
+
 def test_silver_holds_the_declared_types(spark, root):
     run_day(spark, {"a": partner(spark, FIRST)}, Run(root, T0, silver="y_", gold="y_"))
     types = dict(spark.table("y_transactions").dtypes)
