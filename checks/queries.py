@@ -13,7 +13,7 @@ from checks import views as V
 from checks.views import AS_OF
 from pursewatch.functions import casts, predicates
 from pursewatch.functions.timing import moment, watermark_text
-from pursewatch.model import EPOCH, LEDGER_SCHEMA
+from pursewatch.model import EPOCH, LEDGER_SCHEMA, PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
 from pursewatch.operators import audit, dedup, incremental, lifecycle, projection, quality
 from pursewatch.operators import upsert as ups
 from pursewatch.plans import gold
@@ -944,3 +944,124 @@ def layers_incremental(spark, sf):
     first = Run(root, RUN_TS - timedelta(hours=2), **names)
     run_day(spark, _sources(spark, sf, MID), first, incremental=True)
     return run_day(spark, _sources(spark, sf), Run(root, RUN_TS, **names), incremental=True)
+
+
+@check(ORACLES["user_risk_profile"])
+def layers_resumed(spark, sf):
+    """A first attempt in which one partner fails, then the same run again, merged by increments."""
+    root = scratch_path(spark, "layers")
+    run = Run(root, RUN_TS, **_view_names(root))
+    sources = _sources(spark, sf)
+    lost = dict(sources["PARTNER_B"])
+    lost["transactions"] = lost["transactions"].withColumn("status", F.raise_error(F.lit("source is down")).cast("string"))
+    try:
+        run_day(spark, {**sources, "PARTNER_B": lost}, run, incremental=True)
+    except audit.CircuitOpen as e:
+        if "partner_failed" not in str(e):
+            raise
+    return run_day(spark, sources, run, incremental=True)
+
+
+@check(
+    V.with_views(V.TX, V.TX_BADKEYS)
+    + """SELECT transaction_id, status, updated_at, CAST(NULL AS VARCHAR) AS reject_reason FROM tx_badkeys
+  WHERE transaction_id IS NOT NULL
+UNION ALL SELECT transaction_id, status, updated_at, 'null key: transaction_id' FROM tx_badkeys
+  WHERE transaction_id IS NULL"""
+)
+def layers_incremental_rejects(spark, sf):
+    """Rows without a key through two incremental runs: silver and what was set aside."""
+    root = scratch_path(spark, "layers")
+    names = _view_names(root)
+    bad = V.tx_badkeys(spark, sf).drop("ingest_ts")
+    for k, rows in enumerate((bad.where(F.col("updated_at") <= moment(MID)), bad)):
+        split, others = parts(rows), _sources(spark, sf)
+        sources = {p: {**others[p], "transactions": split[p.lower()]} for p in others}
+        run_day(spark, sources, Run(root, RUN_TS + timedelta(hours=k), rejects=True, **names), incremental=True)
+    columns = ["transaction_id", "status", "updated_at"]
+    silver = spark.table(f"{names['silver']}transactions").select(*columns)
+    aside = spark.table(f"{names['silver']}transactions_rejects").select(*columns, "reject_reason")
+    return ups.union_evolved(silver, aside)
+
+
+@check(
+    V.with_views(V.TX_STATES, V.LATEST)
+    + """SELECT transaction_id, updated_at, status, strftime(updated_at, '%Y') AS year FROM latest"""
+)
+def upsert_moved_folders(spark, sf):
+    """Two batches in folders by the year of the last change: most keys of the second one move."""
+    root = scratch_path(spark, "folders")
+    columns = ["transaction_id", "updated_at", "status", F.date_format("updated_at", "yyyy").alias("year")]
+    newer_by = ["updated_at", "status"]
+    halves = [half.select(*columns) for half in _halves(V.tx_states(spark, sf))]
+    for batch in halves:
+        managed.upsert_partitions(spark, root, batch, ["transaction_id"], "year", newer_by, batch.schema)
+    return spark.read.schema(halves[0].schema).parquet(root)
+
+
+@check(
+    ORACLES["audit_bronze_to_silver"]
+    + """ UNION ALL SELECT pipeline_stage, table_name, NULL, NULL, null_pk_count FROM ("""
+    + ORACLES["audit_source_to_bronze"]
+    + ")"
+)
+def ledger_written(spark, sf):
+    """Both audits appended to a declared ledger table and read back by its name."""
+    root = scratch_path(spark, "ledger")
+    name = "ledger_" + root.rsplit("-", 1)[-1]
+    managed.create_table(spark, name, LEDGER_SCHEMA, f"{root}/rows")
+    states, users = V.tx_states(spark, sf), V.users(spark, sf)
+    silver = dedup.latest_per_key(states, ["transaction_id"], ["updated_at"], V.STATE_TIES)
+    layers = [
+        audit.Layer("transactions", "bronze", states, ("transaction_id",)),
+        audit.Layer("transactions", "silver", silver, ("transaction_id",)),
+        audit.Layer("users", "bronze", users, ("user_id",)),
+        audit.Layer("users", "silver", users, ("user_id",)),
+    ]
+    for rows in (audit.bronze_to_silver(layers, RUN_TS), _bronze_audit(spark, sf)):
+        managed.append_rows(managed.conform(rows, LEDGER_SCHEMA), f"{root}/rows")
+    spark.catalog.refreshTable(name)
+    return managed.read_table(spark, name).select(
+        "pipeline_stage", "table_name", "bronze_raw_count", "silver_deduped_count", "null_pk_count"
+    )
+
+
+@check(ORACLES["unified_wallet"])
+def wallet_table(spark, sf):
+    """The unified wallet in a namespace, as an external table with its declared schema."""
+    root = scratch_path(spark, "wallet")
+    namespace = "lake_" + root.rsplit("-", 1)[-1]
+    managed.create_namespace(spark, namespace, f"{root}/space")
+    name = f"{namespace}.wallet"
+    managed.create_table(spark, name, UNIFIED_WALLET_SCHEMA, f"{root}/rows")
+    tx = V.tx(spark, sf).withColumnRenamed("source_partner", "partner")
+    users = V.users(spark, sf).drop("source_partner")
+    wide = gold.unified_wallet(tx, users, V.cards(spark, sf).drop("source_partner"))
+    managed.append_rows(wide, f"{root}/rows")
+    spark.catalog.refreshTable(name)
+    return plain(managed.read_table(spark, name))
+
+
+@check(ORACLES["user_risk_profile"])
+def profile_table(spark, sf):
+    """The profile stored as a declared table, its keys enforced."""
+    root = scratch_path(spark, "profile")
+    name = "profile_" + root.rsplit("-", 1)[-1]
+    managed.create_table(spark, name, PROFILE_SCHEMA, f"{root}/rows")
+    managed.append_rows(gold.keyed_profile(user_risk_profile(spark, sf)), f"{root}/rows")
+    spark.catalog.refreshTable(name)
+    return managed.read_table(spark, name)
+
+
+@check(ORACLES["merchant_daily_summary"])
+def stream_summary_folded(spark, sf):
+    """Three streaming runs, the first two folded into one set of sums in between."""
+    root = scratch_path(spark, "stream")
+    tx = _in_myr(V.tx(spark, sf)).select("merchant_id", "transaction_time", "amount_myr", "risk_score")
+    for k in range(3):
+        tx.where(F.col("merchant_id") % 3 == k).write.mode("append").parquet(f"{root}/feed")
+        feed = spark.readStream.schema(tx.schema).parquet(f"{root}/feed")
+        daily_summary.stream_daily_parts(feed, f"{root}/parts", f"{root}/checkpoint").awaitTermination()
+        if k == 1:
+            daily_summary.fold_daily_parts(spark, f"{root}/parts")
+    return _summary(daily_summary.read_daily_summary(spark, f"{root}/parts"))

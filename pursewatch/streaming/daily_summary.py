@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pursewatch.functions.timing import as_utc_instant, day_of, from_utc_instant
+from pursewatch.sources.managed import path_or_none
 
 
 def stream_daily_parts(tx: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -17,7 +18,7 @@ def stream_daily_parts(tx: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parts = batch.groupBy("merchant_id", day_of(F.col("transaction_time")).alias("date")).agg(
-            F.sum("amount_myr").alias("volume"),
+            F.sum("amount_myr").cast("decimal(38,2)").alias("volume"),
             F.sum("risk_score").alias("risk"),
             F.count("risk_score").alias("risk_rows"),
         )
@@ -27,15 +28,51 @@ def stream_daily_parts(tx: DataFrame, path: str, checkpoint: str) -> StreamingQu
     return writer.trigger(availableNow=True).start()
 
 
+_PARTS = "merchant_id bigint, date timestamp_ntz, volume decimal(38,2), risk double, risk_rows bigint"
+
+
+def _sums(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("merchant_id", "date").agg(
+        F.sum("volume").alias("volume"),
+        F.sum("risk").alias("risk"),
+        F.sum("risk_rows").alias("risk_rows"),
+    )
+
+
+def _finished(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The sums of the newest fold and of the batches after it, and the last of these batches."""
+    batches = spark.read.schema(f"{_PARTS}, batch_id bigint").parquet(path)
+    folded = path_or_none(spark, f"{path.rstrip('/')}_folded", T.StructType.fromDDL(f"{_PARTS}, upto bigint"))
+    upto = folded.agg(F.max("upto")).first()[0] if folded is not None else None
+    if upto is not None:
+        rest = batches.where(F.col("batch_id") > upto).drop("batch_id")
+        parts = folded.where(F.col("upto") == upto).drop("upto").unionByName(rest)
+    else:
+        parts = batches.drop("batch_id")
+    return parts, batches.agg(F.max("batch_id")).first()[0]
+
+
+def fold_daily_parts(spark: SparkSession, path: str) -> None:
+    """Add up all finished batches into one folder, which later reads begin with.
+
+    Run it while no batch is being written. A fold that fails is not seen, one that is repeated
+    replaces itself; the folders that it stands for are no longer read and may be deleted.
+    """
+    parts, last = _finished(spark, path)
+    if last is not None:
+        where = f"{path.rstrip('/')}_folded/upto={last}"
+        # all days of a merchant are few rows; the sums have one type whatever they are sums of
+        sums = _sums(parts).withColumn("volume", F.col("volume").cast("decimal(38,2)"))
+        sums.write.mode("overwrite").parquet(where)
+
+
 def read_daily_summary(spark: SparkSession, path: str) -> DataFrame:
     """The summary as of the last finished batch."""
-    return (
-        spark.read.parquet(path)
-        .groupBy("merchant_id", "date")
-        .agg(
-            F.sum("volume").alias("total_volume"),
-            F.try_divide(F.sum("risk"), F.sum("risk_rows")).alias("avg_risk_score"),
-        )
+    return _sums(_finished(spark, path)[0]).select(
+        "merchant_id",
+        "date",
+        F.col("volume").alias("total_volume"),
+        F.try_divide("risk", "risk_rows").alias("avg_risk_score"),
     )
 
 
