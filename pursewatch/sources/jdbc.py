@@ -1,12 +1,14 @@
-"""Increments from a relational source, read in parallel time slices."""
+"""Increments from a relational source, read in parallel slices."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pursewatch.model import EPOCH
+
 
 def time_slices(column: str, since: datetime, until: datetime, slices: int) -> list[str]:
     """Predicates that together cover ``since < column <= until`` without overlap."""
@@ -20,20 +22,63 @@ def time_slices(column: str, since: datetime, until: datetime, slices: int) -> l
     ]
 
 
+def key_slices(key: str, slices: int, condition: str | None = None) -> list[str]:
+    """Predicates that deal rows out by a numeric key, evenly however uneven their times are.
+
+    A key may be negative or NULL; every row is in one slice.
+    """
+    if slices < 1:
+        raise ValueError("need at least one slice")
+    dealt = [f"ABS(MOD({key}, {slices})) = {i}" for i in range(slices)]
+    dealt[0] = f"({dealt[0]} OR {key} IS NULL)"
+    return [f"{condition} AND {d}" if condition else d for d in dealt]
+
+
+def increment_predicates(
+    column: str, since: datetime | None, until: datetime, slices: int, key: str | None = None
+) -> list[str]:
+    """How the rows changed in ``(since, until]`` are dealt over connections.
+
+    By the key where the table has a numeric one. Otherwise by time, which is even only where
+    changes are: give ``since`` and ``until`` from the source's own smallest and largest time.
+    """
+    start = since or datetime.fromisoformat(EPOCH)
+    if key is None:
+        return time_slices(column, start, until, slices)
+    return key_slices(key, slices, time_slices(column, start, until, 1)[0])
+
+
+def _options(properties: Mapping[str, str] | None) -> dict[str, str]:
+    return {"preferTimestampNTZ": "true", "fetchsize": "10000", **(properties or {})}
+
+
+def changed_between(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    since: datetime | None,
+    properties: Mapping[str, str] | None = None,
+) -> tuple[datetime | None, datetime | None]:
+    """Smallest and largest change time past a mark; the source counts, one row comes back."""
+    start = (since or datetime.fromisoformat(EPOCH)).isoformat(sep=" ")
+    asked = f"(SELECT MIN({column}) AS a, MAX({column}) AS b FROM {table} WHERE {column} > '{start}') bounds"
+    return tuple(spark.read.jdbc(url, asked, properties=_options(properties)).first())
+
+
 def read_increment(
     spark: SparkSession,
     url: str,
     table: str,
     column: str,
-    since: datetime,
+    since: datetime | None,
     until: datetime,
     slices: int = 8,
     properties: Mapping[str, str] | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Rows changed in ``(since, until]``; one connection per slice, filtered in the source."""
-    options = {"preferTimestampNTZ": "true", "fetchsize": "10000", **(properties or {})}
-    predicates = time_slices(column, since, until, slices)
-    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+    return _read(spark, url, table, increment_predicates(column, since, until, slices, key), properties)
 
 
 def read_snapshot(
@@ -46,7 +91,6 @@ def read_snapshot(
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A whole table without a change column, split on a numeric column."""
-    options = {"preferTimestampNTZ": "true", "fetchsize": "10000", **(properties or {})}
     return spark.read.jdbc(
         url,
         table,
@@ -54,5 +98,49 @@ def read_snapshot(
         lowerBound=bounds[0],
         upperBound=bounds[1],
         numPartitions=slices,
-        properties=options,
+        properties=_options(properties),
     )
+
+
+def _read(
+    spark: SparkSession, url: str, table: str, predicates: list[str], properties: Mapping | None
+) -> DataFrame:
+    return spark.read.jdbc(url, table, predicates=predicates, properties=_options(properties))
+
+
+def reader(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str | None = None,
+    key: str | None = None,
+    slices: int = 8,
+    properties: Mapping[str, str] | None = None,
+    bounds: Callable = changed_between,
+    read: Callable | None = None,
+) -> Callable[[datetime | None], DataFrame]:
+    """A table as a source of ``run_day``: given a mark, its rows that changed since.
+
+    Without a change column every run reads the whole table. Time slices span the source's own
+    times past the mark; where nothing is new the one slice is empty.
+    """
+
+    def changed(since: datetime | None) -> DataFrame:
+        if column is None:
+            if key is None:
+                return spark.read.jdbc(url, table, properties=_options(properties))
+            return (read or _read)(spark, url, table, key_slices(key, slices), properties)
+        low, high = bounds(spark, url, table, column, since, properties)
+        if high is None:
+            nothing = f"(SELECT * FROM {table} WHERE 1 = 0) nothing"
+            return spark.read.jdbc(url, nothing, properties=_options(properties))
+        # the first slice is open below: the smallest time itself belongs to it
+        even = low is not None and low < high and key is None
+        predicates = increment_predicates(column, since, high, slices if key else 1, key)
+        if even:
+            predicates = time_slices(column, low, high, slices)
+            first = predicates[0].replace(f"{column} > ", f"{column} >= ", 1)
+            predicates = [first, *predicates[1:]]
+        return (read or _read)(spark, url, table, predicates, properties)
+
+    return changed

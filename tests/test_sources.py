@@ -134,6 +134,36 @@ def test_time_slices_cover_the_increment():
         jdbc.time_slices("updated_at", ts("2024-01-01"), ts("2024-01-01"), 2)
 
 
+def test_key_slices_hold_every_row_once(spark):
+    df = spark.sql("SELECT explode(array(-7, -3, 0, 1, 5, 8, 12, NULL)) AS k")
+    found = [df.where(p).count() for p in jdbc.key_slices("k", 3)]
+    assert sum(found) == 8 and min(found) >= 2
+
+
+def test_reader_slices_the_sources_own_times(spark):
+    """Without a database: what is asked of it, applied to rows whose times are all recent."""
+    df = source(spark, *[(i, "x", f"2024-01-{1 + i:02d}") for i in range(24)])
+    sent = []
+
+    def read(_, url, table, predicates, properties):
+        sent.extend(predicates)
+        return df
+
+    def bounds(_, url, table, column, since, properties):
+        new = changed_since(df, column, since or "1970-01-01 00:00:00")
+        return tuple(new.agg(F.min(column), F.max(column)).first())
+
+    options = dict(bounds=bounds, read=read)
+    jdbc.reader(spark, "jdbc:none", "t", "updated_at", slices=4, **options)(None)
+    assert [df.where(p).count() for p in sent] == [6, 6, 6, 6]
+    sent.clear()
+    jdbc.reader(spark, "jdbc:none", "t", "updated_at", slices=4, **options)(ts("2024-01-20"))
+    assert sum(df.where(p).count() for p in sent) == 4
+    sent.clear()
+    jdbc.reader(spark, "jdbc:none", "t", "updated_at", key="id", slices=3, **options)(ts("2024-01-12"))
+    assert [df.where(p).count() for p in sent] == [4, 4, 4]
+
+
 def test_tables_and_namespaces(spark, root):
     managed.create_namespace(spark, "lake", f"{root}/lake")
     managed.create_namespace(spark, "lake", f"{root}/lake")
