@@ -160,7 +160,7 @@ def passages(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 3])
 @pytest.mark.parametrize("size", [13, 6])
 def test_repeated_windows_match_brute_force(spark, seed, size):
     rows = passages(seed)
