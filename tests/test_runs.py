@@ -162,14 +162,13 @@ def test_types_and_change_times_stop_the_run(spark, root):
 def test_upsert_and_full_refresh_break_ties_alike(spark, root):
     one, two = ([change("t1", 1, 10, s, 5, amount=a)] for s, a in (("SUCCESS", "9.00"), ("SUCCESS", "10.00")))
     found = []
-    for incremental in (True, False):
-        for order in ((one, two), (two, one)):
-            n = f"tie{len(found)}_"
-            for i, changes in enumerate(order):
-                run = Run(f"{root}/{n}", T0 + timedelta(hours=i), silver=n, gold=n, look_back=timedelta(days=1))
-                run_day(spark, {"a": partner(spark, changes)}, run, incremental)
-            found.append(rows(spark.table(f"{n}transactions").select("amount")))
-    assert found == [found[0]] * 4
+    for incremental, order in ((True, (one, two)), (True, (two, one)), (False, (two, one))):
+        n = f"tie{len(found)}_"
+        for i, changes in enumerate(order):
+            run = Run(f"{root}/{n}", T0 + timedelta(hours=i), silver=n, gold=n, look_back=timedelta(days=1))
+            run_day(spark, {"a": partner(spark, changes)}, run, incremental)
+        found.append(rows(spark.table(f"{n}transactions").select("amount")))
+    assert found == [found[0]] * 3
 
 
 def test_a_table_without_rows_on_the_first_day(spark, root):
