@@ -1065,3 +1065,30 @@ def stream_summary_folded(spark, sf):
         if k == 1:
             daily_summary.fold_daily_parts(spark, f"{root}/parts")
     return _summary(daily_summary.read_daily_summary(spark, f"{root}/parts"))
+
+
+@check(
+    V.with_views(V.TX)
+    + f"""SELECT 'freshness' AS log, source_partner AS subject, COUNT(*) AS row_count,
+  COUNT(*) FILTER (date_sub('second', transaction_time, TIMESTAMP '{AS_OF}') > 7200) AS late_or_gold, true AS said
+FROM tx GROUP BY 2
+UNION ALL SELECT 'volume', source_partner, COUNT(*) FILTER (transaction_time >= TIMESTAMP '{AS_OF}'), 0,
+  COUNT(*) FILTER (transaction_time >= TIMESTAMP '{AS_OF}') = 0 FROM tx GROUP BY 2
+UNION ALL SELECT 'layers', 'transactions', (SELECT COUNT(*) FROM tx), NULL, true
+UNION ALL SELECT 'layers', 'cards', (SELECT COUNT(*) FROM supplier), NULL, true
+UNION ALL SELECT 'layers', 'users', (SELECT COUNT(*) FROM customer), (SELECT COUNT(*) FROM customer), true"""
+)
+def layers_report(spark, sf):
+    """What a run logs besides its ledger: lateness, a day without rows, and agreeing layers."""
+    root = scratch_path(spark, "layers")
+    run_day(spark, _sources(spark, sf), Run(root, RUN_TS, report=True, **_view_names(root)))
+    log = {name: spark.read.parquet(f"{root}/quality/{name}") for name in ("freshness", "volume", "layers")}
+    agree = F.col("bronze_parity") & F.col("silver_parity") & F.coalesce("gold_parity", F.lit(True))
+    found = [
+        log["freshness"].select("partner", "row_count", "late_rows", "breached"),
+        log["volume"].select("partner", "row_count", F.lit(0), F.col("anomaly") == "no_data"),
+        log["layers"].select("table_name", "silver_count", "gold_count", agree),
+    ]
+    columns = ["subject", "row_count", "late_or_gold", "said"]
+    rows = [df.toDF(*columns).select(F.lit(name).alias("log"), "*") for name, df in zip(log, found)]
+    return reduce(DataFrame.unionByName, rows)

@@ -13,11 +13,17 @@ from pyspark.sql.utils import AnalysisException
 
 from pursewatch.functions.timing import moment
 from pursewatch.model import BATCH_SCHEMA, EPOCH, LEDGER_SCHEMA, MERGED_SCHEMA, WATERMARK_SCHEMA
-from pursewatch.operators.audit import Layer, bronze_to_silver, enforce, source_to_bronze
+from pursewatch.operators.audit import (
+    Layer,
+    bronze_to_silver,
+    enforce,
+    reconcile,
+    source_to_bronze,
+)
 from pursewatch.operators.dedup import latest_per_key
 from pursewatch.operators.incremental import changed_since, current_watermarks
 from pursewatch.operators.projection import first_of_duplicates, require_keys, split_rejects
-from pursewatch.operators.quality import cast_failures
+from pursewatch.operators.quality import cast_failures, freshness, volume_anomalies
 from pursewatch.operators.upsert import upsert
 from pursewatch.plans.gold import keyed_profile, user_risk_profile
 from pursewatch.plans.silver import VERSION, build_silver, build_silver_with_rejects, typed_rows
@@ -47,7 +53,8 @@ class Run:
     A run stops on a row without a key, a present value that its cast loses, a source row without
     a change time and a partner that fails; ``rejects`` sets rows without a key aside instead,
     ``lenient`` lets the others pass, and ``partial`` goes on without the failed partner. All of
-    it is in the ledger either way. ``keep`` is the number of old snapshots that stay.
+    it is in the ledger either way. ``keep`` is the number of old snapshots that stay. With
+    ``report`` a run that reaches gold also logs freshness, volume and the layers' agreement.
     """
 
     root: str
@@ -62,6 +69,7 @@ class Run:
     lenient: bool = False
     partial: bool = False
     keep: int = 3
+    report: bool = False
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -376,6 +384,34 @@ def audit_silver(
         audit.unpersist()
 
 
+def report_day(
+    spark: SparkSession,
+    sources: Sources,
+    run: Run,
+    silver: Mapping[str, DataFrame],
+    profile: DataFrame,
+) -> None:
+    """Append to ``quality/…`` how late this run's transactions came, how many came per partner
+    today, and whether the four layers of each table agree. Nothing here stops the run."""
+    tx, now = silver["transactions"], moment(run.run_ts).alias("run_ts")
+    fresh = freshness(tx.where(F.col("ingest_ts") == moment(run.run_ts)))
+    names = [p.lower() for p in sources]
+    volume = volume_anomalies(tx, run.run_ts.date(), days=1, partners=names)
+    here = {t for given in sources.values() for t in given}
+    layers = []
+    for table, spec in run.tables.items():
+        keys, raw = spec.keys, _raw_keys(spec)
+        rules = {r.name: r.build(moment(run.run_ts)).alias(r.name) for r in spec.rules}
+        bronze = _bronze(spark, run, spec, table in here)
+        typed = bronze.select(*[rules.get(k, F.col(k)) for k in keys])
+        frames = [given[table] for given in sources.values() if isinstance(given.get(table), DataFrame)]
+        layers += [Layer(table, "source", first_of_duplicates(f), raw) for f in frames]
+        layers += [Layer(table, "bronze", typed, keys), Layer(table, "silver", silver[table], keys)]
+    layers.append(Layer("users", "gold", profile, run.tables["users"].keys))
+    for name, rows in (("freshness", fresh), ("volume", volume), ("layers", reconcile(layers))):
+        append_rows(rows.select(now, "*"), run.path("quality", name))
+
+
 def run_day(
     spark: SparkSession, sources: Sources, run: Run, incremental: bool = False
 ) -> DataFrame:
@@ -403,10 +439,13 @@ def run_day(
     profile = user_risk_profile(
         silver["users"], silver["cards"], silver["transactions"], run.run_ts, within
     )
-    return publish(
+    gold = publish(
         keyed_profile(profile, within),
         run.path("gold", "user_risk_profile"),
         f"{run.gold}user_risk_profile",
         temporary=run.temporary,
         keep=run.keep,
     )
+    if run.report:
+        report_day(spark, sources, run, silver, gold)
+    return gold
