@@ -140,3 +140,31 @@ def test_orphans_with_and_without_owners(spark):
     owned = cards.withColumn("user_id", F.lit(1).cast("bigint"))
     got = {r.transaction_id: r.orphan_reason for r in quality.orphan_transactions(tx, users, owned).collect()}
     assert got["d"] == "card of another user" and "a" not in got and len(got) == 4
+
+
+def test_a_key_in_two_frames_of_a_layer_counts_once(spark):
+    frames = [Layer("t", "bronze", ids(spark, *v), ("id",), distinct=("id",)) for v in (("a", "b"), ("a", "b", None))]
+    r = layer_counts(frames).first()
+    assert (r.rows, r.distinct_keys, r.null_pk_count) == (5, 2, 1)
+
+
+def test_baseline_reaches_before_the_period(spark):
+    days = [(f"2024-01-{d:02d} 08:00:00", 10 if d < 20 else 100) for d in range(1, 21)]
+    df = spark.createDataFrame([(ts(t), "a") for t, n in days for _ in range(n)], "transaction_time timestamp_ntz, partner string")
+    got = rows(quality.volume_anomalies(df, date(2024, 1, 20), days=1))
+    assert got == [("a", date(2024, 1, 20), 100, 10.0, "spike")]
+
+
+def test_rows_of_one_time_in_the_trend_have_an_order(spark):
+    one = source_to_bronze([layer(spark, "source", "a"), layer(spark, "bronze", "a")], RUN)
+    two = source_to_bronze([layer(spark, "source", "a", "b"), layer(spark, "bronze", "a", "b")], RUN)
+    for both in (one.unionByName(two), two.unionByName(one)):
+        assert rows(ledger_trend(both.drop("error")).select("source_count", "source_count_change")) == [(1, None), (2, 1)]
+
+
+def test_rules_on_partners_types_and_times(spark):
+    audit = source_to_bronze([layer(spark, "source", "a"), layer(spark, "bronze", "a")], RUN)
+    enforce(audit.withColumns({c: F.lit(0) for c in ("failed_partners", "type_mismatches", "unversioned_rows")}))
+    for column, rule in (("failed_partners", "partner_failed"), ("type_mismatches", "type_mismatch"), ("unversioned_rows", "unversioned")):
+        with pytest.raises(CircuitOpen, match=rf"t: {rule} \(3\)"):
+            enforce(audit.withColumn(column, F.lit(3)))

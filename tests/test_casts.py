@@ -89,3 +89,8 @@ def test_partner_names_and_suffixes(spark):
         predicates.partner_id(F.col("p")), predicates.table_suffix(F.col("p"), {"partner_b": "_partner_b"})
     ).collect()
     assert [tuple(r) for r in got] == [("partner_a", ""), ("partner_b", "_partner_b"), ("other", "")]
+
+
+def test_whole_numbers_are_rounded_once(spark):
+    values = ["0.49999999999", "1.49999999999", "-0.49999999999999", "2.50000000000000", "-2.5000000000001", "7.99999999999 "]
+    assert run(spark, casts.to_bigint, values) == [0, 1, 0, 3, -3, 8]

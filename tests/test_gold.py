@@ -175,3 +175,11 @@ def test_latency_by_partner(spark):
     a, b = latency_by_partner(df, percentiles=(0.5, 1.0)).orderBy("partner").collect()
     assert tuple(a) == ("a", 8, 3.5, 0, 7, 3.5, 7.0)
     assert tuple(b) == ("b", 0, None, None, None, None, None)
+
+
+def test_equal_ids_of_two_partners_are_two_users(spark):
+    u = spark.createDataFrame([("a", 1), ("b", 1)], "source_partner string, user_id bigint")
+    c = spark.createDataFrame([("a", 10, False), ("b", 10, True)], "source_partner string, card_id bigint, is_compromised boolean")
+    tx = spark.createDataFrame([tx_row("t1", amount="7.00")], TX_DDL).withColumn("source_partner", F.lit("a"))
+    got = rows(keyed_profile(user_risk_profile(u, c, tx, AS_OF, ["source_partner"]), ["source_partner"]).drop("profile_updated_at"))
+    assert got == [("a", 1, 7.0, 7.0, False), ("b", 1, 0.0, None, False)]

@@ -150,3 +150,9 @@ def test_upsert_leaves_a_large_target_unshuffled(spark, root):
     merged = upsert(spark.read.parquet(f"{root}/t"), spark.read.parquet(f"{root}/u"), ["k"])
     merged.collect()
     assert "Exchange hashpartitioning" not in plan(merged)
+
+
+def test_nested_maps_take_part_in_the_order(spark):
+    df = spark.sql("SELECT 'k' AS k, 1 AS t, struct(map('a', n) AS m) AS s FROM VALUES (1), (3), (2) v(n)")
+    found = {str(latest_per_key(d, ["k"], ["t"]).first().s) for d in (df, df.orderBy(F.col("s.m.a").desc()))}
+    assert len(found) == 1
