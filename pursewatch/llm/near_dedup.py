@@ -21,6 +21,9 @@ MATCHES = 22
 #: Shingles of so many documents or fewer are compared one by one before two sets are.
 RARE = 64
 
+#: Ids of documents in posting lists that are broadcast at most, some 10 MB; more are shuffled.
+SENT_IDS = 1_000_000
+
 SIGNED = "doc_id long, n_shingles long, content binary, signature array<long>"
 SETS = "doc_id long, shingles array<long>"
 
@@ -176,7 +179,9 @@ def near_dedup(
     lists = stored(lists.select("rep", "n", "weight", F.col("entry.value").alias("value")), "lists")
 
     in_lists = lists.select(F.col("rep").alias("doc_id")).distinct()
-    near = stored(rows.join(in_lists, "doc_id", "left_semi").mapInArrow(_setter(size), SETS), "sets")
+    # so few ids go to every task instead of all texts going through a shuffle
+    sent = F.broadcast(in_lists) if in_lists.count() <= SENT_IDS else in_lists
+    near = stored(rows.join(sent, "doc_id", "left_semi").mapInArrow(_setter(size), SETS), "sets")
     signs = reps.join(in_lists.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     signs = stored(signs.dropDuplicates(["rep"]), "signs")
 
