@@ -31,8 +31,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay, as do documents without words.
     """
     found = near_dedup.near_dedup(docs)
-    kept = stored(found.where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    rows = docs.join(kept, "doc_id", "left_semi")
+    gone = stored(found.where("not kept").select("doc_id").distinct(), "gone")
+    # few ids go to every task instead of all texts going through a shuffle
+    sent = F.broadcast(gone) if gone.count() <= near_dedup.SENT_IDS else gone
+    rows = docs.join(sent, "doc_id", "left_anti")
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
     again = again.select("doc_id")
     if not again.isEmpty():
@@ -41,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         one = rows.join(again, "doc_id", "left_semi").withColumn(nth, F.row_number().over(first))
         one = one.where(F.col(nth) == 1).drop(nth)
         rows = rows.join(again, "doc_id", "left_anti").unionByName(one)
-    return rows.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return rows.select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
