@@ -21,10 +21,16 @@ RADIUS = 7
 BLOCKS = 4
 #: Item-sized windows that start so many words before or behind a candidate are compared too.
 SHIFT = 2
+#: Items from so many words on are looked for by windows of half their words.
+LONG = 64
 #: Bytes of benchmark text that are indexed and sent to the tasks at a time.
 ITEM_BYTES = 4 << 20
 #: Words of a document whose bit sums are held at a time.
 SEGMENT = 1 << 16
+#: Fingerprints that are taken at a time, so that their bit counts stay in a core's cache.
+STRIP = 1 << 11
+#: Words in a run that bit sums are taken over first.
+RUN = 128
 
 LEAKS = T.ArrayType(
     T.StructType(
@@ -60,18 +66,34 @@ def normal_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashed[code], length[code], kept[starts]
 
 
-def _bit_sums(word: np.ndarray) -> np.ndarray:
-    """For each place how many of the words before it have each of the 64 bits."""
+def _bit_sums(word: np.ndarray, widest: int) -> np.ndarray:
+    """For each place how many of the words before it have each of the 64 bits.
+
+    Sums wrap around; differences over up to ``widest`` words are right all the same.
+    """
     bits = np.unpackbits(word.view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(word) + 1, 64), np.int32)
-    np.cumsum(bits, axis=0, out=sums[1:])
+    sums = np.zeros((len(word) + 1, 64), np.uint16 if widest < 1 << 16 else np.uint64)
+    sums[1:] = bits
+    # runs of RUN words side by side, then what lies before each run, then the words left over
+    whole = len(word) // RUN * RUN
+    runs = sums[1 : whole + 1].reshape(-1, RUN, 64)
+    for k in range(1, RUN):
+        runs[:, k] += runs[:, k - 1]
+    runs[1:] += np.cumsum(runs[:-1, -1], axis=0, dtype=sums.dtype)[:, None]
+    for k in range(whole, len(word)):
+        sums[k + 1] += sums[k]
     return sums
 
 
-def _fingerprints(sums: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the ``size`` words at each place: the bits that most of them have."""
-    most = (sums[at + size] - sums[at]) * 2 > size
-    return np.packbits(most, axis=1).view(np.uint64).ravel()
+def _fingerprints(sums: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of the ``size`` words at every place: the bits that most of them have."""
+    count = max(len(sums) - size, 0)
+    out = np.empty(count, np.uint64)
+    for a in range(0, count, STRIP):
+        b = min(a + STRIP, count)
+        most = sums[a + size : b + size] - sums[a:b] > size // 2
+        out[a:b] = np.packbits(most, axis=1).view(np.uint64).ravel()
+    return out
 
 
 def _shingles(word: np.ndarray, length: np.ndarray, size: int) -> Counter:
@@ -96,20 +118,22 @@ class _Class:
     """Items of about one length, by the windows of one size in them."""
 
     size: int
-    step: int
     fingerprint: np.ndarray
     item: np.ndarray
     offset: np.ndarray
     keys: list[np.ndarray]  # for each block: where the entries of each 16-bit value start
     entries: list[np.ndarray]
+    held: list[np.ndarray]  # for each block: which 16-bit values have entries
 
 
 class ItemIndex:
     """Fingerprints of the windows of benchmark items.
 
-    Lengths are taken in classes. A class whose shortest item has L words uses windows of
-    L - step + 1 words, step = L / 4: documents are read at every step-th word, items at every
-    word, so that a copy of an item has at least one window exactly in place.
+    Lengths are taken in classes. A class whose shortest item has L words uses windows of three
+    quarters of L, or of half of L from ``LONG`` words on, where half is still enough words to tell
+    texts apart. Documents and items are both read at every word. One changed run that leaves an
+    item ``least`` alike leaves more than half of a long item whole on one side of it, so that such
+    a copy has a window at distance 0.
     """
 
     def __init__(self, ids: Sequence[int], texts: Sequence[str], shingle: int, radius: int):
@@ -128,37 +152,39 @@ class ItemIndex:
             left = [n for n in left if n >= math.ceil(1.4 * low) and n > low]
 
     def _build(self, low: int, high: int) -> _Class:
-        step = max(1, low // 4)
-        size = low - step + 1
+        size = low // 2 if low >= LONG else low - low // 4
         prints, item, offset = [], [], []
         for k in np.flatnonzero((self.sizes >= low) & (self.sizes < max(high, low + 1))):
-            at = np.arange(self.sizes[k] - size + 1)
-            prints.append(_fingerprints(_bit_sums(self.words[k]), at, size))
-            item.append(np.full(len(at), k))
-            offset.append(at)
+            own = _fingerprints(_bit_sums(self.words[k], size), size)
+            prints.append(own)
+            item.append(np.full(len(own), k))
+            offset.append(np.arange(len(own)))
         fingerprint = np.concatenate(prints)
         near = np.array([0, *(1 << b for b in range(16))] if self.radius >= BLOCKS else [0], np.int64)
         if self.radius >= 2 * BLOCKS:
             raise ValueError(f"a radius below {2 * BLOCKS} is covered")
-        keys, entries = [], []
+        keys, entries, held = [], [], []
         for b in range(BLOCKS):
             value = ((fingerprint >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
             value = (value[:, None] ^ near).ravel()
             order = np.argsort(value, kind="stable")
             keys.append(np.searchsorted(value[order], np.arange(65537)).astype(np.int64))
             entries.append((order // len(near)).astype(np.int64))
-        return _Class(size, step, fingerprint, np.concatenate(item), np.concatenate(offset), keys, entries)
+            held.append(np.diff(keys[-1]) > 0)
+        return _Class(size, fingerprint, np.concatenate(item), np.concatenate(offset), keys, entries, held)
 
     def _candidates(self, c: _Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a window and an entry within the radius."""
         windows, found = [], []
+        blocks = prints.view(np.uint16).reshape(-1, BLOCKS)
         for b in range(BLOCKS):
-            value = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
+            value = blocks[:, b]
+            held = np.flatnonzero(c.held[b][value])
+            value = value[held].astype(np.int64)
             begin = c.keys[b][value]
             count = c.keys[b][value + 1] - begin
-            window = np.repeat(np.arange(len(prints)), count)
-            nth = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-            entry = c.entries[b][begin[window] + nth]
+            window = np.repeat(held, count)
+            entry = c.entries[b][np.arange(len(window)) + np.repeat(begin - np.cumsum(count) + count, count)]
             near = np.bitwise_count(prints[window] ^ c.fingerprint[entry]) <= self.radius
             windows.append(window[near])
             found.append(entry[near])
@@ -173,13 +199,14 @@ class ItemIndex:
         seen = set()
         for a in range(0, len(word), SEGMENT):
             piece = word[a : a + SEGMENT + widest]
-            sums = _bit_sums(np.ascontiguousarray(piece))
+            sums = _bit_sums(np.ascontiguousarray(piece), widest)
             places = np.arange(a, min(a + SEGMENT, len(word)))
-            into = places - starts[doc[places]]
             until = starts[doc[places] + 1]
             for c in self.classes:
-                at = places[(into % c.step == 0) & (places + c.size <= until)]
-                window, entry = self._candidates(c, _fingerprints(sums, at - a, c.size))
+                prints = _fingerprints(sums, c.size)[: len(places)]
+                inside = np.flatnonzero(places[: len(prints)] + c.size <= until[: len(prints)])
+                at = places[inside]
+                window, entry = self._candidates(c, prints[inside])
                 for p, e in zip(at[window].tolist(), entry.tolist(), strict=True):
                     d, k = int(doc[p]), int(c.item[e])
                     place = p - int(c.offset[e])
@@ -221,7 +248,7 @@ def find_leaks(
 
     An item is held if a window as long as the item has weighted similarity ``least`` or more to
     it: Jaccard over shingles of ``shingle`` words, weighted by their letters. Words are lower
-    case, letters and digits only. Windows are found by SimHash: all windows on the grid within
+    case, letters and digits only. Windows are found by SimHash: all windows, one at every word, within
     ``radius`` bits of an item's window are candidates (multi-index); each candidate's whole
     item-sized window is compared, and those a word or two beside it, and the best is told. A verbatim copy always has a window at distance 0; a copy with
     changes is found if one of its windows has few of them.

@@ -91,6 +91,34 @@ def test_every_fingerprint_within_the_radius_is_a_candidate():
         assert set(index._candidates(c, prints)[1].tolist()) == set(near.tolist())
 
 
+def test_long_items_with_a_replaced_inner_run_are_found():
+    r = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3_000)]
+    for size in (100, 200, 400):
+        items = [[r.choice(vocabulary) for _ in range(size)] for _ in range(40)]
+        texts = []
+        for item in items:
+            run = int(0.1 * size) - 4
+            a = r.randrange(1, size - run)
+            copy = item[:a] + [r.choice(vocabulary) for _ in range(run)] + item[a + run :]
+            texts.append(" ".join(r.choices(vocabulary, k=r.randrange(50)) + copy + r.choices(vocabulary, k=20)))
+        index = decontamination.ItemIndex(range(40), [" ".join(x) for x in items], 5, decontamination.RADIUS)
+        want = brute_leaks(enumerate(texts), [(k, " ".join(x)) for k, x in enumerate(items)])
+        assert len(want) == 40
+        got = index.leaks(pa.array(texts), 0.8)
+        assert [[x["item_id"] for x in leaks] for leaks in got] == [[k] for k in range(40)]
+
+
+def test_fingerprints_match_a_count_of_bits():
+    word = np.random.default_rng(5).integers(0, 2**63, 700, np.uint64)
+    bits = np.unpackbits(word.view(np.uint8).reshape(-1, 8), axis=1).astype(int)
+    for widest in (40, 1 << 16):
+        for n, size in ((700, 1), (700, 40), (128, 7), (5, 5), (5, 6), (0, 1)):
+            want = [np.packbits(bits[a : a + size].sum(axis=0) * 2 > size) for a in range(n - size + 1)]
+            got = decontamination._fingerprints(decontamination._bit_sums(word[:n], widest), size)
+            assert got.tolist() == [int(x.view(np.uint64)[0]) for x in want]
+
+
 # ---- quality
 
 
