@@ -102,17 +102,16 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 _OTHER = re.compile(r"[\W_]+")
 UNITS = ("text", "paragraph", "line")
+#: A match inside another is not told again if so much of its template is in the other's too.
+RELATED = 0.5
 
 
 def normal(word: str) -> str:
     return _OTHER.sub("", word.lower())
 
 
-def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct word bigrams of each text in order, and where each text's begin.
-
-    A single word counts as a bigram of its own.
-    """
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the normalised words of all texts, and where each text's begin."""
     found, starts = words.split(texts)
     coded = found.dictionary_encode()
     known = [normal(w) for w in coded.dictionary.to_pylist()]
@@ -121,7 +120,15 @@ def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
     full = np.array([bool(w) for w in known])[coded.indices.to_numpy()]
     word = hashed[coded.indices.to_numpy()[full]]
-    starts = np.concatenate([[0], np.cumsum(full)])[starts]
+    return word, np.concatenate([[0], np.cumsum(full)])[starts]
+
+
+def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct word bigrams of each text in order, and where each text's begin.
+
+    A single word counts as a bigram of its own.
+    """
+    word, starts = _words(texts)
     at, text = words.run_starts(starts, 2)
     pair = words.runs(word, 2)[at] if len(at) else np.zeros(0, np.uint64)
     single = np.flatnonzero(np.diff(starts) == 1)
@@ -143,6 +150,7 @@ class Templates:
     sizes: np.ndarray
     pairs: np.ndarray  # every bigram of a template, sorted
     owner: np.ndarray
+    of_template: list[set[int]]
 
     @staticmethod
     def of(templates: Sequence[tuple[str, str]]) -> Templates:
@@ -153,7 +161,8 @@ class Templates:
         rank[order] = np.arange(len(order))
         owner = np.repeat(rank, size)
         by_pair = np.argsort(pair, kind="stable")
-        return Templates([templates[k][0] for k in order], size[order], pair[by_pair], owner[by_pair])
+        own = [set(pair[starts[k] : starts[k + 1]].tolist()) for k in order]
+        return Templates([templates[k][0] for k in order], size[order], pair[by_pair], owner[by_pair], own)
 
     def match(self, units: pa.Array, least: float) -> tuple[np.ndarray, np.ndarray]:
         """For each unit its best Dice coefficient (0 if under ``least``) and that template.
@@ -185,9 +194,75 @@ class Templates:
         best[u[order]], which[u[order]] = dice[order], t[order]
         return best, which
 
+    def _windows(self, pairs: list[int], starts: list[int], t: int, least: float) -> Iterator[tuple]:
+        """For each start the best window of bigrams: Dice, template, first and last word.
+
+        The best window begins and ends with bigrams of the template. One that holds its first
+        bigram again is no better than the one that begins there, and ``2 n (1 - least) / least``
+        foreign bigrams are the most that n of the template can make up for.
+        """
+        own, n = self.of_template[t], int(self.sizes[t])
+        most = 2 * n * (1 - least) / least + 1e-9
+        for a in starts:
+            shared, foreign, best = {pairs[a]}, set(), (0.0, 0)
+            for b in range(a, len(pairs)):
+                pair = pairs[b]
+                if pair in own:
+                    if b > a and pair == pairs[a]:
+                        break
+                    shared.add(pair)
+                    dice = 2 * len(shared) / (len(shared) + len(foreign) + n)
+                    if dice > best[0]:
+                        best = (dice, b)
+                else:
+                    foreign.add(pair)
+                    if len(foreign) > most:
+                        break
+            if best[0] >= least:
+                yield best[0], t, a, best[1] + 1
+
+    def passages(self, texts: pa.Array, least: float) -> dict[int, list[tuple]]:
+        """Windows of words anywhere in a text that match a template: Dice, template, first and last word.
+
+        Only texts that hold enough of a template's bigrams are read: Dice of ``least`` takes
+        n x least / (2 - least) of its n. Templates of one word are left to the units.
+        """
+        word, starts = _words(texts)
+        at, doc = words.run_starts(starts, 2)
+        if not len(at):
+            return {}
+        pair = words.runs(word, 2)[at]
+        begin = np.searchsorted(self.pairs, pair)
+        hits = np.flatnonzero(self.pairs[np.minimum(begin, len(self.pairs) - 1)] == pair) if len(self.pairs) else at[:0]
+        begin = begin[hits]
+        count = np.searchsorted(self.pairs, pair[hits], "right") - begin
+        hit = np.repeat(hits, count)
+        entry = np.arange(len(hit)) + np.repeat(begin - np.cumsum(count) + count, count)
+        n, size = len(self.sizes), len(self.pairs)
+        each = np.unique(doc[hit] * size + entry)
+        both, shared = np.unique(each // size * n + self.owner[each % size], return_counts=True)
+        both = both[shared >= self.sizes[both % n] * least / (2 - least) - 1e-9]
+        first = np.searchsorted(doc, np.arange(len(texts) + 1))
+        found: dict[int, list[tuple]] = {}
+        for d, t in zip((both // n).tolist(), (both % n).tolist(), strict=True):
+            pairs = pair[first[d] : first[d + 1]].tolist()
+            own = [k for k, p in enumerate(pairs) if p in self.of_template[t]]
+            found.setdefault(d, []).extend(self._windows(pairs, own, t, least))
+        return found
+
+    def _told(self, kept: list[tuple], t: int, first: int, last: int) -> bool:
+        """Whether a match lies by half or more in one of a template with much of the same words."""
+        own = self.of_template[t]
+        return any(
+            2 * (min(last, z) - max(first, a) + 1) >= last - first + 1
+            and len(own & self.of_template[u]) >= RELATED * len(own)
+            for _, u, a, z in kept
+        )
+
     def scan(self, texts: pa.Array, least: float) -> list[list[dict]]:
-        """For each text its matching units in order: the whole text, paragraphs, lines."""
+        """For each text its matches in order: the whole text, paragraphs, lines, other passages."""
         found: list[list[dict]] = [[] for _ in range(len(texts))]
+        kept: dict[int, list[tuple]] = {}
         lists = {
             "paragraph": pc.split_pattern_regex(texts, r"\n[ \t\r]*\n"),
             "line": pc.split_pattern(texts, "\n"),
@@ -195,6 +270,7 @@ class Templates:
         for kind in UNITS:
             if kind == "text":
                 units, doc = texts, np.arange(len(texts))
+                before = doc
             else:
                 at = lists[kind].offsets.to_numpy().astype(np.int64)
                 units = lists[kind].values[at[0] : at[-1]]
@@ -203,9 +279,21 @@ class Templates:
                 doc = np.repeat(np.arange(len(texts)), count)
                 several = (count > 1)[doc]
                 units, doc = units.filter(pa.array(several)), doc[several]
+                # the first unit of each unit's text
+                before = np.searchsorted(doc, doc)
             dice, which = self.match(units, least)
             for k in np.flatnonzero(which >= 0):
                 found[doc[k]].append({"license": self.names[which[k]], "dice": float(dice[k]), "unit": kind})
+                at = _words(units[int(before[k]) : int(k) + 1])[1]
+                kept.setdefault(int(doc[k]), []).append((dice[k], int(which[k]), int(at[-2]), int(at[-1]) - 1))
+        for d, windows in self.passages(texts, least).items():
+            new = []
+            # the best first, of equal ones the longer template, then the earlier place
+            for dice, t, first, last in sorted(windows, key=lambda w: (-w[0], -w[1], w[2])):
+                if not self._told(kept.setdefault(d, []), t, first, last):
+                    kept[d].append((dice, t, first, last))
+                    new.append((first, last, {"license": self.names[t], "dice": dice, "unit": "passage"}))
+            found[d] += [match for *_, match in sorted(new, key=lambda m: m[:2])]
         return found
 
 
@@ -225,8 +313,10 @@ def scan_licenses(
     """The rows with a column ``licenses``: licence, Dice coefficient and unit of each match.
 
     A unit is the whole text, a paragraph or a line; its best template counts if the Dice
-    coefficient over distinct word bigrams is ``least`` or more. Words are lower case, letters and
-    digits only; one word alone counts as a bigram. Every unit of every text is compared; nothing
+    coefficient over distinct word bigrams is ``least`` or more. Unit ``passage`` is any other run
+    of words with such a coefficient, across lines and paragraphs or inside one: the best of those
+    that overlap, unless a match of a similar template already covers half of it. Words are lower
+    case, letters and digits only; one word alone counts as a unit's bigram. Every unit of every text is compared; nothing
     is shuffled. The templates are a fixed list that goes to the tasks. Null, empty and wordless
     texts match nothing. A column named licenses is replaced; other columns stay as they are.
     """

@@ -258,6 +258,32 @@ def test_licences_in_units(spark):
     assert all(not got[i] for i in (4, 5, 6, 8, None))
 
 
+def test_licences_anywhere_in_a_text():
+    mit = max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len)
+    bsd = {n: t for n, t in licenses.TEMPLATES if n.startswith("BSD")}
+    other = " ".join(f"word{k}" for k in range(120))
+    paragraphs = mit.replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    texts = [
+        f"{other}\n\n{paragraphs}\n\n{other}",
+        f"{other}\n\n" + bsd["BSD-2-Clause"].replace("THIS SOFTWARE IS", "\n\nTHIS SOFTWARE IS") + f"\n\n{other}",
+        f"{other} " + bsd["BSD-3-Clause"].replace("THIS SOFTWARE IS", "\n\nTHIS SOFTWARE IS") + f"\n\n{other}",
+        "Copyright 2020 Acme Corp. All rights reserved.",
+        "We say that this is released\nunder the MIT License. And more than that follows here.",
+        f"{other} all rights {other} reserved",
+        "all rights reserved " * 3_000 + other,
+        "Released under the MIT License.\n" + other,
+    ]
+    got = licenses.Templates.of(licenses.TEMPLATES).scan(pa.array(texts, pa.large_string()), licenses.LEAST)
+    names = [[(x["license"], x["unit"]) for x in found] for found in got]
+    assert names[:6] == [
+        [("MIT", "passage")], [("BSD-2-Clause", "passage")], [("BSD-3-Clause", "passage")],
+        [("all-rights-reserved", "passage")], [("MIT", "passage")], [],
+    ]
+    assert all(x["dice"] == 1 for found in got for x in found)
+    assert names[6] == [("all-rights-reserved", "passage")] * 3_000
+    assert names[7] == [("MIT", "line")]
+
+
 def test_dice_matches_brute_force():
     r = random.Random(4)
     vocabulary = ["a", "b", "c", "d"]
