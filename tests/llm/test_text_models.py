@@ -202,6 +202,42 @@ def test_language_holds_out(spark):
     assert got[904].lang_pred in parts and not got[904].lang_accepted
 
 
+def test_every_language_calibrates_at_every_size(spark):
+    r = random.Random(5)
+    parts = {"xx": ["ka", "lo", "mi", "ru"], "yy": ["sch", "ung", "en", "ö"], "zz": ["ção", "ei", "que", "lo"]}
+
+    def text(lang):
+        return " ".join("".join(r.choices(parts[lang], k=r.randrange(1, 4))) for _ in range(40))
+
+    rows = [(i, text(x), x) for i, x in enumerate(["xx"] * 150 + ["yy"] * 12 + ["zz"])]
+    rows += [(3, rows[3][1], "xx"), (4, rows[4][1], "xx")]
+    schema = "doc_id long, text string, lang string"
+    identifier = language.fit_on(spark.createDataFrame(rows, schema), F.lit(True))
+    assert identifier.languages == ["xx", "yy", "zz"]
+    assert len(identifier.most) == 3 and np.isfinite(identifier.most).all()
+    bits, _ = identifier.entropies(pa.array(["qwfp gjvk bzqx " * 20, rows[0][1]]))
+    assert bits[0].min() > max(identifier.most)
+    names, _, accepted = identifier.identify(pa.array(["qwfp gjvk bzqx " * 20]))
+    assert not accepted[0] and names[0] in parts
+
+
+def test_all_rows_but_those_held_out_are_counted(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}", "xx") for i in range(300)]
+    identifier = language.fit_on(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=10)
+    # each document has a trigram of its own, from its first letter to its end
+    assert len(identifier.models[0].keys[2]) >= 290
+
+
+def test_the_most_frequent_ngrams_stay(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_GRAMS", 50)
+    few = [("xx", 1, k << 44, 0, 0, k) for k in range(1, 40)]
+    many = [("xx", 2, k << 54, 0, 0, 9) for k in range(40)] + [("xx", 2, (1000 + k) << 50, 0, 0, 3) for k in range(-500, 500)]
+    kept = language._frequent(spark.createDataFrame(few + many, language.COUNTS)).collect()
+    assert sum(x.n == 1 for x in kept) == 39
+    assert sum(x.n == 2 and x["count"] == 9 for x in kept) == 40
+    assert sum(x.n == 2 and x["count"] == 3 for x in kept) <= 20
+
+
 def test_language_without_sample(spark):
     rows = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     identifier = language.fit_on(rows, F.lit(True))
