@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import exact_dedup as exact
-from pursewatch.llm import decontamination, language, licenses, line_quality, mixing, near_dedup
-from pursewatch.llm import sharding, substring_dedup, tool_calls
+from pursewatch.llm import decontamination, language, licenses, line_quality, merkle, mixing, near_dedup, packing
+from pursewatch.llm import sharding, substring_dedup, tool_calls, vector_codes
 from pursewatch.llm.common import n_words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,3 +266,120 @@ def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 def op4_tool_calls(spark, sf):
     calls, results = derived_calls(table(spark, sf, "conversations"))
     return tool_calls.link_calls(calls, results, TOOLS)
+
+
+#: What makes up a document's leaf, in order.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = [n_chars if f == "n_chars" else f for f in LEAF_FIELDS]
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields
+    ) + ")"
+
+
+#: CRC-32 of a text of ASCII characters, bit by bit.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+  lambda c: list_transform(range(8), lambda k: (ascii(c)::BIGINT >> k) & 1)))),
+  lambda s, b: xor(s >> 1, (xor(s, b) & 1) * 3988292384)), 4294967295)"""
+
+
+@query(
+    f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS tree,
+  {_leaf_sql('n_chars')} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND ({CRC_SQL.format('CAST(doc_id AS VARCHAR)')}) % 7 = 0 THEN {_leaf_sql('(n_chars + 1)')}
+    ELSE {_leaf_sql('n_chars')} END AS seen FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+  count(*) OVER (PARTITION BY tree) AS n FROM d),
+a(tree, l, i, h, n) AS (SELECT tree, 0, i, leaf, n FROM p
+  UNION ALL SELECT tree, l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM a WHERE n > 1
+  GROUP BY tree, l, i // 2, n),
+s AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM a WHERE n = 1),
+b(l, i, h, n) AS (SELECT 0, i, subroot, n FROM s
+  UNION ALL SELECT l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM b WHERE n > 1
+  GROUP BY l, i // 2, n),
+f(r, tree, l, i, n, own, beside) AS (SELECT r, tree, 0, i, n, seen, '' FROM p
+  UNION ALL SELECT r, f.tree, f.l + 1, f.i // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.i % 2 = 1 THEN coalesce(h, '') || own ELSE own || coalesce(h, '') END), beside || coalesce(h, '')
+  FROM f LEFT JOIN a ON a.tree = f.tree AND a.l = f.l AND a.i = xor(f.i, 1) WHERE f.n > 1),
+g(r, l, i, n, own, beside) AS (SELECT r, 0, s.i, s.n, own, beside FROM f JOIN s USING (tree) WHERE f.n = 1
+  UNION ALL SELECT r, g.l + 1, g.i // 2, (g.n + 1) // 2,
+    sha256(CASE WHEN g.i % 2 = 1 THEN coalesce(h, '') || own ELSE own || coalesce(h, '') END), beside || coalesce(h, '')
+  FROM g LEFT JOIN b ON b.l = g.l AND b.i = xor(g.i, 1) WHERE g.n > 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(beside) AS proof_sha256, own AS folded_root,
+  own = root.h AS verified
+FROM g JOIN p USING (r) JOIN s USING (tree) CROSS JOIN (SELECT h FROM b WHERE n = 1) root WHERE g.n = 1"""
+)
+def op11_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    n_chars = F.when(remainder(7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    seen = merkle.leaf_digest([n_chars if f == "n_chars" else F.col(f) for f in LEAF_FIELDS])
+    manifest = merkle.build(docs, LEAF_FIELDS, "lang", "doc_id", {"seen": seen})
+    root = F.lit(manifest.root).cast("string")
+    proved = merkle.prove(manifest).withColumn("folded_root", merkle.fold(F.col("kept.seen"), F.col("proof")))
+    return proved.select(
+        F.col("id").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        F.col("top").alias("subroot"),
+        root.alias("root"),
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round written out: entries ``c<r>`` by part and number, assignments ``a<r>``."""
+    steps = [
+        rf"""WITH v AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+z AS (SELECT r, p, list_transform(embedding[p * w + 1:p * w + w], lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS x
+  FROM (SELECT *, len(embedding) // {parts} AS w FROM v), range({parts}) t(p)),
+s AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS e FROM v
+  ORDER BY vec_id NULLS LAST, embedding LIMIT {entries}),
+c0 AS (SELECT p, e, x FROM z JOIN s USING (r))"""
+    ]
+    for k in range(rounds + 1):
+        # the least of (distance, entry) as one list
+        steps.append(
+            f"""a{k} AS (SELECT r, p, min([list_sum(list_transform(list_zip(z.x, c{k}.x),
+    lambda q: (q[1] - q[2]) * (q[1] - q[2])))::BIGINT, e]) AS best FROM z JOIN c{k} USING (p) GROUP BY r, p)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""u{k} AS (SELECT p, e, list(m ORDER BY i) AS x FROM (SELECT p, best[2] AS e, i,
+    (sum(y) - ((sum(y) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS m
+    FROM (SELECT p, best, unnest(x) AS y, unnest(range(len(x))) AS i FROM z JOIN a{k} USING (r, p)) GROUP BY 1, 2, 3)
+  GROUP BY 1, 2),
+c{k + 1} AS (SELECT p, e, coalesce(u{k}.x, c{k}.x) AS x FROM c{k} LEFT JOIN u{k} USING (p, e))"""
+            )
+    steps.append(
+        f"""o AS (SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error
+  FROM a{rounds} GROUP BY r),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN o USING (r) CROSS JOIN b"""
+    )
+    return ",\n".join(steps)
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark, sf):
+    found, books = vector_codes.compress(table(spark, sf, "embeddings"))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+#: The vocabulary that documents are packed by.
+VOCABULARY = "word_bpe_49k.json"
+
+
+@query()
+def op13_best_fit_packing(spark, sf):
+    import public_tokenizers
+
+    packed = packing.pack(table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False)
+    return packed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
