@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left
@@ -11,6 +12,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -20,8 +22,14 @@ from pursewatch.llm.common import stored
 #: Tokens in a sequence at most, and the token that ends each document.
 LENGTH = 4096
 END = 1
-#: Distinct words whose tokens a task remembers at a time.
-REMEMBERED = 200_000
+#: Bytes of text that a task tokenises at a time: the more, the fewer words come twice.
+SLICE_BYTES = 16 << 20
+#: Words that are tokenised in one call.
+RUN = 1_000
+#: Letters that stay single letters in lower case and in any normal form, and the
+#: punctuation that is split off behind them.
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+TAILS = ".,;:!?"
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, task int, nth long"
 
@@ -34,35 +42,101 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, … of runs of some sizes, one run after another."""
+    until = np.cumsum(size)
+    return np.arange(until[-1] if len(until) else 0) - np.repeat(until - size - begin, size)
+
+
 class WordTokens:
     """Tokens of texts by their words, for tokenizers that split at white space and drop it.
 
-    Each distinct word is tokenised once; a text of any length costs no more than its words.
+    Each distinct word of the texts given together is tokenised once; a text of any length costs no
+    more than its words. Where the tokenizer marks the end of a word, words of plain letters are
+    told apart by that mark and tokenised as running text, and a mark of punctuation behind such a
+    word is taken by itself; all other words are tokenised one by one.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, np.ndarray] = {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in known.items() if t.endswith(suffix)]] = True
+        self.tails = {c: self._ids("ab" + c)[len(self._ids("ab")) :] for c in TAILS}
+        self.lowers = self._ids("ÄB") == self._ids("äb")
+        self.marks = bool(suffix) and all(self._ids("Äb" + c) == self._ids("Äb") + self._ids(c) for c in TAILS)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _one_by_one(self, known: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each word has."""
+        runs = [known[a : a + RUN] for a in range(0, len(known), RUN)]
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for run, got in zip(runs, self.tokenizer.encode_batch(runs, is_pretokenized=True, add_special_tokens=False), strict=True):
+            ids.append(np.array(got.ids, np.uint32))
+            size.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(run)))
+        return np.concatenate(ids), np.concatenate(size)
+
+    def _plain(self, known: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that end with their only mark of an end."""
+        runs = [known[a : a + RUN] for a in range(0, len(known), RUN)]
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        texts = [" ".join(run) for run in runs]
+        for run, got in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            own = np.array(got.ids, np.uint32)
+            last = np.flatnonzero(self.ends[own])
+            if len(last) == len(run):
+                ids.append(own)
+                size.append(np.diff(last, prepend=-1))
+            else:
+                one, n = self._one_by_one(run)
+                ids.append(one)
+                size.append(n)
+        return np.concatenate(ids), np.concatenate(size)
+
+    def _each(self, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not self.marks or not len(known):
+            return self._one_by_one(known.to_pylist())
+        parts = pc.extract_regex(known, f"^(?P<core>{LETTERS})(?P<tail>[{TAILS}]?)$")
+        whole = parts.is_null()
+        core = pc.if_else(whole, known, pc.utf8_lower(parts.field("core")) if self.lowers else parts.field("core"))
+        core = core.dictionary_encode()
+        plain = np.zeros(len(core.dictionary), bool)
+        plain[core.indices.to_numpy()[~whole.to_numpy(zero_copy_only=False)]] = True
+        flat, size, begin = [], np.zeros(len(plain), np.int64), np.zeros(len(plain), np.int64)
+        before = 0
+        for mask, told in ((plain, self._plain), (~plain, self._one_by_one)):
+            ids, n = told(core.dictionary.filter(pa.array(mask)).to_pylist())
+            flat.append(ids)
+            size[mask], begin[mask] = n, before + np.cumsum(n) - n
+            before += len(ids)
+        # the ids of punctuation lie behind all others
+        ends = [np.array(self.tails[c], np.uint32) for c in TAILS]
+        flat += ends
+        behind = before + np.cumsum([0, *map(len, ends)])
+        tail = pc.index_in(parts.field("tail"), value_set=pa.array(list(TAILS), known.type))
+        tail = tail.fill_null(len(TAILS)).to_numpy()
+        code = core.indices.to_numpy()
+        runs = np.empty((len(code), 2), np.int64)
+        runs[:, 0], runs[:, 1] = begin[code], np.append(behind[:-1], 0)[tail]
+        sizes = np.empty_like(runs)
+        sizes[:, 0], sizes[:, 1] = size[code], np.append([len(e) for e in ends], 0)[tail]
+        return np.concatenate(flat)[_ragged(runs.ravel(), sizes.ravel())], sizes.sum(axis=1)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text's ids start (one more at the end)."""
         found, starts = words.split(texts)
         coded = found.dictionary_encode()
-        each = coded.dictionary.to_pylist()
-        new = [w for w in each if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, each
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(got.ids, np.uint32)
-        ids = [self.known[w] for w in each]
-        size = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        begin = np.cumsum(size) - size
+        flat, size = self._each(coded.dictionary)
+        if not len(found):
+            return flat, np.zeros_like(starts)
         code = coded.indices.to_numpy()
-        count = size[code] if len(code) else np.zeros(0, np.int64)
+        count = size[code]
         until = np.concatenate([[0], np.cumsum(count)])
-        place = np.arange(until[-1]) - np.repeat(until[:-1], count)
-        return flat[np.repeat(begin[code], count) + place] if len(code) else flat[:0], until[starts]
+        return flat[_ragged((np.cumsum(size) - size)[code], count)], until[starts]
 
 
 def _cutter(path: str, length: int, end: int, with_ids: bool):
@@ -71,7 +145,7 @@ def _cutter(path: str, length: int, end: int, with_ids: bool):
         task = TaskContext.get().partitionId()
         seen = np.zeros(length + 1, np.int64)
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE_BYTES):
                 ids, starts = tokens(part.column("text"))
                 rows: dict[str, list] = {c: [] for c in ("row", "piece", "start", "length", "crc", "ids", "nth")}
                 for row, (a, b) in enumerate(zip(starts, starts[1:], strict=False)):
