@@ -11,18 +11,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import views as V
 from checks.views import AS_OF
-from pursewatch.functions import casts, predicates
-from pursewatch.functions.timing import moment, watermark_text
+from pursewatch.functions import casts, layout, predicates
+from pursewatch.functions.timing import elapsed_seconds, moment, watermark_text
 from pursewatch.model import EPOCH, LEDGER_SCHEMA, PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
-from pursewatch.operators import audit, dedup, incremental, lifecycle, projection, quality
+from pursewatch.operators import audit, changes, dedup, incremental, lifecycle, parity, projection
+from pursewatch.operators import quality, trend
 from pursewatch.operators import upsert as ups
-from pursewatch.plans import gold
+from pursewatch.plans import batches, gold
 from pursewatch.plans.daily_run import Run, run_day
 from pursewatch.scratch import scratch_path
 from pursewatch.sources import bronze, managed
 from pursewatch.sources.partners import SUFFIXES, partner_frames, union_partners
 from pursewatch.sources.tables import load_tables, table_from_payload
-from pursewatch.streaming import daily_summary, latest_state
+from pursewatch.streaming import daily_summary, latest_state, unsettled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1092,3 +1093,269 @@ def layers_report(spark, sf):
     columns = ["subject", "row_count", "late_or_gold", "said"]
     rows = [df.toDF(*columns).select(F.lit(name).alias("log"), "*") for name, df in zip(log, found)]
     return reduce(DataFrame.unionByName, rows)
+
+
+# ---- batches held back, feeds of changes ------------------------------------------
+
+
+@check(
+    V.with_views(V.TX)
+    + """SELECT mode, step, transaction_id,
+  CASE WHEN source_partner = 'partner_a' OR CAST(transaction_id AS BIGINT) % 101 <> 0 THEN CAST(amount AS DOUBLE) END AS amount
+FROM tx, (VALUES ('full'), ('incremental')) m(mode), (VALUES ('held'), ('released')) s(step)
+WHERE step = 'released' OR source_partner = 'partner_a'"""
+)
+def layers_quarantined(spark, sf):
+    """One partner's batch has amounts that no cast reads. It stops the run; the next one goes on
+    without it, and the one after that with it, once it is released. Both modes."""
+    found = []
+    readable = F.col("transaction_id").cast("bigint") % 101 != 0
+    amount = F.when(readable, F.col("amount").cast("string")).otherwise("abc")
+    wrong = V.tx(spark, sf).drop("ingest_ts").withColumn("amount", amount)
+    for mode in ("full", "incremental"):
+        root = scratch_path(spark, "layers")
+        names, sources = _view_names(root), _sources(spark, sf)
+        sources["PARTNER_B"]["transactions"] = parts(wrong)["partner_b"]
+        try:
+            run_day(spark, sources, Run(root, RUN_TS, **names), mode == "incremental")
+        except audit.CircuitOpen as e:
+            if "type_mismatch" not in str(e):
+                raise
+        else:
+            raise RuntimeError("a stopped batch passed")
+        for hour, step in enumerate(("held", "released"), 1):
+            if step == "released":
+                ids = [b.batch_id for b in batches.batches_in(spark, root, batches.STOPPED)]
+                batches.release_batches(spark, root, ids, RUN_TS)
+            run = Run(root, RUN_TS + timedelta(hours=hour), past_held=True, **names)
+            run_day(spark, sources, run, mode == "incremental")
+            silver = spark.table(f"{names['silver']}transactions")
+            told = [F.lit(mode).alias("mode"), F.lit(step).alias("step")]
+            rows = silver.select(*told, "transaction_id", F.col("amount").cast("double").alias("amount"))
+            kept = f"{root}/seen-{step}"
+            rows.write.parquet(kept)
+            found.append(spark.read.schema(rows.schema).parquet(kept))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _earlier_versions(tx: DataFrame) -> DataFrame:
+    """Every transaction as it was 60 days before: pending, on another card, some by another user
+    or on another day."""
+    n = F.col("transaction_id").cast("bigint")
+    return tx.withColumns(
+        {
+            "status": F.lit("PENDING"),
+            "card_id": F.col("card_id") + 1,
+            "user_id": F.when(n % 5 == 0, F.col("user_id") + 1).otherwise(F.col("user_id")),
+            "risk_score": F.lit(0.9),
+            "transaction_time": F.when(n % 3 == 0, F.col("transaction_time") - F.expr("interval 2 days")).otherwise(
+                F.col("transaction_time")
+            ),
+            "updated_at": F.col("updated_at") - F.expr("interval 60 days"),
+        }
+    )
+
+
+@check(ORACLES["user_risk_profile"])
+def layers_changed_profile(spark, sf):
+    """Three incremental runs in which every transaction changes its state, its card and some their
+    user or day; the profile is kept from the feeds of changes."""
+    root = scratch_path(spark, "layers")
+    names = _view_names(root)
+    now = _sources(spark, sf)
+    old = parts(_earlier_versions(V.tx(spark, sf).drop("ingest_ts")))
+    for k, real in enumerate(((), ("PARTNER_A",), ("PARTNER_A", "PARTNER_B"))):
+        sources = {p: {**now[p], **({} if p in real else {"transactions": old[p.lower()]})} for p in now}
+        profile = run_day(spark, sources, Run(root, RUN_TS - timedelta(hours=5 * (2 - k)), **names), incremental=True)
+    return profile
+
+
+@check(
+    V.with_views(V.TX_STATES, V.LATEST)
+    + """SELECT transaction_id, updated_at, status, CAST(amount AS DOUBLE) AS amount, source_partner FROM latest"""
+)
+def change_feed_replayed(spark, sf):
+    """Two batches of changes merged into folders; the table that their feeds alone lead to."""
+    root = scratch_path(spark, "feeds")
+    newer_by = ["updated_at", *V.STATE_TIES]
+    for k, batch in enumerate(_halves(V.tx_states(spark, sf))):
+        managed.upsert_partitions(
+            spark, f"{root}/table", batch, ["transaction_id"], "source_partner", newer_by, batch.schema, f"{root}/feeds/feed={k}"
+        )
+    schema = T.StructType([*changes.image_schema(batch.schema), T.StructField("feed", T.IntegerType())])
+    again = changes.replay(spark.read.schema(schema).parquet(f"{root}/feeds"))
+    return plain(again.select("transaction_id", "updated_at", "status", "amount", "source_partner"))
+
+
+BY_USER = """changes AS (SELECT CAST(user_id AS VARCHAR) AS transaction_id, status, updated_at FROM tx)"""
+
+
+@check(
+    V.with_views(V.TX, BY_USER)
+    + """SELECT DISTINCT transaction_id, updated_at AS pending_at FROM changes p WHERE status = 'PENDING'
+  AND updated_at + INTERVAL 6 HOURS < (SELECT max(updated_at) - INTERVAL 1 DAY FROM changes)
+  AND NOT EXISTS (SELECT 1 FROM changes s WHERE s.transaction_id = p.transaction_id AND s.status IN ('SUCCESS', 'FAILED')
+    AND s.updated_at BETWEEN p.updated_at AND p.updated_at + INTERVAL 6 HOURS)"""
+)
+def stream_unsettled(spark, sf):
+    """Pending states of each user that nothing settles within six hours, from two streaming runs."""
+    root = scratch_path(spark, "stream")
+    rows = V.tx(spark, sf).select(F.col("user_id").cast("string").alias("transaction_id"), "status", "updated_at")
+    early = F.col("updated_at") < moment(MID)
+    for half in (rows.where(early), rows.where(~early)):
+        half.write.mode("append").parquet(f"{root}/feed")
+        feed = spark.readStream.schema(rows.schema).parquet(f"{root}/feed")
+        found = unsettled.unsettled_stream(feed, "6 hours", "1 day")
+        sink = found.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+        query = sink.trigger(availableNow=True).format("parquet").start(f"{root}/found")
+        query.awaitTermination()
+        if unsettled.late_rows(query):
+            raise RuntimeError("rows came too late")
+    return spark.read.schema(found.schema).parquet(f"{root}/found")
+
+
+@check(ORACLES["stream_unsettled"])
+def unsettled_changes(spark, sf):
+    """The same from a finished table."""
+    rows = V.tx(spark, sf).select(F.col("user_id").cast("string").alias("transaction_id"), "status", "updated_at")
+    newest = rows.agg(F.max("updated_at")).first()[0]
+    return lifecycle.unsettled(rows, "6 hours", moment(newest - timedelta(days=1)))
+
+
+# ---- agreement, seasons, levels, sketches, layout ---------------------------------
+
+
+@check(
+    V.with_views(V.TX)
+    + """, other AS (SELECT CASE WHEN transaction_id::BIGINT % 997 = 13 THEN transaction_id || '-2' ELSE transaction_id END AS transaction_id,
+  CASE WHEN transaction_id::BIGINT % 499 = 7 THEN amount + 0.01 ELSE amount END AS amount,
+  CASE WHEN transaction_id::BIGINT % 503 <> 3 THEN status END AS status, user_id FROM tx)
+SELECT transaction_id, count(l.h) AS left_rows, count(r.h) AS right_rows,
+  CASE WHEN count(r.h) = 0 THEN 'missing' WHEN count(l.h) = 0 THEN 'added' ELSE 'changed' END AS difference
+FROM (SELECT transaction_id, (amount, status, user_id)::VARCHAR AS h FROM tx) l
+FULL JOIN (SELECT transaction_id, (amount, status, user_id)::VARCHAR AS h FROM other) r USING (transaction_id)
+WHERE l.h IS DISTINCT FROM r.h GROUP BY 1"""
+)
+def content_parity(spark, sf):
+    """A layer in which some amounts, states and keys are not those of the other."""
+    tx = V.tx(spark, sf).select("transaction_id", "amount", "status", "user_id")
+    n = F.col("transaction_id").cast("bigint")
+    other = tx.select(
+        F.when(n % 997 == 13, F.concat("transaction_id", F.lit("-2"))).otherwise(F.col("transaction_id")).alias("transaction_id"),
+        F.when(n % 499 == 7, F.col("amount") + F.lit("0.01").cast("decimal(18,2)")).otherwise(F.col("amount")).cast("decimal(18,2)").alias("amount"),
+        F.when(n % 503 != 3, F.col("status")).alias("status"),
+        "user_id",
+    )
+    return parity.differing_keys(tx, other, ["transaction_id"], ["amount", "status", "user_id"])
+
+
+@check(
+    V.with_views(V.TX, V.TX_VOLUME)
+    + """, grid AS (SELECT source_partner, CAST(day AS TIMESTAMP) AS day
+  FROM (SELECT DISTINCT source_partner FROM tx_volume),
+    (SELECT UNNEST(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS day)),
+counted AS (SELECT g.source_partner, g.day, COUNT(t.transaction_id) AS row_count FROM grid g
+  LEFT JOIN tx_volume t ON t.source_partner = g.source_partner
+    AND CAST(date_trunc('day', t.transaction_time) AS TIMESTAMP) = g.day GROUP BY 1, 2),
+lists AS (SELECT *, list(row_count) OVER (PARTITION BY source_partner, dayofweek(day) ORDER BY day
+  ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS before FROM counted),
+based AS (SELECT *, list_median(before) AS baseline FROM lists),
+spreads AS (SELECT *, greatest(1.4826 * list_median(list_transform(before, lambda x: abs(x - baseline))), sqrt(baseline), 1.0) AS spread FROM based)
+SELECT source_partner, day, row_count, baseline, ROUND(CASE WHEN baseline IS NULL THEN 1.0 ELSE spread END, 6) AS spread,
+  CASE WHEN coalesce(len(before), 0) < 2 THEN 'unknown' WHEN row_count = 0 AND baseline > 0 THEN 'no_data'
+    WHEN (row_count - baseline) / spread > 6 THEN 'high' WHEN (row_count - baseline) / spread < -6 THEN 'low' ELSE 'none' END AS anomaly
+FROM spreads"""
+)
+def seasonal_volume(spark, sf):
+    found = quality.seasonal_volume(V.tx_volume(spark, sf), date(2024, 1, 30), 30, partner="source_partner")
+    return found.withColumns({"day": F.col("day").cast("timestamp_ntz"), "spread": F.round("spread", 6)})
+
+
+@check(
+    V.with_views(V.TX, V.TX_VOLUME).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, ledger AS (SELECT source_partner AS table_name, CAST(date_trunc('day', transaction_time) AS TIMESTAMP) AS run_day,
+  COUNT(*) AS n FROM tx_volume GROUP BY 1, 2),
+lists AS (SELECT table_name, list(n ORDER BY run_day) AS v, list(run_day ORDER BY run_day) AS d FROM ledger
+  GROUP BY 1 HAVING count(*) > 10),
+levels AS (SELECT *, list_median(v[1:10]) AS level0 FROM lists),
+s AS (SELECT *, greatest(1.4826 * list_median(list_transform(v[1:10], lambda x: abs(x - level0))), sqrt(level0), 1.0) AS spread FROM levels),
+r(table_name, i, level, up, down, us, ds, since, was, is_up, told) AS (
+  SELECT table_name, 10, CAST(level0 AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE, 0, 0, 0, 0.0::DOUBLE, false, false FROM s
+  UNION ALL
+  SELECT table_name, i, CASE WHEN told THEN list_median(v[since:since + 9]) ELSE level END,
+    CASE WHEN told THEN 0.0 ELSE up END, CASE WHEN told THEN 0.0 ELSE down END, us, ds, since, level, is_up, told
+  FROM (SELECT *, greatest(up, down) > 5 AS told, up >= down AS is_up, CASE WHEN up >= down THEN us ELSE ds END AS since
+    FROM (SELECT table_name, v, i + 1 AS i, level, greatest(up + z - 0.5, 0.0) AS up, greatest(down - z - 0.5, 0.0) AS down,
+        CASE WHEN up > 0 THEN us ELSE i + 1 END AS us, CASE WHEN down > 0 THEN ds ELSE i + 1 END AS ds
+      FROM (SELECT r.*, v, greatest(least((v[i + 1] - level) / spread, 2.5), -2.5) AS z
+        FROM r JOIN s USING (table_name) WHERE i < len(v)))))
+SELECT table_name, d[since] AS changed_at, d[i] AS noticed_at, CASE WHEN is_up THEN 'up' ELSE 'down' END AS direction,
+  was AS before, level AS after FROM r JOIN s USING (table_name) WHERE told"""
+)
+def level_changes(spark, sf):
+    """The ledger that daily audits would have left: a level that rises or falls for good is told
+    with its day, a single day without rows is not."""
+    daily = (
+        V.tx_volume(spark, sf)
+        .groupBy(F.date_trunc("day", "transaction_time").alias("execution_time"), F.col("source_partner").alias("table_name"))
+        .agg(F.count(F.lit(1)).alias("bronze_raw_count"))
+        .withColumn("pipeline_stage", F.lit("bronze_to_silver"))
+    )
+    found = trend.change_points(managed.conform(daily, LEDGER_SCHEMA), "bronze_raw_count")
+    days = {c: F.col(c).cast("timestamp_ntz") for c in ("changed_at", "noticed_at")}
+    return found.withColumns(days).drop("pipeline_stage")
+
+
+@check(
+    V.with_views(V.TX)
+    + """SELECT source_partner, COUNT(*) AS measured, MIN(s) AS min_latency, MAX(s) AS max_latency,
+  true AS p50_near, true AS p95_near, true AS p99_near
+FROM (SELECT source_partner, date_sub('second', transaction_time, updated_at) AS s FROM tx
+  WHERE transaction_time >= TIMESTAMP '2024-01-05' AND transaction_time < TIMESTAMP '2024-01-21') GROUP BY 1"""
+)
+def latency_of_period(spark, sf):
+    """Latency over some days from stored daily sketches; the percentiles' ranks are within the
+    sketches' bound of those of the rows themselves."""
+    root = scratch_path(spark, "sketches")
+    tx = V.tx(spark, sf)
+    lifecycle.latency_sketches(tx, "source_partner").write.parquet(f"{root}/days")
+    first, last = date(2024, 1, 5), date(2024, 1, 20)
+    found = lifecycle.latency_of_period(spark.read.parquet(f"{root}/days"), first, last, "source_partner")
+    seconds = elapsed_seconds(F.col("transaction_time"), F.col("updated_at"))
+    rows = tx.where(F.col("transaction_time").cast("date").between(F.lit(first), F.lit(last)))
+    counted = rows.groupBy("source_partner", seconds.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    near = []
+    for p in (50, 95, 99):
+        at = F.col(f"p{p}_latency")
+        below, upto = (F.sum(F.when(c, F.col("n")).otherwise(0)) / F.sum("n") for c in (F.col("s") < at, F.col("s") <= at))
+        near.append(((below <= p / 100 + 0.01) & (upto >= p / 100 - 0.01)).alias(f"p{p}_near"))
+    same = ["source_partner", "measured", "min_latency", "max_latency"]
+    return counted.join(found, "source_partner").groupBy(*same).agg(*near)
+
+
+@check(
+    V.with_views(V.TX)
+    + """SELECT 'user' AS kind, CAST(user_id AS VARCHAR) AS value, COUNT(*) AS row_count, true AS few_files FROM tx GROUP BY user_id
+UNION ALL SELECT 'day', strftime(transaction_time, '%Y-%m-%d'), COUNT(*), true FROM tx GROUP BY 2"""
+)
+def clustered_layout(spark, sf):
+    """Transactions in files clustered by user and time: for every user and every day, whether most
+    files lie outside its value by their smallest and largest ones."""
+    root = scratch_path(spark, "clustered")
+    tx = V.tx(spark, sf).select("transaction_id", "user_id", "transaction_time")
+    layout.write_clustered(tx, f"{root}/tx", ["user_id", "transaction_time"], 64)
+    back = spark.read.schema(tx.schema).parquet(f"{root}/tx").withColumn("file", F.col("_metadata.file_path"))
+    back = back.withColumn("day", F.col("transaction_time").cast("date"))
+    files = back.groupBy("file").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("user_id", "day") for n, f in (("least", F.min), ("most", F.max))]
+    )
+    n_files = files.count()
+    found = []
+    for kind, c in (("user", "user_id"), ("day", "day")):
+        values = back.groupBy(c).agg(F.count(F.lit(1)).alias("row_count"))
+        inside = (F.col(c) >= F.col(f"least_{c}")) & (F.col(c) <= F.col(f"most_{c}"))
+        # one row per file: a table's list of files
+        touched = values.join(F.broadcast(files), inside).groupBy(c, "row_count").agg(F.count(F.lit(1)).alias("n"))
+        few = (F.col("n") * 2 <= n_files).alias("few_files")
+        found.append(touched.select(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"), "row_count", few))
+    return found[0].unionByName(found[1])

@@ -15,6 +15,9 @@ MAX_RISK_SCORE = 0.8
 FRESHNESS_LIMIT_SECONDS = 2 * 60 * 60
 SPIKE_RATIO = 5.0
 BASELINE_DAYS = 7
+#: Our choice: weeks that a weekday is compared with, and spreads that are out of the ordinary.
+SEASON_WEEKS = 8
+SEASON_LIMIT = 6.0
 EPOCH = "1970-01-01 00:00:00"
 DEFAULT_KEY = "id"
 STAGE_BRONZE = "source_to_bronze"
@@ -71,7 +74,7 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
-#: Increments as they were written, and those among them that silver holds.
+#: Increments as they were written, and what became of them.
 BATCH_SCHEMA = T.StructType(
     [
         T.StructField("partner", T.StringType(), False),
@@ -82,10 +85,13 @@ BATCH_SCHEMA = T.StructType(
     ]
 )
 
-MERGED_SCHEMA = T.StructType(
+BATCH_STATE_SCHEMA = T.StructType(
     [
-        T.StructField("table_name", T.StringType(), False),
         T.StructField("batch_id", T.StringType(), False),
+        T.StructField("state", T.StringType(), False),
+        T.StructField("rule", T.StringType()),
+        T.StructField("feed", T.LongType()),
+        T.StructField("noted_at", T.TimestampNTZType()),
     ]
 )
 

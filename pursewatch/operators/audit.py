@@ -6,7 +6,7 @@ layer is scanned once and a task sends on one row per group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
@@ -33,6 +33,8 @@ class Layer:
     keys: tuple[str, ...]
     error: str | None = None
     distinct: tuple[str, ...] = ()
+    #: Rows that were counted elsewhere, such as by the source itself; they are added.
+    counted: int | None = None
 
 
 def _asked(layers: Sequence[Layer]) -> DataFrame:
@@ -41,7 +43,7 @@ def _asked(layers: Sequence[Layer]) -> DataFrame:
         F.struct(
             F.lit(x.table).alias("table_name"),
             F.lit(x.layer).alias("layer"),
-            F.lit(None if x.df is None else 0).cast("bigint").alias("rows"),
+            F.lit(x.counted if x.df is None else x.counted or 0).cast("bigint").alias("rows"),
             F.lit(0).cast("bigint").alias("null_pk"),
             F.lit(x.error).cast("string").alias("error"),
         )
@@ -145,7 +147,8 @@ def breaches(audit: DataFrame) -> DataFrame:
     """One row per ledger row and rule: rule, breached, detail.
 
     Rules: no null key; every layer readable; the rows extracted were written; silver holds
-    one row per distinct non-null key (where the audit carries ``expected_silver``). Where the
+    one row per distinct non-null key (where the audit carries ``expected_silver``). A
+    ``batch_id`` of the audit is told as well. Where the
     audit carries them: no partner failed (``failed_partners``), no present value was lost to
     its cast (``type_mismatches``), no source row lacked its change time (``unversioned_rows``).
     """
@@ -167,6 +170,7 @@ def breaches(audit: DataFrame) -> DataFrame:
     for rule, column in counted:
         if column in audit.columns:
             rules.append((rule, F.col(column) > 0, F.col(column)))
+    told = ["pipeline_stage", "table_name", *[c for c in ("batch_id",) if c in audit.columns]]
     entries = [
         F.struct(
             F.lit(name).alias("rule"),
@@ -175,21 +179,50 @@ def breaches(audit: DataFrame) -> DataFrame:
         )
         for name, cond, detail in rules
     ]
-    return audit.select(
-        "pipeline_stage", "table_name", F.explode(F.array(*entries)).alias("r")
-    ).select("pipeline_stage", "table_name", "r.rule", "r.breached", "r.detail")
+    return audit.select(*told, F.explode(F.array(*entries)).alias("r")).select(
+        *told, "r.rule", "r.breached", "r.detail"
+    )
+
+
+def batch_audit(
+    bronze: DataFrame, batches: DataFrame, keys: Sequence[str], casts: Mapping[str, Column], stage: str = STAGE_BRONZE
+) -> DataFrame:
+    """Per batch of one table what the rules ask: rows noted and found, rows without a key, and
+    present values that their casts lose.
+
+    ``batches`` has table_name, batch_id and row_count; one without rows in bronze counts as 0. A
+    task sends one row per batch.
+    """
+    lost = [F.when(F.col(c).isNotNull() & cast.isNull(), 1).otherwise(0) for c, cast in casts.items()]
+    wrong = reduce(lambda a, b: a + b, lost) if lost else F.lit(0)
+    found = bronze.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("target_count"),
+        F.count(F.when(missing_key(*keys), 1)).alias("null_pk_count"),
+        F.sum(wrong).cast("bigint").alias("type_mismatches"),
+    )
+    none = F.lit(0).cast("bigint")
+    return batches.join(found, "batch_id", "left").select(
+        F.lit(stage).alias("pipeline_stage"),
+        "table_name",
+        "batch_id",
+        F.col("row_count").alias("source_count"),
+        *[F.coalesce(c, none).alias(c) for c in ("target_count", "null_pk_count", "type_mismatches")],
+    )
 
 
 class CircuitOpen(RuntimeError):
     """Data quality stopped the run."""
 
+    @classmethod
+    def of(cls, found: Iterable[str]) -> CircuitOpen:
+        return cls(f"stopped by audit rules: {', '.join(found)}")
+
 
 def enforce(audit: DataFrame) -> None:
     """Raise when a rule is breached; at most a row per table and rule reaches the driver."""
     broken = breaches(audit).where("breached").collect()
     if broken:
-        found = ", ".join(f"{r.table_name}: {r.rule} ({r.detail})" for r in broken)
-        raise CircuitOpen(f"stopped by audit rules: {found}")
+        raise CircuitOpen.of(f"{r.table_name}: {r.rule} ({r.detail})" for r in broken)
 
 
 def reconcile(layers: Sequence[Layer]) -> DataFrame:

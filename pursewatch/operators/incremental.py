@@ -17,16 +17,20 @@ def changed_since(
     column: str,
     watermark: datetime | str,
     look_back: timedelta = timedelta(0),
+    untimed: bool = False,
 ) -> DataFrame:
     """Rows newer than one watermark; the literal comparison reaches the scan.
 
+    With ``untimed`` also those without a time, for a caller that counts them.
+
     A ``look_back`` re-reads that much more for rows that came late. Repeats do no harm, as
     the latest row per key is taken afterwards.
     """
     since = moment(watermark)
     if look_back:
         since = since - F.expr(f"INTERVAL '{look_back.total_seconds():.6f}' SECOND")
-    return df.where(changed_after(column, since))
+    new = changed_after(column, since)
+    return df.where(new | F.col(column).isNull() if untimed else new)
 
 
 def current_watermarks(history: DataFrame) -> DataFrame:

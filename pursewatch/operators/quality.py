@@ -11,7 +11,14 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pursewatch.functions.timing import elapsed_seconds, moment
-from pursewatch.model import BASELINE_DAYS, FRESHNESS_LIMIT_SECONDS, SPIKE_RATIO
+from pursewatch.model import (
+    BASELINE_DAYS,
+    FRESHNESS_LIMIT_SECONDS,
+    SEASON_LIMIT,
+    SEASON_WEEKS,
+    SPIKE_RATIO,
+)
+from pursewatch.operators.trend import median
 
 
 def _unpivot(totals: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -117,25 +124,15 @@ def freshness(
     )
 
 
-def volume_anomalies(
-    df: DataFrame,
-    last_day: date,
-    days: int,
-    event_time: str = "transaction_time",
-    partner: str = "partner",
-    spike_ratio: float = SPIKE_RATIO,
-    partners: Sequence[str] = (),
+def _daily_counts(
+    df: DataFrame, first_day: date, last_day: date, earlier: int, event_time: str, partner: str, partners: Sequence[str]
 ) -> DataFrame:
-    """Per partner and day of the period: rows, mean of the days before, and the anomaly.
+    """Rows per partner and day of a period and of some days before it, also where there are none.
 
-    A day without rows is ``no_data``; one with at least ``spike_ratio`` times the mean of the
-    up to seven days before is a ``spike``; days before the period count in that mean, from the
-    partner's first day with rows among them on. Only partner-day counts leave the scan; the days
-    without rows are generated per partner from those. ``partners`` names those to report even
-    if they sent nothing in the whole period.
+    Days before the period begin with the partner's first one with rows. Only partner-day counts
+    leave the scan; the days without rows are generated per partner from those.
     """
-    first_day = last_day - timedelta(days=days - 1)
-    from_day = first_day - timedelta(days=BASELINE_DAYS)
+    from_day = first_day - timedelta(days=earlier)
     start, end = (moment(f"{d} 00:00:00") for d in (from_day, last_day + timedelta(days=1)))
     in_period = (F.col(event_time) >= start) & (F.col(event_time) < end)
     seen = df.where(in_period).select(
@@ -151,9 +148,30 @@ def volume_anomalies(
     since = F.least(F.min("day"), F.lit(first_day)).alias("since")
     calendar = F.explode(F.sequence(F.col("since"), F.lit(last_day))).alias("day")
     grid = counts.groupBy(partner).agg(by_day, since).select(partner, "by_day", calendar)
-    filled = grid.select(
+    return grid.select(
         partner, "day", F.coalesce(F.try_element_at("by_day", "day"), F.lit(0)).alias("row_count")
     )
+
+
+def volume_anomalies(
+    df: DataFrame,
+    last_day: date,
+    days: int,
+    event_time: str = "transaction_time",
+    partner: str = "partner",
+    spike_ratio: float = SPIKE_RATIO,
+    partners: Sequence[str] = (),
+) -> DataFrame:
+    """Per partner and day of the period: rows, mean of the days before, and the anomaly.
+
+    A day without rows is ``no_data``; one with at least ``spike_ratio`` times the mean of the
+    up to seven days before is a ``spike``; days before the period count in that mean, from the
+    partner's first day with rows among them on. Only partner-day counts leave the scan; the days
+    without rows are generated per partner from those. ``partners`` names those to report even
+    if they sent nothing in the whole period.
+    """
+    first_day = last_day - timedelta(days=days - 1)
+    filled = _daily_counts(df, first_day, last_day, BASELINE_DAYS, event_time, partner, partners)
     before = Window.partitionBy(partner).orderBy("day").rowsBetween(-BASELINE_DAYS, -1)
     spike = F.col("row_count") >= F.lit(spike_ratio) * F.col("baseline")
     based = filled.withColumn("baseline", F.avg("row_count").over(before))
@@ -165,6 +183,50 @@ def volume_anomalies(
     )
 
 
+def seasonal_volume(
+    df: DataFrame,
+    last_day: date,
+    days: int,
+    weeks: int = SEASON_WEEKS,
+    event_time: str = "transaction_time",
+    partner: str = "partner",
+    limit: float = SEASON_LIMIT,
+    least_weeks: int = 2,
+    partners: Sequence[str] = (),
+) -> DataFrame:
+    """Per partner and day of the period: rows against the same weekday of the weeks before.
+
+    The baseline is those days' median; the spread is the largest of their median distance from
+    it (x 1.4826, as for a normal spread), the root of the baseline, which counts vary by anyway,
+    and 1. A day more than ``limit`` spreads away is ``high`` or ``low``, one without rows where
+    the baseline has some is ``no_data``; with fewer than ``least_weeks`` days before, ``unknown``.
+    One odd week moves neither median, and a weekly pattern is no alarm. Only partner-day counts
+    are shuffled.
+    """
+    first_day = last_day - timedelta(days=days - 1)
+    counts = _daily_counts(df, first_day, last_day, 7 * weeks, event_time, partner, partners)
+    same = Window.partitionBy(partner, F.weekday("day")).orderBy("day").rowsBetween(-weeks, -1)
+    based = counts.withColumn("before", F.collect_list("row_count").over(same))
+    based = based.withColumn("baseline", median(F.col("before")))
+    off = F.transform("before", lambda x: F.abs(x - F.col("baseline")))
+    spread = F.greatest(F.lit(1.4826) * median(off), F.sqrt("baseline"), F.lit(1.0))
+    found = based.where(F.col("day") >= F.lit(first_day)).withColumn("spread", spread)
+    away = (F.col("row_count") - F.col("baseline")) / F.col("spread")
+    return found.select(
+        partner,
+        "day",
+        "row_count",
+        "baseline",
+        "spread",
+        F.when(F.size("before") < least_weeks, F.lit("unknown"))
+        .when((F.col("row_count") == 0) & (F.col("baseline") > 0), F.lit("no_data"))
+        .when(away > limit, F.lit("high"))
+        .when(away < -limit, F.lit("low"))
+        .otherwise(F.lit("none"))
+        .alias("anomaly"),
+    )
+
+
 @dataclass(frozen=True)
 class NotNull:
     column: str

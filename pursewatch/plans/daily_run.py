@@ -3,40 +3,49 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from pursewatch.functions.timing import moment
-from pursewatch.model import BATCH_SCHEMA, EPOCH, LEDGER_SCHEMA, MERGED_SCHEMA, WATERMARK_SCHEMA
+from pursewatch.model import EPOCH, LEDGER_SCHEMA, WATERMARK_SCHEMA
 from pursewatch.operators.audit import (
+    CircuitOpen,
     Layer,
+    batch_audit,
+    breaches,
     bronze_to_silver,
     enforce,
     reconcile,
     source_to_bronze,
 )
+from pursewatch.operators.changes import change_images, image_schema
 from pursewatch.operators.dedup import latest_per_key
 from pursewatch.operators.incremental import changed_since, current_watermarks
 from pursewatch.operators.projection import first_of_duplicates, require_keys, split_rejects
-from pursewatch.operators.quality import cast_failures, freshness, volume_anomalies
+from pursewatch.operators.quality import freshness, volume_anomalies
 from pursewatch.operators.upsert import upsert
+from pursewatch.plans import batches as held
+from pursewatch.plans.batches import Batch
 from pursewatch.plans.gold import keyed_profile, user_risk_profile
-from pursewatch.plans.silver import VERSION, build_silver, build_silver_with_rejects, typed_rows
+from pursewatch.plans.profile_parts import maintained_profile
+from pursewatch.plans.silver import VERSION, typed_rows
 from pursewatch.sources.bronze import Written, read_bronze, write_increment
 from pursewatch.sources.managed import (
     append_rows,
+    apply_images,
     conform,
     create_namespace,
     name_view,
     path_or_none,
     publish,
     stored_rows,
-    upsert_partitions,
 )
 from pursewatch.sources.tables import TableSpec, load_tables
 
@@ -55,6 +64,10 @@ class Run:
     ``lenient`` lets the others pass, and ``partial`` goes on without the failed partner. All of
     it is in the ledger either way. ``keep`` is the number of old snapshots that stay. With
     ``report`` a run that reaches gold also logs freshness, volume and the layers' agreement.
+
+    A stop holds: the batches that caused it stay out of silver and gold, and later runs stop as
+    well, until they are released or rejected (``batches.release_batches``, ``reject_batches``).
+    With ``past_held`` a run goes on without them.
     """
 
     root: str
@@ -70,6 +83,7 @@ class Run:
     partial: bool = False
     keep: int = 3
     report: bool = False
+    past_held: bool = False
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -99,15 +113,15 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
             spec, name = run.tables[table], partner.lower()
             since = marks.get((name, table)) if spec.watermark else None
             df = first_of_duplicates(given(since) if callable(given) else given)
-            unversioned = 0
             if spec.watermark:
-                unversioned = df.where(F.col(spec.watermark).isNull()).count()
-                df = changed_since(df, spec.watermark, since or EPOCH, run.look_back)
+                df = changed_since(df, spec.watermark, since or EPOCH, run.look_back, untimed=True)
             batch = f"{run.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
             done = write_increment(
                 df, run.path("bronze"), name, table, run.run_ts, spec.watermark, batch_id=batch
             )
-            written[name, table] = replace(done, unversioned=unversioned)
+            if spec.watermark and hasattr(given, "untimed"):
+                done = replace(done, unversioned=given.untimed())
+            written[name, table] = done
 
     with ThreadPoolExecutor(run.parallel) as pool:
         jobs = {p: pool.submit(one_partner, p) for p in sources}
@@ -117,9 +131,7 @@ def ingest(spark: SparkSession, sources: Sources, run: Run) -> tuple[dict, dict[
         if job.exception() is not None
     }
     day = run.run_ts.date()
-    batches = [(*at, w.batch_id, day, w.rows) for at, w in written.items() if w.rows]
-    if batches:
-        append_rows(spark.createDataFrame(batches, BATCH_SCHEMA).coalesce(1), run.path("batches"))
+    held.note_extracted(spark, run.path(), [(*at, w.batch_id, day, w.rows) for at, w in written.items() if w.rows])
     risen = [
         (*at, w.newest, run.run_ts)
         for at, w in written.items()
@@ -161,16 +173,41 @@ def _log(audit: DataFrame, run: Run) -> None:
     append_rows(conform(audit, LEDGER_WITH_ERROR), run.path("ledger"))
 
 
-def _mismatches(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """table_name, type_mismatches: values present in bronze that their casts lose."""
-    casts = {r.source: r.build(F.lit(None)) for r in spec.rules if r.source and r.kind != "string"}
-    total = F.lit(0).cast("bigint")
-    if not casts:
-        return bronze.sparkSession.range(0, 1, 1, 1).select(
-            F.lit(spec.table).alias("table_name"), total.alias("type_mismatches")
+def check_batches(spark: SparkSession, run: Run) -> None:
+    """Find every batch that nobody has looked at yet clean or stopped, by the rules for its rows.
+
+    All new batches are one job, which reads them alone; a row per broken rule reaches the driver.
+    """
+    new = held.batches_in(spark, run.path(), held.EXTRACTED)
+    asked = []
+    for table, spec in run.tables.items():
+        own = [b for b in new if b.table == table]
+        if not own:
+            continue
+        known = spark.createDataFrame(
+            [(table, b.batch_id, b.rows) for b in own], "table_name string, batch_id string, row_count long"
         )
-    found = cast_failures(bronze, casts).agg(F.sum("failed").alias("type_mismatches"))
-    return found.select(F.lit(spec.table).alias("table_name"), "type_mismatches")
+        casts = {r.source: r.build(F.lit(None)) for r in spec.rules if r.source and r.kind != "string"}
+        rows = _of_batches(_bronze(spark, run, spec, True), [(b.batch_id, b.ingest_date) for b in own])
+        asked.append(batch_audit(rows, known, _raw_keys(spec), {} if run.lenient else casts))
+    if not asked:
+        return
+    checked = reduce(DataFrame.unionByName, asked)
+    if run.rejects:
+        checked = checked.withColumn("null_pk_count", F.lit(0))
+    broken: dict[str, list[str]] = {}
+    for r in breaches(checked).where("breached").collect():
+        broken.setdefault(r.batch_id, []).append(f"{r.rule} ({r.detail})")
+    looked = [b.batch_id for b in new if b.table in run.tables]
+    notes = [(b, held.STOPPED, ", ".join(sorted(broken[b])), None) if b in broken else (b, held.CLEAN, None, None) for b in looked]
+    held.note_states(spark, run.path(), "checks", notes, run.run_ts)
+
+
+def stop_if_held(batches: Sequence[Batch], run: Run) -> None:
+    """Raise while a stopped batch waits for a decision."""
+    waiting = [b for b in batches if b.state == held.STOPPED]
+    if waiting and not run.past_held:
+        raise CircuitOpen.of(f"{b.table}: {b.rule} in batch {b.batch_id}" for b in waiting)
 
 
 def audit_bronze(
@@ -180,11 +217,12 @@ def audit_bronze(
     errors: Mapping,
     run: Run,
     incremental: bool = False,
-) -> None:
-    """Log the counts, then stop if this run's rows did not all arrive with a key.
+) -> list[Batch]:
+    """Log the counts, check the batches, and stop on what the rules forbid; returns the batches
+    that are to be merged.
 
-    Logged are the totals of source and bronze, or of this run's rows alone when incremental;
-    the rules look at this run's increments, by their ids, in either case.
+    Logged are the totals of source and bronze, or of this run's rows alone when incremental. The
+    rules for rows hold per batch; those for sources and layers hold for this run.
     """
     here = {name for _, name in written}
     day = run.run_ts.date()
@@ -211,11 +249,6 @@ def audit_bronze(
             "failed_partners": F.lit(0 if run.partial else len(errors)),
         }
     )
-    if not run.lenient:
-        wrong = [_mismatches(x.df, run.tables[x.table]) for x in this_run if x.df is not None]
-        for frame in wrong[1:]:
-            wrong[0] = wrong[0].unionByName(frame)
-        checked = checked.join(wrong[0], "table_name", "left") if wrong else checked
     said = F.concat_ws(
         "; ",
         "error",
@@ -229,17 +262,35 @@ def audit_bronze(
         else:
             totals = []
             for table, spec in run.tables.items():
-                keys = _raw_keys(spec)
-                # a source that is read by a mark is counted by what was extracted alone
-                frames = [t[table] for t in sources.values() if isinstance(t.get(table), DataFrame)]
-                totals += [Layer(table, "source", first_of_duplicates(f), keys, failed) for f in frames]
+                totals += _source_layers(sources, spec, failed)
                 read = lambda s=spec: _bronze(spark, run, s, s.table in here)
-                totals.append(_layer(table, "bronze", keys, read))
+                totals.append(_layer(table, "bronze", _raw_keys(spec), read))
             _log(source_to_bronze(totals, run.run_ts), run)
-        asked = checked.withColumn("null_pk_count", F.lit(0)) if run.rejects else checked
-        enforce(asked.drop("unversioned_rows") if run.lenient else asked)
+        check_batches(spark, run)
+        # what a batch is stopped for is told with the batch
+        asked = checked.withColumns({"null_pk_count": F.lit(0), "source_count": F.col("target_count")})
+        asked = asked.drop("unversioned_rows") if run.lenient else asked
+        found = [f"{r.table_name}: {r.rule} ({r.detail})" for r in breaches(asked).where("breached").collect()]
     finally:
         checked.unpersist()
+    if found:
+        raise CircuitOpen.of(found)
+    open_ = held.batches_in(spark, run.path(), held.STOPPED, *held.READY, held.IMAGED)
+    stop_if_held(open_, run)
+    return [b for b in open_ if b.state != held.STOPPED]
+
+
+def _source_layers(sources: Sources, spec: TableSpec, failed: str | None) -> list[Layer]:
+    """A table's rows at the sources: counted here, or by the source where it can count itself. A
+    reader that cannot is left out."""
+    found = []
+    for tables in sources.values():
+        given, keys = tables.get(spec.table), _raw_keys(spec)
+        if isinstance(given, DataFrame):
+            found.append(Layer(spec.table, "source", first_of_duplicates(given), keys, failed))
+        elif hasattr(given, "total"):
+            found.append(Layer(spec.table, "source", None, keys, failed, counted=given.total()))
+    return found
 
 
 def _raw_keys(spec: TableSpec) -> tuple[str, ...]:
@@ -249,19 +300,36 @@ def _raw_keys(spec: TableSpec) -> tuple[str, ...]:
     return tuple(k for k in named if k != "source_partner") or named
 
 
+def _typed(spark: SparkSession, run: Run, spec: TableSpec, bronze: DataFrame, batches: Sequence[Batch]) -> tuple[DataFrame, DataFrame | None]:
+    """Typed rows with their version, and those set aside because they lack a key.
+
+    Without ``rejects`` only released batches may have such rows; any other fails the job.
+    """
+    typed = typed_rows(bronze, spec, run.run_ts)
+    if run.rejects:
+        return split_rejects(typed, spec.keys)
+    passed = [b.batch_id for b in batches if b.released]
+    if not passed:
+        return typed, None
+    free = F.col("batch_id").isin(passed)
+    good, rejected = split_rejects(typed_rows(bronze.where(free), spec, run.run_ts), spec.keys)
+    rest = typed_rows(bronze.where(~F.coalesce(free, F.lit(False))), spec, run.run_ts)
+    return rest.unionByName(good), rejected
+
+
 def refresh_silver(
-    spark: SparkSession, spec: TableSpec, run: Run, extracted: bool = False
+    spark: SparkSession, spec: TableSpec, run: Run, open_: Sequence[Batch] = (), extracted: bool = False
 ) -> DataFrame:
-    """Rebuild a silver table from all of bronze and switch its view to the new snapshot."""
-    bronze = _bronze(spark, run, spec, extracted)
+    """Rebuild a silver table from all of bronze but held batches; its view gets the new snapshot."""
+    bronze = held.without_held(spark, run.path(), _bronze(spark, run, spec, extracted))
     name = f"{run.silver}{spec.table}"
-    if run.rejects:
-        rows, rejected = build_silver_with_rejects(bronze, spec, run.run_ts)
+    passed = [] if run.rejects else held.batches_in(spark, run.path(), *held.READY, *held.TAKEN)
+    typed, rejected = _typed(spark, run, spec, bronze, [b for b in passed if b.table == spec.table])
+    if rejected is not None:
         rejects = run.path("rejects", spec.table)
-        publish(rejected, rejects, f"{name}_rejects", temporary=run.temporary, keep=run.keep)
-    else:
-        rows = build_silver(bronze, spec, run.run_ts)
-    rows, folders = _by_event_day(rows, spec)
+        publish(rejected.drop(VERSION), rejects, f"{name}_rejects", temporary=run.temporary, keep=run.keep)
+    latest = require_keys(latest_per_key(typed, spec.keys, [VERSION]).drop(VERSION), spec.keys)
+    rows, folders = _by_event_day(latest, spec)
     return publish(rows, run.path("silver", spec.table), name, folders, run.temporary, run.keep)
 
 
@@ -271,106 +339,144 @@ def _by_event_day(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str
     return rows.withColumn("event_date", F.to_date(spec.event_time)), ["event_date"]
 
 
-def pending_batches(spark: SparkSession, run: Run, table: str) -> list[tuple[str, date]]:
-    """Increments that the silver table does not hold yet: a few per run that has not been merged."""
-    batches = path_or_none(spark, run.path("batches"), BATCH_SCHEMA)
-    if batches is None:
-        return []
-    merged = path_or_none(spark, run.path("merged", table), MERGED_SCHEMA)
-    asked = batches.where(F.col("table_name") == table)
-    if merged is not None:
-        asked = asked.join(merged, ["table_name", "batch_id"], "left_anti")
-    return [(r.batch_id, r.ingest_date) for r in asked.collect()]
+def _here(run: Run, name: str) -> str:
+    """A view's name that no other root of the session shares."""
+    return f"{name}_{zlib.crc32(run.root.rstrip('/').encode()):08x}"
+
+
+def feed_path(run: Run, table: str, feed: int | None = None) -> str:
+    """The folder of one feed of changes, or that of all."""
+    return run.path("changes", table, *([] if feed is None else [f"feed={feed}"]))
 
 
 def advance_silver(
-    spark: SparkSession, spec: TableSpec, run: Run, extracted: bool = False
+    spark: SparkSession, spec: TableSpec, run: Run, open_: Sequence[Batch], extracted: bool = False
 ) -> DataFrame:
     """Merge the increments that the silver table does not hold yet, whenever they were written.
 
-    A table with an event time keeps one set of day folders, of which only the days with
-    changes are rewritten; a dimension is written anew. Increments are noted as merged after
-    their rows are in, and to merge one twice changes nothing. Versions are compared as a full
-    refresh compares them: by the declared order, then by all other columns.
+    ``open_`` are the batches of all tables that are not held back and not merged. Versions are compared as a full refresh compares them: by the declared
+    order, then by all other columns. To merge an increment twice changes nothing.
     """
-    name = f"{run.silver}{spec.table}"
-    live = run.path("silver", spec.table, "live")
-    batches = pending_batches(spark, run, spec.table)
-    bronze = _of_batches(_bronze(spark, run, spec, extracted), batches)
-    typed = typed_rows(bronze, spec, run.run_ts)
-    if run.rejects:
-        typed, rejected = split_rejects(typed, spec.keys)
+    own = [b for b in open_ if b.table == spec.table]
+    ready = [b for b in own if b.state != held.IMAGED]
+    if spec.event_time:
+        result, rejected = _advance_days(spark, spec, run, ready, [b for b in own if b.state == held.IMAGED], extracted)
+    else:
+        result, rejected = _advance_dimension(spark, spec, run, ready, extracted)
+    if rejected is not None:
+        where = run.path("rejects", spec.table, "live")
+        kept = rejected.drop(VERSION)
+        if ready:
+            append_rows(kept, where)
+        aside = path_or_none(spark, where, kept.schema)
+        name_view(aside if aside is not None else kept.limit(0), f"{run.silver}{spec.table}_rejects")
+    held.note_states(spark, run.path(), spec.table, [(b.batch_id, held.MERGED, None, None) for b in own], run.run_ts)
+    return result
+
+
+def _latest_updates(
+    spark: SparkSession, spec: TableSpec, run: Run, batches: Sequence[Batch], extracted: bool
+) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """One typed row per key of some batches, the rows set aside, and what versions compare by."""
+    rows = _of_batches(_bronze(spark, run, spec, extracted), [(b.batch_id, b.ingest_date) for b in batches])
+    typed, rejected = _typed(spark, run, spec, rows, batches)
     # the version stays in the table: later increments compare with it
     latest = require_keys(latest_per_key(typed, spec.keys, [VERSION]), spec.keys)
-    updates, folders = _by_event_day(latest, spec)
     ties = [f.name for f in latest.schema if f.name not in (*spec.keys, VERSION, "ingest_ts")]
-    newer_by = [VERSION, *ties]
+    return latest, rejected, [VERSION, *ties]
+
+
+def _advance_days(
+    spark: SparkSession, spec: TableSpec, run: Run, ready: Sequence[Batch], started: Sequence[Batch], extracted: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """A table with an event time: one set of day folders, of which only those with changes are
+    rewritten. What changes is first stored as a feed, then applied; a run that died between the
+    two is ended by the next one from the stored feed."""
+    name, live = f"{run.silver}{spec.table}", run.path("silver", spec.table, "live")
+    latest, rejected, newer_by = _latest_updates(spark, spec, run, ready, extracted)
+    updates, (day,) = _by_event_day(latest.persist(), spec)
     declared = updates.schema if spec.rules else None
-    updates = updates.persist()
-    try:
-        if folders:
-            partition = updates.schema[folders[0]]
-            if batches:
-                upsert_partitions(spark, live, updates, spec.keys, folders[0], newer_by, declared)
-            merged = stored_rows(spark, live, partition, declared)
-            merged = merged if merged is not None else updates.limit(0)
-            if run.temporary:
-                name_view(merged.drop(VERSION), name)
-            else:
-                columns = ", ".join(f"`{c}`" for c in merged.columns if c != VERSION)
-                spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{live}`")
-            result = merged.drop(VERSION)
-        else:
-            snapshots = run.path("silver", spec.table)
-            held = path_or_none(spark, run.path("silver", spec.table, "current"), _POINTER)
-            at = held.agg(F.max_by("path", "nth")).first()[0] if held is not None else None
-            stored = stored_rows(spark, at, schema=declared) if at else None
-            if batches or stored is None:
-                merged = updates if stored is None else upsert(stored, updates, spec.keys, newer_by)
-                where = f"{snapshots}/versions-{uuid.uuid4().hex}"
-                merged.write.parquet(where)
-                nth = 0 if held is None else held.count()
-                pointer = spark.createDataFrame([(nth, where)], _POINTER)
-                append_rows(pointer.coalesce(1), run.path("silver", spec.table, "current"))
-                stored = stored_rows(spark, where, schema=updates.schema)
-            result = publish(stored.drop(VERSION), snapshots, name, (), run.temporary, run.keep)
-        if run.rejects and batches:
-            append_rows(rejected.drop(VERSION), run.path("rejects", spec.table, "live"))
-        if run.rejects:
-            aside = path_or_none(spark, run.path("rejects", spec.table, "live"), rejected.drop(VERSION).schema)
-            name_view(aside if aside is not None else rejected.drop(VERSION).limit(0), f"{name}_rejects")
-    finally:
-        updates.unpersist()
-    if batches:
-        rows = spark.createDataFrame([(spec.table, b) for b, _ in batches], MERGED_SCHEMA)
-        # a folder per table, as tables are merged side by side
-        append_rows(rows.coalesce(1), run.path("merged", spec.table))
-    return result
-
-
-#: Which folder holds a dimension's rows with their versions; the highest number is current.
-_POINTER = T.StructType([T.StructField("nth", T.LongType()), T.StructField("path", T.StringType())])
+    kind = updates.schema[day]
+    for feed in sorted({b.feed for b in started}):
+        images = stored_rows(spark, feed_path(run, spec.table, feed), schema=declared and image_schema(declared))
+        apply_images(spark, live, images, spec.keys, day, declared)
+    if ready:
+        feed = 1 + last_feed(spark, run, spec.table)
+        target = stored_rows(spark, live, kind, declared)
+        where = feed_path(run, spec.table, feed)
+        images = change_images(target, updates, spec.keys, newer_by)
+        images.write.mode("overwrite").parquet(where)
+        notes = [(b.batch_id, held.IMAGED, None, feed) for b in ready]
+        held.note_states(spark, run.path(), spec.table, notes, run.run_ts)
+        apply_images(spark, live, spark.read.schema(images.schema).parquet(where), spec.keys, day, declared)
+    latest.unpersist()
+    merged = stored_rows(spark, live, kind, declared)
+    merged = merged if merged is not None else updates.limit(0)
+    if run.temporary:
+        name_view(merged.drop(VERSION), name)
+    else:
+        columns = ", ".join(f"`{c}`" for c in merged.columns if c != VERSION)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{live}`")
+    return merged.drop(VERSION), rejected
+
+
+def last_feed(spark: SparkSession, run: Run, table: str) -> int:
+    """The number of a table's last stored feed, 0 before the first."""
+    every = held.batch_states(spark, run.path())
+    asked = None if every is None else every.where(F.col("table_name") == table).agg(F.max("feed")).first()[0]
+    return asked or 0
+
+
+def read_feeds(
+    spark: SparkSession, run: Run, table: str, rows: T.StructType, after: int = 0, last: int | None = None
+) -> DataFrame | None:
+    """Stored feeds of a table past a number, with ``feed``; those that no batch names are left out."""
+    last = last_feed(spark, run, table) if last is None else last
+    if last <= after:
+        return None
+    schema = T.StructType([*image_schema(rows).fields, T.StructField("feed", T.LongType())])
+    feeds = spark.read.schema(schema).parquet(feed_path(run, table))
+    return feeds.where((F.col("feed") > after) & (F.col("feed") <= last))
+
+
+def _advance_dimension(
+    spark: SparkSession, spec: TableSpec, run: Run, ready: Sequence[Batch], extracted: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """A table without an event time: a new snapshot, which keeps the rows' versions, and a view of
+    its other columns. Where no snapshot is known it is rebuilt from all batches but held ones."""
+    name, versions = f"{run.silver}{spec.table}", _here(run, f"{run.silver}{spec.table}_versions")
+    known = spark.catalog.tableExists(versions)
+    earlier = [] if known else [b for b in held.batches_in(spark, run.path(), *held.TAKEN) if b.table == spec.table]
+    batches = [*ready, *earlier]
+    latest, rejected, newer_by = _latest_updates(spark, spec, run, batches, extracted)
+    if batches or not known:
+        rows = upsert(spark.table(versions), latest, spec.keys, newer_by) if known else latest
+        publish(rows, run.path("silver", spec.table), versions, (), run.temporary, run.keep)
+        columns = ", ".join(f"`{c}`" for c in rows.columns if c != VERSION)
+        kind = "TEMPORARY VIEW" if run.temporary else "VIEW"
+        spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT {columns} FROM {versions}")
+    return spark.table(name), rejected
 
 
 def audit_silver(
-    spark: SparkSession, run: Run, incremental: bool = False, written: Mapping | None = None
+    spark: SparkSession, run: Run, incremental: bool = False, merged: Sequence[Batch] = (), here: frozenset[str] = frozenset()
 ) -> None:
     """Log the counts, then stop unless silver has one row per distinct typed bronze key.
 
-    When incremental, this is asked of the keys that this run brought, not of all history.
+    When incremental, this is asked of the keys of the batches merged just now, not of all history.
+    Held batches are in neither; rows without a key are left to the rules for batches.
     """
     layers = []
-    here = {name for _, name in written or {}}
     for table, spec in run.tables.items():
         raw = _raw_keys(spec)
         rules = {r.name: r.build(moment(run.run_ts)) for r in spec.rules}
         typed = [rules.get(k, F.col(k)).alias(f"typed_{k}") for k in spec.keys]
         bronze = _bronze(spark, run, spec, table in here)
         silver = spark.table(f"{run.silver}{table}").select(*spec.keys)
-        if incremental:
-            day = run.run_ts.date()
-            ids = [(w.batch_id, day) for (_, name), w in (written or {}).items() if name == table]
-            bronze = _of_batches(bronze, ids)
+        if not incremental:
+            bronze = held.without_held(spark, run.path(), bronze)
+        else:
+            bronze = _of_batches(bronze, [(b.batch_id, b.ingest_date) for b in merged if b.table == table])
             came = bronze.select(*[t.alias(k) for t, k in zip(typed, spec.keys)])
             silver = silver.join(came, list(spec.keys), "left_semi")
         distinct = tuple(f"typed_{k}" for k in spec.keys)
@@ -379,7 +485,7 @@ def audit_silver(
     audit = bronze_to_silver(layers, run.run_ts).persist()
     try:
         _log(audit, run)
-        enforce(audit.withColumn("null_pk_count", F.lit(0)) if run.rejects else audit)
+        enforce(audit.withColumn("null_pk_count", F.lit(0)))
     finally:
         audit.unpersist()
 
@@ -412,6 +518,26 @@ def report_day(
         append_rows(rows.select(now, "*"), run.path("quality", name))
 
 
+def _maintained(spark: SparkSession, run: Run, silver: Mapping[str, DataFrame], within: Sequence[str]) -> DataFrame:
+    """The profile from its parts, brought up to date by the feeds they do not hold yet."""
+    tx = silver["transactions"]
+    spec = run.tables["transactions"]
+    last = last_feed(spark, run, spec.table)
+    return maintained_profile(
+        silver["users"],
+        silver["cards"],
+        tx,
+        run.run_ts,
+        within,
+        feeds=lambda after: read_feeds(spark, run, spec.table, tx.schema, after, last),
+        last=last,
+        base=run.path("gold", "profile_parts"),
+        name=_here(run, f"{run.gold}profile_parts"),
+        temporary=run.temporary,
+        keep=run.keep,
+    )
+
+
 def run_day(
     spark: SparkSession, sources: Sources, run: Run, incremental: bool = False
 ) -> DataFrame:
@@ -426,19 +552,21 @@ def run_day(
         for prefix in {p.rsplit(".", 1)[0] for p in (run.silver, run.gold) if "." in p}:
             create_namespace(spark, prefix)
     written, errors = ingest(spark, sources, run)
-    audit_bronze(spark, sources, written, errors, run, incremental)
+    # with them what a run that died had begun to merge
+    open_ = audit_bronze(spark, sources, written, errors, run, incremental)
     step = advance_silver if incremental else refresh_silver
-    here = {name for _, name in written}
+    here = frozenset(name for _, name in written)
     with ThreadPoolExecutor(run.parallel) as pool:
         jobs = {
-            t: pool.submit(step, spark, spec, run, t in here) for t, spec in run.tables.items()
+            t: pool.submit(step, spark, spec, run, open_, t in here) for t, spec in run.tables.items()
         }
     silver = {t: job.result() for t, job in jobs.items()}
-    audit_silver(spark, run, incremental, written)
+    audit_silver(spark, run, incremental, open_, here)
     within = [k for k in run.tables["users"].keys if k != "user_id"]
-    profile = user_risk_profile(
-        silver["users"], silver["cards"], silver["transactions"], run.run_ts, within
-    )
+    if incremental:
+        profile = _maintained(spark, run, silver, within)
+    else:
+        profile = user_risk_profile(silver["users"], silver["cards"], silver["transactions"], run.run_ts, within)
     gold = publish(
         keyed_profile(profile, within),
         run.path("gold", "user_risk_profile"),

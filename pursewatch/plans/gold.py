@@ -93,6 +93,14 @@ def user_risk_profile(
             F.max("hit").alias("hit"),
         )
     )
+    return profile_rows(users, per_user, as_of, within)
+
+
+def profile_rows(
+    users: DataFrame, per_user: DataFrame, as_of: datetime | str, within: Sequence[str] = ()
+) -> DataFrame:
+    """Every user with the figures of ``per_user``: spend, spend_rows, failed_tx_7d,
+    max_risk_score and hit, which is not NULL where a card of theirs is compromised."""
     return users.select(*within, F.col("user_id").try_cast("bigint").alias("user_id")).join(
         per_user, [*within, "user_id"], "left"
     ).select(

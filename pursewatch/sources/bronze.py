@@ -43,23 +43,26 @@ def write_increment(
     """Append one increment and report its row count and newest watermark value.
 
     ``batch_id`` is stored with each row, so that the increment can be told from others of the
-    same run time. Of columns that share a name the first is written.
+    same run time. Of columns that share a name the first is written. Rows without a watermark
+    value are counted as ``unversioned`` and not written.
 
-    Both figures are observed while the rows are written. The job has a single stage without
+    All figures are observed while the rows are written. The job has a single stage without
     a shuffle, so retried tasks are counted once.
     """
     df = first_of_duplicates(df)
-    if df.isEmpty():
-        return Written(0, None, batch_id)
+    timed = F.col(watermark).isNotNull() if watermark in df.columns else F.lit(True)
+    if df.where(timed).isEmpty():
+        return Written(0, None, batch_id, df.where(~timed).count() if watermark in df.columns else 0)
     seen = Observation()
     newest = F.max(to_timestamp(F.col(watermark))) if watermark in df.columns else F.lit(None)
     rows = with_lineage(all_strings(df), partner, table, run_ts)
     if batch_id is not None:
         rows = rows.withColumn("batch_id", F.lit(batch_id))
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
+    counts = [F.count(F.when(timed, 1)).alias("rows"), F.count(F.when(~timed, 1)).alias("untimed")]
+    rows = rows.observe(seen, *counts, newest.alias("newest")).where(timed)
     folder = day_folder(root, partner, table, run_ts.date(), plain)
     rows.write.mode("append").parquet(folder)
-    return Written(seen.get["rows"], seen.get["newest"], batch_id)
+    return Written(seen.get["rows"], seen.get["newest"], batch_id, seen.get["untimed"])
 
 
 def read_bronze(

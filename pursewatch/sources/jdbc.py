@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,39 +109,62 @@ def _read(
     return spark.read.jdbc(url, table, predicates=predicates, properties=_options(properties))
 
 
-def reader(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    column: str | None = None,
-    key: str | None = None,
-    slices: int = 8,
-    properties: Mapping[str, str] | None = None,
-    bounds: Callable = changed_between,
-    read: Callable | None = None,
-) -> Callable[[datetime | None], DataFrame]:
+def counted(
+    spark: SparkSession, url: str, table: str, condition: str | None = None, properties: Mapping[str, str] | None = None
+) -> int:
+    """Rows of a table, or those a condition holds for; the source counts, one row comes back."""
+    where = f" WHERE {condition}" if condition else ""
+    return spark.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {table}{where}) counted", properties=_options(properties)).first()[0]
+
+
+@dataclass(frozen=True)
+class Reader:
     """A table as a source of ``run_day``: given a mark, its rows that changed since.
 
     Without a change column every run reads the whole table. Time slices span the source's own
-    times past the mark; where nothing is new the one slice is empty.
+    times past the mark; where nothing is new the one slice is empty. Rows without a change time
+    are in no slice, so ``untimed`` has the source count them, and ``total`` all of its rows.
     """
 
-    def changed(since: datetime | None) -> DataFrame:
-        if column is None:
-            if key is None:
-                return spark.read.jdbc(url, table, properties=_options(properties))
-            return (read or _read)(spark, url, table, key_slices(key, slices), properties)
-        low, high = bounds(spark, url, table, column, since, properties)
+    spark: SparkSession
+    url: str
+    table: str
+    column: str | None = None
+    key: str | None = None
+    slices: int = 8
+    properties: Mapping[str, str] | None = None
+    bounds: Callable = changed_between
+    read: Callable = _read
+    count: Callable = counted
+
+    def total(self) -> int:
+        return self.count(self.spark, self.url, self.table, None, self.properties)
+
+    def untimed(self) -> int:
+        if self.column is None:
+            return 0
+        return self.count(self.spark, self.url, self.table, f"{self.column} IS NULL", self.properties)
+
+    def __call__(self, since: datetime | None) -> DataFrame:
+        asked = (self.spark, self.url, self.table)
+        if self.column is None:
+            if self.key is None:
+                return self.spark.read.jdbc(self.url, self.table, properties=_options(self.properties))
+            return self.read(*asked, key_slices(self.key, self.slices), self.properties)
+        low, high = self.bounds(*asked, self.column, since, self.properties)
         if high is None:
-            nothing = f"(SELECT * FROM {table} WHERE 1 = 0) nothing"
-            return spark.read.jdbc(url, nothing, properties=_options(properties))
+            nothing = f"(SELECT * FROM {self.table} WHERE 1 = 0) nothing"
+            return self.spark.read.jdbc(self.url, nothing, properties=_options(self.properties))
         # the first slice is open below: the smallest time itself belongs to it
-        even = low is not None and low < high and key is None
-        predicates = increment_predicates(column, since, high, slices if key else 1, key)
+        even = low is not None and low < high and self.key is None
+        predicates = increment_predicates(self.column, since, high, self.slices if self.key else 1, self.key)
         if even:
-            predicates = time_slices(column, low, high, slices)
-            first = predicates[0].replace(f"{column} > ", f"{column} >= ", 1)
+            predicates = time_slices(self.column, low, high, self.slices)
+            first = predicates[0].replace(f"{self.column} > ", f"{self.column} >= ", 1)
             predicates = [first, *predicates[1:]]
-        return (read or _read)(spark, url, table, predicates, properties)
+        return self.read(*asked, predicates, self.properties)
+
 
-    return changed
+def reader(spark: SparkSession, url: str, table: str, column: str | None = None, **options: object) -> Reader:
+    """A ``Reader``; ``options`` are its other fields."""
+    return Reader(spark, url, table, column, **options)

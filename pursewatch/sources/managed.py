@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
-from pursewatch.operators.upsert import upsert
+from pursewatch.operators.changes import AFTER, IMAGE, change_images
+from pursewatch.operators.upsert import union_evolved
+from pursewatch.scratch import scratch_path
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -151,15 +153,6 @@ def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str], mode:
     writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-STAGED_SCHEMA = T.StructType(
-    [
-        T.StructField("staged", T.StringType(), False),
-        T.StructField("done", T.BooleanType(), False),
-        T.StructField("emptied", T.ArrayType(T.StringType())),
-    ]
-)
-
-
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -168,67 +161,71 @@ def upsert_partitions(
     partition: str,
     newer_by: str | Sequence[str] | None = None,
     schema: T.StructType | None = None,
-) -> None:
-    """Upsert into a table kept in folders of one column, such as the event day, rewriting
-    only the folders the updates fall in and those their keys were stored in before.
-
-    ``updates`` holds one row per key. A key that changes its folder leaves the old one; the
-    folders are found by a scan of the stored keys. ``schema`` is the table's declared one.
+    feed: str | None = None,
+) -> DataFrame:
+    """Upsert into a table kept in folders of one column, such as the event day; returns what
+    changed, as before and after images.
 
-    The touched folders are first written whole beside the table and noted as staged, then moved
-    in and noted as done. A crash before the first note leaves the table as it was; one after it
-    is made good by ``finish_upserts``, with which each call begins. Only the list of touched
-    folder values reaches the driver, no longer than what it lists anyway to plan a read.
+    ``updates`` holds one row per key. The images are stored first (in the folder ``feed``, or a
+    scratch folder), then applied: so a call that died may be repeated, and one that died after
+    its images were stored may be ended by ``apply_images``. ``schema`` is the table's declared one.
     """
-    finish_upserts(spark, path, partition)
     kind = updates.schema[partition].dataType
     target = stored_rows(spark, path, T.StructField(partition, kind), schema)
-    if target is None:
-        write_balanced(updates, path, [partition], "append")
-        return
-    here = target.select(*keys, F.col(partition).alias("_old"))
-    known = here.join(updates.select(*keys), list(keys), "left_semi").select("_old")
-    asked = known.union(updates.select(partition)).distinct()
-    values = [r[0] for r in asked.collect()]
-    if not values:
+    images = change_images(target, updates, keys, newer_by)
+    where = feed or scratch_path(spark, "changes")
+    images.write.mode("overwrite").parquet(where)
+    images = spark.read.schema(images.schema).parquet(where)
+    apply_images(spark, path, images, keys, partition, schema)
+    return images
+
+
+def apply_images(
+    spark: SparkSession,
+    path: str,
+    images: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    schema: T.StructType | None = None,
+) -> None:
+    """Bring a table in folders to the state that stored images tell; to do so again changes nothing.
+
+    Only folders that an image names are rewritten, by Spark's dynamic overwrite; one that has lost
+    all its rows is deleted after that. Only the list of these folders' values reaches the driver,
+    no longer than what it lists anyway to plan a read.
+    """
+    named = [r[0] for r in images.select(partition).distinct().collect()]
+    if not named:
+        if stored_rows(spark, path, schema=schema) is None:
+            write_balanced(images.drop(IMAGE), path, [partition], "append")
         return
-    touched = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        touched = touched | F.col(partition).isNull()
-    old = target.where(touched)
-    folders = old.select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"), partition)
-    before = {r[1]: unquote(r[0]) for r in folders.distinct().collect()}
-    batch = uuid.uuid4().hex
-    merged = upsert(old, updates, keys, newer_by)
-    write_balanced(merged, f"{path.rstrip('/')}_staged/{batch}", [partition], "errorifexists")
-    staged = stored_rows(spark, f"{path.rstrip('/')}_staged/{batch}", T.StructField(partition, kind))
-    left = {r[0] for r in staged.select(partition).distinct().collect()}
-    _note(spark, path, batch, False, [f for v, f in before.items() if v not in left])
-    finish_upserts(spark, path, partition)
-
-
-def _note(spark: SparkSession, path: str, batch: str, done: bool, emptied: list[str]) -> None:
-    row = spark.createDataFrame([(batch, done, emptied)], STAGED_SCHEMA)
-    append_rows(row.coalesce(1), f"{path.rstrip('/')}_log")
-
-
-def finish_upserts(spark: SparkSession, path: str, partition: str) -> None:
-    """Move in what is staged and not done; to do so again changes nothing."""
-    log = path_or_none(spark, f"{path.rstrip('/')}_log", STAGED_SCHEMA)
-    if log is None:
+    kind = images.schema[partition]
+    target = stored_rows(spark, path, kind, schema)
+    after = images.where(F.col(IMAGE) == AFTER).drop(IMAGE)
+    if target is None:
+        write_balanced(after, path, [partition], "append")
         return
-    done = log.where("done").select("staged")
-    # at most one, as each call begins by finishing the one before
-    for r in log.where("not done").join(done, "staged", "left_anti").collect():
-        folder = f"{path.rstrip('/')}_staged/{r.staged}"
-        staged = stored_rows(spark, folder, T.StructField(partition, T.StringType()))
-        if staged is not None:
-            writer = staged.hint("rebalance", F.col(partition)).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-        for old in r.emptied:
-            remove_folder(spark, old)
-        _note(spark, path, r.staged, True, [])
-        remove_folder(spark, folder)
+
+    def within(values: list) -> Column:
+        inside = F.col(partition).isin([v for v in values if v is not None])
+        return inside | F.col(partition).isNull() if None in values else inside
+
+    # a key's images are two at most, and its copies are in the named folders
+    kept = target.where(within(named)).join(images.select(*keys).distinct(), list(keys), "left_anti")
+    seen = Observation()
+    rows = union_evolved(kept, after).observe(
+        seen,
+        F.collect_set(partition).alias("values"),
+        F.count(F.when(F.col(partition).isNull(), 1)).alias("without"),
+    )
+    gathered = rows.hint("rebalance", F.col(partition)).write.mode("overwrite")
+    gathered.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    filled = {*seen.get["values"], *([None] if seen.get["without"] else [])}
+    emptied = [v for v in named if v not in filled]
+    if emptied:
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+        for r in target.where(within(emptied)).select(folder).distinct().collect():
+            remove_folder(spark, unquote(r[0]))
 
 
 def merge_into(

@@ -1,15 +1,19 @@
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows, ts
+from helpers import plan, rows, ts
 from pursewatch.model import LEDGER_SCHEMA
 from pursewatch.operators.audit import CircuitOpen
+from pursewatch.operators.changes import replay
 from pursewatch.operators.dedup import latest_per_key
-from pursewatch.plans.daily_run import Run, ingest, run_day
-from pursewatch.plans.gold import merchant_daily_summary
+from pursewatch.plans.batches import STOPPED, batch_states, batches_in, reject_batches, release_batches
+from pursewatch.plans.daily_run import Run, ingest, read_feeds, run_day
+from pursewatch.plans.gold import keyed_profile, merchant_daily_summary, user_risk_profile
 from pursewatch.streaming.daily_summary import closed_days, read_daily_summary, stream_daily_parts
 from pursewatch.sources.bronze import read_bronze, write_increment
 from pursewatch.sources.tables import load_tables
@@ -159,6 +163,199 @@ def test_types_and_change_times_stop_the_run(spark, root):
     assert ledger["transactions"].error == "1 rows without a change time"
 
 
+# ---- batches that are held back
+
+BAD = {
+    "null_key": (change(None, 1, 10, "SUCCESS", 20), "null_key (1)"),
+    "type_mismatch": (change("t2", 1, 10, "SUCCESS", 20, amount="abc"), "type_mismatch (1)"),
+}
+
+
+def states(spark, root):
+    found = batch_states(spark, root).where("table_name = 'transactions'")
+    return sorted((r.row_count, r.state, r.rule) for r in found.collect())
+
+
+@pytest.mark.parametrize(("kind", "incremental"), [("null_key", True), ("type_mismatch", False), ("type_mismatch", True)])
+def test_a_stopped_batch_is_never_published(spark, root, incremental, kind):
+    """The runs after a stop stop as well, whatever comes next, until somebody decides."""
+    wrong, rule = BAD[kind]
+    n = f"st{kind[0]}{incremental}_"
+    names = {"silver": n, "gold": n}
+    later = [T0 + timedelta(hours=h) for h in range(8)]
+    good = {"a": partner(spark, FIRST)}
+    bad = {"a": partner(spark, [*FIRST, wrong])}
+    more = {"a": partner(spark, [*FIRST, wrong, change("t3", 1, 10, "SUCCESS", 30)])}
+    before = rows(run_day(spark, good, Run(root, later[0], **names), incremental))
+
+    def silver():
+        return rows(spark.table(f"{n}transactions").select("transaction_id", "status"))
+
+    for sources, at in ((bad, later[1]), (more, later[3])):
+        with pytest.raises(CircuitOpen, match=re.escape(f"transactions: {rule} in batch")):
+            run_day(spark, sources, Run(root, at, **names), incremental)
+        assert silver() == [("t1", "APPROVED")] and rows(spark.table(f"{n}user_risk_profile")) == before
+    assert states(spark, root) == [(1, "clean", None), (1, "stopped", rule), (2, "merged" if incremental else "clean", None)]
+
+    # without it, by choice
+    run_day(spark, more, Run(root, later[4], past_held=True, **names), incremental)
+    assert silver() == [("t1", "APPROVED"), ("t3", "SUCCESS")]
+    (held,) = [b.batch_id for b in batches_in(spark, root, STOPPED)]
+    with pytest.raises(ValueError, match="no such batch"):
+        release_batches(spark, root, ["other"], later[5])
+
+    release_batches(spark, root, [held], later[5])
+    gold = rows(run_day(spark, more, Run(root, later[5], **names), incremental))
+    assert silver() == [("t1", "APPROVED"), *([("t2", "SUCCESS")] if kind == "type_mismatch" else []), ("t3", "SUCCESS")]
+    assert gold == [(1, 10.0, 10.0, False, later[5])]
+    if kind == "null_key":
+        assert [r.reject_reason for r in spark.table(f"{n}transactions_rejects").collect()] == ["null key: transaction_id"]
+    with pytest.raises(ValueError, match="not stopped"):
+        reject_batches(spark, root, [b.batch_id for b in batches_in(spark, root, "merged", "clean")][:1], later[6])
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_a_rejected_batch_stays_out_for_good(spark, root, incremental):
+    n = f"rj{incremental}_"
+    names = {"silver": n, "gold": n}
+    sources = {"a": partner(spark, [change("t1", 1, 10, "SUCCESS", 1, amount="abc")])}
+    with pytest.raises(CircuitOpen, match="type_mismatch"):
+        run_day(spark, sources, Run(root, T0, **names), incremental)
+    reject_batches(spark, root, [b.batch_id for b in batches_in(spark, root, STOPPED)], T0)
+    sources = {"a": partner(spark, [change("t1", 1, 10, "SUCCESS", 1, amount="abc"), change("t2", 1, 10, "SUCCESS", 2, "3.00")])}
+    gold = rows(run_day(spark, sources, Run(root, T0 + timedelta(hours=1), **names), incremental))
+    assert gold == [(1, 3.0, 3.0, False, T0 + timedelta(hours=1))]
+    assert rows(spark.table(f"{n}transactions").select("transaction_id")) == [("t2",)]
+
+
+def test_a_run_that_died_before_its_checks_is_checked_later(spark, root):
+    names = {"silver": "dc_", "gold": "dc_"}
+    ingest(spark, {"a": partner(spark, [change("t1", 1, 10, "SUCCESS", 1, amount="abc")])}, Run(root, T0, **names))
+    with pytest.raises(CircuitOpen, match="type_mismatch"):
+        run_day(spark, {"a": partner(spark, [change("t2", 1, 10, "SUCCESS", 2)])}, Run(root, T0, **names), incremental=True)
+
+
+# ---- feeds of changes, and the profile kept from them
+
+
+def many_changes(seed, n=150):
+    """Runs of changes: states, amounts, cards, users and even the time of a transaction change."""
+    import random
+
+    r = random.Random(seed)
+    runs, at = [[] for _ in range(4)], {}
+    for k in range(4):
+        for _ in range(n):
+            i = r.randrange(n)
+            start = ts("2024-01-20 03:00:00") + timedelta(hours=r.randrange(24 * 10), seconds=r.randrange(3600))
+            at[i] = start if i not in at or r.random() < 0.3 else at[i]
+            row = list(change(f"t{i}", r.choice([1, 2, 3, None]), r.choice([10, 20, 30]), r.choice(["PENDING", "SUCCESS", "FAILED"]),
+                              0, f"{r.randrange(1, 500)}.{r.randrange(100):02d}", r.choice([0.1, 0.5, 0.9, None])))
+            row[5], row[6] = at[i], ts("2024-01-30") + timedelta(hours=k * 2, seconds=len(runs[k]))
+            runs[k].append(tuple(row))
+    return runs
+
+
+def test_maintained_profile_equals_the_full_one(spark, root):
+    """After several runs with changed states, moved days and a window that moves on and back."""
+    people, plastic = (1, 2, 3, 4), ((10, False), (20, False), (30, True))
+    names = {"silver": "mp_", "gold": "mp_"}
+    times = [ts("2024-01-30 03:30:00"), ts("2024-01-30 09:00:01"), ts("2024-02-03 00:00:00"), ts("2024-01-31 12:00:00")]
+    runs = many_changes(4)
+    for k, at in enumerate(times):
+        source = {"a": partner(spark, runs[k], people, plastic)}
+        found = rows(run_day(spark, source, Run(root, at, **names), incremental=True))
+        tables = [spark.table(f"mp_{t}") for t in ("users", "cards", "transactions")]
+        assert found == rows(keyed_profile(user_risk_profile(*tables, at)))
+    feeds = read_feeds(spark, Run(root, T0), "transactions", spark.table("mp_transactions").schema)
+    assert feeds.select("feed").distinct().count() == 4
+    assert rows(replay(feeds)) == rows(spark.table("mp_transactions"))
+    # the sums alone lead there too, and so do feeds read anew when the sums are lost
+    for view in [t.name for t in spark.catalog.listTables() if t.name.startswith("mp_profile_parts")]:
+        spark.catalog.dropTempView(view)
+    again = rows(run_day(spark, {"a": partner(spark, [], people, plastic)}, Run(root, times[3], **names), incremental=True))
+    assert again == found
+    # far back in time: the days kept do not reach there
+    old = ts("2024-01-24 05:00:00")
+    found = rows(run_day(spark, {"a": partner(spark, [], people, plastic)}, Run(root, old, **names), incremental=True))
+    assert found == rows(keyed_profile(user_risk_profile(*tables, old)))
+
+
+def test_maintained_profile_reads_one_day_of_transactions(spark, root):
+    from pursewatch.plans import daily_run
+
+    names = {"silver": "od_", "gold": "od_"}
+    for k, changes in enumerate(many_changes(5)[:2]):
+        run = Run(root, ts("2024-01-30 09:00:00") + timedelta(hours=k), **names)
+        run_day(spark, {"a": partner(spark, changes, (1, 2, 3))}, run, incremental=True)
+    silver = {t: spark.table(f"od_{t}") for t in ("users", "cards", "transactions")}
+    text = plan(daily_run._maintained(spark, run, silver, []))
+    scans = [part for part in text.split("\n\n") if "/silver/transactions/live" in part]
+    assert len(scans) == 1 and "event_date" in scans[0] and "2024-01-23" in scans[0]
+    assert "changes/transactions" not in text
+
+
+@pytest.mark.parametrize("point", ["apply", "note"])
+def test_a_run_that_died_after_its_feed_was_stored(spark, root, monkeypatch, point):
+    """The next run applies the stored feed, and the profile takes it in once."""
+    from pursewatch.plans import daily_run
+
+    names = {"silver": f"fd{point}_", "gold": f"fd{point}_"}
+    run_day(spark, {"a": partner(spark, FIRST)}, Run(root, T0, **names), incremental=True)
+    real = daily_run.apply_images
+
+    def die(*given):
+        if point == "note":
+            real(*given)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(daily_run, "apply_images", die)
+        with pytest.raises(RuntimeError):
+            run_day(spark, {"a": partner(spark, FIRST + SECOND)}, Run(root, T0, **names), incremental=True)
+    more = [*FIRST, *SECOND, change("t4", 1, 10, "SUCCESS", 12, "5.00")]
+    gold = rows(run_day(spark, {"a": partner(spark, more)}, Run(root, T0, **names), incremental=True))
+    assert gold == [(1, 15.0, 7.5, False, T0)]
+    table = spark.table(f"fd{point}_transactions")
+    assert rows(table.select("transaction_id", "status")) == [("t1", "SUCCESS"), ("t2", "PENDING"), ("t4", "SUCCESS")]
+    assert rows(replay(read_feeds(spark, Run(root, T0), "transactions", table.schema))) == rows(table)
+
+
+def test_dimensions_keep_few_snapshots_and_later_versions_win(spark, root):
+    names = {"silver": "ds_", "gold": "ds_"}
+    for k in range(3):
+        users = spark.createDataFrame([(1, 30 + k, "1.00", 1)], "user_id int, current_age int, yearly_income string, credit_score int")
+        source = {**partner(spark, FIRST), "users": users}
+        run_day(spark, {"a": source}, Run(root, T0 + timedelta(hours=k), keep=2, **names), incremental=True)
+    assert rows(spark.table("ds_users").select("user_id", "age")) == [(1, 32)]
+    assert len(list(Path(root, "silver", "users").iterdir())) == 2
+
+
+def test_a_reader_counts_at_the_source(spark, root):
+    class Counting:
+        def __init__(self, df):
+            self.df = df
+
+        def __call__(self, since):
+            return self.df.where(F.col("updated_at").isNotNull())
+
+        def total(self):
+            return self.df.count()
+
+        def untimed(self):
+            return self.df.where(F.col("updated_at").isNull()).count()
+
+    tables = partner(spark, FIRST)
+    source = {**tables, "transactions": Counting(tables["transactions"])}
+    run_day(spark, {"a": source}, Run(f"{root}/x", T0, silver="ct_", gold="ct_"))
+    ledger = {(r.pipeline_stage, r.table_name): r for r in spark.read.parquet(f"{root}/x/ledger").collect()}
+    row = ledger["source_to_bronze", "transactions"]
+    assert (row.source_count, row.target_count) == (2, 2)
+    untimed = tables["transactions"].withColumn("updated_at", F.when(F.col("status") == "APPROVED", F.col("updated_at")))
+    with pytest.raises(CircuitOpen, match=r"transactions: unversioned \(1\)"):
+        run_day(spark, {"a": {**tables, "transactions": Counting(untimed)}}, Run(f"{root}/y", T0, silver="cu_", gold="cu_"), incremental=True)
+
+
 def test_upsert_and_full_refresh_break_ties_alike(spark, root):
     one, two = ([change("t1", 1, 10, s, 5, amount=a)] for s, a in (("SUCCESS", "9.00"), ("SUCCESS", "10.00")))
     found = []

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from helpers import plan, rows, ts
 from pursewatch.model import LEDGER_SCHEMA, PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
+from pursewatch.operators.changes import change_images, replay
 from pursewatch.operators.incremental import (
     advance_watermarks, changed_since, changed_since_marks, current_watermarks, high_watermark, newer_than,
 )
@@ -236,11 +237,11 @@ def test_upsert_moves_a_key_to_its_new_folder(spark, root):
     assert not Path(path, "day=2024-01-01").exists()
 
 
-def test_upsert_survives_a_crash(spark, root, monkeypatch):
-    path = f"{root}/t"
+def test_an_upsert_that_died_is_ended_by_its_images(spark, root, monkeypatch):
+    path, feed = f"{root}/t", f"{root}/feed"
     one = spark.createDataFrame([(1, ts("2024-01-01"), date(2024, 1, 1), "a"), (2, ts("2024-01-01"), date(2024, 1, 2), "b")], DAY)
     managed.upsert_partitions(spark, path, one, ["k"], "day")
-    two = spark.createDataFrame([(1, ts("2024-01-05"), date(2024, 1, 1), "A")], DAY)
+    two = spark.createDataFrame([(1, ts("2024-01-05"), date(2024, 1, 9), "A"), (3, ts("2024-01-05"), date(2024, 1, 2), "C")], DAY)
 
     def stored():
         return rows(spark.read.schema(one.schema).parquet(path).select("k", "v"))
@@ -248,23 +249,39 @@ def test_upsert_survives_a_crash(spark, root, monkeypatch):
     def crash(*_):
         raise RuntimeError("lost")
 
-    with monkeypatch.context() as m:  # before the staged rows are noted: nothing has happened
-        m.setattr(managed, "_note", crash)
+    with monkeypatch.context() as m:  # before the images are applied: nothing has happened
+        m.setattr(managed, "apply_images", crash)
         with pytest.raises(RuntimeError):
-            managed.upsert_partitions(spark, path, two, ["k"], "day")
-    assert stored() == [(1, "a"), (2, "b")]
-    managed.finish_upserts(spark, path, "day")
+            managed.upsert_partitions(spark, path, two, ["k"], "day", "t", feed=feed)
     assert stored() == [(1, "a"), (2, "b")]
-    with monkeypatch.context() as m:  # after: the next call moves them in
-        finish, calls = managed.finish_upserts, []
-        m.setattr(managed, "finish_upserts", lambda *a: crash() if calls else calls.append(finish(*a)))
+    images = spark.read.parquet(feed)
+    with monkeypatch.context() as m:  # folders written, the emptied one not yet deleted
+        m.setattr(managed, "remove_folder", crash)
         with pytest.raises(RuntimeError):
-            managed.upsert_partitions(spark, path, two, ["k"], "day")
-    assert stored() == [(1, "a"), (2, "b")]
-    managed.finish_upserts(spark, path, "day")
-    assert stored() == [(1, "A"), (2, "b")]
-    managed.finish_upserts(spark, path, "day")
-    assert stored() == [(1, "A"), (2, "b")]
+            managed.apply_images(spark, path, images, ["k"], "day", one.schema)
+    assert stored() == [(1, "A"), (1, "a"), (2, "b"), (3, "C")]
+    for _ in range(2):
+        managed.apply_images(spark, path, images, ["k"], "day", one.schema)
+        assert stored() == [(1, "A"), (2, "b"), (3, "C")]
+    # the whole call again, too, even from the state between
+    one.where("k = 1").write.mode("append").partitionBy("day").parquet(path)
+    managed.upsert_partitions(spark, path, two, ["k"], "day", "t")
+    assert stored() == [(1, "A"), (2, "b"), (3, "C")]
+
+
+def test_images_tell_what_an_upsert_changes(spark):
+    names = "k bigint, t int, v string, ingest_ts string"
+    old = spark.createDataFrame([(1, 1, "a", "x"), (2, 2, "b", "x"), (3, 1, "c", "x"), (4, 1, None, "x")], names)
+    new = spark.createDataFrame([(1, 2, "A", "y"), (2, 1, "late", "y"), (3, 1, "c", "y"), (4, 2, "d", "y"), (5, 1, "e", "y")], names)
+    found = rows(change_images(old, new, ["k"], ["t", "v"]))
+    assert found == [
+        ("after", 1, 2, "A", "y"), ("after", 4, 2, "d", "y"), ("after", 5, 1, "e", "y"),
+        ("before", 1, 1, "a", "x"), ("before", 4, 1, None, "x"),
+    ]
+    assert rows(change_images(None, old, ["k"])) == [("after", *r) for r in rows(old)]
+    feeds = change_images(None, old, ["k"]).withColumn("feed", F.lit(1))
+    feeds = feeds.unionByName(change_images(old, new, ["k"], ["t", "v"]).withColumn("feed", F.lit(2)))
+    assert rows(replay(feeds)) == [(1, 2, "A", "y"), (2, 2, "b", "x"), (3, 1, "c", "x"), (4, 2, "d", "y"), (5, 1, "e", "y")]
 
 
 def test_publish_keeps_the_newest_snapshots(spark, root):
