@@ -10,9 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pursewatch.llm import words
+from pursewatch.llm.common import stored
 
 #: Fingerprints that differ in so many of 64 bits are candidates. Four blocks of 16 bits: with
 #: seven differences some block has one at most, so looking up each block and its 16 neighbours
@@ -42,6 +44,9 @@ LEAKS = T.ArrayType(
     )
 )
 
+#: Letters beyond ASCII that stay single letters in lower case, and their lower cases.
+LETTERS = "À-ÖØ-öø-ÿ"
+
 _NOT_IN_WORDS = re.compile(r"[\W_]+")
 
 
@@ -50,16 +55,30 @@ def normal(word: str) -> str:
     return _NOT_IN_WORDS.sub("", word.lower())
 
 
+def _normalised(known: pa.Array) -> pa.Array:
+    """``normal`` of each word. Those of plain letters, digits and punctuation all at once: letters
+    that are one letter in lower case too, so that Arrow and Python agree on them."""
+    plain = pc.match_substring_regex(known, f"^[!-~{LETTERS}]*$")
+    lower = pc.replace_substring_regex(pc.utf8_lower(known), f"[^a-z0-9{LETTERS}]+", "")
+    odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+    if not len(odd):
+        return lower
+    each = pa.array([normal(w) for w in known.take(pa.array(odd)).to_pylist()], known.type)
+    return pc.replace_with_mask(lower, pc.invert(plain), each)
+
+
 def normal_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and lengths of the normalised words of all texts, and where each text starts."""
     found, starts = words.split(texts)
     coded = found.dictionary_encode()
-    known = [normal(w) for w in coded.dictionary.to_pylist()]
-    length = np.array([len(w) for w in known], np.int64)
-    hashed = np.fromiter((words.xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
     code = coded.indices.to_numpy()
     if not len(code):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros_like(starts)
+    # words that are the same but for case and punctuation are hashed once
+    known = _normalised(coded.dictionary).dictionary_encode()
+    code = known.indices.to_numpy()[code]
+    length = pc.utf8_length(known.dictionary).to_numpy().astype(np.int64)
+    hashed = np.fromiter((words.xxhash.xxh64_intdigest(w) for w in known.dictionary.to_pylist()), np.uint64, len(length))
     full = length[code] > 0
     kept = np.concatenate([[0], np.cumsum(full)])
     code = code[full]
@@ -144,6 +163,8 @@ class ItemIndex:
         self.shingles = [
             _shingles(word[a:b], length[a:b], shingle) for a, b in zip(starts, starts[1:], strict=False)
         ]
+        self.totals = [sum(s.values()) for s in self.shingles]
+        self.known = [np.sort(np.fromiter(s, np.uint64, len(s))) for s in self.shingles]
         self.classes = []
         left = sorted(int(n) for n in set(self.sizes.tolist()) if n)
         while left:
@@ -190,12 +211,33 @@ class ItemIndex:
             found.append(entry[near])
         return np.concatenate(windows), np.concatenate(found)
 
+    def _hopeful(
+        self, k: int, begins: list[int], ends: list[int], run: np.ndarray, before: np.ndarray, least: float
+    ) -> Iterator[tuple[int, int]]:
+        """Of windows beside each other those that can be ``least`` alike item ``k``: what they share
+        is no more than the weight of their shingles that the item has at all."""
+        n, known = self.shingle, self.known[k]
+        if self.sizes[k] < n or min(e - b for b, e in zip(begins, ends, strict=True)) < n:
+            yield from zip(begins, ends, strict=True)
+            return
+        low = begins[0]
+        own = run[low : max(ends) - n + 1]
+        weight = before[low + n : low + n + len(own)] - before[low : low + len(own)]
+        held = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+        every, shared = (np.concatenate([[0], np.cumsum(w)]) for w in (weight, weight * held))
+        for begin, end in zip(begins, ends, strict=True):
+            a, b = begin - low, end - n + 1 - low
+            most, total = int(shared[b] - shared[a]), int(every[b] - every[a])
+            if most >= least * (self.totals[k] + total - most):
+                yield begin, end
+
     def leaks(self, texts: pa.Array, least: float) -> list[list[dict]]:
         """For each text the items in it with their best similarity and the word it starts at."""
         word, length, starts = normal_words(texts)
         doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         best: list[dict[int, tuple[float, int]]] = [{} for _ in range(len(starts) - 1)]
         widest = max((c.size for c in self.classes), default=0)
+        run, before = words.runs(word, self.shingle), np.concatenate([[0], np.cumsum(length)])
         seen = set()
         for a in range(0, len(word), SEGMENT):
             piece = word[a : a + SEGMENT + widest]
@@ -207,15 +249,17 @@ class ItemIndex:
                 inside = np.flatnonzero(places[: len(prints)] + c.size <= until[: len(prints)])
                 at = places[inside]
                 window, entry = self._candidates(c, prints[inside])
-                for p, e in zip(at[window].tolist(), entry.tolist(), strict=True):
-                    d, k = int(doc[p]), int(c.item[e])
-                    place = p - int(c.offset[e])
-                    for begin in range(place - SHIFT, place + SHIFT + 1):
-                        begin = min(max(begin, int(starts[d])), int(starts[d + 1]) - 1)
-                        if (begin, k) in seen:
-                            continue
-                        seen.add((begin, k))
-                        end = min(begin + int(self.sizes[k]), int(starts[d + 1]))
+                # a copy is met by many of its windows, at one place
+                met = np.unique(np.stack([at[window] - c.offset[entry], c.item[entry], doc[at[window]]], axis=1), axis=0)
+                for place, k, d in met.tolist():
+                    low, high = int(starts[d]), int(starts[d + 1])
+                    near = {min(max(p, low), high - 1) for p in range(place - SHIFT, place + SHIFT + 1)}
+                    near = sorted(p for p in near if (p, k) not in seen)
+                    if not near:
+                        continue
+                    seen.update((p, k) for p in near)
+                    ends = [min(p + int(self.sizes[k]), high) for p in near]
+                    for begin, end in self._hopeful(k, near, ends, run, before, least):
                         held = _shingles(word[begin:end], length[begin:end], self.shingle)
                         s = similarity(self.shingles[k], held)
                         if s >= least and (-s, begin) < best[d].get(k, (1.0, 0)):
@@ -254,8 +298,8 @@ def find_leaks(
     changes is found if one of its windows has few of them.
 
     The benchmark is a stated set of queries. It is indexed in blocks of about ``item_bytes`` of
-    text; each block is one pass over the rows, without a shuffle, and only one block's index is
-    sent to the tasks at a time. Items without words match nothing, repeated items are found
+    text; each block is one pass over the rows, without a shuffle. Between two blocks the rows are
+    stored, so only one block's index is held by the tasks at a time. Items without words match nothing, repeated items are found
     each, null texts hold nothing, null item ids are carried as null. A column named as ``out`` is
     replaced; other columns are kept as they are.
     """
@@ -276,6 +320,9 @@ def find_leaks(
         index = ItemIndex([None if no else i for no, i, _ in found], [t for *_, t in found], shingle, radius)
         sent = docs.sparkSession.sparkContext.broadcast(index)
         rows = rows.mapInArrow(_searcher(sent, text_col, least, out), schema)
+        if k < n_blocks - 1:
+            rows = stored(rows, "searched")
+            sent.unpersist()
     return rows
 
 
