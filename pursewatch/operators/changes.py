@@ -12,6 +12,33 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 IMAGE, BEFORE, AFTER = "image", "before", "after"
 
 
+#: Keys of a batch that are looked up one by one at most.
+LOOKUP = 256
+
+
+def rows_of_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], most: int = LOOKUP) -> DataFrame:
+    """The target's rows whose keys a batch has.
+
+    Up to ``most`` keys go to the scan as literals, where files and row groups whose key range or
+    Bloom filter has none of them are skipped; ``write_balanced`` writes both. More keys are met by
+    a join, of which the batch is the small side. Only that many keys reach the driver.
+    """
+    asked = batch.select(*keys)
+    if len(keys) == 1:
+        found = [r[0] for r in asked.distinct().limit(most + 1).collect()]
+        if len(found) <= most:
+            target = target.where(_any_of(keys[0], [k for k in found if k is not None]))
+    return target.join(asked, list(keys), "left_semi")
+
+
+def _any_of(column: str, values: list) -> Column:
+    """Equal to one of some values, as a balanced tree: a long IN list is sent to files as a range."""
+    if len(values) < 2:
+        return F.col(column) == F.lit(values[0]) if values else F.lit(False)
+    half = len(values) // 2
+    return _any_of(column, values[:half]) | _any_of(column, values[half:])
+
+
 def change_images(
     target: DataFrame | None,
     updates: DataFrame,
@@ -23,8 +50,7 @@ def change_images(
     row that replaces it as ``after``.
 
     Both sides hold one row per key. With ``newer_by`` an update that is older than the stored row
-    changes nothing. Nor does one that repeats it in all columns but those to ``ignore``. Only
-    stored rows of the updates' keys pass the join; the updates are its small side.
+    changes nothing. Nor does one that repeats it in all columns but those to ``ignore``.
     """
     names = list(dict.fromkeys([*(target.columns if target is not None else []), *updates.columns]))
     if target is None:
@@ -34,7 +60,7 @@ def change_images(
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(F.struct(*df.columns).alias(name), *keys)
 
-    known = target.join(updates.select(*keys), list(keys), "left_semi")
+    known = rows_of_keys(target, updates, keys)
     pairs = side(updates, "new").join(side(known, "old"), list(keys), "left")
 
     def value(of: str, df: DataFrame, name: str) -> Column:

@@ -143,14 +143,21 @@ def publish(
     return spark.table(name)
 
 
-def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
+def write_balanced(
+    df: DataFrame, path: str, partition_by: Sequence[str], mode: str, keys: Sequence[str] = (), **options: str
+) -> None:
     """Write files of even size.
 
     Without folders AQE has already sized the tasks. With folders the rows are gathered per
     folder, so that not every task adds a file to each; a folder with too many rows is split.
+    With ``keys`` each file is sorted by them and has Bloom filters of them, so that a reader who
+    looks for some keys skips most row groups.
     """
-    writer = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
-    writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rows = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
+    if keys:
+        rows = rows.sortWithinPartitions(*partition_by, *keys)
+        options |= {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}
+    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
 
 
 def upsert_partitions(
@@ -197,13 +204,13 @@ def apply_images(
     named = [r[0] for r in images.select(partition).distinct().collect()]
     if not named:
         if stored_rows(spark, path, schema=schema) is None:
-            write_balanced(images.drop(IMAGE), path, [partition], "append")
+            write_balanced(images.drop(IMAGE), path, [partition], "append", keys)
         return
     kind = images.schema[partition]
     target = stored_rows(spark, path, kind, schema)
     after = images.where(F.col(IMAGE) == AFTER).drop(IMAGE)
     if target is None:
-        write_balanced(after, path, [partition], "append")
+        write_balanced(after, path, [partition], "append", keys)
         return
 
     def within(values: list) -> Column:
@@ -218,8 +225,7 @@ def apply_images(
         F.collect_set(partition).alias("values"),
         F.count(F.when(F.col(partition).isNull(), 1)).alias("without"),
     )
-    gathered = rows.hint("rebalance", F.col(partition)).write.mode("overwrite")
-    gathered.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    write_balanced(rows, path, [partition], "overwrite", keys, partitionOverwriteMode="dynamic")
     filled = {*seen.get["values"], *([None] if seen.get["without"] else [])}
     emptied = [v for v in named if v not in filled]
     if emptied:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from helpers import plan, rows, ts
 from pursewatch.model import LEDGER_SCHEMA, PROFILE_SCHEMA, UNIFIED_WALLET_SCHEMA
-from pursewatch.operators.changes import change_images, replay
+from pursewatch.operators.changes import change_images, replay, rows_of_keys
 from pursewatch.operators.incremental import (
     advance_watermarks, changed_since, changed_since_marks, current_watermarks, high_watermark, newer_than,
 )
@@ -269,6 +269,38 @@ def test_an_upsert_that_died_is_ended_by_its_images(spark, root, monkeypatch):
     assert stored() == [(1, "A"), (2, "b"), (3, "C")]
 
 
+def scanned_rows(df):
+    """Rows that the scan of Parquet files itself hands on."""
+    df.collect()
+    stack, found = [df._jdf.queryExecution().executedPlan()], []
+    while stack:
+        node = stack.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif hasattr(node, "plan") and "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+    return max(found)
+
+
+def test_few_keys_are_looked_up_without_reading_all(spark, root):
+    """Random keys in many folders: Bloom filters leave out those that hold none of the batch."""
+    rows_ = spark.range(40_000).selectExpr("sha2(cast(id as string), 256) as k", "'v' as v", "concat('d', id % 40) as day")
+    managed.upsert_partitions(spark, f"{root}/t", rows_, ["k"], "day")
+    stored = managed.stored_rows(spark, f"{root}/t", schema=rows_.schema).drop("day")
+    batch = rows_.where("v = 'v'").orderBy("k").limit(5)
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    found = rows_of_keys(stored, batch, ["k"])
+    assert rows(found.select("k")) == rows(batch.select("k"))
+    assert scanned_rows(found) <= 10_000 and scanned_rows(rows_of_keys(stored, batch, ["k"], most=2)) == 40_000
+    none = spark.createDataFrame([], batch.schema)
+    assert rows(rows_of_keys(stored, none, ["k"])) == []
+    with_null = batch.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS k, 'v' AS v, 'd' AS day"))
+    assert rows_of_keys(stored, with_null, ["k"]).count() == 5
+
+
 def test_images_tell_what_an_upsert_changes(spark):
     names = "k bigint, t int, v string, ingest_ts string"
     old = spark.createDataFrame([(1, 1, "a", "x"), (2, 2, "b", "x"), (3, 1, "c", "x"), (4, 1, None, "x")], names)
