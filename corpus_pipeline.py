@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pursewatch.llm import decontamination, line_quality, mixing, near_dedup, sharding
 from pursewatch.llm.common import WORD, free_name, stored
@@ -27,23 +27,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles, 80 % alike: the smallest id.
 
-    Rows that share an id are one document, of which the first by text stays; rows with a null id
-    stay, as do documents without words.
+    Rows with a null id stay, as do documents without words. Rows that share an id are documents of
+    their own, in the order of their texts: near copies among them go, unlike ones stay.
     """
-    found = near_dedup.near_dedup(docs)
-    gone = stored(found.where("not kept").select("doc_id").distinct(), "gone")
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
+    if again.isEmpty():
+        return _smallest_of_groups(docs, "doc_id").select(*docs.columns)
+    row = free_name(docs, "row")
+    by = ["doc_id", "text"]
+    dealt = docs.where("doc_id is not null").repartitionByRange(*by).sortWithinPartitions(*by)
+    numbered = stored(dealt.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = _smallest_of_groups(numbered, row).select(*docs.columns)
+    return rows.unionByName(docs.where("doc_id is null"))
+
+
+def _smallest_of_groups(docs: DataFrame, key: str) -> DataFrame:
+    found = near_dedup.near_dedup(docs, id_col=key)
+    gone = stored(found.where("not kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
     # few ids go to every task instead of all texts going through a shuffle
     sent = F.broadcast(gone) if gone.count() <= near_dedup.SENT_IDS else gone
-    rows = docs.join(sent, "doc_id", "left_anti")
-    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    again = again.select("doc_id")
-    if not again.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy("text")
-        nth = free_name(docs, "nth")
-        one = rows.join(again, "doc_id", "left_semi").withColumn(nth, F.row_number().over(first))
-        one = one.where(F.col(nth) == 1).drop(nth)
-        rows = rows.join(again, "doc_id", "left_anti").unionByName(one)
-    return rows.select(*docs.columns)
+    return docs.join(sent, key, "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ RARE = 64
 SENT_IDS = 1_000_000
 
 SIGNED = "doc_id long, n_shingles long, content binary, signature array<long>"
-SETS = "doc_id long, shingles array<long>"
+SETS = "doc_id long, content binary, shingles array<long>"
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -71,8 +71,6 @@ def _as_lists(values: np.ndarray, lengths: list[int]) -> pa.Array:
 
 def _signer(size: int, coordinates: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             for part in words.slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
@@ -82,7 +80,7 @@ def _signer(size: int, coordinates: int):
                     [
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                        _contents(sets),
                         _as_lists(found.ravel(), [coordinates if len(s) else 0 for s in sets]),
                     ],
                     ["doc_id", "n_shingles", "content", "signature"],
@@ -91,6 +89,13 @@ def _signer(size: int, coordinates: int):
     return sign
 
 
+def _contents(sets: list[np.ndarray]) -> pa.Array:
+    """What tells a set from all others, null of an empty one."""
+    import xxhash
+
+    return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+
+
 def _setter(size: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,27 +103,59 @@ def _setter(size: int):
                 sets = shingle_sets(part.column("text"), size)
                 flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), _as_lists(flat, [len(s) for s in sets])], ["doc_id", "shingles"]
+                    [part.column("doc_id"), _contents(sets), _as_lists(flat, [len(s) for s in sets])],
+                    ["doc_id", "content", "shingles"],
                 )
 
     return gather
 
 
 def _bounds(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """What a document can share at most with others of ``members``: rep, common, rare.
+    """What a document can share at most with others of ``members``: rep, common, rare, n_rare, lost.
 
-    ``rare`` are its shingles that 2 to ``RARE`` members have, ``common`` is the number of those
-    that more have. Shingles of its own can be in no intersection. A document without any shared
-    shingle is left out, as it has no link here.
+    ``n_rare`` is the number of its shingles that 2 to ``RARE`` members have, ``rare`` holds hashes of
+    these of 32 bits, as they are sent with every posting, and ``lost`` tells how many fewer those
+    are. ``common`` is the number of shingles that more members have. Shingles of its own can be in no
+    intersection. A document without any shared shingle is left out, as it has no link here.
     """
-    own = sets.withColumnRenamed("doc_id", "rep").join(members, "rep", "left_semi")
+    own = sets.join(members, "rep", "left_semi")
     each = own.select("rep", F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    few = F.col("often") <= RARE
     found = each.join(often, "shingle").groupBy("rep").agg(
-        F.count(F.when(F.col("often") > RARE, 1)).alias("common"),
-        F.collect_list(F.when(F.col("often") <= RARE, F.col("shingle"))).alias("rare"),
+        F.count(F.when(~few, 1)).alias("common"),
+        F.count(F.when(few, 1)).alias("n_rare"),
+        F.collect_set(F.when(few, F.hash("shingle"))).alias("rare"),
     )
-    return stored(found, "bounds")
+    return stored(found.withColumn("lost", F.col("n_rare") - F.size("rare")), "bounds")
+
+
+def _classes(known: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The nodes of the graph, and edges that ids with several contents make.
+
+    A node is a content: content, rep (the smallest id that has it) and node, a number of its own,
+    which is ``rep`` unless that id has other contents too. Then it is a hash that is no id.
+    """
+    classes = known.groupBy("content").agg(F.min("doc_id").alias("rep"))
+    several = known.groupBy("doc_id").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+    several = stored(several.where("a != b").select("doc_id"), "several")
+    if several.isEmpty():
+        return stored(classes.withColumn("node", F.col("rep")), "classes"), None
+    classes = stored(classes, "reps")
+    shared = several.select(F.col("doc_id").alias("rep"))
+    plain = classes.join(shared, "rep", "left_anti").select("content", "rep", F.col("rep").alias("node"))
+    apart = classes.join(shared, "rep", "left_semi").select("content", "rep")
+    for salt in range(64):
+        numbered = apart.withColumn("node", F.xxhash64(F.lit(salt), "content"))
+        found = stored(plain.unionByName(numbered), "classes")
+        if found.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError("no salt keeps the nodes apart")
+    own = known.join(several, "doc_id", "left_semi").select("doc_id", "content").distinct()
+    own = own.join(found.select("content", "node"), "content")
+    first = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return found, stored(own.join(first, "doc_id").select("a", F.col("node").alias("b")).where("a != b").distinct(), "same-id")
 
 
 def near_dedup(
@@ -153,16 +190,22 @@ def near_dedup(
        copies does not expand into its pairs.
 
     Documents without words or text are linked with nothing. Rows with a null id take no part:
-    they keep a null component and are kept. Rows that share an id are one document in the graph.
+    they keep a null component and are kept. Rows that share an id are one document in the graph,
+    whose links are those of all its texts.
     An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(rows.mapInArrow(_signer(size, coordinates), SIGNED), "signed")
 
     known = signed.where("doc_id is not null and content is not null")
-    classes = stored(known.groupBy("content").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = known.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    reps = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "signature")
+    classes, same_id = _classes(known)
+    if same_id is None:
+        reps = known.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        reps = reps.withColumn("node", F.col("doc_id"))
+    else:
+        ids = classes.select("content", F.col("rep").alias("doc_id"), "node")
+        reps = known.join(ids, ["doc_id", "content"]).dropDuplicates(["node"])
+    reps = reps.select(F.col("node").alias("rep"), F.col("n_shingles").alias("n"), "signature")
 
     posted = reps.select("rep", "n", F.explode("signature").alias("value"))
     often = posted.groupBy("value").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
@@ -178,11 +221,18 @@ def near_dedup(
     )
     lists = stored(lists.select("rep", "n", "weight", F.col("entry.value").alias("value")), "lists")
 
-    in_lists = lists.select(F.col("rep").alias("doc_id")).distinct()
+    in_lists = lists.select("rep").distinct()
+    told = in_lists.join(classes.select("content", F.col("rep").alias("doc_id"), F.col("node").alias("rep")), "rep")
+    asked = in_lists.select(F.col("rep").alias("doc_id")) if same_id is None else told.select("doc_id").distinct()
     # so few ids go to every task instead of all texts going through a shuffle
-    sent = F.broadcast(in_lists) if in_lists.count() <= SENT_IDS else in_lists
-    near = stored(rows.join(sent, "doc_id", "left_semi").mapInArrow(_setter(size), SETS), "sets")
-    signs = reps.join(in_lists.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
+    sent = F.broadcast(asked) if asked.count() <= SENT_IDS else asked
+    near = rows.join(sent, "doc_id", "left_semi").mapInArrow(_setter(size), SETS)
+    if same_id is None:
+        near = near.select(F.col("doc_id").alias("rep"), "shingles")
+    else:
+        near = near.join(told, ["doc_id", "content"]).select("rep", "shingles").dropDuplicates(["rep"])
+    near = stored(near, "sets")
+    signs = reps.join(in_lists, "rep", "left_semi")
     signs = stored(signs.dropDuplicates(["rep"]), "signs")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -191,8 +241,8 @@ def near_dedup(
         sb = signs.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
         likely = F.size(F.array_intersect("sa", "sb")) >= matches
         few = pairs.join(sa, "a").join(sb, "b").where(likely).select("a", "b")
-        ta = near.select(F.col("doc_id").alias("a"), F.col("shingles").alias("ta"))
-        tb = near.select(F.col("doc_id").alias("b"), F.col("shingles").alias("tb"))
+        ta = near.select(F.col("rep").alias("a"), F.col("shingles").alias("ta"))
+        tb = near.select(F.col("rep").alias("b"), F.col("shingles").alias("tb"))
         both = few.join(ta, "a").join(tb, "b")
         both = both.withColumn("common", F.size(F.array_intersect("ta", "tb")))
         union = F.size("ta") + F.size("tb") - F.col("common")
@@ -223,13 +273,14 @@ def near_dedup(
     largest = largest.where("parts > 1").select("value", F.col("top.component").alias("main"))
     left_over = stored(held.join(largest, "value").drop("weight"), "left-over")
     bounds = _bounds(near, left_over.select("rep").distinct())
-    able = (F.col("common") + F.size("rare")) * 100 >= F.col("n") * percent
-    left_over = left_over.join(bounds, "rep").where(able)
+    able = (F.col("common") + F.col("n_rare")) * 100 >= F.col("n") * percent
+    left_over = left_over.join(bounds, "rep").where(able).drop("n_rare")
     outside = left_over.where("component != main").select(
-        "value", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component", "common", "rare")]
+        "value", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component", "common", "rare", "lost")]
     )
-    # what two sets share is at most their common rare shingles and the smaller rest
-    shared_most = F.least("common", "x_common") + F.size(F.array_intersect("rare", "x_rare"))
+    # what two sets share is at most their common rare shingles, of which one hash may stand for
+    # several, and the smaller rest
+    shared_most = F.least("common", "x_common") + F.least("lost", "x_lost") + F.size(F.array_intersect("rare", "x_rare"))
     across = left_over.join(outside, "value").where(
         (F.col("component") != F.col("x_component"))
         & ((F.col("component") == F.col("main")) | (F.col("rep") < F.col("x_rep")))
@@ -238,11 +289,17 @@ def near_dedup(
     )
     across = across.select(*ordered("rep", "x_rep")).distinct()
     more = stored(confirmed(across), "cross-links")
+    if same_id is not None:
+        more = more.unionByName(same_id)
     if not more.isEmpty():
         groups = components(links.unionByName(more))
 
-    labels = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = labels.select("content", F.coalesce("component", "rep").alias("component"))
+    labels = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if same_id is not None:
+        # a node may be no id; the component's name is the smallest one
+        least = labels.groupBy("component").agg(F.min("rep").alias("least"))
+        labels = labels.join(least, "component").withColumn("component", F.col("least"))
+    labels = labels.select("content", "component")
     found = signed.join(labels, "content", "left")
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
     return found.select(

@@ -80,6 +80,35 @@ def test_near_duplicates_match_brute_force(spark, seed):
     assert Counter(tuple(r) for r in got.collect()) == brute_near(rows, 4)
 
 
+def test_ids_with_two_texts_keep_the_links_of_both(spark):
+    r = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+
+    def text():
+        return [r.choice(vocabulary) for _ in range(60)]
+
+    rows = []
+    for i in range(60):
+        a, b = text(), text()
+        rows += [(i, " ".join(a)), (i, " ".join(b))]
+        rows += [(1000 + i, " ".join([*a[:-1], "changed"])), (2000 + i, " ".join(["changed", *b[1:]]))]
+    rows += [(-5, rows[0][1]), (-5, "quite another text of its own here"), (3000, rows[5][1]), (3000, rows[5][1]), (0, None)]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert Counter(tuple(r) for r in got.where("n_shingles > 0").collect()) == Counter(
+        {k: n for k, n in brute_near(rows, 5).items() if k[1]}
+    )
+
+
+def test_hashed_bounds_are_never_too_low(spark, monkeypatch):
+    """With 32-bit hashes that clash all the time the bound still lets every link through."""
+    monkeypatch.setattr(near_dedup, "RARE", 10_000)
+    real = near_dedup.F.hash
+    monkeypatch.setattr(near_dedup.F, "hash", lambda c: real(c) % 5)
+    rows = near_rows(3, copies=25, others=25)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, SCHEMA), size=4)
+    assert Counter(tuple(r) for r in got.collect()) == brute_near(rows, 4)
+
+
 def test_group_of_near_copies_stays_linear(spark):
     """Hundreds of near copies: links are found through pivots, not all pairs."""
     r = random.Random(5)

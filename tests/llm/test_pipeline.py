@@ -89,6 +89,17 @@ def test_stages_against_brute_force(spark, folder):
     assert bag(placed) == bag(mixed) and placed.where("shard is null or slot is null").count() == 0
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b), (3, b), (4, "alone"), (4, None), (4, None), (None, a), (None, a), (5, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).withColumn("row", F.lit("mine"))
+    got = stage(spark, docs, "")
+    assert got.columns == docs.columns and got.where("row != 'mine'").count() == 0
+    want = [(1, a), (1, b), (4, "alone"), (4, None), (4, None), (None, a), (None, a)]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
+
+
 def test_run_is_the_stages_in_order_and_repeats(spark, folder):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "near duplicates", "benchmark decontamination", "source mix", "sharding",
