@@ -1,4 +1,4 @@
-"""Removal of word windows that an earlier document holds, by factoring against indexed blocks."""
+"""Removal of word windows that an earlier document holds, found by an index of blocks."""
 
 from __future__ import annotations
 
@@ -178,10 +178,11 @@ def substring_dedup(
     A word goes if it lies in a window whose words also start in a document with a smaller id.
     Returns doc_id, n_words, n_removed and kept_sha256, of the kept words joined by one space.
 
-    Documents are dealt into blocks of about ``block_bytes`` by a hash of their id. A block is
-    factored greedily into stretches of windows around an anchor, and indexed by them: one entry
+    Documents are dealt into blocks of about ``block_bytes`` by a hash of their id. This is no
+    Lempel-Ziv parse, which would take each block against every other: a block is cut into stretches
+    of windows around an anchor, and indexed by them: one entry
     per stretch and block, so that a passage in any number of documents is one entry per block.
-    An entry of anchor and stretch that another document has is a factor, and goes back to its
+    An entry of anchor and stretch that another document has is a duplicate span, and goes back to its
     blocks with the smallest id. Stretches that are nobody's whole (at the borders of common
     passages, and first occurrences) are checked window by window in the same way. A third pass
     over the blocks removes what was found. The blocks' text is shuffled once.
