@@ -80,8 +80,9 @@ def closed_days(tx: DataFrame, lateness: str) -> DataFrame:
     """Streaming aggregate that emits a merchant day once, after ``lateness`` has passed.
 
     For consumers that want each day once. Rows later than ``lateness`` are not in it, as
-    with any event-time watermark; the parts above do include them. Event time must carry a
-    zone, so it passes through UTC and days begin at midnight in any session zone.
+    with any event-time watermark; the parts above do include them, and ``unsettled.late_rows``
+    counts them in a query's progress. Event time must carry a zone, so it passes through UTC and
+    days begin at midnight in any session zone.
     """
     return (
         tx.withColumn("event_time", as_utc_instant(F.col("transaction_time")))
