@@ -119,13 +119,14 @@ def _bounds(sets: DataFrame, members: DataFrame) -> DataFrame:
     intersection. A document without any shared shingle is left out, as it has no link here.
     """
     own = sets.join(members, "rep", "left_semi")
-    each = own.select("rep", F.explode("shingles").alias("shingle"))
+    # two shingles of one hash only make the bounds wider
+    each = own.select("rep", F.explode("shingles").alias("shingle")).select("rep", F.hash("shingle").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     few = F.col("often") <= RARE
     found = each.join(often, "shingle").groupBy("rep").agg(
         F.count(F.when(~few, 1)).alias("common"),
         F.count(F.when(few, 1)).alias("n_rare"),
-        F.collect_set(F.when(few, F.hash("shingle"))).alias("rare"),
+        F.collect_set(F.when(few, F.col("shingle"))).alias("rare"),
     )
     return stored(found.withColumn("lost", F.col("n_rare") - F.size("rare")), "bounds")
 
@@ -231,16 +232,21 @@ def near_dedup(
         near = near.select(F.col("doc_id").alias("rep"), "shingles")
     else:
         near = near.join(told, ["doc_id", "content"]).select("rep", "shingles").dropDuplicates(["rep"])
-    near = stored(near, "sets")
-    signs = reps.join(in_lists, "rep", "left_semi")
-    signs = stored(signs.dropDuplicates(["rep"]), "signs")
+    sets = stored(near, "sets")
+    signs = reps.join(in_lists, "rep", "left_semi").dropDuplicates(["rep"])
+    # values that agree have hashes that do; a pair too many is told by the sets
+    signs = stored(signs.select("rep", F.transform("signature", lambda v: F.hash(v)).alias("signature")), "signs")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Of the pairs a < b with sizes na, nb those that are linked."""
         sa = signs.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
         sb = signs.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-        likely = F.size(F.array_intersect("sa", "sb")) >= matches
-        few = pairs.join(sa, "a").join(sb, "b").where(likely).select("a", "b")
+        agree = F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same)
+        likely = F.size(agree) >= matches
+        few = stored(pairs.join(sa, "a").join(sb, "b").where(likely).select("a", "b"), "likely")
+        ids = few.select(F.col("a").alias("rep")).unionByName(few.select(F.col("b").alias("rep"))).distinct()
+        # only the sets of these are shuffled
+        near = sets.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "rep", "left_semi")
         ta = near.select(F.col("rep").alias("a"), F.col("shingles").alias("ta"))
         tb = near.select(F.col("rep").alias("b"), F.col("shingles").alias("tb"))
         both = few.join(ta, "a").join(tb, "b")
@@ -272,7 +278,7 @@ def near_dedup(
     )
     largest = largest.where("parts > 1").select("value", F.col("top.component").alias("main"))
     left_over = stored(held.join(largest, "value").drop("weight"), "left-over")
-    bounds = _bounds(near, left_over.select("rep").distinct())
+    bounds = _bounds(sets, left_over.select("rep").distinct())
     able = (F.col("common") + F.col("n_rare")) * 100 >= F.col("n") * percent
     left_over = left_over.join(bounds, "rep").where(able).drop("n_rare")
     outside = left_over.where("component != main").select(
