@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -228,14 +229,121 @@ def test_all_rows_but_those_held_out_are_counted(spark):
     assert len(identifier.models[0].keys[2]) >= 290
 
 
+LANGUAGE = "lang string, text string"
+
+
+def char_rows(seed=2):
+    r = random.Random(seed)
+    letters = {"xx": "abcd", "yy": "abéz"}
+    texts = [(x, "".join(r.choices(letters[x] + " ", k=r.randrange(1, 60)))) for x in letters for _ in range(25)]
+    return texts + [("xx", ""), ("xx", "a"), ("yy", "?!"), ("xx", "AB, ab!"), ("yy", "zé" * 300)]
+
+
+def textbook(rows, order):
+    """Interpolated Kneser-Ney by its recursion: language -> n -> n-gram -> (count, p)."""
+    found = {}
+    for lang in {x for x, _ in rows}:
+        of_n = {n: set() for n in range(1, order + 1)}
+        longest = {}
+        for x, text in rows:
+            if x == lang:
+                chars = "0" + "".join(c if c.isalpha() else "0" for c in text.lower()) + "0"
+                chars = re.sub("0+", "0", chars)
+                chars = chars if len(chars) > 1 else "00"
+                for n in range(1, order + 1):
+                    for at in range(max(n - 1, 1), len(chars)):
+                        gram = chars[at - n + 1 : at + 1]
+                        of_n[n].add(gram)
+                        if n == order:
+                            longest[gram] = longest.get(gram, 0) + 1
+        lower, out = {}, {}
+        for n in range(1, order + 1):
+            count = longest if n == order else {g: max(1, sum(h[1:] == g for h in of_n[n + 1])) for g in of_n[n]}
+            ones, twos = (sum(c == k for c in count.values()) for k in (1, 2))
+            d = ones / (ones + 2 * twos) if ones and twos else 0.5
+            now = {}
+            for g, c in count.items():
+                own = [v for h, v in count.items() if h[:-1] == g[:-1]]
+                below = lower[g[1:]] if n > 1 else 1 / (len(of_n[1]) + 2)
+                now[g] = max(c - d, 0) / sum(own) + d * len(own) / sum(own) * below
+            out[n] = {g: (count[g], p) for g, p in now.items()}
+            lower = now
+        found[lang] = out
+    return found
+
+
+def gram_hash(gram):
+    points = np.array([0 if c == "0" else ord(c) for c in gram], np.uint32)
+    return int(language.grams(points, len(gram))[-1:].view(np.int64)[0])
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_every_probability_is_the_textbooks(spark, order):
+    rows = char_rows()
+    counted = language.count_grams(spark.createDataFrame(rows, LANGUAGE).repartition(3), order)
+    got = {(x.lang, x.n, x.gram): (x["count"], x.p) for x in language.kneser_ney(counted, order).collect()}
+    want = {
+        (lang, n, gram_hash(g)): v for lang, of_n in textbook(rows, order).items() for n, grams in of_n.items() for g, v in grams.items()
+    }
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
+
+
+def test_segments_and_slices_change_no_count(spark, monkeypatch):
+    rows = [("xx", "".join(random.Random(1).choices("abc d", k=5_000))), *char_rows()]
+    texts = pa.RecordBatch.from_pydict({"lang": [x for x, _ in rows], "text": [t for _, t in rows]})
+
+    def counts():
+        total = {}
+        for b in language._counter(4)(iter([texts])):
+            for r in b.to_pylist():
+                key = tuple(v for c, v in r.items() if c != "count")
+                total[key] = total.get(key, 0) + r["count"]
+        return total
+
+    whole = counts()
+    fitted = language.fit_on(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string"), F.lit(True))
+    bits, _ = fitted.entropies(texts.column("text"))
+    for name, value in (("SEGMENT", 97), ("SLICE_BYTES", 50), ("PENDING", 100)):
+        monkeypatch.setattr(language, name, value)
+    assert counts() == whole
+    assert np.allclose(fitted.entropies(texts.column("text"))[0], bits)
+
+
+def test_leaving_ngrams_out_keeps_discounts_and_mass(spark, monkeypatch):
+    """With a low bound the counts of ones and twos are the same, and each context still sums to 1."""
+    counted = language.count_grams(spark.createDataFrame(char_rows(), LANGUAGE), 3)
+    grams = language.kneser_ney(counted, 3)
+    whole = {x: m for x, m in zip(*language._models(grams, 3), strict=True)}
+    monkeypatch.setattr(language, "MOST_GRAMS", 12)
+    kept = language.mark_frequent(grams, 3).where("kept")
+    told = {(x.lang, x.n): (x.n1, x.n2) for x in kept.select("lang", "n", "n1", "n2").distinct().collect()}
+    assert told == {(x.lang, x.n): (x.n1, x.n2) for x in grams.select("lang", "n", "n1", "n2").distinct().collect()}
+    assert kept.count() < grams.count() / 3
+    few = {x: m for x, m in zip(*language._models(grams, 3), strict=True)}
+    for models in (whole, few):
+        for lang, letters in (("xx", "0abcd"), ("yy", "0abéz")):
+            for before in ("ab", "0a", "a0", "zz", "q0"):
+                total = 0.0
+                for last in letters + "\u4e00" * 2:  # two characters that are not known
+                    seq = np.array([0 if c == "0" else ord(c) for c in before + last], np.uint32)
+                    own = [language.grams(seq, n)[-1:] for n in (1, 2, 3)]
+                    contexts = [np.zeros(1, np.uint64)] + [language.grams(seq, n)[-2:-1] for n in (1, 2)]
+                    total += 2 ** models[lang].log2(own, contexts)[0]
+                assert abs(total - 1) < 1e-6
+
+
 def test_the_most_frequent_ngrams_stay(spark, monkeypatch):
     monkeypatch.setattr(language, "MOST_GRAMS", 50)
-    few = [("xx", 1, k << 44, 0, 0, k) for k in range(1, 40)]
-    many = [("xx", 2, k << 54, 0, 0, 9) for k in range(40)] + [("xx", 2, (1000 + k) << 50, 0, 0, 3) for k in range(-500, 500)]
-    kept = language._frequent(spark.createDataFrame(few + many, language.COUNTS)).collect()
+    few = [("xx", 1, k << 44, k) for k in range(1, 40)]
+    many = [("xx", 2, k << 54, 9) for k in range(40)] + [("xx", 2, (1000 + k) << 50, 3) for k in range(-500, 500)]
+    frame = spark.createDataFrame(few + many, "lang string, n int, gram long, count long")
+    kept = language.mark_frequent(frame, 2).where("kept").collect()
     assert sum(x.n == 1 for x in kept) == 39
     assert sum(x.n == 2 and x["count"] == 9 for x in kept) == 40
     assert sum(x.n == 2 and x["count"] == 3 for x in kept) <= 20
+    monkeypatch.setattr(language, "MODEL_GRAMS", 20)
+    assert language.mark_frequent(frame, 2).where("kept and n = 1").count() == 10
 
 
 def test_language_without_sample(spark):
@@ -244,33 +352,6 @@ def test_language_without_sample(spark):
     assert [r.lang_pred for r in language.identify(rows, identifier).collect()] == ["und"]
 
 
-def test_kneser_ney_probabilities_sum_to_one():
-    """Over the known characters and the share left for unknown ones."""
-    import pandas as pd
-
-    text = "0ab0abc0ba0cab0"
-    points = np.array([0 if c == "0" else ord(c) for c in text], np.uint32)
-    rows = []
-    by_order = [language.grams(points, n) for n in (1, 2, 3)]
-    for n in (1, 2, 3):
-        for at in range(max(n - 1, 1), len(points)):
-            context = by_order[n - 2][at - 1] if n > 1 else 0
-            tail = by_order[n - 2][at] if n > 1 else 0
-            rows.append((n, *(int(np.uint64(x).view(np.int64)) for x in (by_order[n - 1][at], context, tail))))
-    counts = pd.DataFrame(rows, columns=["n", "gram", "context", "tail"])
-    counts = counts.groupby(["n", "gram", "context", "tail"]).size().rename("count").reset_index()
-    model = language.kneser_ney(counts, 3)
-    letters = [0, ord("a"), ord("b"), ord("c")]
-    for before in ("ab", "0a", "ca"):
-        ctx = [0 if c == "0" else ord(c) for c in before]
-        total = 0.0
-        for last in letters:
-            seq = np.array([*ctx, last], np.uint32)
-            own = [language.grams(seq, n)[-1:] for n in (1, 2, 3)]
-            contexts = [np.zeros(1, np.uint64)] + [language.grams(seq, n)[-2:-1] for n in (1, 2)]
-            total += 2 ** model.log2(own, contexts)[0]
-        assert 0.8 < total <= 1 + 1e-9
-
 
 # ---- licences
 
@@ -379,6 +460,76 @@ def test_long_chain_takes_few_rounds(spark):
     assert tool_calls.link_calls(none, spark.createDataFrame([], RESULTS), TOOLS).count() == 0
 
 
+def brute_links(calls, results, schemas):
+    """Every conversation by itself: rows (conv, call, kind, depth, turn, status)."""
+    low = lambda x: (x is not None, x if x is not None else "")
+    out = []
+    for conv in {r[0] for r in calls} | {r[0] for r in results}:
+        mine, theirs = ([r for r in rows if r[0] == conv] for rows in (calls, results))
+        keyed = [c for c in mine if conv is not None and c[1] is not None]
+        first, answer = {}, {}
+        for c in sorted(keyed, key=lambda c: (c[2], *map(low, c[3:5]), (c[5] is not None, [low(x) for x in c[5] or []]))):
+            first.setdefault(c[1], c)
+        for r in sorted((r for r in theirs if conv is not None and r[1] is not None), key=lambda r: (r[2], low(r[3]))):
+            answer.setdefault(r[1], r)
+
+        def depth(call, path=()):
+            if call in path:
+                return None
+            below = [depth(b, (*path, call)) for b in set(first[call][5] or []) if b in first]
+            return None if None in below else max((d + 1 for d in below), default=0)
+
+        used = set()
+        for c in mine:
+            head = c in keyed and first[c[1]] is c and c[1] not in used
+            used |= {c[1]} if head else set()
+            d = depth(c[1]) if head else 0
+            try:
+                value, bad = json.loads(c[4]), False
+            except ValueError:
+                value, bad = None, True
+            if c in keyed and not head:
+                status = "duplicate"
+            elif d is None:
+                status = "cycle"
+            elif c[3] not in schemas:
+                status = "unknown tool"
+            elif bad:
+                status = "bad json"
+            elif c[3] == "count" and not (isinstance(value, dict) and type(value.get("words")) is int):
+                status = "invalid"
+            else:
+                status = "ok" if head and c[1] in answer else "no result"
+            out.append((conv, c[1], "call", d, c[2], status))
+        for r in theirs:
+            head = conv is not None and answer.get(r[1]) is r
+            linked = head and r[1] in first
+            status = "ok" if linked else "no call" if head or conv is None or r[1] is None else "duplicate"
+            out.append((conv, r[1], "result", depth(r[1]) if linked else 0, first[r[1]][2] if linked else r[2], status))
+    return out
+
+
+def test_links_match_brute_force(spark):
+    """Calls after several others, cycles, repeated ids, lost results, in many conversations."""
+    r = random.Random(12)
+    calls, results = [], []
+    for conv in [*range(40), None]:
+        n = r.randrange(1, 14)
+        for k in range(n):
+            # mostly earlier calls, sometimes a later one, which may make a cycle
+            near = [f"c{r.randrange(k) if k and r.random() < 0.93 else r.randrange(n + 2)}" for _ in range(r.choice([0, 1, 1, 1, 2, 3]))]
+            name = r.choice(["count", "count", "free", "nobody's"])
+            text = r.choice(['{"words":3}', '{"words":3}', '{"words":"x"}', "{", "[]"])
+            calls.append((conv, f"c{k}" if r.random() < 0.95 else r.choice(["c0", None]), k, name, text, near or None))
+        results += [(conv, r.choice([f"c{r.randrange(n + 1)}", f"c{k}", None]), 100 + k, f"r{k}") for k in range(r.randrange(n + 1))]
+    schemas = {"count": TOOLS["count"], "free": {}}
+    frame = spark.createDataFrame(calls, CALLS.replace("after string", "after array<string>"))
+    got = tool_calls.link_calls(frame.repartition(4), spark.createDataFrame(results, RESULTS), schemas)
+    found = [(x.conv_id, x.call_id, x.kind, x.depth, x.turn, x.status) for x in got.collect()]
+    assert Counter(found) == Counter(brute_links(calls, results, schemas))
+    assert {x[5] for x in found} >= {"ok", "cycle", "duplicate", "no result", "no call", "bad json", "invalid", "unknown tool"}
+
+
 def test_derived_calls_keep_every_message(spark):
     turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     calls, results = derived_calls(turns)
@@ -391,3 +542,65 @@ def test_canonical_json():
     text = tool_calls.canonical(value)
     assert json.loads(text) == value
     assert tool_calls.canonical(json.loads(text)) == text and text.startswith('{"a":{"":100000000000000000000,')
+
+
+SCHEMA_CASES = [
+    ({"type": "string", "pattern": "^a$"}, "zzz", "a"),
+    ({"const": {"a": 1.0}}, {"a": 2}, {"a": 1}),
+    ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, 2, "x"),
+    ({"oneOf": [{"minimum": 3}, {"maximum": 5}]}, 4, 6),
+    ({"allOf": [{"minimum": 3}, {"maximum": 5}]}, 6, 4),
+    ({"not": {"type": "null"}}, None, 0),
+    ({"exclusiveMaximum": 5}, 5, 4.5),
+    ({"exclusiveMinimum": 5}, 5, 5.5),
+    ({"multipleOf": 0.1}, 0.35, 0.3),
+    ({"uniqueItems": True}, [1, 2, 1.0], [1, "1"]),
+    ({"minProperties": 1, "maxProperties": 1}, {}, {"a": 1}),
+    ({"additionalProperties": {"type": "integer"}, "properties": {"a": {}}}, {"a": "x", "b": "y"}, {"a": "x", "b": 3}),
+    ({"items": {"enum": [1, "a"]}}, [1, True], [1.0, "a"]),
+    (False, 1, None),
+]
+
+
+@pytest.mark.parametrize(("schema", "bad", "good"), SCHEMA_CASES[:-1])
+def test_every_checked_keyword_tells_bad_from_good(schema, bad, good):
+    tool_calls.checked_schema(schema)
+    assert tool_calls.problems(bad, schema) and not tool_calls.problems(good, schema)
+
+
+@pytest.mark.parametrize("schema", [{"$ref": "#/x"}, {"properties": {"a": {"format": "date"}}}, {"items": {"contains": {}}}, {"anyOf": [{"if": {}}]}])
+def test_keywords_that_are_not_checked_raise(spark, schema):
+    calls, results = derived_calls(spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn int, role string, text string"))
+    with pytest.raises(ValueError, match="not checked"):
+        tool_calls.link_calls(calls, results, {"search": schema})
+
+
+def test_many_notices_in_one_text_take_linear_time():
+    import time
+
+    index = licenses.Templates.of(licenses.TEMPLATES)
+
+    def seconds(lines):
+        text = pa.array(["All rights reserved.\n" * lines], pa.large_string())
+        start = time.process_time()
+        (found,) = index.scan(text, licenses.LEAST)
+        assert len(found) == lines and {m["unit"] for m in found} == {"line"}
+        return time.process_time() - start
+
+    seconds(10)
+    assert seconds(40_000) < 30
+
+
+def test_lines_that_quality_learns_from_are_bounded(spark):
+    rows, labels = quality_rows(40, 3)
+    rows = [(i, t) for i, t in rows]
+    docs = spark.createDataFrame(rows + rows[:5], SCHEMA)
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = line_quality.fit_on(docs, told, F.lit(True))
+    once = line_quality.fit_on(spark.createDataFrame(rows, SCHEMA), told, F.lit(True))
+    assert np.allclose(whole.weight, once.weight)
+    lines, at = line_quality._run_of_lines([7, 8, 9], np.array([0, 10, 12, 12]), 4)
+    assert at.tolist() == [0, 4, 6, 6] and lines[4:].tolist() == [10, 11]
+    assert (np.diff(lines[:4]) == 1).all() and 0 <= lines[0] and lines[3] < 10
+    few = line_quality.fit_on(docs, told, F.lit(True), lines=2)
+    assert np.isfinite(few.weight).all()
