@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -142,6 +143,24 @@ def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return pair, np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(starts) - 1))]).astype(np.int64)
 
 
+class _Kept:
+    """Matches of one text by the stretches of words they lie in: a match is about as long as its
+    template, so it lies in few, and only neighbours are looked at."""
+
+    STRETCH = 64
+
+    def __init__(self) -> None:
+        self.of: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+
+    def add(self, template: int, first: int, last: int) -> None:
+        for k in range(first // self.STRETCH, last // self.STRETCH + 1):
+            self.of[k].append((template, first, last))
+
+    def near(self, first: int, last: int) -> Iterator[tuple[int, int, int]]:
+        for k in range(first // self.STRETCH, last // self.STRETCH + 1):
+            yield from self.of.get(k, ())
+
+
 @dataclass
 class Templates:
     """Bigram sets of the templates, in the order of their sizes, and which templates hold a bigram."""
@@ -250,19 +269,19 @@ class Templates:
             found.setdefault(d, []).extend(self._windows(pairs, own, t, least))
         return found
 
-    def _told(self, kept: list[tuple], t: int, first: int, last: int) -> bool:
+    def _told(self, kept: _Kept, t: int, first: int, last: int) -> bool:
         """Whether a match lies by half or more in one of a template with much of the same words."""
         own = self.of_template[t]
         return any(
             2 * (min(last, z) - max(first, a) + 1) >= last - first + 1
             and len(own & self.of_template[u]) >= RELATED * len(own)
-            for _, u, a, z in kept
+            for u, a, z in kept.near(first, last)
         )
 
     def scan(self, texts: pa.Array, least: float) -> list[list[dict]]:
         """For each text its matches in order: the whole text, paragraphs, lines, other passages."""
         found: list[list[dict]] = [[] for _ in range(len(texts))]
-        kept: dict[int, list[tuple]] = {}
+        kept: dict[int, _Kept] = defaultdict(_Kept)
         lists = {
             "paragraph": pc.split_pattern_regex(texts, r"\n[ \t\r]*\n"),
             "line": pc.split_pattern(texts, "\n"),
@@ -282,16 +301,17 @@ class Templates:
                 # the first unit of each unit's text
                 before = np.searchsorted(doc, doc)
             dice, which = self.match(units, least)
+            word_at = _words(units)[1]
             for k in np.flatnonzero(which >= 0):
                 found[doc[k]].append({"license": self.names[which[k]], "dice": float(dice[k]), "unit": kind})
-                at = _words(units[int(before[k]) : int(k) + 1])[1]
-                kept.setdefault(int(doc[k]), []).append((dice[k], int(which[k]), int(at[-2]), int(at[-1]) - 1))
+                begin = word_at[before[k]]
+                kept[int(doc[k])].add(int(which[k]), int(word_at[k] - begin), int(word_at[k + 1] - begin) - 1)
         for d, windows in self.passages(texts, least).items():
             new = []
             # the best first, of equal ones the longer template, then the earlier place
             for dice, t, first, last in sorted(windows, key=lambda w: (-w[0], -w[1], w[2])):
-                if not self._told(kept.setdefault(d, []), t, first, last):
-                    kept[d].append((dice, t, first, last))
+                if not self._told(kept[d], t, first, last):
+                    kept[d].add(t, first, last)
                     new.append((first, last, {"license": self.names[t], "dice": dice, "unit": "passage"}))
             found[d] += [match for *_, match in sorted(new, key=lambda m: m[:2])]
         return found
