@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator, Mapping
+from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pursewatch.llm.common import stored
 
@@ -44,37 +46,102 @@ def canonical(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
-def problems(value: Any, schema: Mapping[str, Any], path: str = "$") -> list[str]:
-    """What in a value is against a schema: type, enum, bounds, lengths, properties and items."""
+#: Keywords of JSON Schema that are checked, and those that say nothing about values.
+CHECKED = {
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf",
+    "minLength", "maxLength", "pattern", "minItems", "maxItems", "uniqueItems", "items",
+    "properties", "required", "additionalProperties", "minProperties", "maxProperties",
+    "allOf", "anyOf", "oneOf", "not",
+}
+SILENT = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$schema", "$id", "$comment"}
+
+
+def checked_schema(schema: Any, path: str = "#") -> None:
+    """Raise on a keyword that ``problems`` would pass over, anywhere in a schema."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, Mapping):
+        raise ValueError(f"{path}: no schema")
+    unknown = sorted(set(schema) - CHECKED - SILENT)
+    if unknown:
+        raise ValueError(f"{path}: keywords that are not checked: {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in _TYPES:
+            raise ValueError(f"{path}: no type {kind}")
+    re.compile(schema.get("pattern", ""))
+    for name in ("items", "additionalProperties", "not"):
+        if name in schema:
+            checked_schema(schema[name], f"{path}/{name}")
+    for k, inner in schema.get("properties", {}).items():
+        checked_schema(inner, f"{path}/properties/{k}")
+    for name in ("allOf", "anyOf", "oneOf"):
+        for k, inner in enumerate(schema.get(name, ())):
+            checked_schema(inner, f"{path}/{name}/{k}")
+
+
+def _number_problems(value: float, schema: Mapping[str, Any]) -> list[str]:
+    found = []
+    if value < schema.get("minimum", value):
+        found.append("below minimum")
+    if value > schema.get("maximum", value):
+        found.append("above maximum")
+    if "exclusiveMinimum" in schema and value <= schema["exclusiveMinimum"]:
+        found.append("not above minimum")
+    if "exclusiveMaximum" in schema and value >= schema["exclusiveMaximum"]:
+        found.append("not below maximum")
+    # as written in decimals, so that 0.3 is three times 0.1
+    if "multipleOf" in schema and Decimal(str(value)) % Decimal(str(schema["multipleOf"])):
+        found.append("no multiple")
+    return found
+
+
+def problems(value: Any, schema: Any, path: str = "$") -> list[str]:
+    """What in a value is against a schema of the ``CHECKED`` keywords."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{path}: not allowed"]
     kinds = schema.get("type")
     kinds = [kinds] if isinstance(kinds, str) else kinds
     if kinds and not any(_TYPES[k](value) for k in kinds):
         return [f"{path}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         found.append(f"{path}: not in enum")
+    if "const" in schema and canonical(value) != canonical(schema["const"]):
+        found.append(f"{path}: not the constant")
     if _TYPES["number"](value):
-        if value < schema.get("minimum", value):
-            found.append(f"{path}: below minimum")
-        if value > schema.get("maximum", value):
-            found.append(f"{path}: above maximum")
-    if isinstance(value, str | list):
-        kind = "Length" if isinstance(value, str) else "Items"
+        found += [f"{path}: {p}" for p in _number_problems(value, schema)]
+    if isinstance(value, str | list | dict):
+        kind = "Length" if isinstance(value, str) else "Items" if isinstance(value, list) else "Properties"
         if len(value) < schema.get(f"min{kind}", 0):
             found.append(f"{path}: too short")
         if len(value) > schema.get(f"max{kind}", len(value)):
             found.append(f"{path}: too long")
-    if isinstance(value, list) and "items" in schema:
+    if isinstance(value, str) and not re.search(schema.get("pattern", ""), value):
+        found.append(f"{path}: not the pattern")
+    if isinstance(value, list):
+        if schema.get("uniqueItems") and len(set(map(canonical, value))) < len(value):
+            found.append(f"{path}: repeated items")
         for k, v in enumerate(value):
-            found += problems(v, schema["items"], f"{path}[{k}]")
+            found += problems(v, schema.get("items", True), f"{path}[{k}]")
     if isinstance(value, dict):
         known = schema.get("properties", {})
         found += [f"{path}.{k}: missing" for k in sorted(schema.get("required", ())) if k not in value]
+        rest = schema.get("additionalProperties", True)
         for k in sorted(value):
             if k in known:
                 found += problems(value[k], known[k], f"{path}.{k}")
-            elif schema.get("additionalProperties", True) is False:
+            elif rest is False:
                 found.append(f"{path}.{k}: unknown")
+            else:
+                found += problems(value[k], rest, f"{path}.{k}")
+    for inner in schema.get("allOf", ()):
+        found += problems(value, inner, path)
+    for name, fits in (("anyOf", lambda n: n > 0), ("oneOf", lambda n: n == 1)):
+        if name in schema and not fits(sum(not problems(value, inner, path) for inner in schema[name])):
+            found.append(f"{path}: not {'any' if name == 'anyOf' else 'one'} of the schemas")
+    if "not" in schema and not problems(value, schema["not"], path):
+        found.append(f"{path}: not allowed")
     return found
 
 
@@ -86,36 +153,64 @@ def read_arguments(text: str | None) -> Any:
     return json.loads(text or "", parse_constant=_no_constant)
 
 
+def _edges(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id, before: every call that a call names as one it comes after and that is there."""
+    named = F.col("after")
+    if not isinstance(calls.schema["after"].dataType, T.ArrayType):
+        named = F.array(named)
+    told = calls.select("conv_id", "call_id", F.explode(F.array_distinct(named)).alias("before"))
+    there = calls.select("conv_id", F.col("call_id").alias("before"))
+    return told.join(there, ["conv_id", "before"], "left_semi")
+
+
 def depths(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, depth: how many calls must come before; null in or behind a cycle.
+    """conv_id, call_id, depth: the most calls in a row that must come before; null in or behind a cycle.
 
-    A call names at most one call that it comes after, so its depth is its distance from a call
-    that comes after none, found by pointer doubling: each round every call looks twice as far, so
-    a chain of n calls takes log2 n rounds, each a join of small rows written to the shared
-    folder. A call whose predecessor is not in the conversation comes after none.
+    ``after`` names the call, or an array of calls, that a call comes after; those that are not in
+    the conversation do not count, and a call that comes after none has depth 0. Runs of calls with
+    one predecessor each are walked by pointer doubling: each round every call looks twice as far, so
+    a chain of n calls takes log2 n rounds, each a join of small rows written to the shared folder.
+    Calls with several predecessors then take the longest way to each, one round per level of such
+    calls.
     """
-    own = calls.select("conv_id", "call_id", "after")
-    known = own.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("known"))
-    now = own.join(known, ["conv_id", "after"], "left").select(
-        "conv_id",
-        "call_id",
-        F.when(F.col("known"), F.col("after")).alias("ahead"),
-        F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth"),
-    )
-    now = stored(now, "ahead")
-    total = now.count()
-    open_ = now.where("ahead is not null").count()
-    reach = 1
+    key = ["conv_id", "call_id"]
+    edges = stored(_edges(calls), "edges")
+    preds = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("before").alias("before"))
+    own = calls.select(*key).join(preds, key, "left")
+    one = F.col("n") == 1
+    now = own.select(*key, F.when(one, F.col("before")).alias("ahead"), F.when(one, 1).otherwise(0).cast("long").alias("steps"))
+    # ``at`` is where a call's run begins: one without a predecessor, or with several
+    now = stored(now.withColumn("at", F.when(F.col("ahead").isNull(), F.col("call_id"))), "ahead")
+    total, reach = now.count(), 1
+    open_ = now.where("at is null").count()
     while open_ and reach <= total:
-        next_ = now.select("conv_id", F.col("call_id").alias("ahead"), F.col("ahead").alias("next"), F.col("depth").alias("more"))
-        moving = now.where("ahead is not null").join(next_, ["conv_id", "ahead"])
-        moving = moving.select(
-            "conv_id", "call_id", F.col("next").alias("ahead"), (F.col("depth") + F.col("more")).alias("depth")
+        next_ = now.select(
+            "conv_id", F.col("call_id").alias("ahead"), F.col("ahead").alias("next"), F.col("steps").alias("more"), F.col("at").alias("found")
         )
-        now = stored(now.where("ahead is null").unionByName(moving), "ahead")
-        open_ = now.where("ahead is not null").count()
+        moving = now.where("at is null").join(next_, ["conv_id", "ahead"])
+        moving = moving.select(*key, F.col("next").alias("ahead"), (F.col("steps") + F.col("more")).alias("steps"), F.col("found").alias("at"))
+        now = stored(now.where("at is not null").unionByName(moving), "ahead")
+        open_ = now.where("at is null").count()
         reach *= 2
-    return now.select("conv_id", "call_id", F.when(F.col("ahead").isNull(), F.col("depth")).alias("depth"))
+    runs = now.select(*key, "at", "steps")
+
+    known = own.where("n is null").select("conv_id", F.col("call_id").alias("at"), F.lit(0).cast("long").alias("depth"))
+    ways = edges.join(preds.where("n > 1").select(*key, "n"), key).join(
+        runs.select("conv_id", F.col("call_id").alias("before"), "at", "steps"), ["conv_id", "before"]
+    )
+    ways = stored(ways.select(*key, "n", "at", "steps"), "ways")
+    if not ways.isEmpty():
+        known, held = stored(known, "depths"), -1
+        while (size := known.count()) != held:
+            held = size
+            done = known.select("conv_id", F.col("at").alias("call_id"))
+            reached = ways.join(known, ["conv_id", "at"]).groupBy(*key, "n").agg(
+                F.count(F.lit(1)).alias("seen"), (F.max(F.col("depth") + F.col("steps")) + 1).alias("depth")
+            )
+            new = reached.where("seen = n").join(done, key, "left_anti")
+            known = stored(known.unionByName(new.select("conv_id", F.col("call_id").alias("at"), "depth")), "depths")
+    found = runs.join(known, ["conv_id", "at"], "left")
+    return found.select(*key, (F.col("depth") + F.col("steps")).alias("depth"))
 
 
 def link_calls(
@@ -124,7 +219,7 @@ def link_calls(
     """One row per message: every call and every result, checked, as canonical JSON.
 
     ``calls`` has conv_id, call_id, turn, name, arguments (JSON text) and after (the call it must
-    follow, or null); ``results`` has conv_id, call_id, turn and content. Calls and results are
+    follow, or null, or an array of such calls); ``results`` has conv_id, call_id, turn and content. Calls and results are
     joined by conversation and call_id. Returns conv_id, call_id, kind, depth, turn, status,
     problems, message. The order of a conversation is (depth, turn, call_id, kind): a call comes
     after those it depends on, a result right behind its call (it takes the call's depth and turn).
@@ -132,11 +227,13 @@ def link_calls(
     status of a call: the first that holds of ``duplicate``, ``cycle``, ``unknown tool``,
     ``bad json``, ``invalid`` (against the schema), ``no result``, else ``ok``; of a result:
     ``duplicate``, ``no call``, ``ok``; one that is not linked has its own turn and depth 0.
-    ``problems`` joins what the schema finds. Of several calls of one id the first by turn, then
+    ``problems`` joins what the schema finds; a schema with a keyword that is not checked raises. Of several calls of one id the first by turn, then
     name and arguments, is linked and the others are duplicates; likewise results. Rows with a null conv_id or call_id are linked with nothing: such calls have
     ``no result`` at best, such results ``no call``. Empty tables give no rows; other columns are
     ignored. No conversation is gathered: messages stay rows, so one of any length is spread out.
     """
+    for schema in schemas.values():
+        checked_schema(schema)
     key = ["conv_id", "call_id"]
     keyed = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     calls = calls.select(F.col("conv_id").cast("long").alias("conv_id"), "call_id", "turn", "name", "arguments", "after")
