@@ -15,6 +15,9 @@ from pursewatch.llm.common import key60
 
 #: Documents that the model is fitted on at most: the labelled ones with the smallest hashes.
 SAMPLE = 4_000
+#: Lines of a document that it is fitted on at most: a run of that many, which begins where a hash
+#: of the document's id says.
+LINES = 1_000
 
 FEATURES = (
     "upper", "digit", "sentence_mark", "other_mark", "symbol", "space", "log_length", "word_length",
@@ -257,29 +260,46 @@ def fit(
     return model
 
 
-def _featurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in words.slices(batch, "text"):
-            table, size, at = line_features(part.column("text"))
-            wide = pa.array((at * len(FEATURES)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("label"),
-                    pa.ListArray.from_arrays(wide, pa.array(table.ravel())),
-                    pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(size)),
-                ],
-                ["doc_id", "label", "features", "size"],
-            )
+def _run_of_lines(ids: list[int], at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines of documents of many stay, all of the others', and where each one's then start."""
+    count = np.diff(at)
+    spare = np.maximum(count - most, 0)
+    first = at[:-1] + np.array([words.xxhash.xxh64_intdigest(str(i)) % (int(s) + 1) for i, s in zip(ids, spare, strict=True)], np.int64)
+    kept = count - spare
+    until = np.concatenate([[0], np.cumsum(kept)])
+    return np.arange(until[-1]) - np.repeat(until[:-1] - first, kept), until
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, learnt: Column, most: int = SAMPLE) -> LineModel:
+def _featurer(most: int):
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, "text"):
+                table, size, at = line_features(part.column("text"))
+                lines, at = _run_of_lines(part.column("doc_id").to_pylist(), at, most)
+                wide = pa.array((at * len(FEATURES)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("label"),
+                        pa.ListArray.from_arrays(wide, pa.array(table[lines].ravel())),
+                        pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(size[lines])),
+                    ],
+                    ["doc_id", "label", "features", "size"],
+                )
+
+    return features
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, learnt: Column, most: int = SAMPLE, lines: int = LINES) -> LineModel:
     """A model from the labelled documents where ``learnt`` (an expression of doc_id) holds.
 
     At most ``most`` labels are used (the bound on the sample, whose line features go to the
     driver), those with the smallest hash of their id; of several labels
     of one id the smallest counts. Labels other than 0 and 1 and null ids are left out. The chosen
-    ids and labels, ``most`` at most, are broadcast; features are taken from whole texts.
+    ids and labels, ``most`` at most, are broadcast; features are taken from whole texts, then at
+    most ``lines`` lines of a document, a run of them, are learnt from: so what reaches the driver
+    has a bound, whatever the texts. Of several texts of one id the first by text counts. Without
+    labels, or without their documents, every score is 0.5.
     """
     chosen = (
         labels.where(learnt & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -289,8 +309,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, learnt: Column, most: int = SAMPL
         .limit(most)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     schema = "doc_id long, label int, features array<double>, size array<double>"
-    found = rows.mapInArrow(_featurer, schema).toArrow().combine_chunks()
+    found = rows.mapInArrow(_featurer(lines), schema).toArrow().combine_chunks()
     found = found.sort_by([("doc_id", "ascending"), ("label", "ascending")])
     sizes = found.column("size").combine_chunks()
     at = sizes.offsets.to_numpy().astype(np.int64)
