@@ -182,7 +182,8 @@ def near_dedup(
        candidates alone. A passage in very many documents thus makes long lists only of documents
        that consist mostly of such passages.
     3. In each list all are compared with one pivot, the member with the most frequent values.
-       Candidates that share enough values are confirmed on the full sets.
+       Candidates that share enough values are confirmed on the full sets; only the sets of such
+       candidates are shuffled.
     4. Links make components. Lists that still hold several components compare the members outside
        their largest component with those of other components, unless what the two sets can share
        at most (their rare shingles in common, and the smaller number of others) is too little.
