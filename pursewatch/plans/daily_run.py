@@ -451,7 +451,8 @@ def _advance_dimension(
     latest, rejected, newer_by = _latest_updates(spark, spec, run, batches, extracted)
     if batches or not known:
         rows = upsert(spark.table(versions), latest, spec.keys, newer_by) if known else latest
-        publish(rows, run.path("silver", spec.table), versions, (), run.temporary, run.keep)
+        # apart from the snapshots of full refreshes, which are retired by themselves
+        publish(rows, run.path("silver", spec.table, "versions"), versions, (), run.temporary, run.keep)
         columns = ", ".join(f"`{c}`" for c in rows.columns if c != VERSION)
         kind = "TEMPORARY VIEW" if run.temporary else "VIEW"
         spark.sql(f"CREATE OR REPLACE {kind} {name} AS SELECT {columns} FROM {versions}")

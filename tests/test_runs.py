@@ -327,7 +327,7 @@ def test_dimensions_keep_few_snapshots_and_later_versions_win(spark, root):
         source = {**partner(spark, FIRST), "users": users}
         run_day(spark, {"a": source}, Run(root, T0 + timedelta(hours=k), keep=2, **names), incremental=True)
     assert rows(spark.table("ds_users").select("user_id", "age")) == [(1, 32)]
-    assert len(list(Path(root, "silver", "users").iterdir())) == 2
+    assert len(list(Path(root, "silver", "users", "versions").iterdir())) == 2
 
 
 def test_a_reader_counts_at_the_source(spark, root):
