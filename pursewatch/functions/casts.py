@@ -20,12 +20,19 @@ def _rounded(c: Column) -> Column:
     return F.round(cut.try_cast("decimal(38,10)"))
 
 
+def _whole(c: Column, kind: str) -> Column:
+    # text that a whole number is written as needs no decimals, which cost several times as much
+    text = c.cast("string")
+    plain = text.try_cast(kind)
+    return F.when(plain.cast("string") == text, plain).otherwise(_rounded(text).try_cast(kind))
+
+
 def to_bigint(c: Column) -> Column:
-    return _rounded(c).try_cast("bigint")
+    return _whole(c, "bigint")
 
 
 def to_int(c: Column) -> Column:
-    return _rounded(c).try_cast("int")
+    return _whole(c, "int")
 
 
 def to_double(c: Column) -> Column:
@@ -49,8 +56,10 @@ def to_boolean(c: Column) -> Column:
 
 def to_timestamp(c: Column) -> Column:
     """Timestamp without zone. Bare years and months, which Spark would accept, are not."""
-    full_date = c.cast("string").rlike(r"^\s*[+-]?\d+-\d{1,2}-\d{1,2}")
-    return F.when(full_date, c.try_cast("timestamp_ntz"))
+    text, time = c.cast("string"), c.try_cast("timestamp_ntz")
+    # what parses with dashes at these places begins with a whole date, as 2024-01-31 does
+    usual = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(usual, time).when(text.rlike(r"^\s*[+-]?\d+-\d{1,2}-\d{1,2}"), time)
 
 
 CASTS: dict[str, Callable[[Column], Column]] = {

@@ -45,7 +45,6 @@ def _asked(layers: Sequence[Layer]) -> DataFrame:
             F.lit(x.layer).alias("layer"),
             F.lit(x.counted if x.df is None else x.counted or 0).cast("bigint").alias("rows"),
             F.lit(0).cast("bigint").alias("null_pk"),
-            F.lit(x.error).cast("string").alias("error"),
         )
         for x in layers
     ]
@@ -81,14 +80,24 @@ def layer_counts(layers: Sequence[Layer]) -> DataFrame:
     if "key" not in together.columns:
         together = together.withColumn("key", F.lit(None).cast("string"))
     by_key = together.groupBy("table_name", "layer", "key").agg(
-        F.sum("rows").alias("rows"), F.sum("null_pk").alias("null_pk"), F.max("error").alias("error")
+        F.sum("rows").alias("rows"), F.sum("null_pk").alias("null_pk")
     )
-    return by_key.groupBy("table_name", "layer").agg(
+    counts = by_key.groupBy("table_name", "layer").agg(
         F.sum("rows").alias("rows"),
         F.sum("null_pk").alias("null_pk_count"),
         F.count("key").alias("distinct_keys"),
-        F.max("error").alias("error"),
     )
+    return counts.withColumn("error", _errors(layers))
+
+
+def _errors(layers: Sequence[Layer]) -> Column:
+    """What each table and layer could not be opened for. Texts among the sums would have every
+    task sort its rows."""
+    error = F.lit(None).cast("string")
+    for x in sorted((x for x in layers if x.error is not None), key=lambda x: x.error):
+        here = (F.col("table_name") == x.table) & (F.col("layer") == x.layer)
+        error = F.when(here, F.lit(x.error)).otherwise(error)
+    return error
 
 
 def _at(layer: str, value: str) -> Column:

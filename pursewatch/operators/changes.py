@@ -78,8 +78,10 @@ def change_images(
     asked = [c for c in names if c not in ignore]
     unlike = [~value("new", updates, c).eqNullSafe(value("old", target, c)) for c in asked]
     changed = pairs.where(new_here | reduce(or_, unlike))
-    images = F.array(F.when(~new_here, row(BEFORE, "old", target)), row(AFTER, "new", updates))
-    return changed.select(F.inline(F.filter(images, lambda x: x.isNotNull())))
+    after = row(AFTER, "new", updates)
+    # no function of each element, which Spark would not compile
+    images = F.when(new_here, F.array(after)).otherwise(F.array(row(BEFORE, "old", target), after))
+    return changed.select(F.inline(images))
 
 
 def signed() -> Column:

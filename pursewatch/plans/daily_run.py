@@ -394,7 +394,7 @@ def _advance_days(
     two is ended by the next one from the stored feed."""
     name, live = f"{run.silver}{spec.table}", run.path("silver", spec.table, "live")
     latest, rejected, newer_by = _latest_updates(spark, spec, run, ready, extracted)
-    updates, (day,) = _by_event_day(latest.persist(), spec)
+    updates, (day,) = _by_event_day(latest, spec)
     declared = updates.schema if spec.rules else None
     kind = updates.schema[day]
     for feed in sorted({b.feed for b in started}):
@@ -403,6 +403,9 @@ def _advance_days(
     if ready:
         feed = 1 + last_feed(spark, run, spec.table)
         target = stored_rows(spark, live, kind, declared)
+        if target is not None:
+            # into an empty table the rows go once
+            latest.persist()
         where = feed_path(run, spec.table, feed)
         images = change_images(target, updates, spec.keys, newer_by)
         images.write.mode("overwrite").parquet(where)

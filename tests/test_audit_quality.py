@@ -3,9 +3,9 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from helpers import TX_DDL, rows, ts, tx_row
+from helpers import TX_DDL, plan, rows, ts, tx_row
 from pursewatch.model import LEDGER_SCHEMA
-from pursewatch.operators import quality
+from pursewatch.operators import audit, quality
 from pursewatch.operators.audit import (
     CircuitOpen, Layer, breaches, bronze_to_silver, enforce, layer_counts, ledger_trend,
     reconcile, source_to_bronze,
@@ -168,3 +168,16 @@ def test_rules_on_partners_types_and_times(spark):
     for column, rule in (("failed_partners", "partner_failed"), ("type_mismatches", "type_mismatch"), ("unversioned_rows", "unversioned")):
         with pytest.raises(CircuitOpen, match=rf"t: {rule} \(3\)"):
             enforce(audit.withColumn(column, F.lit(3)))
+
+
+def test_counts_of_layers_sort_no_rows(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    layers = [
+        audit.Layer("t", "bronze", rows, ("k",), distinct=("k",)),
+        audit.Layer("t", "silver", None, ("k",), "not there"),
+        audit.Layer("t", "silver", None, ("k",), "gone"),
+    ]
+    counts = audit.layer_counts(layers)
+    found = {r.layer: tuple(r)[2:] for r in counts.collect()}
+    assert found == {"bronze": (4, 1, 2, None), "silver": (None, 0, 0, "not there")}
+    assert "SortAggregate" not in plan(counts)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from pursewatch.functions import casts, predicates, timing
 from pursewatch.model import MONEY
-from helpers import ts
+from helpers import plan, ts
 
 
 def run(spark, cast, values):
@@ -94,3 +94,25 @@ def test_partner_names_and_suffixes(spark):
 def test_whole_numbers_are_rounded_once(spark):
     values = ["0.49999999999", "1.49999999999", "-0.49999999999999", "2.50000000000000", "-2.5000000000001", "7.99999999999 "]
     assert run(spark, casts.to_bigint, values) == [0, 1, 0, 3, -3, 8]
+
+
+def test_plain_whole_numbers_and_times_read_as_the_others_do(spark):
+    texts = ["7", "-7", "0", "-0", "+7", "007", " 7 ", "7.0", "1.5", "-1.5", "1e3", "2147483648", "9223372036854775807",
+             "9223372036854775808", "7\x7f", "", "abc", None, "true"]
+    wanted = [7, -7, 0, 0, 7, 7, 7, 7, 2, -2, 1000, 2147483648, 9223372036854775807, None, None, None, None, None, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(3)
+    whole = df.select("k", casts.to_bigint(F.col("t")).alias("b"), casts.to_int(F.col("t")).alias("i"))
+    found = {r.k: (r.b, r.i) for r in whole.collect()}
+    small = [w if w is not None and w < 2**31 else None for w in wanted]
+    assert [found[k] for k in range(len(texts))] == list(zip(wanted, small))
+    times = ["2024-01-31", "2024-01-31 01:02:03.5", "2024-1-3", " 2024-01-31 ", "2024-01", "2024", "-2024-1", "2024-01-", "2024-13-01", "abcd-ef-gh"]
+    asked = spark.createDataFrame(list(enumerate(times)), "k int, t string").repartition(3)
+    asked = asked.select("k", casts.to_timestamp(F.col("t")).isNotNull().alias("read")).collect()
+    assert {times[r.k] for r in asked if r.read} == {"2024-01-31", "2024-01-31 01:02:03.5", "2024-1-3", " 2024-01-31 "}
+
+
+def test_plain_whole_numbers_take_no_decimals(spark):
+    # the decimals are in a branch that such text does not reach
+    rows = spark.range(2).select(F.col("id").cast("string").alias("t"))
+    shown = plan(rows.select(casts.to_bigint(F.col("t")).alias("b")), "simple")
+    assert shown.index("CASE WHEN") < shown.index(" THEN ") < shown.index("decimal(38,10)")

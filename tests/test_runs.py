@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows, ts
 from pursewatch.model import LEDGER_SCHEMA
 from pursewatch.operators.audit import CircuitOpen
-from pursewatch.operators.changes import replay
+from pursewatch.operators.changes import change_images, replay
 from pursewatch.operators.dedup import latest_per_key
 from pursewatch.plans.batches import STOPPED, batch_states, batches_in, reject_batches, release_batches
 from pursewatch.plans.daily_run import Run, ingest, read_feeds, run_day
@@ -483,3 +483,11 @@ def test_missing_bronze_is_reported_not_counted_as_zero(spark, root):
     ledger = {r.table_name: r for r in spark.read.parquet(f"{root}/ledger").collect()}
     assert ledger["cards"].target_count is None and "PATH_NOT_FOUND" in ledger["cards"].error
     assert ledger["users"].target_count == 1
+
+
+def test_images_are_made_in_compiled_code(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 2), ("b", 1), ("c", 3)], "k string, v int")
+    images = change_images(old, new, ["k"], ["v"])
+    assert rows(images) == [("after", "a", 2), ("after", "c", 3), ("before", "a", 1)]
+    assert "lambdafunction" not in plan(images)
