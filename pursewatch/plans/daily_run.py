@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
+from pursewatch.functions.predicates import has_keys
 from pursewatch.functions.timing import moment
 from pursewatch.model import EPOCH, LEDGER_SCHEMA, WATERMARK_SCHEMA
 from pursewatch.operators.audit import (
@@ -305,16 +306,16 @@ def _typed(spark: SparkSession, run: Run, spec: TableSpec, bronze: DataFrame, ba
 
     Without ``rejects`` only released batches may have such rows; any other fails the job.
     """
-    typed = typed_rows(bronze, spec, run.run_ts)
     if run.rejects:
-        return split_rejects(typed, spec.keys)
+        return split_rejects(typed_rows(bronze, spec, run.run_ts), spec.keys)
     passed = [b.batch_id for b in batches if b.released]
     if not passed:
-        return typed, None
-    free = F.col("batch_id").isin(passed)
-    good, rejected = split_rejects(typed_rows(bronze.where(free), spec, run.run_ts), spec.keys)
-    rest = typed_rows(bronze.where(~F.coalesce(free, F.lit(False))), spec, run.run_ts)
-    return rest.unionByName(good), rejected
+        return typed_rows(bronze, spec, run.run_ts), None
+    free = F.coalesce(F.col("batch_id").isin(passed), F.lit(False))
+    # bronze is read once, and not apart for released batches
+    typed = typed_rows(bronze, spec, run.run_ts, free.alias("_free"))
+    _, rejected = split_rejects(typed.where("_free").drop("_free"), spec.keys)
+    return typed.where(~F.col("_free") | has_keys(*spec.keys)).drop("_free"), rejected
 
 
 def refresh_silver(

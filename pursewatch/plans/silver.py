@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pursewatch.functions.casts import to_timestamp
 from pursewatch.operators.dedup import latest_per_key
@@ -14,10 +14,10 @@ from pursewatch.sources.tables import TableSpec
 VERSION = "_version"
 
 
-def typed_rows(bronze: DataFrame, spec: TableSpec, run_ts: datetime | str) -> DataFrame:
+def typed_rows(bronze: DataFrame, spec: TableSpec, run_ts: datetime | str, *extra: Column) -> DataFrame:
     """Declared columns of every bronze row, and the time that orders a key's versions."""
     order = spec.order_by if spec.order_by in bronze.columns else "ingest_ts"
-    return project(bronze, spec, run_ts, to_timestamp(F.col(order)).alias(VERSION))
+    return project(bronze, spec, run_ts, to_timestamp(F.col(order)).alias(VERSION), *extra)
 
 
 def build_silver(bronze: DataFrame, spec: TableSpec, run_ts: datetime | str) -> DataFrame:

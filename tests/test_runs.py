@@ -11,8 +11,8 @@ from pursewatch.model import LEDGER_SCHEMA
 from pursewatch.operators.audit import CircuitOpen
 from pursewatch.operators.changes import change_images, replay
 from pursewatch.operators.dedup import latest_per_key
-from pursewatch.plans.batches import STOPPED, batch_states, batches_in, reject_batches, release_batches
-from pursewatch.plans.daily_run import Run, ingest, read_feeds, run_day
+from pursewatch.plans.batches import RELEASED, STOPPED, Batch, batch_states, batches_in, reject_batches, release_batches
+from pursewatch.plans.daily_run import Run, _typed, ingest, read_feeds, run_day
 from pursewatch.plans.gold import keyed_profile, merchant_daily_summary, user_risk_profile
 from pursewatch.streaming.daily_summary import closed_days, read_daily_summary, stream_daily_parts
 from pursewatch.sources.bronze import read_bronze, write_increment
@@ -491,3 +491,18 @@ def test_images_are_made_in_compiled_code(spark):
     images = change_images(old, new, ["k"], ["v"])
     assert rows(images) == [("after", "a", 2), ("after", "c", 3), ("before", "a", 1)]
     assert "lambdafunction" not in plan(images)
+
+
+def test_released_batches_are_read_with_the_others(spark, root):
+    given = [("t1", "held"), (None, "held"), ("t2", "clean"), (None, "clean"), ("t3", None), (None, None)]
+    spec = load_tables()["transactions"]
+    bronze = spark.createDataFrame(given, "transaction_id string, batch_id string")
+    others = [c for c in spec.bronze_columns() if c not in bronze.columns]
+    bronze.select("*", *[F.lit(None).cast("string").alias(c) for c in others]).write.parquet(f"{root}/b")
+    stored = spark.read.parquet(f"{root}/b")
+    batch = Batch("a", "transactions", "held", datetime(2024, 1, 31).date(), 2, RELEASED, None, True, None)
+    good, rejected = _typed(spark, Run(root, datetime(2024, 1, 31)), spec, stored, [batch])
+    # rows without a key stay where nobody released them: they fail the job later
+    assert rows(good.select("transaction_id")) == [("t1",), ("t2",), ("t3",), (None,), (None,)]
+    assert rows(rejected.select("transaction_id", "reject_reason")) == [(None, "null key: transaction_id")]
+    assert plan(good, "simple").count("FileScan") == 1
