@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pursewatch.llm import words
-from pursewatch.llm.common import key60, stored
+from pursewatch.llm.common import free_name, key60, stored
 
 #: Characters in the longest n-gram.
 ORDER = 4
@@ -21,9 +22,15 @@ HELD_OUT = 5
 #: Documents per language that calibrate at most: enough for one quantile.
 SAMPLE = 1_000
 #: N-grams of a language and order that reach the driver at most, about: the most frequent ones, and
-#: those of all languages and orders together.
+#: those of all languages and orders together. All others are looked up in a join.
 MOST_GRAMS = 200_000
 MODEL_GRAMS = 4_000_000
+#: Bits in all that mark which n-grams and contexts that join may have, and how many for each of them.
+MARK_BITS = 1 << 26
+MARK_ROOM = 32
+#: Bytes of texts and different n-grams in them, about, that look up together what the models lack.
+CHUNK_BYTES = 16 << 20
+CHUNK_GRAMS = 1 << 19
 #: Bytes of text and characters that a task works on at a time, and n-grams that it holds back.
 SLICE_BYTES = 1 << 19
 SEGMENT = 1 << 18
@@ -84,15 +91,36 @@ def all_grams(points: np.ndarray, order: int) -> list[np.ndarray]:
     return found
 
 
+@dataclass
+class Marks:
+    """A Bloom filter of hashes with two bits each: it knows all that it was given, and few others."""
+
+    width: int
+    words: np.ndarray
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for h in (keys, keys << np.uint64(self.width)):
+            at = h >> np.uint64(64 - self.width)
+            out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+        return out
+
+
 @dataclass
 class LanguageModel:
-    """For each order the n-grams' hashes, sorted, with log2 P and the contexts' back-off weights."""
+    """For each order the n-grams' hashes, sorted, with log2 P and the contexts' back-off weights.
+
+    ``backoff`` and ``floor`` are those of a model that has no other n-grams; ``rest`` and ``base``
+    are those among all n-grams, to which what was left out is added.
+    """
 
     keys: list[np.ndarray] = field(default_factory=list)
     logs: list[np.ndarray] = field(default_factory=list)
     contexts: list[np.ndarray] = field(default_factory=list)
     backoff: list[np.ndarray] = field(default_factory=list)
+    rest: list[np.ndarray] = field(default_factory=list)
     floor: float = -20.0
+    base: float = -20.0
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,50 +145,127 @@ class LanguageModel:
         out[unseen] = weight[unseen] + self.floor
         return out
 
+    def _kept(self, by_order: list[np.ndarray], context_by_order: list[np.ndarray]):
+        """The longest order in which each n-gram is known, and for each order where it and its context are."""
+        known = [self._find(k, g) for k, g in zip(self.keys, by_order, strict=True)]
+        seen = [self._find(k, c) for k, c in zip(self.contexts[1:], context_by_order[1:], strict=True)]
+        top = np.full(len(by_order[0]), -1)
+        for n, (_, here) in enumerate(known):
+            top[here] = n
+        return top, known, [(None, np.ones(len(top), bool)), *seen]
+
+    def log2_among_all(
+        self, by_order: list[np.ndarray], context_by_order: list[np.ndarray], more: dict[int, tuple[np.ndarray, np.ndarray]]
+    ) -> np.ndarray:
+        """The same among all n-grams, given what the ones that were left out add.
+
+        log2 P of an n-gram is that of its tail, the share that its context leaves to the tail's
+        order, and a gain where the n-gram itself is known. So each n-gram or context that was left
+        out adds a number of its own to what the kept ones tell. ``more`` has these by slot: 2 n for
+        n-grams of n + 1 characters, 2 n + 1 for their contexts; sorted hashes and numbers.
+        """
+        top, known, seen = self._kept(by_order, context_by_order)
+        out = np.full(len(top), self.base)
+        for n, (at, here) in enumerate(known):
+            out[here] = self.logs[n][at[here]]
+        for n in range(len(by_order)):
+            for slot, keys, (at, here) in ((2 * n + 1, context_by_order[n], seen[n]), (2 * n, by_order[n], known[n])):
+                if n and slot % 2:
+                    fall = here & (top < n)
+                    out[fall] += self.rest[n][at[fall]]
+                if slot in more:
+                    want = np.flatnonzero(~here & (top < n))
+                    at, here = self._find(more[slot][0], keys[want])
+                    out[want[here]] += more[slot][1][at[here]]
+        return out
+
+    def lacking(
+        self, by_order: list[np.ndarray], context_by_order: list[np.ndarray], marks: dict[int, Marks]
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """By slot, the different hashes that ``more`` above may have something for.
+
+        A known n-gram has a known tail and a known context, which has a known tail too: others
+        need not be asked for.
+        """
+        top, known, seen = self._kept(by_order, context_by_order)
+        gram_lives = context_lives = seen[0][1]
+        for n in range(len(by_order)):
+            for slot, keys, (_, sure) in ((2 * n + 1, context_by_order[n], seen[n]), (2 * n, by_order[n], known[n])):
+                may = np.zeros(len(top), bool)
+                if slot in marks:
+                    at = np.flatnonzero(~sure & context_lives & (gram_lives if slot % 2 == 0 else True))
+                    may[at] = marks[slot].may_have(keys[at])
+                    yield slot, np.unique(keys[may & (top < n)])
+                if slot % 2:
+                    context_lives = sure | may
+                else:
+                    gram_lives = sure | may
+
 
 @dataclass
 class Identifier:
-    """The languages' models with the calibration of posterior and rejection."""
+    """The languages' models with the calibration of posterior and rejection.
+
+    Where the models have not all n-grams, ``others`` has what the rest add (language, slot, gram,
+    gain) and ``marks`` of each language and slot tell which these may be. Alone, the models back
+    off for the rest; ``identify`` below looks the rest up.
+    """
 
     languages: list[str]
     models: list[LanguageModel]
     sharpness: float = 1.0
     most: list[float] = field(default_factory=list)
+    marks: list[dict[int, Marks]] = field(default_factory=list)
+    others: DataFrame | None = None
 
-    def entropies(self, column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        """Bits per character of each text under each language, and how many characters count."""
+    def entropies(
+        self, column: pa.Array | pa.ChunkedArray, more: list[dict[int, tuple[np.ndarray, np.ndarray]]] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Bits per character of each text under each language, and how many characters count.
+
+        ``more`` has for each language what those n-grams add that its model lacks.
+        """
         points, starts = characters(column)
-        order = len(self.models[0].keys)
         count = np.maximum(np.diff(starts) - 1, 1)
         bits = np.zeros((len(starts) - 1, len(self.models)))
+        if not self.models:
+            return bits, np.zeros(len(bits), np.int64)
+        order = len(self.models[0].keys)
         doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         first = np.zeros(len(points), bool)
         # the text's first 0 is given, all that follows is predicted
         first[starts[:-1]] = True
         for a in range(0, len(points), SEGMENT):
             b = min(a + SEGMENT, len(points))
-            low = max(a - order, 0)
-            by_order = all_grams(points[low:b], order)
-            code, unique = pd.factorize(by_order[-1][a - low :])
-            where = np.zeros(len(unique), np.int64)
-            where[code[::-1]] = np.arange(b - a)[::-1]
-            where += a - low
-            own = [g[where] for g in by_order]
-            contexts = [np.zeros(0, np.uint64), *[g[np.maximum(where - 1, 0)] for g in by_order[:-1]]]
+            code, own, contexts = _different(points, a, b, order)
             counted = ~first[a:b]
             # how often each text has each n-gram, as its place among those of the segment
             code, of = code[counted], doc[a:b][counted]
             for k, model in enumerate(self.models):
-                cost = -model.log2(own, contexts)
+                cost = -(model.log2(own, contexts) if more is None else model.log2_among_all(own, contexts, more[k]))
                 bits[:, k] += np.bincount(of, cost[code], minlength=len(bits))
         return bits / count[:, None], np.where(np.diff(starts) > 2, count, 0)
 
+    def lacking(self, grams: np.ndarray) -> dict[str, np.ndarray]:
+        """What to look up for n-grams given as by ``_Chunk``."""
+        order = len(self.models[0].keys)
+        own, contexts = list(grams[:order]), [np.zeros(0, np.uint64), *grams[order:]]
+        found = [(k, *x) for k, model in enumerate(self.models) for x in model.lacking(own, contexts, self.marks[k])]
+        return {
+            "language": np.concatenate([np.full(len(g), k) for k, _, g in found]),
+            "slot": np.concatenate([np.full(len(g), slot) for _, slot, g in found]),
+            "gram": np.concatenate([g for _, _, g in found]),
+        }
+
     def identify(self, column: pa.Array | pa.ChunkedArray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, posterior probability and whether the cross-entropy is in order."""
-        n = len(column)
+        return self.decide(*self.entropies(column))
+
+    def decide(self, bits: np.ndarray, size: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The same from the texts' cross-entropies and how many of their characters count."""
+        n = len(bits)
         if not self.models:
             return [UNDETERMINED] * n, np.zeros(n), np.zeros(n, bool)
-        bits, size = self.entropies(column)
         best = bits.argmin(axis=1)
         low = bits[np.arange(n), best]
         score = 1 / np.exp2(-self.sharpness * (bits - low[:, None])).sum(axis=1)
@@ -170,6 +275,47 @@ class Identifier:
         return names, np.where(known, score, 0.0), inside
 
 
+def _different(points: np.ndarray, a: int, b: int, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The different n-grams that end at places a to b: which one each place has, their hashes in
+    each order, and those of their contexts."""
+    low = max(a - order, 0)
+    by_order = all_grams(points[low:b], order)
+    code, unique = pd.factorize(by_order[-1][a - low :])
+    where = np.zeros(len(unique), np.int64)
+    where[code[::-1]] = np.arange(b - a)[::-1]
+    where += a - low
+    return code, [g[where] for g in by_order], [np.zeros(0, np.uint64), *[g[np.maximum(where - 1, 0)] for g in by_order[:-1]]]
+
+
+class _Chunk:
+    """Texts and their different n-grams: a row of hashes for each order, then for each order of contexts from 2 on."""
+
+    def __init__(self, order: int):
+        self.order = order
+        self.parts: list[pa.RecordBatch] = []
+        self.size = 0
+        self.grams = np.zeros((2 * order - 1, 0), np.uint64)
+        self.fresh: list[np.ndarray] = []
+
+    def add(self, part: pa.RecordBatch, text: str) -> bool:
+        """Whether there is room for more texts."""
+        points, _ = characters(part.column(text))
+        for a in range(0, len(points), SEGMENT):
+            _, own, contexts = _different(points, a, min(a + SEGMENT, len(points)), self.order)
+            rows = np.stack([*own, *contexts[1:]])
+            self.fresh.append(rows[:, ~LanguageModel._find(self.grams[self.order - 1], own[-1])[1]])
+            if sum(x.shape[1] for x in self.fresh) > max(PENDING, self.grams.shape[1]) // 4:
+                self.fold()
+        self.parts.append(part)
+        self.size += part.nbytes
+        return self.size < CHUNK_BYTES and self.grams.shape[1] < CHUNK_GRAMS
+
+    def fold(self) -> np.ndarray:
+        rows = np.concatenate([self.grams, *self.fresh], axis=1)
+        self.grams, self.fresh = rows[:, np.unique(rows[self.order - 1], return_index=True)[1]], []
+        return self.grams
+
+
 def _columns(order: int) -> list[str]:
     """Of an n-gram's shorter tails their hashes, ``t``, and the hashes of the contexts of it and of
     each of them, ``c``: of k and k - 1 characters."""
@@ -319,9 +465,9 @@ def mark_frequent(grams: DataFrame, order: int) -> DataFrame:
 
 
 def back_off(grams: DataFrame, order: int) -> DataFrame:
-    """lang, n, context, weight, known: what a context leaves to the order below, of marked n-grams.
+    """lang, n, context, weight, rest, known: what a context leaves to the order below, of marked n-grams.
 
-    That is ``rest`` where all of its n-grams are kept. Otherwise what those left out had goes there:
+    The weight is ``rest`` where all of its n-grams are kept. Otherwise what those left out had goes there:
     the weight is what the kept ones leave of the context, over what they leave of the order below
     as it is without those left out. So probabilities over all characters still add up to 1.
     """
@@ -337,10 +483,11 @@ def back_off(grams: DataFrame, order: int) -> DataFrame:
         whole = F.count(F.lit(1)) == F.first("kinds")
         weights = rows.where("kept").groupBy("lang", "context").agg(
             F.when(whole & (F.sum("low") == F.sum("below")), F.first("rest")).otherwise(left).alias("weight"),
+            F.first("rest").alias("rest"),
             F.first("known").alias("known"),
         )
         weights = stored(weights, f"weights-{k}")
-        found.append(weights.select("lang", F.lit(k).alias("n"), "context", "weight", "known"))
+        found.append(weights.select("lang", F.lit(k).alias("n"), "context", "weight", "rest", "known"))
         if k < order:
             of_context = weights.select("lang", "context", "weight")
             own = F.when(F.col("kept"), F.col("p")).otherwise(F.coalesce("weight", F.lit(1.0)) * F.col("low"))
@@ -349,14 +496,20 @@ def back_off(grams: DataFrame, order: int) -> DataFrame:
 
 
 def _models(grams: DataFrame, order: int) -> tuple[list[str], list[LanguageModel]]:
-    """Each language's model of its most frequent n-grams, with their probabilities among all."""
-    marked = stored(mark_frequent(grams, order), "marked")
+    """Each language's model of its most frequent n-grams, with their probabilities among all.
+
+    Of n-grams that are marked, or that are marked here.
+    """
+    marked = grams if "kept" in grams.columns else stored(mark_frequent(grams, order), "marked")
+    # a row per language
+    ends = marked.where("n = 1").groupBy("lang").agg(F.first("rest").alias("rest"), F.first("known").alias("known"))
+    ends = {x.lang: float(np.log2(x.rest / (x.known + 2))) for x in ends.collect()}
     contexts = back_off(marked, order).toArrow().to_pandas()
     table = marked.where("kept").select("lang", "n", "gram", "p").toArrow().to_pandas()
-    languages = sorted(table["lang"].unique())
+    languages = sorted(ends)
     models = []
     for name in languages:
-        model = LanguageModel()
+        model = LanguageModel(floor=ends[name], base=ends[name])
         for n in range(1, order + 1):
             own = table[(table["lang"] == name) & (table["n"] == n)]
             keys = own["gram"].to_numpy().view(np.uint64)
@@ -369,12 +522,55 @@ def _models(grams: DataFrame, order: int) -> tuple[list[str], list[LanguageModel
             model.contexts.append(keys[by_key])
             weight = np.maximum(own["weight"].to_numpy(float), 1e-30)
             model.backoff.append(np.log2(weight)[by_key])
-            if n == 1:
+            model.rest.append(np.log2(own["rest"].to_numpy(float))[by_key])
+            if n == 1 and len(weight):
                 model.floor = float(np.log2(weight[0] / (own["known"].iloc[0] + 2)))
         models.append(model)
     return languages, models
 
 
+def left_out(marked: DataFrame, languages: list[str], order: int) -> DataFrame | None:
+    """language, slot, gram, gain: what the n-grams and contexts add that the models do not have.
+
+    Those are the n-grams that are not kept, and the contexts none of whose n-grams is kept. Slots
+    are as in ``log2_among_all``, languages by their place. None where the models have all.
+    """
+    others = marked.where("not kept")
+    if others.isEmpty():
+        return None
+    slot = 2 * (F.col("n") - 1)
+    gain = F.log2("p") - F.log2("below") - F.log2("rest")
+    grams = others.select("lang", slot.alias("slot"), "gram", gain.alias("gain"))
+    contexts = marked.where("n > 1").groupBy("lang", "n", "context").agg(F.max("kept").alias("kept"), F.first("rest").alias("rest"))
+    contexts = contexts.where("not kept").select("lang", (slot + 1).alias("slot"), F.col("context").alias("gram"), F.log2("rest").alias("gain"))
+    # a row per language
+    names = marked.sparkSession.createDataFrame(list(enumerate(languages)), "language int, lang string")
+    rows = grams.unionByName(contexts).join(F.broadcast(names), "lang")
+    return stored(rows.select("language", "slot", "gram", "gain"), "left-out")
+
+
+def marks_of(others: DataFrame, languages: int) -> list[dict[int, Marks]]:
+    """For each language and slot the marks of what ``others`` has, ``MARK_BITS`` in all at most."""
+    sizes = others.groupBy("language", "slot").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(x.n for x in sizes)
+    # a power of two, one word at least
+    widths = {(x.language, x.slot): max(6, int(min(MARK_ROOM * x.n, MARK_BITS * x.n // total)).bit_length() - 1) for x in sizes}
+    of_slot = others.sparkSession.createDataFrame([(*k, w) for k, w in widths.items()], "language int, slot int, width int")
+    places = "explode(array(shiftrightunsigned(gram, 64 - width), shiftrightunsigned(shiftleft(gram, width), 64 - width))) AS place"
+    # a row per language and slot
+    rows = others.join(F.broadcast(of_slot), ["language", "slot"]).select("language", "slot", F.expr(places))
+    rows = rows.groupBy("language", "slot", F.shiftrightunsigned("place", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits")
+    )
+    found: list[dict[int, Marks]] = [{} for _ in range(languages)]
+    for (language, slot), width in widths.items():
+        found[language][slot] = Marks(width, np.zeros(max(1, 1 << width >> 6), np.uint64))
+    table = stored(rows, "marks").toArrow().to_pandas()
+    for (language, slot), part in table.groupby(["language", "slot"]):
+        found[language][slot].words[part["word"].to_numpy()] = part["bits"].to_numpy().view(np.uint64)
+    return found
+
+
 def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """Stored counts of the n-grams in ``text`` by ``lang``; a task sends each of its own about once."""
     columns = ["lang string", "n int", "gram long", *[f"{c} long" for c in _columns(order)], "count long"]
@@ -395,6 +591,7 @@ def fit_on(docs: DataFrame, learnt: Column, order: int = ORDER, sample: int = SA
     takes the one of all languages' texts. Counts, discounts and probabilities are Spark's, over all
     n-grams; only the about ``MOST_GRAMS`` most frequent ones of a language and order, and
     ``MODEL_GRAMS`` of all, reach the driver, and one row of cross-entropies per calibration text.
+    All others stay in a stored table, where texts look them up, and reach the driver as marks.
     Rows with a null language, id or text are left out; without any other there is no language.
     """
     rows = docs.where(learnt & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
@@ -408,23 +605,22 @@ def fit_on(docs: DataFrame, learnt: Column, order: int = ORDER, sample: int = SA
     chosen = F.broadcast(stored(chosen.select("doc_id", "lang"), "held-out"))
     texts = rows.select("doc_id", "lang", "text")
     counted = texts.join(chosen, ["doc_id", "lang"], "left_anti").select("lang", "text")
-    languages, models = _models(kneser_ney(count_grams(counted, order), order), order)
+    marked = stored(mark_frequent(kneser_ney(count_grams(counted, order), order), order), "marked")
+    languages, models = _models(marked, order)
     identifier = Identifier(languages, models)
     if not languages:
         return identifier
-    sent = docs.sparkSession.sparkContext.broadcast(identifier)
+    identifier.others = left_out(marked, languages, order)
+    if identifier.others is not None:
+        identifier.marks = marks_of(identifier.others, len(languages))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in words.slices(batch, "text", SLICE_BYTES):
-                bits, size = sent.value.entropies(part.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(size)],
-                    ["lang", "bits", "size"],
-                )
+    def measure(known: Identifier, part, bits: np.ndarray, size: np.ndarray):
+        part = part.select(["lang"]).append_column("bits", pa.array(list(bits), pa.list_(pa.float64())))
+        return part.append_column("size", pa.array(size))
 
     held = texts.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
-    held = held.mapInArrow(measure, "lang string, bits array<double>, size long").where("size > 0")
+    held = _scored(held, identifier, "text", measure, "lang string, bits array<double>, size long")
+    held = held.where("size > 0")
     found = held.toArrow().to_pandas().sort_values(["lang", "size"])
     if len(found):
         bits = np.vstack(found["bits"].to_list())
@@ -443,25 +639,83 @@ def fit_on(docs: DataFrame, learnt: Column, order: int = ORDER, sample: int = SA
     return identifier
 
 
+def _scored(rows: DataFrame, identifier: Identifier, text_col: str, finish: Callable, schema: T.StructType | str) -> DataFrame:
+    """What ``finish`` makes of the rows, in parts, and of their texts' cross-entropies and sizes.
+
+    Where the models lack n-grams the rows are stored in chunks. Each chunk asks once for each
+    n-gram and context that its texts have, the models lack and the marks let through; these are
+    joined with what they add, and the chunk is scored with the answers at hand.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(replace(identifier, others=None))
+
+    def score(table, more=None) -> Iterator:
+        for part in words.slices(table, text_col, SLICE_BYTES):
+            yield finish(sent.value, part, *sent.value.entropies(part.column(text_col), more))
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from score(batch)
+
+    if identifier.others is None:
+        return rows.mapInArrow(alone, schema)
+    order = len(identifier.models[0].keys)
+    number, asked = free_name(rows, "chunk"), free_name(rows, "asked")
+
+    def tagged(chunk: _Chunk, nth: int) -> Iterator[pa.RecordBatch]:
+        asks = sent.value.lacking(chunk.fold())
+        types = {"language": pa.int32(), "slot": pa.int32(), "gram": pa.int64()}
+        asks = {c: v.view(np.int64) if c == "gram" else v for c, v in asks.items()}
+        asks = pa.StructArray.from_arrays([pa.array(asks[c], t) for c, t in types.items()], list(types))
+        for k, part in enumerate(chunk.parts):
+            # the first row asks for all
+            ends = np.full(part.num_rows + 1, 0 if k else len(asks))
+            ends[0] = 0
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), asks)
+            ids = np.full(part.num_rows, (TaskContext.get().partitionId() << 32) + nth)
+            yield part.append_column(number, pa.array(ids)).append_column(asked, lists)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, nth = _Chunk(order), 0
+        for batch in batches:
+            for part in words.slices(batch, text_col, SLICE_BYTES):
+                if not chunk.add(part, text_col):
+                    yield from tagged(chunk, nth)
+                    chunk, nth = _Chunk(order), nth + 1
+        if chunk.parts:
+            yield from tagged(chunk, nth)
+
+    def answered(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        found = answers.to_pandas()
+        more: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in sent.value.models]
+        for (language, slot), part in found.groupby(["language", "slot"]):
+            keys = part["gram"].to_numpy().view(np.uint64)
+            by_key = np.argsort(keys)
+            more[language][slot] = keys[by_key], part["gain"].to_numpy()[by_key]
+        return pa.concat_tables(x if isinstance(x, pa.Table) else pa.Table.from_batches([x]) for x in score(texts, more))
+
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
+    asks = T.ArrayType(T.StructType([T.StructField("language", T.IntegerType()), T.StructField("slot", T.IntegerType()), T.StructField("gram", T.LongType())]))
+    chunks = stored(rows.mapInArrow(ask, T.StructType([*fields, T.StructField(number, T.LongType()), T.StructField(asked, asks)])), "chunks")
+    answers = chunks.select(F.col(number).alias("chunk"), F.inline(asked)).join(identifier.others, ["language", "slot", "gram"])
+    return chunks.drop(asked).groupBy(number).cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
+
+
 def identify(docs: DataFrame, identifier: Identifier, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred``, ``lang_score`` and ``lang_accepted``, from their whole texts.
 
     The language whose model codes the text in the fewest bits per character wins; the score is
     its calibrated posterior. A text without letters, or null, is ``und`` with score 0. A text
     that costs more than nearly all calibration texts of the winning language is not accepted.
-    Nothing is shuffled. Columns of these names are replaced.
+    Nothing is shuffled where the models have all n-grams; otherwise the rows are, once, to the
+    n-grams that they ask for. Columns of these names are replaced.
     """
     new = [("lang_pred", T.StringType()), ("lang_score", T.DoubleType()), ("lang_accepted", T.BooleanType())]
     rows = docs.drop(*[n for n, _ in new])
     fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
-    sent = docs.sparkSession.sparkContext.broadcast(identifier)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in words.slices(batch, text_col, SLICE_BYTES):
-                names, score, inside = sent.value.identify(part.column(text_col))
-                part = part.append_column("lang_pred", pa.array(names, pa.string()))
-                part = part.append_column("lang_score", pa.array(score))
-                yield part.append_column("lang_accepted", pa.array(inside))
+    def finish(known: Identifier, part, bits: np.ndarray, size: np.ndarray):
+        names, score, inside = known.decide(bits, size)
+        part = part.select([f.name for f in fields]).append_column("lang_pred", pa.array(names, pa.string()))
+        return part.append_column("lang_score", pa.array(score)).append_column("lang_accepted", pa.array(inside))
 
-    return rows.mapInArrow(run, T.StructType(fields + [T.StructField(n, t) for n, t in new]))
+    return _scored(rows, identifier, text_col, finish, T.StructType(fields + [T.StructField(n, t) for n, t in new]))

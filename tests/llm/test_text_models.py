@@ -346,6 +346,62 @@ def test_the_most_frequent_ngrams_stay(spark, monkeypatch):
     assert language.mark_frequent(frame, 2).where("kept and n = 1").count() == 10
 
 
+@pytest.mark.parametrize("bits", [1 << 20, 64])
+def test_ngrams_beyond_the_bounds_are_looked_up(spark, monkeypatch, bits):
+    """Low bounds, and marks that let nearly all through, change no text's result."""
+    rows = [(i, *r) for i, r in enumerate(char_rows() * 2)] + [(None, "xx", "ab cd"), (7, "yy", "zé"), (8, None, "ab"), (9, "xx", None)]
+    schema = "doc_id long, lang string, text string"
+    learnt = spark.createDataFrame(rows, schema)
+    other = [(None, "q", None), (1, "q", ""), (1, "q", "12"), (2, "q", "漢字"), (3, "q", "az" * 400), *[(4, "q", "abba dab zé")] * 40]
+    asked = learnt.union(spark.createDataFrame(other, schema)).select("doc_id", "text", F.lit(1).alias("gram"), F.lit(2).alias("CHUNK"))
+    whole = language.fit_on(learnt, F.lit(True))
+    assert whole.others is None
+    for name, value in (("MARK_BITS", bits), ("CHUNK_BYTES", 200), ("SLICE_BYTES", 100), ("SEGMENT", 97), ("PENDING", 50)):
+        monkeypatch.setattr(language, name, value)
+    monkeypatch.setattr(language, "MOST_GRAMS", 12)
+    few = language.fit_on(learnt, F.lit(True))
+    assert few.others.count() > 200 and max(len(k) for m in few.models for k in m.keys) < 20
+    assert few.languages == whole.languages and few.sharpness == whole.sharpness
+    assert np.allclose(few.most, whole.most, atol=1e-8)
+    told = []
+    for identifier in (whole, few):
+        got = language.identify(asked, identifier)
+        assert got.columns == [*asked.columns, "lang_pred", "lang_score", "lang_accepted"]
+        told.append(sorted(got.collect(), key=lambda x: (str(x.text), x.doc_id is None, x.doc_id or 0)))
+    assert len(told[0]) == len(told[1]) == len(rows) + len(other)
+    for a, b in zip(*told, strict=True):
+        assert a[:5] == b[:5] and abs(a.lang_score - b.lang_score) < 1e-6
+    # a text on the edge of what is accepted may fall on either side
+    assert sum(a.lang_accepted != b.lang_accepted for a, b in zip(*told, strict=True)) <= 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_what_is_looked_up_makes_up_the_textbooks_probability(spark, monkeypatch, order):
+    rows = char_rows()
+    grams = language.kneser_ney(language.count_grams(spark.createDataFrame(rows, LANGUAGE), order), order)
+    monkeypatch.setattr(language, "MOST_GRAMS", 3)
+    marked = language.mark_frequent(grams, order).localCheckpoint()
+    names, models = language._models(marked, order)
+    others = language.left_out(marked, names, order)
+    marks = language.marks_of(others, len(names))
+    gain = {(x.language, x.slot, x.gram): x.gain for x in others.collect()}
+    checked = 0
+    for lang, of_n in textbook(rows, order).items():
+        k = names.index(lang)
+        for gram, (_, p) in of_n[order].items():
+            if order == 1:
+                gram = "0" + gram
+            points = np.array([0 if c == "0" else ord(c) for c in gram], np.uint32)
+            by_order = language.all_grams(points, order)
+            contexts = [np.zeros(0, np.uint64), *[g[-2:-1] for g in by_order[:-1]]]
+            own = [g[-1:] for g in by_order]
+            asked = [(slot, x) for slot, h in models[k].lacking(own, contexts, marks[k]) for x in h.view(np.int64)]
+            more = {slot: (np.array([x]).view(np.uint64), np.array([gain[k, slot, x]])) for slot, x in asked if (k, slot, x) in gain}
+            assert abs(models[k].log2_among_all(own, contexts, more)[0] - np.log2(p)) < 1e-9
+            checked += bool(more)
+    assert checked > 3
+
+
 def test_language_without_sample(spark):
     rows = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     identifier = language.fit_on(rows, F.lit(True))
