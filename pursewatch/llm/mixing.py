@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pursewatch.llm.common import key60, n_words, stored
 
-#: Rows that one task sorts at a time; a source with more is dealt over several ranges of keys.
+#: Rows of a range of keys; in each source one task sorts the one range that has the cut.
 ROWS_PER_RANGE = 4_000
 
 
@@ -75,20 +75,23 @@ def mix(
     the number of words of that last round, all or none of a document but for the one at the cut.
     taken = epochs x size + part; the taken words of a source add up to its target, rounded.
 
-    Keys are dealt into ranges by value, as many as the source has rows for; each range is sorted
-    by itself and starts at the sum of the ranges before it. So a source with a third of all rows
-    is many small tasks, and reruns agree. Null texts have size 0, null sources are one source,
-    null ids order as the empty text; repeated rows are rows of their own; an empty table or one
-    without words gives targets of 0.
+    Keys are dealt into ranges by value, as many as the source has rows for; each range starts at
+    the sum of the ranges before it. One range of a source has the cut, and it alone is sorted. Any
+    other row is before or after the cut by its key, id and size, so texts and ``keep`` are neither
+    shuffled nor stored; only rows that equal the one at the cut in all three are, in the order of
+    their texts. Reruns agree.
+
+    With ``keep`` the table is read again for these columns, so one that is costly to make should
+    be stored first. Null texts have size 0, null sources are one source, null ids order as the
+    empty text; repeated rows are rows of their own; an empty table or one without words gives
+    targets of 0.
     """
-    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("boolean")
     sized = stored(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             n_words(F.col(text_col)).alias("size"),
             key60(F.col(id_col)).alias("key"),
-            kept.alias("kept"),
         ),
         "sized",
     )
@@ -96,40 +99,81 @@ def mix(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")
     )
     plan = stored(targets(sources, weights, most), "targets").withColumnRenamed("source", "of")
+    plan = _with_cuts(sized, plan, rows_per_range)
+    row = F.struct("key", "doc_id", "size")
+    ours = F.col("source").eqNullSafe(F.col("of"))
+    if keep:
+        rows = docs.select(
+            F.col(id_col).alias("doc_id"),
+            F.col(source_col).alias("source"),
+            F.col(text_col).alias("text"),
+            key60(F.col(id_col)).alias("key"),
+            F.struct(*[F.col(c) for c in keep]).alias("kept"),
+        )
+        counted = rows.withColumn("size", n_words(F.col("text")))
+    else:
+        rows = counted = sized.withColumns({"text": F.lit(None).cast("string"), "kept": F.lit(None).cast("boolean")})
+    apart = counted.join(plan, ours).where(~row.eqNullSafe(F.col("cut")))
+    part = F.when(row < F.col("cut"), F.col("size")).otherwise(F.lit(0))
+    # the few rows with the key of a cut are found before their words are counted
+    alike = rows.join(plan.where("cut is not null"), ours & (F.col("key") == F.col("cut.key")))
+    alike = alike.withColumn("size", n_words(F.col("text"))) if keep else alike
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("text")) - 1
+    alike = alike.where(row.eqNullSafe(F.col("cut"))).withColumn("nth", nth)
+    part_alike = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("nth") * F.col("size")))
+
+    def taken(found: DataFrame, part: Column) -> DataFrame:
+        out = found.withColumn("part", part.cast("long"))
+        return out.select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
+            "epochs",
+            "part",
+            "kept",
+        )
+
+    return taken(apart, part).unionByName(taken(alike, part_alike))
+
+
+def _with_cuts(sized: DataFrame, plan: DataFrame, rows_per_range: int) -> DataFrame:
+    """The plan with ``epochs``, whole rounds of each source, and where its last round ends.
+
+    ``cut`` is the key, id and size of the row with that round's last word, null where all rounds
+    are whole. ``left`` is the number of words that the round has for this row and those alike.
+    """
+    whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
+    rest = F.when(F.col("source_size") > 0, F.col("budget") % F.col("source_size")).otherwise(F.lit(0))
+    plan = plan.withColumns({"epochs": whole.cast("long"), "rest": rest.cast("long")})
     # 40 bits of the key times the number of ranges, so that ranges follow the keys' order
     ranges = F.expr(f"cast(ceil(n / {int(rows_per_range)}) as bigint)")
-    rows = (
-        sized.join(plan, F.col("source").eqNullSafe(F.col("of")))
-        .drop("of")
-        .withColumn("range", F.shiftright(F.shiftright("key", 20) * ranges, 40))
+    rows = sized.join(plan.select("of", "n"), F.col("source").eqNullSafe(F.col("of"))).withColumn(
+        "range", F.shiftright(F.shiftright("key", 20) * ranges, 40)
     )
     sums = rows.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
     before = Window.partitionBy("source").orderBy("range")
-    starts = stored(
-        sums.select(
-            F.col("source").alias("of"),
-            F.col("range").alias("nth"),
-            (F.sum("in_range").over(before) - F.col("in_range")).alias("start"),
-        ),
-        "starts",
+    starts = sums.withColumn("start", F.sum("in_range").over(before) - F.col("in_range"))
+    here = (F.col("start") < F.col("rest")) & (F.col("rest") <= F.col("start") + F.col("in_range"))
+    last = stored(
+        starts.join(plan.select("of", "rest"), F.col("source").eqNullSafe(F.col("of")))
+        .where(here)
+        .select("of", F.col("range").alias("nth"), (F.col("rest") - F.col("start")).alias("left")),
+        "ranges",
     )
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size")
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = rows.withColumn("through", F.sum("size").over(inside)).join(
-        starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("nth"))
+    within = rows.drop("of").join(
+        last, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("nth"))
     )
-    whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
-    rest = F.when(F.col("source_size") > 0, F.col("budget") % F.col("source_size")).otherwise(F.lit(0))
-    place = F.col("start") + F.col("through") - F.col("size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - place))
-    out = ordered.withColumn("epochs", whole.cast("long")).withColumn("part", part.cast("long"))
-    return out.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
-        "epochs",
-        "part",
-        "kept",
+    row = F.struct("key", "doc_id", "size")
+    inside = Window.partitionBy("source").orderBy("key", "doc_id", "size")
+    # rows alike count as one step: all of them start where the first does
+    through = F.sum("size").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    alike = F.sum("size").over(Window.partitionBy("source", "key", "doc_id", "size"))
+    steps = within.withColumn("through", through).withColumn("from", F.col("through") - alike)
+    cuts = (
+        steps.where((F.col("from") < F.col("left")) & (F.col("left") <= F.col("through")))
+        .select(F.col("source").alias("cut of"), row.alias("cut"), (F.col("left") - F.col("from")).alias("left"))
+        .distinct()
     )
+    return stored(plan.join(cuts, F.col("of").eqNullSafe(F.col("cut of")), "left").drop("cut of", "rest"), "cuts")

@@ -3,10 +3,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from pursewatch.llm import exact_dedup, mixing, sharding
+from pursewatch.llm import common, exact_dedup, mixing, sharding
 
 DOCS = "doc_id long, text string, source string, n_chars long"
 
@@ -131,3 +132,41 @@ def test_mix_without_words_or_rows(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     got = mixing.mix(docs(spark, [(1, None, "a"), (2, " ", None)])).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_mix_of_rows_alike_at_the_cut(spark):
+    """Rows with one id and size are taken in the order of their texts, and reruns agree on that."""
+    rows = [(None if s == "b" else 7, f"{s} {i:03d} z", s) for s in "ab" for i in range(40)] + [(8, "x " * 50, "c")]
+    frame = docs(spark, rows)
+    for seed in (3, 11):
+        got = mixing.mix(frame.repartition(seed), keep=["text", "source"], rows_per_range=5).collect()
+        assert Counter(r.kept.text for r in got) == Counter(t for _, t, _ in rows)
+        for s in "abc":
+            own = sorted((r for r in got if r.kept.source == s), key=lambda r: r.kept.text)
+            rest = int(own[0].target + 0.5) % own[0].source_size
+            assert rest, "the last round is cut"
+            assert [r.part for r in own] == [max(0, min(r.size, rest - k * r.size)) for k, r in enumerate(own)]
+
+
+def test_mix_neither_stores_nor_shuffles_what_it_keeps(spark, monkeypatch):
+    rows = [(i, " ".join(hashlib.sha256(f"{i} {j}".encode()).hexdigest() for j in range(140 + i % 7)), f"s{i % 3}") for i in range(400)]
+    size, paths = sum(len(t) for _, t, _ in rows), []
+    path_of = common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda *a: paths.append(path_of(*a)) or paths[-1])
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        found = (files.apply(k) for k in range(files.size()))
+        return {f.getPath(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+    frame = docs(spark, rows).repartition(4)
+    stored = common.stored(frame, "texts")
+    paths.clear()
+    before = shuffled()
+    got = mixing.mix(stored, keep=["text"], rows_per_range=30).collect()
+    moved = sum(n for path, n in shuffled().items() if path not in before)
+    kept = sum(p.stat().st_size for path in paths for p in Path(path).rglob("*.parquet"))
+    assert {r.doc_id: r.kept.text for r in got} == {i: t for i, t, _ in rows}
+    assert any(0 < r.part < r.size for r in got)
+    assert paths and 0 < moved < size / 10 and kept < size / 10
