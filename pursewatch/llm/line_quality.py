@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pursewatch.llm import words
 from pursewatch.llm.common import key60
 
+#: Texts are worked on in slices of about so many bytes: workers live on and keep the room once taken.
+SLICE_BYTES = 1 << 20
+
 #: Documents that the model is fitted on at most: the labelled ones with the smallest hashes.
 SAMPLE = 4_000
 #: Lines of a document that it is fitted on at most: a run of that many, which begins where a hash
@@ -273,7 +276,7 @@ def _run_of_lines(ids: list[int], at: np.ndarray, most: int) -> tuple[np.ndarray
 def _featurer(most: int):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE_BYTES):
                 table, size, at = line_features(part.column("text"))
                 lines, at = _run_of_lines(part.column("doc_id").to_pylist(), at, most)
                 wide = pa.array((at * len(FEATURES)).astype(np.int32))
@@ -336,7 +339,7 @@ def score_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, text_col):
+            for part in words.slices(batch, text_col, SLICE_BYTES):
                 found = pa.array(sent.value.score(part.column(text_col)))
                 yield part.append_column(out, found)
 

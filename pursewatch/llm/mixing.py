@@ -115,11 +115,12 @@ def mix(
         rows = counted = sized.withColumns({"text": F.lit(None).cast("string"), "kept": F.lit(None).cast("boolean")})
     apart = counted.join(plan, ours).where(~row.eqNullSafe(F.col("cut")))
     part = F.when(row < F.col("cut"), F.col("size")).otherwise(F.lit(0))
-    # the few rows with the key of a cut are found before their words are counted
-    alike = rows.join(plan.where("cut is not null"), ours & (F.col("key") == F.col("cut.key")))
+    # words are counted only of rows found by key and id: an equal size would be one more join key
+    by_id = ours & (F.col("key") == F.col("cut.key")) & F.col("doc_id").eqNullSafe(F.col("cut.doc_id"))
+    alike = rows.join(plan.where("cut is not null"), by_id)
     alike = alike.withColumn("size", n_words(F.col("text"))) if keep else alike
-    nth = F.row_number().over(Window.partitionBy("source").orderBy("text")) - 1
-    alike = alike.where(row.eqNullSafe(F.col("cut"))).withColumn("nth", nth)
+    alike = alike.where(F.col("size").between(F.col("cut.size"), F.col("cut.size")))
+    alike = alike.withColumn("nth", F.row_number().over(Window.partitionBy("source").orderBy("text")) - 1)
     part_alike = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("nth") * F.col("size")))
 
     def taken(found: DataFrame, part: Column) -> DataFrame:

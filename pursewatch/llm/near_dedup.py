@@ -21,6 +21,9 @@ MATCHES = 22
 #: Shingles of so many documents or fewer are compared one by one before two sets are.
 RARE = 64
 
+#: Texts are worked on in slices of about so many bytes: workers live on and keep the room once taken.
+SLICE_BYTES = 1 << 20
+
 #: Ids of documents in posting lists that are broadcast at most, some 10 MB; more are shuffled.
 SENT_IDS = 1_000_000
 
@@ -72,7 +75,7 @@ def _as_lists(values: np.ndarray, lengths: list[int]) -> pa.Array:
 def _signer(size: int, coordinates: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), size)
                 full = [s for s in sets if len(s)]
                 found = signatures(full, coordinates) if full else np.zeros((0, coordinates), np.int64)
@@ -99,7 +102,7 @@ def _contents(sets: list[np.ndarray]) -> pa.Array:
 def _setter(size: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), size)
                 flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
